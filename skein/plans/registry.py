@@ -14,6 +14,7 @@ ORACLE_SQL: dict[str, str] = {}
 
 _MODULES = (
     "listing",
+    "fingerprint",
 )
 
 
