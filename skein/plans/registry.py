@@ -15,6 +15,7 @@ ORACLE_SQL: dict[str, str] = {}
 _MODULES = (
     "listing",
     "fingerprint",
+    "shaping",
 )
 
 
