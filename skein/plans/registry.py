@@ -16,6 +16,8 @@ _MODULES = (
     "listing",
     "fingerprint",
     "shaping",
+    "scalars",
+    "profiling",
 )
 
 
