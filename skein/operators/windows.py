@@ -22,9 +22,10 @@ def dense_index(df: DataFrame, keys: list[str], block: Column, order: list[Colum
     """
     b = df.withColumn("__blk", block)
     counts = b.groupBy(*keys, "__blk").agg(F.count(F.lit(1)).alias("__n"))
-    w = Window.partitionBy(*keys).orderBy("__blk").rowsBetween(Window.unboundedPreceding, -1)
+    w = (Window.partitionBy(*keys).orderBy("__blk") if keys else Window.orderBy("__blk")).rowsBetween(
+        Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
-    j = b.join(offsets, keys + ["__blk"], "inner")
+    j = b.join(offsets, list(keys) + ["__blk"], "inner")
     wr = Window.partitionBy(*keys, "__blk").orderBy(*order)
     return (
         j.withColumn(out, (F.col("__off") + F.row_number().over(wr) - 1 + start).cast("long"))
@@ -46,9 +47,11 @@ def history_last_n(df: DataFrame, key: str, order: list[Column], value: str, n:
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """W9 / O4 helper: the last row per key by ``order`` (top-1, partial limit before shuffle)."""
-    w = Window.partitionBy(*keys).orderBy(*[c.desc() if hasattr(c, "desc") else c for c in order])
-    return df.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    """The last row per key by ``order``, as an aggregate (``max_by`` combines
+    partially before the shuffle, so a hot key costs one row per map task)."""
+    others = [c for c in df.columns if c not in keys]
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("__last")).select(
+        *keys, "__last.*")
 
 
 def step_ratio(df: DataFrame, key: str, order: list[Column], value: str,

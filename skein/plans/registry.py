@@ -18,6 +18,9 @@ _MODULES = (
     "shaping",
     "scalars",
     "profiling",
+    "changes",
+    "joins",
+    "windows",
 )
 
 
