@@ -62,7 +62,7 @@ def hash_bucket(h: Column | str, width: int = 64) -> Column:
     return F.aggregate(
         idx, F.lit(0).cast("long"),
         lambda acc, i: acc + F.when(
-            F.shiftright(hc, (F.lit(width - 1) - i).cast("int")).bitwiseAND(F.lit(1)) == 1,
-            F.shiftleft(F.lit(1).cast("long"), (i % 8).cast("int")),
+            F.call_function("shiftright", hc, (F.lit(width - 1) - i).cast("int")).bitwiseAND(F.lit(1)) == 1,
+            F.call_function("shiftleft", F.lit(1).cast("long"), (i % 8).cast("int")),
         ).otherwise(F.lit(0).cast("long")),
     )

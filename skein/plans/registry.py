@@ -21,6 +21,7 @@ _MODULES = (
     "changes",
     "joins",
     "windows",
+    "imaging",
 )
 
 
