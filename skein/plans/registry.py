@@ -22,6 +22,7 @@ _MODULES = (
     "joins",
     "windows",
     "imaging",
+    "mlplans",
 )
 
 
