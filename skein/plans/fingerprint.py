@@ -30,12 +30,16 @@ TOP_K = 10
 
 
 def _events_ms(t: Tables) -> DataFrame:
-    return t.events.select("event_id", "user_id", epoch_ms("ts").alias("ms"),
+    return _events_of(t.events)
+
+
+def _events_of(events: DataFrame) -> DataFrame:
+    return events.select("event_id", "user_id", epoch_ms("ts").alias("ms"),
                            (F.floor("value").cast("long").bitwiseAND(F.lit(511))).alias("freq"))
 
 
-def library_peaks(t: Tables) -> DataFrame:
-    ev = _events_ms(t)
+def library_peaks(t: Tables, events: DataFrame | None = None) -> DataFrame:
+    ev = _events_ms(t) if events is None else _events_of(events)
     start = ev.groupBy("user_id").agg(F.min("ms").alias("m0"))
     p = ev.join(broadcast_if_small(start), "user_id").select(
         F.col("user_id").alias("song_id"), (F.col("ms") - F.col("m0")).alias("t_ms"), "freq", "event_id")
@@ -43,8 +47,8 @@ def library_peaks(t: Tables) -> DataFrame:
                        [F.col("t_ms"), F.col("freq"), F.col("event_id")])
 
 
-def clip_peaks(t: Tables) -> DataFrame:
-    ev = _events_ms(t)
+def clip_peaks(t: Tables, events: DataFrame | None = None) -> DataFrame:
+    ev = _events_ms(t) if events is None else _events_of(events)
     wk = F.floor(F.col("ms") / WEEK_MS).cast("long")
     p = ev.select((F.col("user_id") * 10000 + wk).alias("request_id"),
                   (F.col("ms") - wk * WEEK_MS).alias("t_ms"), "freq", "event_id")
@@ -52,12 +56,12 @@ def clip_peaks(t: Tables) -> DataFrame:
                        [F.col("t_ms"), F.col("freq"), F.col("event_id")])
 
 
-def library_index(t: Tables) -> DataFrame:
-    return audio.fingerprints(library_peaks(t), key="song_id")
+def library_index(t: Tables, events: DataFrame | None = None) -> DataFrame:
+    return audio.fingerprints(library_peaks(t, events), key="song_id")
 
 
-def clip_fingerprints(t: Tables) -> DataFrame:
-    fp = audio.fingerprints(clip_peaks(t), key="request_id")
+def clip_fingerprints(t: Tables, events: DataFrame | None = None) -> DataFrame:
+    fp = audio.fingerprints(clip_peaks(t, events), key="request_id")
     return fp.withColumnRenamed("anchor_ms", "s_ms")
 
 
@@ -91,6 +95,18 @@ def _pairs_sql(src: str, key: str, address: bool = True) -> str:
                FROM {src} a JOIN {src} b ON a.{key} = b.{key} AND b.idx BETWEEN a.idx + 1 AND a.idx + 5"""
 
 
+def index_sql(name: str, where: str = "") -> str:
+    """CTEs building the library index ``name`` from the events passing ``where``."""
+    return f"""
+  {name}_ev AS (SELECT event_id, user_id, epoch_us(ts) // 1000 AS ms, (floor(value)::BIGINT & 511) AS freq
+                FROM events {where}),
+  {name}_lib AS (SELECT user_id AS song_id, ms - min(ms) OVER (PARTITION BY user_id) AS t_ms, freq, event_id FROM {name}_ev),
+  {name}_pk AS (SELECT song_id, t_ms, freq,
+                       row_number() OVER (PARTITION BY song_id ORDER BY t_ms, freq, event_id) - 1 AS idx FROM {name}_lib),
+  {name} AS (SELECT address, song_id, arg_max(a_ms, a_idx * 6 + d) AS anchor_ms
+             FROM ({_pairs_sql(name + '_pk', 'song_id')}) GROUP BY ALL)"""
+
+
 _FP_SQL = f"""WITH {_PEAKS_SQL},
   lpairs AS ({_pairs_sql('lpk', 'song_id')}),
   cpairs AS ({_pairs_sql('cpk', 'request_id')}),

@@ -23,6 +23,8 @@ _MODULES = (
     "windows",
     "imaging",
     "mlplans",
+    "sources",
+    "streams",
 )
 
 
