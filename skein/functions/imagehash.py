@@ -34,7 +34,10 @@ def grey_from_unit(values: Column | str, offset: float = 0.5) -> Column:
 
 def block_mean(grid: Column | str, w: int, h: int, k: int) -> Column:
     """Resize by ``k x k`` block means: (w/k) x (h/k) doubles."""
-    g = _c(grid)
+    return let(_c(grid), lambda g: _block_mean(g, w, h, k))
+
+
+def _block_mean(g: Column, w: int, h: int, k: int) -> Column:
     w2, h2 = w // k, h // k
     return F.transform(
         F.sequence(F.lit(0), F.lit(w2 * h2 - 1)),
@@ -67,16 +70,22 @@ def median_of(arr: Column) -> Column:
 
 def average_hash(grid: Column | str, variant: str = "python") -> Column:
     """bit = pixel > mean. ``scala`` compares with the integer (floored) mean (Q12)."""
-    def with_mean(m):
-        m = F.floor(m) if variant == "scala" else m
-        return bits_to_long(F.transform(_c(grid), lambda p: p > m))
+    def with_grid(g):
+        def with_mean(m):
+            m = F.floor(m) if variant == "scala" else m
+            return bits_to_long(F.transform(g, lambda p: p > m))
+
+        return let(mean_of(g), with_mean)
 
-    return let(mean_of(_c(grid)), with_mean)
+    return let(_c(grid), with_grid)
 
 
 def dhash(grid: Column | str, w: int, h: int, variant: str = "python") -> Column:
     """F6 horizontal: per row, bit = right > left (``scala``: left > right; Q12). (w-1)*h bits."""
-    g = _c(grid)
+    return let(_c(grid), lambda g: _dhash(g, w, h, variant))
+
+
+def _dhash(g: Column, w: int, h: int, variant: str) -> Column:
     idx = F.sequence(F.lit(0), F.lit((w - 1) * h - 1))
 
     def bit(i):
@@ -89,40 +98,52 @@ def dhash(grid: Column | str, w: int, h: int, variant: str = "python") -> Column
 
 def dhash_vertical(grid: Column | str, w: int, h: int) -> Column:
     """F6 vertical: bit = below > above, w*(h-1) bits."""
-    g = _c(grid)
     idx = F.sequence(F.lit(0), F.lit(w * (h - 1) - 1))
-    return bits_to_long(F.transform(idx, lambda i: _at(g, i + w) > _at(g, i)))
+    return let(_c(grid), lambda g: bits_to_long(F.transform(idx, lambda i: _at(g, i + w) > _at(g, i))))
 
 
-def dct2(grid: Column | str, n: int) -> Column:
-    """2-D DCT-II (unnormalised) of an n x n grid as n*n doubles, (u, v) row-major."""
-    g = _c(grid)
+def cos_table(n: int) -> Column:
+    """DCT-II basis ``cos(pi * k * (2x + 1) / (2n))`` as one literal array, index k*n + x."""
     c = math.pi / (2 * n)
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(n * n - 1)),
-        lambda j: F.aggregate(
-            F.sequence(F.lit(0), F.lit(n * n - 1)), F.lit(0.0),
-            lambda acc, t: acc + _at(g, t).cast("double")
-            * F.cos(F.lit(c) * (j / n).cast("int") * (2 * (t / n).cast("int") + 1))
-            * F.cos(F.lit(c) * (j % n) * (2 * (t % n) + 1)),
-        ),
-    )
+    return F.array(*[F.lit(math.cos(c * k * (2 * x + 1))) for k in range(n) for x in range(n)])
 
 
 def dct_rows(grid: Column | str, n: int) -> Column:
     """1-D DCT-II along each row: n*n doubles, (row, k) row-major."""
-    g = _c(grid)
-    c = math.pi / (2 * n)
+    return let(F.struct(_c(grid).alias("g"), cos_table(n).alias("c")),
+               lambda b: _dct_rows(b["g"], b["c"], n))
+
+
+def _dct_rows(g: Column, ct: Column, n: int) -> Column:
     return F.transform(
         F.sequence(F.lit(0), F.lit(n * n - 1)),
         lambda j: F.aggregate(
             F.sequence(F.lit(0), F.lit(n - 1)), F.lit(0.0),
-            lambda acc, x: acc + _at(g, (j / n).cast("int") * n + x).cast("double")
-            * F.cos(F.lit(c) * (j % n) * (2 * x + 1)),
+            lambda acc, x: acc + _at(g, (j / n).cast("int") * n + x).cast("double") * _at(ct, (j % n) * n + x),
         ),
     )
 
 
+def dct2(grid: Column | str, n: int) -> Column:
+    """2-D DCT-II (unnormalised) of an n x n grid as n*n doubles, (u, v) row-major.
+
+    Separable: a row pass then a column pass (2 n^3 multiply-adds), with the
+    basis bound once as a literal table.
+    """
+    def cols(b):
+        r = b["r"]
+        ct = b["c"]
+        return F.transform(
+            F.sequence(F.lit(0), F.lit(n * n - 1)),
+            lambda j: F.aggregate(
+                F.sequence(F.lit(0), F.lit(n - 1)), F.lit(0.0),
+                lambda acc, y: acc + _at(ct, (j / n).cast("int") * n + y) * _at(r, y * n + j % n),
+            ),
+        )
+
+    return let(F.struct(dct_rows(grid, n).alias("r"), cos_table(n).alias("c")), cols)
+
+
 def phash(grid: Column | str, n: int, mode: str = "median") -> Column:
     """DCT hash. ``median`` (Python form): coefficients > their median;
     ``mean_no_dc`` (Scala form): > mean of all but the DC term;
@@ -146,8 +167,7 @@ def wavelet_hash(grid: Column | str) -> Column:
     Removing the top Haar LL band shifts every value by one constant, so it
     changes no bit; a larger image is first reduced with ``block_mean``.
     """
-    g = _c(grid)
-    return let(median_of(g), lambda m: bits_to_long(F.transform(g, lambda p: p > m)))
+    return let(_c(grid), lambda g: let(median_of(g), lambda m: bits_to_long(F.transform(g, lambda p: p > m))))
 
 
 def hash_hex(h: Column | str, bits: int) -> Column:

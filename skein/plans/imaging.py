@@ -28,9 +28,9 @@ def grids(t: Tables) -> DataFrame:
 
 
 def _rgb(grid):
-    return F.transform(F.sequence(F.lit(0), F.lit(20)), lambda j: F.struct(
-        F.element_at(grid, j * 3 + 1).alias("r"), F.element_at(grid, j * 3 + 2).alias("g"),
-        F.element_at(grid, j * 3 + 3).alias("b")))
+    return H.let(grid, lambda gr: F.transform(F.sequence(F.lit(0), F.lit(20)), lambda j: F.struct(
+        F.element_at(gr, j * 3 + 1).alias("r"), F.element_at(gr, j * 3 + 2).alias("g"),
+        F.element_at(gr, j * 3 + 3).alias("b"))))
 
 
 def h16(t: Tables) -> DataFrame:
@@ -240,11 +240,11 @@ def q_video_similarity(spark, sf_dir):
 
 def quadrant_segments(t: Tables) -> DataFrame:
     g = grids(t)
-    def quadrant(q: int):
+    def quadrant(gr, q: int):
         return F.transform(F.sequence(F.lit(0), F.lit(15)), lambda k: F.element_at(
-            F.col("grid"), (((q // 2) * 4 + (k / 4).cast("int")) * 8 + (q % 2) * 4 + k % 4) + 1))
+            gr, (((q // 2) * 4 + (k / 4).cast("int")) * 8 + (q % 2) * 4 + k % 4) + 1))
 
-    quads = F.array(*[quadrant(q) for q in range(4)])
+    quads = H.let(F.col("grid"), lambda gr: F.array(*[quadrant(gr, q) for q in range(4)]))
     s = g.select("img", F.posexplode(quads).alias("seg", "qgrid"))
     return s.select("img", "seg", H.average_hash("qgrid").alias("h"))
 
