@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions.bits import pair_address
+from skein.operators.grouped import apply_sorted_groups
 from skein.operators.sizing import broadcast_if_small
 
 # Fixed values of the reference algorithm.
@@ -82,8 +83,11 @@ def low_pass(samples: DataFrame, cutoff_hz: float, sample_rate: float,
         return pd.DataFrame({"song_id": pdf["song_id"].to_numpy(), "i": pdf["i"].to_numpy(),
                              "chunk": pdf["chunk"].to_numpy(), "local": y})
 
-    loc = s.groupBy("song_id", "chunk").applyInPandas(
-        local, "song_id long, i long, chunk long, local double")
+    from skein.session import materialize
+
+    # written once: both the chunk ends and the final pass read it
+    loc = materialize(apply_sorted_groups(s.select("song_id", "i", "chunk", "v"), ["song_id", "chunk"], ["i"], local,
+                                          "song_id long, i long, chunk long, local double"), "lowpass_local")
 
     ends = loc.groupBy("song_id", "chunk").agg(
         F.max_by("local", "i").alias("last"), F.count(F.lit(1)).alias("n"))
@@ -97,7 +101,7 @@ def low_pass(samples: DataFrame, cutoff_hz: float, sample_rate: float,
         return pd.DataFrame({"song_id": pdf["song_id"].to_numpy(), "chunk": pdf["chunk"].to_numpy(),
                              "enter": np.array(enter, dtype=float)})
 
-    carry = ends.groupBy("song_id").applyInPandas(chain, "song_id long, chunk long, enter double")
+    carry = apply_sorted_groups(ends, ["song_id"], ["chunk"], chain, "song_id long, chunk long, enter double")
     pos = F.col("i") - F.col("chunk") * chunk
     return (
         loc.join(carry, ["song_id", "chunk"])
@@ -205,8 +209,8 @@ def stft(samples: DataFrame, size: int = FRAME_SIZE, hop: int = HOP_SIZE, n_bins
             "n_samples": np.full(nfr * n_bins, ns, dtype=np.int64),
         })
 
-    return s.groupBy("song_id", "blk").applyInPandas(
-        block_fft,
+    return apply_sorted_groups(
+        s.select("song_id", "blk", "i", "v", "n_frames", "n_samples"), ["song_id", "blk"], ["i"], block_fft,
         "song_id long, frame long, k long, re double, im double, mag double, n_frames long, n_samples long")
 
 

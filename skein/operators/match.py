@@ -18,13 +18,14 @@ from skein.operators.sizing import broadcast_if_small
 PAIR_KEYS = ["request_id", "song_id"]
 
 
-def fingerprint_join(sample_fp: DataFrame, index: DataFrame, max_sample_rows: int = 2_000_000) -> DataFrame:
+def fingerprint_join(sample_fp: DataFrame, index: DataFrame) -> DataFrame:
     """``sample(request_id, address, s_ms)`` joined to ``index(address, anchor_ms, song_id)``.
 
-    A batch of a few recordings is broadcast (checked size); a large batch
-    becomes a shuffle join on ``address`` where AQE splits hot addresses.
+    No hint: AQE measures the sample side after its shuffle and broadcasts it
+    when it is under the broadcast threshold (a few recordings); a large batch
+    stays a shuffle join on ``address`` where AQE splits hot addresses.
     """
-    s = broadcast_if_small(sample_fp.select("request_id", "address", "s_ms"), max_sample_rows)
+    s = sample_fp.select("request_id", "address", "s_ms")
     idx = index.select("address", F.col("anchor_ms").alias("d_ms"), "song_id")
     return s.join(idx, "address")
 
@@ -61,12 +62,20 @@ def relative_timing(m: DataFrame, tol: int = TIMING_TOLERANCE_MS) -> DataFrame:
     Pairs whose gaps point opposite ways have both gaps below ``tol`` and are
     subtracted from a small neighbourhood join on (s, d) counts.
     """
-    off = (F.col("s_ms") - F.col("d_ms")).cast("long")
-    mm = m.select(*PAIR_KEYS, "s_ms", "d_ms", off.alias("off"))
+    from skein.session import materialize
+
+    # one pre-aggregation: counts per distinct (s, d), written once; all parts read it
+    pts = materialize(m.groupBy(*PAIR_KEYS, "s_ms", "d_ms").agg(F.count(F.lit(1)).alias("c")), "match_points")
+    return timing_from_points(pts, tol)
+
+
+def timing_from_points(pts: DataFrame, tol: int = TIMING_TOLERANCE_MS) -> DataFrame:
+    """J5 on ``(request_id, song_id, s_ms, d_ms, c)`` match counts."""
     bucket = F.floor(F.col("off") / F.lit(tol)).cast("long")
 
     # (1) pairs inside one offset bucket
-    per_off = mm.groupBy(*PAIR_KEYS, "off").agg(F.count(F.lit(1)).alias("c"))
+    per_off = pts.groupBy(*PAIR_KEYS, (F.col("s_ms") - F.col("d_ms")).cast("long").alias("off")).agg(
+        F.sum("c").alias("c"))
     per_off = per_off.withColumn("b", bucket)
     same = per_off.groupBy(*PAIR_KEYS, "b").agg(F.sum("c").alias("n")).groupBy(*PAIR_KEYS).agg(
         F.sum(F.col("n") * (F.col("n") - 1) / 2).cast("long").alias("same"))
@@ -78,7 +87,6 @@ def relative_timing(m: DataFrame, tol: int = TIMING_TOLERANCE_MS) -> DataFrame:
         F.sum(F.col("c1") * F.col("c2")).cast("long").alias("adj"))
 
     # (3) opposite-direction pairs: s2 > s1, d2 < d1, (s2 - s1) + (d1 - d2) < tol
-    pts = mm.groupBy(*PAIR_KEYS, "s_ms", "d_ms").agg(F.count(F.lit(1)).alias("c"))
     cs = F.floor(F.col("s_ms") / tol).cast("long")
     cd = F.floor(F.col("d_ms") / tol).cast("long")
     p1 = pts.select(*PAIR_KEYS, F.col("s_ms").alias("s1"), F.col("d_ms").alias("d1"), F.col("c").alias("c1"),
@@ -112,11 +120,16 @@ def best_offset(m: DataFrame) -> DataFrame:
 def match_scores(m: DataFrame, songs: DataFrame) -> DataFrame:
     """A13 + J4: score per (recording, song) with earliest time and names.
 
-    Songs unknown to the catalogue are dropped (inner join; the catalogue is
-    broadcast only under a checked size).
+    The matches are reduced once to counts per distinct (s, d) and that table
+    is written to the shared folder; the statistics and the timing score are
+    then read from it. Songs unknown to the catalogue are dropped (inner join;
+    the catalogue is broadcast only under a checked size).
     """
-    stats = match_stats(m)
-    sc = relative_timing(m)
+    from skein.session import materialize
+
+    pts = materialize(m.groupBy(*PAIR_KEYS, "s_ms", "d_ms").agg(F.count(F.lit(1)).alias("c")), "match_points")
+    stats = pts.groupBy(*PAIR_KEYS).agg(F.min("d_ms").alias("first_ms"), F.sum("c").alias("matches"))
+    sc = timing_from_points(pts)
     cat = broadcast_if_small(songs.select("song_id", "title", "artist"))
     return (
         stats.join(sc, PAIR_KEYS, "left")

@@ -39,27 +39,29 @@ def describe_long(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def exact_percentiles(df: DataFrame, col: str, ps: list[float], keys: list[str] = (),
-                      buckets: int = 1000) -> DataFrame:
+                      buckets: int | None = None) -> DataFrame:
     """Exact linear-interpolated percentiles (``percentile_cont``) without one big buffer.
 
-    Values are first reduced to (value, count); approximate quantiles cut them
-    into ``buckets`` ranges; running counts inside each range plus per-range
-    offsets give every distinct value its rank interval; the two values around
-    rank ``(n-1)p`` are then picked by a plain aggregation. Memory per task is
-    one range of distinct values, whatever the skew.
+    Values are reduced to (value, count) and range-partitioned by (keys,
+    value): every partition then holds one contiguous value range (equal
+    values never straddle two). Per-partition totals give offsets, a running
+    count inside each partition gives every distinct value its rank interval,
+    and the two values around rank ``(n-1)p`` are picked by an aggregation.
+    Memory per task is one range of distinct values, whatever the skew.
     """
     keys = list(keys)
+    spark = df.sparkSession
+    nb = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     v = df.select(*keys, F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
     vc = v.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("cnt"))
-    qs = [i / buckets for i in range(1, buckets)]
-    bounds = v.groupBy(*keys).agg(F.percentile_approx("v", qs, 10 * buckets).alias("bounds"),
-                                  F.count(F.lit(1)).alias("n"))
-    j = vc.join(broadcast_if_small(bounds), keys) if keys else vc.crossJoin(F.broadcast(bounds))
-    j = j.withColumn("bkt", F.size(F.filter("bounds", lambda b: b < F.col("v")))).drop("bounds")
-    per_b = j.groupBy(*keys, "bkt").agg(F.sum("cnt").alias("bc"))
-    wo = Window.partitionBy(*keys).orderBy("bkt").rowsBetween(Window.unboundedPreceding, -1)
-    per_b = per_b.withColumn("off", F.coalesce(F.sum("bc").over(wo), F.lit(0))).drop("bc")
-    j = j.join(per_b, keys + ["bkt"])
+    vc = vc.repartitionByRange(nb, *keys, "v").withColumn("bkt", F.spark_partition_id())
+    per_b = vc.groupBy(*keys, "bkt").agg(F.sum("cnt").alias("bc"))
+    wo = (Window.partitionBy(*keys).orderBy("bkt") if keys else Window.orderBy("bkt")).rowsBetween(
+        Window.unboundedPreceding, -1)
+    per_b = per_b.withColumn("off", F.coalesce(F.sum("bc").over(wo), F.lit(0)))
+    tot = per_b.groupBy(*keys).agg(F.sum("bc").alias("n")) if keys else per_b.agg(F.sum("bc").alias("n"))
+    per_b = (per_b.join(tot, keys) if keys else per_b.crossJoin(tot)).drop("bc")
+    j = vc.join(F.broadcast(per_b) if not keys else per_b, keys + ["bkt"])
     wi = Window.partitionBy(*keys, "bkt").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     j = j.withColumn("hi_r", F.col("off") + F.sum("cnt").over(wi)).withColumn("lo_r", F.col("hi_r") - F.col("cnt"))
     aggs = []
@@ -77,14 +79,17 @@ def exact_percentiles(df: DataFrame, col: str, ps: list[float], keys: list[str]
     return g.select(*out)
 
 
+def stack_columns(df: DataFrame, cols: list[str], name: str = "column", value: str = "v") -> DataFrame:
+    """Wide numeric columns -> long (column, value) rows (``stack``, no shuffle)."""
+    parts = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    return df.selectExpr(f"stack({len(cols)}, {parts}) as ({name}, {value})")
+
+
 def summary_long(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """A4: describe plus exact 25 / 50 / 75 % quantiles per numeric column."""
     cols = cols or numeric_columns(df)
     d = describe_long(df, cols)
-    qs = None
-    for c in cols:
-        q = exact_percentiles(df, c, [0.25, 0.5, 0.75]).select(F.lit(c).alias("column"), "*")
-        qs = q if qs is None else qs.unionByName(q)
+    qs = exact_percentiles(stack_columns(df, cols), "v", [0.25, 0.5, 0.75], keys=["column"])
     return d.join(qs, "column")
 
 

@@ -41,7 +41,7 @@ def _events_of(events: DataFrame) -> DataFrame:
 def library_peaks(t: Tables, events: DataFrame | None = None) -> DataFrame:
     ev = _events_ms(t) if events is None else _events_of(events)
     start = ev.groupBy("user_id").agg(F.min("ms").alias("m0"))
-    p = ev.join(broadcast_if_small(start), "user_id").select(
+    p = ev.join(start, "user_id").select(
         F.col("user_id").alias("song_id"), (F.col("ms") - F.col("m0")).alias("t_ms"), "freq", "event_id")
     return dense_index(p, ["song_id"], F.floor(F.col("t_ms") / DAY_MS),
                        [F.col("t_ms"), F.col("freq"), F.col("event_id")])

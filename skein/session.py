@@ -53,3 +53,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint dir for written intermediate tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "skein", name)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as parquet under the shared checkpoint folder and read it
+    back: later branches read the written table instead of recomputing the
+    lineage, and a lost executor costs a re-read, not a recompute."""
+    import uuid
+
+    path = scratch_path(df.sparkSession, f"tables/{name}-{uuid.uuid4().hex}")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
