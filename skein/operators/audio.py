@@ -180,7 +180,7 @@ def stft(samples: DataFrame, size: int = FRAME_SIZE, hop: int = HOP_SIZE, n_bins
     span = frames_per_task * hop
     s = samples.join(broadcast_if_small(lens), "song_id")
     # block b holds frames [b*F, (b+1)*F) -> samples [b*span, b*span + span + size - hop)
-    lo = F.greatest(F.floor((F.col("i") - (span + size - hop) + 1) / span) + 1, F.lit(0))
+    lo = F.greatest(F.floor((F.col("i") - (span + size - hop)) / span) + 1, F.lit(0))
     hi = F.floor(F.col("i") / span)
     s = s.withColumn("blk", F.explode(F.sequence(lo.cast("long"), hi.cast("long"))))
     s = s.filter(F.col("blk") * frames_per_task < F.col("n_frames"))
