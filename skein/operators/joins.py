@@ -13,16 +13,19 @@ def anti_known(candidates: DataFrame, known: DataFrame, key: str) -> DataFrame:
     return candidates.join(known.select(key).distinct(), key, "left_anti")
 
 
-def range_first(queries: DataFrame, cands: DataFrame, qkey: str, qval: str, cval: str, rank: str,
+def range_first(queries: DataFrame, cands: DataFrame, qkey: str, qval: str, cval: str, rank: list[str],
                 width: float) -> DataFrame:
-    """Per query the best-ranked candidate with ``|cval - qval| <= width``.
+    """Per query the best-ranked candidate with ``|cval - qval| <= width``
+    (``rank``: the ranking columns, ending with a tie-break).
 
     Candidates belong to their query (equi key), the range is a filter, the
-    first by rank is a top-1 with a partial limit before the shuffle.
+    first by rank is a ``min_by`` aggregate combined before the shuffle.
     """
     j = queries.join(cands, qkey).filter(F.abs(F.col(cval) - F.col(qval)) <= width)
-    w = Window.partitionBy(qkey).orderBy(F.col(rank).asc())
-    return j.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    others = [c for c in j.columns if c != qkey]
+    # top-1 by rank as an aggregate (partial before the shuffle), not a window
+    g = j.groupBy(qkey).agg(F.min_by(F.struct(*others), F.struct(*rank)).alias("__best"))
+    return g.select(qkey, "__best.*")
 
 
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:

@@ -11,21 +11,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def dense_index(df: DataFrame, keys: list[str], block: Column, order: list[Column],
+def dense_index(df: DataFrame, keys: list[str], block: Column | None, order: list[Column],
                 out: str = "idx", start: int = 0) -> DataFrame:
     """0-based (plus ``start``) position of each row inside ``keys`` by ``order``.
 
-    ``block`` must be monotone in ``order`` (e.g. the day of a timestamp that
-    leads ``order``). Counts per (key, block) are tiny and pre-aggregated; their
-    running sum gives each block's offset; rows are then numbered inside their
-    block only. A hot key is thus spread over many tasks.
+    Rows are cut into blocks that follow ``order``: by default Spark's range
+    partitioning on (keys, order) (sampled bounds, so a hot key is spread over
+    many balanced blocks; the blocked rows are written once to the shared
+    folder so every branch sees the same blocks); or a caller's ``block``
+    column that is monotone in ``order`` (no write). Counts per (key, block) are tiny and pre-aggregated; their
+    running sum gives each block's offset; rows are numbered inside their
+    block only, so no task orders a whole key.
     """
-    b = df.withColumn("__blk", block)
+    keys = list(keys)
+    if block is None:
+        from skein.session import materialize
+
+        # range bounds come from a sample, so the blocked rows are written once:
+        # both branches below must see the very same blocks
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        b = materialize(df.repartitionByRange(parts, *[F.col(k) for k in keys], *order).withColumn(
+            "__blk", F.spark_partition_id().cast("long")), "blocks")
+    else:
+        b = df.withColumn("__blk", block)
     counts = b.groupBy(*keys, "__blk").agg(F.count(F.lit(1)).alias("__n"))
     w = (Window.partitionBy(*keys).orderBy("__blk") if keys else Window.orderBy("__blk")).rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
-    j = b.join(offsets, list(keys) + ["__blk"], "inner")
+    j = b.join(offsets, keys + ["__blk"], "inner")
     wr = Window.partitionBy(*keys, "__blk").orderBy(*order)
     return (
         j.withColumn(out, (F.col("__off") + F.row_number().over(wr) - 1 + start).cast("long"))
@@ -40,10 +53,22 @@ def assign_ids(df: DataFrame, order: list[Column], block: Column, start: int = 1
 
 
 def history_last_n(df: DataFrame, key: str, order: list[Column], value: str, n: int,
-                   out: str = "history") -> DataFrame:
-    """For every row, the list of the last ``n`` values of its key (oldest first)."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(-(n - 1), 0)
-    return df.withColumn(out, F.collect_list(value).over(w))
+                   out: str = "history", block_rows: int = 100_000) -> DataFrame:
+    """For every row, the last ``n`` values of its key (oldest first).
+
+    Positions come from ``dense_index``; rows are windowed per (key, block of
+    ``block_rows`` positions), each block also receiving the last ``n - 1``
+    rows of the block before it as context. A hot key is thus spread over
+    ``rows / block_rows`` tasks.
+    """
+    ix = dense_index(df, [key], None, order, out="__i")
+    blk = F.floor(F.col("__i") / block_rows).cast("long")
+    own = ix.withColumn("__b", blk).withColumn("__own", F.lit(True))
+    ctx = ix.filter(F.col("__i") % block_rows >= block_rows - (n - 1)).withColumn("__b", blk + 1).withColumn(
+        "__own", F.lit(False))
+    w = Window.partitionBy(key, "__b").orderBy("__i").rowsBetween(-(n - 1), 0)
+    h = own.unionByName(ctx).withColumn(out, F.collect_list(value).over(w))
+    return h.filter("__own").drop("__i", "__b", "__own")
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -56,13 +81,17 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
 
 def step_ratio(df: DataFrame, key: str, order: list[Column], value: str,
                low: float = 0.95, high: float = 1.05) -> DataFrame:
-    """Next / previous ratio and whether it stays in [low, high)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    prev = F.lag(value).over(w)
-    ratio = F.try_divide(F.col(value), prev)
-    return df.withColumn("ratio", ratio).withColumn(
-        "in_bound", (F.col("ratio") >= low) & (F.col("ratio") < high)
-    )
+    """Next / previous ratio and whether it stays in [low, high).
+
+    The previous row is found by an equi-join on (key, position - 1), so no
+    task has to walk a whole key.
+    """
+    ix = dense_index(df, [key], None, order, out="__i")
+    prev = ix.select(F.col(key), (F.col("__i") + 1).alias("__i"), F.col(value).alias("__prev"))
+    j = ix.join(prev, [key, "__i"], "left")
+    ratio = F.try_divide(F.col(value), F.col("__prev"))
+    return j.withColumn("ratio", ratio).withColumn(
+        "in_bound", (F.col("ratio") >= low) & (F.col("ratio") < high)).drop("__i", "__prev")
 
 
 def first_per_interval(df: DataFrame, key: str, time_ms: Column, order: list[Column],
@@ -70,5 +99,7 @@ def first_per_interval(df: DataFrame, key: str, time_ms: Column, order: list[Col
     """First row at or after each multiple of ``interval_ms``; frame_order = slot."""
     slot = F.floor(time_ms / F.lit(interval_ms)).cast("long")
     d = df.withColumn("frame_order", slot)
-    w = Window.partitionBy(key, "frame_order").orderBy(*order)
-    return d.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+    others = [c for c in d.columns if c not in (key, "frame_order")]
+    # first row per slot as an aggregate: combined partially before the shuffle
+    g = d.groupBy(key, "frame_order").agg(F.min_by(F.struct(*others), F.struct(*order)).alias("__first"))
+    return g.select(key, "frame_order", "__first.*")

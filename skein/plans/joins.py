@@ -31,7 +31,7 @@ def q_not_yet_known(spark, sf_dir):
 @query("range_first", sql="""
     SELECT o_orderkey, dur, l_linenumber, cand FROM (
       SELECT o.o_orderkey, o.o_totalprice / 10000 AS dur, l.l_linenumber, l.l_extendedprice / 1000 AS cand,
-             row_number() OVER (PARTITION BY o.o_orderkey ORDER BY l.l_linenumber) AS rn
+             row_number() OVER (PARTITION BY o.o_orderkey ORDER BY l.l_linenumber, l.l_extendedprice / 1000) AS rn
       FROM orders o JOIN lineitem l ON l.l_orderkey = o.o_orderkey
       WHERE abs(l.l_extendedprice / 1000 - o.o_totalprice / 10000) <= 5) WHERE rn = 1""")
 def q_range_first(spark, sf_dir):
@@ -40,7 +40,7 @@ def q_range_first(spark, sf_dir):
     q = t.orders.select("o_orderkey", (F.col("o_totalprice") / 10000).alias("dur"))
     c = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber",
                           (F.col("l_extendedprice") / 1000).alias("cand"))
-    return joins.range_first(q, c, "o_orderkey", "dur", "cand", "l_linenumber", 5.0).select(
+    return joins.range_first(q, c, "o_orderkey", "dur", "cand", ["l_linenumber", "cand"], 5.0).select(
         "o_orderkey", "dur", "l_linenumber", "cand")
 
 
