@@ -170,6 +170,55 @@ def wavelet_hash(grid: Column | str) -> Column:
     return let(_c(grid), lambda g: let(median_of(g), lambda m: bits_to_long(F.transform(g, lambda p: p > m))))
 
 
+def haar_basis(n: int) -> list[list[float]]:
+    """Matrix of the full 2-D Haar pyramid (averaging form: (a+b)/2, (a-b)/2),
+    horizontal then vertical at each level on the shrinking low band, each
+    level reading the previous level's values (Q23). Row j gives coefficient j
+    (row-major) as weights of the n*n pixels; built by applying the transform
+    to unit images."""
+    import numpy as np
+
+    def transform(a):
+        r = a.astype(float).copy()
+        size = n
+        while size > 1:
+            half = size // 2
+            src = r.copy()
+            for y in range(size):
+                for x in range(half):
+                    e, o = src[y, 2 * x], src[y, 2 * x + 1]
+                    r[y, x], r[y, x + half] = (e + o) / 2, (e - o) / 2
+            src = r.copy()
+            for y in range(half):
+                for x in range(size):
+                    e, o = src[2 * y, x], src[2 * y + 1, x]
+                    r[y, x], r[y + half, x] = (e + o) / 2, (e - o) / 2
+            size = half
+        return r
+
+    cols = []
+    for t in range(n * n):
+        u = np.zeros(n * n)
+        u[t] = 1.0
+        cols.append(transform(u.reshape(n, n)).ravel())
+    return np.array(cols).T.tolist()
+
+
+def haar_hash(grid: Column | str, n: int) -> Column:
+    """F8 Scala form: Haar pyramid of the n x n block-mean grid, bit =
+    coefficient > mean of all coefficients but the DC term. Each coefficient
+    is a fixed sum over the pixels with a nonzero basis weight (640 terms for
+    n = 8), so the whole hash stays one generated expression."""
+    m = haar_basis(n)
+
+    def coefs(g):
+        return F.array(*[sum((F.lit(w) * _at(g, F.lit(t)).cast("double") for t, w in enumerate(row) if w != 0),
+                             F.lit(0.0)) for row in m])
+
+    return let(let(_c(grid), coefs), lambda d: let(mean_of(F.slice(d, 2, n * n - 1)),
+                                                   lambda mm: bits_to_long(F.transform(d, lambda x: x > mm))))
+
+
 def hash_hex(h: Column | str, bits: int) -> Column:
     """packed hash -> hex with ceil(bits/4) digits."""
     digits = (bits + 3) // 4

@@ -86,8 +86,8 @@ def low_pass(samples: DataFrame, cutoff_hz: float, sample_rate: float,
     from skein.session import materialize
 
     # written once: both the chunk ends and the final pass read it
-    loc = materialize(apply_sorted_groups(s.select("song_id", "i", "chunk", "v"), ["song_id", "chunk"], ["i"], local,
-                                          "song_id long, i long, chunk long, local double"), "lowpass_local")
+    loc = apply_sorted_groups(s.select("song_id", "i", "chunk", "v"), ["song_id", "chunk"], ["i"], local,
+                              "song_id long, i long, chunk long, local double")
 
     ends = loc.groupBy("song_id", "chunk").agg(
         F.max_by("local", "i").alias("last"), F.count(F.lit(1)).alias("n"))
@@ -258,6 +258,39 @@ def extract_peaks(bp: DataFrame, sample_rate: float, frame_size: int = FRAME_SIZ
     )
 
 
+# --------------------------------------------------------- A18 / F2 on spectra
+def heat_map(spec: DataFrame, mag: str = "mag") -> DataFrame:
+    """Intensity floor(255 * mag / global max) per (song, frame, bin).
+
+    The global maximum is a scalar subquery (partial max per task, one value
+    to the driver), so no row is joined or broadcast. It reads ``spec`` a
+    second time: pass a written spectrum when it is expensive to recompute."""
+    top = spec.agg(F.max(mag).alias("__max")).scalar()
+    return spec.withColumn("intensity", F.floor(F.lit(255.0) * F.try_divide(F.col(mag), top)).cast("int"))
+
+
+# Fixed values of the quantised 4-peak key.
+PEAK_RANGES = [40, 80, 120, 180, 300]
+PEAK_FUZZ = 2
+PEAK_WEIGHTS = [1, 100, 100_000, 100_000_000]
+
+
+def four_peak_key(spec: DataFrame, ranges: list[int] = PEAK_RANGES, fuzz: int = PEAK_FUZZ) -> DataFrame:
+    """per frame, the loudest bin (by log(mag + 1), first bin on ties) in each
+    range of bins ``[ranges[0], ranges[-1])``, and the key
+    sum(weight_i * (p_i - p_i % fuzz)) over the first four ranges."""
+    lo, hi = ranges[0], ranges[-1]
+    s = spec.filter((F.col("k") >= lo) & (F.col("k") < hi))
+    idx = sum((F.col("k") > r).cast("int") for r in ranges)
+    s = s.withColumn("rng", idx).withColumn("lm", F.log(F.col("mag") + 1))
+    best = s.groupBy("song_id", "frame", "rng").agg(F.max(F.struct("lm", (-F.col("k")).alias("nk"))).alias("b"))
+    best = best.select("song_id", "frame", "rng", (-F.col("b.nk")).alias("p"))
+    wide = best.groupBy("song_id", "frame").agg(*[
+        F.coalesce(F.max(F.when(F.col("rng") == i, F.col("p"))), F.lit(0)).alias(f"p{i}") for i in range(4)])
+    key = sum(F.lit(w).cast("long") * (F.col(f"p{i}") - F.col(f"p{i}") % fuzz) for i, w in enumerate(PEAK_WEIGHTS))
+    return wide.select("song_id", "frame", key.cast("long").alias("key"))
+
+
 # ------------------------------------------------- W1 / F1 / A19 fingerprints
 def target_pairs(peaks: DataFrame, key: str = "song_id", zone: int = TARGET_ZONE) -> DataFrame:
     """Each peak (position ``idx`` inside ``key``) paired with the next ``zone`` peaks.

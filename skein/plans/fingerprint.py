@@ -282,6 +282,40 @@ def q_extract_peaks(spark, sf_dir):
     return p.select("song_id", "frame", "band", "freq", F.round("t_ms_exact", 3).alias("t_ms"))
 
 
+@query("heat_map", sql=_DFT_SQL + """,
+    sp AS (SELECT song_id, frame, k, round(sqrt(re*re + im*im), 3) AS mag FROM spec)
+    SELECT song_id, frame, k, mag, floor(255.0 * mag / (SELECT max(mag) FROM sp))::INTEGER AS intensity FROM sp""")
+def q_heat_map(spark, sf_dir):
+    """Spectrum magnitudes as grey levels against the global maximum."""
+    sp = _spectrum(spark, sf_dir).select("song_id", "frame", "k", F.round("mag", 3).alias("mag"))
+    return audio.heat_map(sp)
+
+
+# F2 reads bins 40..299, so it takes a long-frame spectrum: one 1024-sample
+# frame every 1024 samples (every song here fits in one frame).
+KEY_SIZE, KEY_BINS = 1024, audio.PEAK_RANGES[-1]
+
+
+@query("four_peak_key", sql=f"""
+    WITH s AS ({SAMPLES_SQL}),
+    f AS (SELECT song_id, i // {KEY_SIZE} AS frame, i % {KEY_SIZE} AS pos,
+                 v * (0.54 - 0.46 * cos(2 * pi() * (i % {KEY_SIZE}) / {KEY_SIZE - 1})) AS x FROM s),
+    sp AS (SELECT song_id, frame, k,
+                  round(sqrt(pow(sum(x * cos(-2 * pi() * pos * k / {KEY_SIZE})), 2)
+                           + pow(sum(x * sin(-2 * pi() * pos * k / {KEY_SIZE})), 2)), 6) AS mag
+           FROM f, range({audio.PEAK_RANGES[0]}, {KEY_BINS}) r(k) GROUP BY ALL),
+    rg AS (SELECT *, ({' + '.join(f'(k > {r})::INTEGER' for r in audio.PEAK_RANGES)}) AS rng FROM sp),
+    best AS (SELECT song_id, frame, rng, arg_min(k, (-ln(mag + 1), k)) AS p FROM rg GROUP BY ALL)
+    SELECT song_id, frame,
+           ({' + '.join(f'{w} * coalesce(max(CASE WHEN rng = {i} THEN p - p % {audio.PEAK_FUZZ} END), 0)'
+                         for i, w in enumerate(audio.PEAK_WEIGHTS))})::BIGINT AS key
+    FROM best GROUP BY ALL""")
+def q_four_peak_key(spark, sf_dir):
+    """quantised key of the loudest bins in four frequency ranges per frame."""
+    sp = audio.stft(event_samples(Tables(spark, sf_dir)), KEY_SIZE, KEY_SIZE, KEY_BINS, mode="full")
+    return audio.four_peak_key(sp.withColumn("mag", F.round("mag", 6)))
+
+
 @query("song_fingerprints")
 def q_song_fingerprints(spark, sf_dir):
     """Samples -> low-pass -> downsample -> frames -> FFT -> peaks -> pairs -> index, one plan."""

@@ -132,6 +132,24 @@ def q_whash(spark, sf_dir):
     return g.select("img", H.hash_hex(H.wavelet_hash("grid"), 64).alias("hash"))
 
 
+def _haar_values(n: int) -> str:
+    rows = [f"({j}, {t}, {w!r})" for j, row in enumerate(H.haar_basis(n)) for t, w in enumerate(row) if w != 0]
+    return "haar(j, t, w) AS (VALUES " + ", ".join(rows) + ")"
+
+
+_HR = f"""{_haar_values(W)},
+  hc AS (SELECT vec_id, j, sum(p * w::DOUBLE) AS c FROM g JOIN haar ON g.i = haar.t GROUP BY ALL),
+  hh AS (SELECT vec_id, {_bits('c > mn', 'j')} AS u FROM hc
+         JOIN (SELECT vec_id, avg(c) AS mn FROM hc WHERE j > 0 GROUP BY 1) USING (vec_id) GROUP BY vec_id)"""
+
+
+@query("whash_haar", sql=_w(_G, _HR) + f"SELECT vec_id AS img, {_hex('u', 16)} AS hash FROM hh")
+def q_whash_haar(spark, sf_dir):
+    """F8 (Scala form, Q23): full Haar pyramid of the 8x8 grid against the mean without DC."""
+    g = grids(Tables(spark, sf_dir))
+    return g.select("img", H.hash_hex(H.haar_hash("grid", W), 64).alias("hash"))
+
+
 _COLOR_SQL = _w(_G) + """,
   rgb AS (SELECT vec_id, i // 3 AS j, max(p) FILTER (WHERE i % 3 = 0) AS r, max(p) FILTER (WHERE i % 3 = 1) AS gg,
                  max(p) FILTER (WHERE i % 3 = 2) AS b FROM g WHERE i < 63 GROUP BY vec_id, i // 3),

@@ -29,8 +29,9 @@ def q_scan_all(spark, sf_dir):
 def q_incremental_new(spark, sf_dir):
     """New orders of customers not processed in earlier years."""
     o = Tables(spark, sf_dir).orders
-    incoming = o.filter(F.year("o_orderdate") >= 1998)
-    manifest = o.filter(F.year("o_orderdate") < 1998).select("o_custkey")
+    cut = F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")  # a range, so it reaches the parquet scan
+    incoming = o.filter(F.col("o_orderdate") >= cut)
+    manifest = o.filter(F.col("o_orderdate") < cut).select("o_custkey")
     return store.incremental_new(incoming, manifest, "o_custkey")
 
 

@@ -286,3 +286,35 @@ def test_nested_chunks_bounded_s10(spark):
     out = store.nested_by_key(df, "address", ["song_id"], ["anchor_ms", "song_id"], max_items=10).collect()
     assert max(len(r["couples"]) for r in out) <= 20
     assert sum(len(r["couples"]) for r in out if r["address"] == 7) == 50
+
+
+def test_four_peak_key_ranges_ties_and_fuzz_f2(spark):
+    # bin 40 alone is range 0; 41..80 range 1; ties go to the first bin
+    rows = [(1, 0, k, 0.0) for k in range(30, 310)]
+    loud = {40: 5.0, 77: 3.0, 78: 3.0, 95: 2.0, 121: 9.0, 150: 9.0, 299: 1.0}
+    rows = [(s, f, k, loud.get(k, m)) for s, f, k, m in rows]
+    df = spark.createDataFrame(rows, "song_id long, frame long, k long, mag double")
+    key = audio.four_peak_key(df).collect()[0]["key"]
+    # p = 40, 77 (tie with 78 -> first), 95, 121; fuzz 2 -> 40, 76, 94, 120
+    assert key == 40 + 76 * 100 + 94 * 100_000 + 120 * 100_000_000
+
+
+def test_heat_map_scales_to_global_max_a18(spark):
+    df = spark.createDataFrame([(1, 0, 0, 2.0), (1, 0, 1, 4.0), (2, 3, 0, 1.0)],
+                               "song_id long, frame long, k long, mag double")
+    got = {(r.song_id, r.k): r.intensity for r in audio.heat_map(df).collect()}
+    assert got == {(1, 0): 127, (1, 1): 255, (2, 0): 63}
+
+
+def test_haar_hash_is_a_true_haar_pyramid_q23(spark):
+    m = np.array(H.haar_basis(8))
+    x = np.random.RandomState(7).randint(0, 256, 64).astype(float)
+    c = m @ x
+    assert c[0] == x.mean()  # DC term is the mean of the grid
+    # the pyramid is invertible (each level keeps (a+b)/2 and (a-b)/2)
+    assert np.allclose(np.linalg.solve(m, c), x)
+    bits = c > c[1:].mean()
+    want = int("".join("1" if b else "0" for b in bits), 2)
+    want = want - (1 << 64) if want >= 1 << 63 else want
+    df = spark.createDataFrame([([int(v) for v in x],)], "grid array<int>")
+    assert df.select(H.haar_hash("grid", 8).alias("h")).first()["h"] == want
