@@ -66,7 +66,9 @@ def hamming_semi(frames: DataFrame, bits: int, t: int) -> DataFrame:
 
 
 def video_similarity(frames: DataFrame, bits: int, t: int) -> DataFrame:
-    """Matched frames of A / least(frames of A, frames of B), per video pair with a match."""
+    """Matched frames of A / least(frames of A, frames of B), per video pair with a match.
+
+    Q11: ``frames`` carries the hash of the named algorithm, so the compare uses it."""
     hits = hamming_semi(frames, bits, t).groupBy("video", "other_video").agg(F.count(F.lit(1)).alias("matched"))
     sizes = frames.groupBy("video").agg(F.count(F.lit(1)).alias("n"))
     s2 = sizes.select(F.col("video").alias("other_video"), F.col("n").alias("n_other"))

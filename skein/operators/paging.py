@@ -21,14 +21,15 @@ def left_join_dim(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
 
 
 def contains_ci(c: Column | str, text: str) -> Column:
-    """``name LIKE %text%`` ignoring case; ``%``/``_`` in text stay wildcards."""
+    """``name LIKE %text%`` ignoring case (``ilike``); ``%``/``_`` in text stay wildcards."""
     c = F.col(c) if isinstance(c, str) else c
     return c.ilike(f"%{text}%")
 
 
 def order_columns(df: DataFrame, by: str | int, descending: bool = False,
                   tie: str | None = None) -> list[Column]:
-    """O1/O2: sort key by name or 1-based column number, nulls last, id tie-break."""
+    """O1/O2: sort key by name or 1-based column number, nulls last, id tie-break (Q14:
+    every listing gets a total order)."""
     name = df.columns[by - 1] if isinstance(by, int) else by
     if name not in df.columns:
         raise ValueError(f"unknown sort column {name!r}")
@@ -74,7 +75,8 @@ def page_meta(total: Column, page_no: int, page_size: int) -> list[Column]:
 
 
 def natural_sort_key(c: Column | str, width: int = 20) -> Column:
-    """text/digit runs; digit runs left-padded so they compare numerically."""
+    """text/digit runs; digit runs left-padded so they compare numerically
+    (real numeric order for any length up to ``width`` digits)."""
     c = F.col(c) if isinstance(c, str) else c
     parts = F.regexp_extract_all(c, F.lit(r"(\d+|\D+)"), 1)
     padded = F.transform(

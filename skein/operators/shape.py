@@ -139,6 +139,7 @@ def tagged_json(tag: str, **fields: Column) -> Column:
 
 
 # URL shapes of the music service's links (host passed separately).
+# Q19: the album link takes a 22-character ``si``, the others 16.
 URL_KINDS = {
     "track": r"/track/[a-zA-Z0-9]{22}\?si=[a-zA-Z0-9]{16}$",
     "playlist": r"/playlist/[a-zA-Z0-9]{22}\?si=[a-zA-Z0-9]{16}$",

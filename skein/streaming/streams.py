@@ -102,7 +102,7 @@ def watched_quotes(quotes: DataFrame, watching: DataFrame) -> DataFrame:
 def watch_state(commands: DataFrame, users: DataFrame, defaults: list[str]) -> DataFrame:
     """T4 state: latest command per (user, symbol) wins; every user starts with
     ``defaults`` (a literal list exploded per user, no cross join); watching
-    twice is the same as once."""
+    twice is the same as once (Q18: one entry per symbol is kept)."""
     last = commands.groupBy("user_id", "symbol").agg(
         F.max_by("action", F.struct("ts", "seq")).alias("action"))
     default = users.select("user_id", F.explode(F.array(*[F.lit(s) for s in defaults])).alias("symbol"))
