@@ -266,29 +266,31 @@ def color_hash(rgb: Column | str, binbits: int = 3) -> Column:
     def cls(p):
         lum = F.floor((p["r"] * 299 + p["g"] * 587 + p["b"] * 114) / 1000.0 + 0.5)
         h, s, _ = rgb_to_hsv(p["r"], p["g"], p["b"])
-        black = lum < BLACK_BELOW
-        gray = ~black & (s < GRAY_SAT_BELOW)
-        colour = ~black & ~gray
-        hb = F.least(F.floor(h / (255.0 / HUE_BINS)), F.lit(HUE_BINS - 1)).cast("int")
-        return (F.when(black, F.lit(0)).when(gray, F.lit(1))
-                .when(colour & (s < FAINT_SAT_BELOW), 2 + hb)
-                .when(colour & (s > FAINT_SAT_BELOW), 2 + HUE_BINS + hb)
-                .otherwise(F.lit(-1)))
-
-    def from_classes(classes):
-        def count(k):
-            return F.size(F.filter(classes, lambda c: c == k))
-
-        colours = F.size(F.filter(classes, lambda c: c >= 2))
+
+        def pick(q):  # lum, hue and saturation bound once per pixel
+            hb = F.least(F.floor(q["h"] / (255.0 / HUE_BINS)), F.lit(HUE_BINS - 1)).cast("int")
+            return (F.when(q["lum"] < BLACK_BELOW, F.lit(0)).when(q["s"] < GRAY_SAT_BELOW, F.lit(1))
+                    .when(q["s"] < FAINT_SAT_BELOW, 2 + hb)
+                    .when(q["s"] > FAINT_SAT_BELOW, 2 + HUE_BINS + hb)
+                    .otherwise(F.lit(-1)))
+
+        return let(F.struct(lum.alias("lum"), h.alias("h"), s.alias("s")), pick)
+
+    nk = 2 + 2 * HUE_BINS
+    mx = 2 ** binbits
+
+    def counts(classes):
+        # one pass over the pixels: counts[k] = pixels of class k
+        return F.aggregate(classes, F.array_repeat(F.lit(0), nk),
+                           lambda acc, c: F.transform(acc, lambda x, k: x + (k == c).cast("int")))
+
+    def from_counts(cnt):
+        colours = F.aggregate(F.slice(cnt, 3, nk - 2), F.lit(0), lambda a, x: a + x)
         cden = F.greatest(colours, F.lit(1)).cast("double")
-        mx = 2 ** binbits
-        values = [F.least(F.lit(mx - 1), F.floor(count(0) * mx / n.cast("double"))),
-                  F.least(F.lit(mx - 1), F.floor(count(1) * mx / n.cast("double")))]
-        values += [F.least(F.lit(mx - 1), F.floor(count(2 + k) * mx / cden)) for k in range(2 * HUE_BINS)]
-        bits = []
-        for v in values:
-            for i in range(binbits):
-                bits.append((F.floor(v / (2 ** (binbits - i - 1))) % (2 ** (binbits - i))) > 0)
-        return bits_to_long(F.array(*bits))
-
-    return let(F.transform(px, cls), from_classes)
+        values = F.transform(cnt, lambda x, k: F.least(F.lit(mx - 1), F.floor(
+            x * mx / F.when(k < 2, n.cast("double")).otherwise(cden))))
+        bits = F.flatten(F.transform(values, lambda v: F.array(*[
+            (F.floor(v / (2 ** (binbits - i - 1))) % (2 ** (binbits - i))) > 0 for i in range(binbits)])))
+        return bits_to_long(bits)
+
+    return let(let(F.transform(px, cls), counts), from_counts)

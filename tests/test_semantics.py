@@ -220,6 +220,36 @@ def test_hamming_pairs_exact_by_pigeonhole(spark):
     assert got == want
 
 
+def test_video_similarity_hot_value_equals_brute_force(spark):
+    # one hash value held by a third of all frames, spread over every video
+    rnd = random.Random(5)
+    hot = rnd.getrandbits(16)
+    frames = []
+    for v in range(12):
+        for f in range(9):
+            h = hot if f % 3 == 0 else rnd.getrandbits(16)
+            if f % 3 == 1:
+                h = hot ^ (1 << rnd.randrange(16))  # one bit off the hot value
+            frames.append((v, f, h))
+    df = spark.createDataFrame(frames, "video long, frame long, h long")
+    got = {(r.video, r.other_video): (r.matched, r.similarity) for r in imaging.video_similarity(df, 16, 2).collect()}
+    n = {v: sum(1 for a, _, _ in frames if a == v) for v in range(12)}
+    want = {}
+    for a in range(12):
+        for b in range(12):
+            if a == b:
+                continue
+            m = sum(1 for va, _, ha in frames if va == a
+                    and any(vb == b and bin(ha ^ hb).count("1") <= 2 for vb, _, hb in frames))
+            if m:
+                want[(a, b)] = (m, m / min(n[a], n[b]))
+    assert got == want
+    semi = set(rows(imaging.hamming_semi(df, 16, 2), "video", "frame", "other_video"))
+    want_semi = {(va, fa, vb) for va, fa, ha in frames for vb, _, hb in frames
+                 if va != vb and bin(ha ^ hb).count("1") <= 2}
+    assert semi == want_semi
+
+
 def test_hasher_registry_x5():
     assert imaging.hasher("phash")
     with pytest.raises(ValueError):
