@@ -149,8 +149,8 @@ def frames(samples: DataFrame, size: int = FRAME_SIZE, hop: int = HOP_SIZE,
 # ------------------------------------------------------------------ X1 STFT
 def dft_table(spark, size: int, n_bins: int) -> DataFrame:
     """Cosine / sine table ``(pos, k, c, s)`` for the relational DFT (size*n_bins rows)."""
-    t = spark.range(size).withColumnRenamed("id", "pos").crossJoin(
-        spark.range(n_bins).withColumnRenamed("id", "k"))
+    t = spark.range(size * n_bins).select((F.col("id") / n_bins).cast("long").alias("pos"),
+                                          (F.col("id") % n_bins).alias("k"))
     ang = F.lit(-2 * math.pi) * F.col("pos") * F.col("k") / F.lit(size)
     return t.select("pos", "k", F.cos(ang).alias("c"), F.sin(ang).alias("s"))
 

@@ -19,20 +19,20 @@ def append_rows(base: DataFrame, new: DataFrame, id_col: str, order: list[Column
 
     The batch is numbered by ``order`` with per-block counts and offsets
     (``block`` monotone in ``order``), so no single task numbers it all; the
-    offset is ``max(id)`` of the base (a one-row aggregate, broadcast).
+    offset is ``max(id)`` of the base (a scalar subquery: partial max per task).
     """
     from skein.operators.windows import dense_index
 
-    top = base.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("__max"))
-    numbered = dense_index(new, [], block, order, out="__rn", start=1).crossJoin(F.broadcast(top))
-    numbered = numbered.withColumn(id_col, (F.col("__max") + F.col("__rn")).cast(base.schema[id_col].dataType))
-    return base.unionByName(numbered.drop("__rn", "__max"))
+    top = base.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
+    numbered = dense_index(new, [], block, order, out="__rn", start=1)
+    numbered = numbered.withColumn(id_col, (top + F.col("__rn")).cast(base.schema[id_col].dataType))
+    return base.unionByName(numbered.drop("__rn"))
 
 
 def set_difference_counts(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows of a not in b and of b not in a (multiset), as counts; equal sets -> (0, 0)."""
-    return a.exceptAll(b).agg(F.count(F.lit(1)).alias("only_left")).crossJoin(
-        b.exceptAll(a).agg(F.count(F.lit(1)).alias("only_right")))
+    right = b.exceptAll(a).agg(F.count(F.lit(1))).scalar()
+    return a.exceptAll(b).agg(F.count(F.lit(1)).alias("only_left")).select("only_left", right.alias("only_right"))
 
 
 def history_then_updates(history: DataFrame, updates: DataFrame) -> DataFrame:

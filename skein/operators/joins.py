@@ -47,4 +47,4 @@ def row_with_options(row: DataFrame, options: DataFrame, value: str, label: str,
         raise ValueError(f"option list larger than {max_options} rows")
     opts = options.agg(F.sort_array(F.collect_list(F.struct(F.col(label).alias("label"), F.col(value).alias("value"))))
                        .alias("options"))
-    return row.crossJoin(F.broadcast(opts))
+    return row.withColumn("options", opts.scalar())

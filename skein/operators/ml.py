@@ -21,9 +21,8 @@ def impute(df: DataFrame, median_cols: list[str], constants: dict) -> DataFrame:
     """M2: fill NULLs with the column's exact median (computed distributed) and constants."""
     out = df
     for c in median_cols:
-        m = exact_percentiles(df, c, [0.5]).select(F.col("p50").alias(f"__med_{c}"))
-        out = out.crossJoin(F.broadcast(m)).withColumn(
-            c, F.coalesce(F.col(c).cast("double"), F.col(f"__med_{c}"))).drop(f"__med_{c}")
+        med = exact_percentiles(df, c, [0.5]).select("p50").scalar()  # one value, a scalar subquery
+        out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), med))
     return out.fillna(constants)
 
 

@@ -59,8 +59,8 @@ def exact_percentiles(df: DataFrame, col: str, ps: list[float], keys: list[str]
     wo = (Window.partitionBy(*keys).orderBy("bkt") if keys else Window.orderBy("bkt")).rowsBetween(
         Window.unboundedPreceding, -1)
     per_b = per_b.withColumn("off", F.coalesce(F.sum("bc").over(wo), F.lit(0)))
-    tot = per_b.groupBy(*keys).agg(F.sum("bc").alias("n")) if keys else per_b.agg(F.sum("bc").alias("n"))
-    per_b = (per_b.join(tot, keys) if keys else per_b.crossJoin(tot)).drop("bc")
+    # totals per key over the (keys x buckets) rows: a window, not a join
+    per_b = per_b.withColumn("n", F.sum("bc").over(Window.partitionBy(*keys))).drop("bc")
     j = vc.join(F.broadcast(per_b) if not keys else per_b, keys + ["bkt"])
     wi = Window.partitionBy(*keys, "bkt").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     j = j.withColumn("hi_r", F.col("off") + F.sum("cnt").over(wi)).withColumn("lo_r", F.col("hi_r") - F.col("cnt"))

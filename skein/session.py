@@ -39,10 +39,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator of the cluster and must be a
-    shared file system; we only pick our own folder when it is unset (tests).
+    shared file system; we only pick our own folder when it is unset on a
+    ``local[...]`` master (tests). A cluster session without it is an error:
+    a machine-local folder would not survive the loss of an executor.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="skein-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
