@@ -100,11 +100,12 @@ def q_natural_sort(spark, sf_dir):
     SELECT n_nationkey::VARCHAR AS value, n_name AS label, row_number() OVER (ORDER BY n_name, n_nationkey)::BIGINT AS rank
     FROM nation WHERE n_regionkey <> 4""")
 def q_options(spark, sf_dir):
-    """Option list (id as text, name) ordered by name (a bounded dimension)."""
+    """Option list (id as text, name) ordered by name; positions by the
+    distributed ``dense_index`` (no single task numbers the list)."""
     from skein.plans.listing import companies
 
     c = companies(Tables(spark, sf_dir))
-    r = paging.ranked(c, [F.col("n_name"), F.col("n_nationkey")])
+    r = windows.dense_index(c, [], None, [F.col("n_name"), F.col("n_nationkey")], out="rank", start=1)
     return r.select(F.col("n_nationkey").cast("string").alias("value"), F.col("n_name").alias("label"), "rank")
 
 
