@@ -296,8 +296,13 @@ def target_pairs(peaks: DataFrame, key: str = "song_id", zone: int = TARGET_ZONE
     """Each peak (position ``idx`` inside ``key``) paired with the next ``zone`` peaks.
 
     An equi-join on (key, idx + d) instead of a per-key window: the work of
-    one long song is spread by position.
+    one long song is spread by position. The positioned peaks feed both sides,
+    so they are written once to the shared folder (four narrow columns):
+    neither side re-derives the positions, and a lost executor costs a re-read.
     """
+    from skein.session import materialize
+
+    peaks = materialize(peaks.select(key, "idx", "t_ms", "freq"), "positioned_peaks")
     a = peaks.select(F.col(key), F.col("idx").alias("a_idx"), F.col("t_ms").alias("a_ms"),
                      F.col("freq").alias("a_freq"))
     a = a.withColumn("d", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(zone).cast("long"))))
