@@ -154,3 +154,18 @@ def test_session_cache_evict_t7(spark, tmp_dir):
     out = S.run_to_table(S.session_cache(stream), "cache_test")
     got = sorted((r["user_id"], r["events"], r["ended"]) for r in out.collect())
     assert (1, 3, "evicted") in got and (1, 1, "expired") in got
+
+
+def test_url_encoded_whole_texts_f13(spark):
+    # the rows-only query, checked row by row against a Python form encoder on
+    # every message of the small tables (URLEncoder keeps '*', encodes '~')
+    from urllib.parse import quote_plus
+
+    import __spark_entry__ as E
+
+    got = {(r.conv_id, r.turn): r.encoded for r in E.queries()["url_encoded"](spark, "/root/testdata/sf0.001").collect()}
+    texts = spark.read.parquet("/root/testdata/sf0.001/conversations.parquet").select("conv_id", "turn", "text").collect()
+    assert len(got) == len(texts) > 0
+    for r in texts:
+        want = None if r.text is None else quote_plus(r.text, safe="*").replace("~", "%7E")
+        assert got[(r.conv_id, r.turn)] == want

@@ -348,3 +348,56 @@ def test_haar_hash_is_a_true_haar_pyramid_q23(spark):
     want = want - (1 << 64) if want >= 1 << 63 else want
     df = spark.createDataFrame([([int(v) for v in x],)], "grid array<int>")
     assert df.select(H.haar_hash("grid", 8).alias("h")).first()["h"] == want
+
+
+def test_song_fingerprints_equal_brute_force_x2(spark):
+    # the rows-only chain query against a per-song Python/numpy re-computation
+    # of every step on the whole sf0.001 events table
+    import pandas as pd
+
+    import __spark_entry__ as E
+    from skein.plans import fingerprint as FP
+
+    ev = pd.read_parquet("/root/testdata/sf0.001/events.parquet", columns=["event_id", "user_id", "ts", "value"])
+    ev["ms"] = ev["ts"].astype("datetime64[us]").astype("int64") // 1000
+    a = audio._alpha(FP.LP_CUTOFF, FP.LP_RATE)
+    size, hop, nb, edges = FP.FR_SIZE, FP.FR_HOP, FP.FR_BINS, FP.SMALL_BANDS
+    win = 0.54 - 0.46 * np.cos(2 * np.pi * np.arange(size) / (size - 1))
+    want = set()
+    for song, g in ev.sort_values(["user_id", "ms", "event_id"]).groupby("user_id"):
+        x = g["value"].to_numpy(dtype=float)
+        y, prev = np.empty(len(x)), 0.0
+        for i, v in enumerate(x):  # low-pass recurrence
+            prev = a * v + (1 - a) * prev
+            y[i] = prev
+        d = np.array([y[j:j + 2].mean() for j in range(0, len(y), 2)])  # downsample by 2
+        n = len(d)
+        nf = (n - 1) // hop + 1
+        peaks = []
+        for f in range(nf):
+            buf = np.zeros(size)
+            seg = d[f * hop:f * hop + size]
+            buf[:len(seg)] = seg
+            mag = np.abs(np.fft.fft(buf * win)[:nb])
+            bands = []
+            for b in range(len(edges) - 1):
+                ks = range(edges[b], edges[b + 1])
+                k = max(ks, key=lambda kk: (mag[kk], -kk))
+                bands.append((b, 0.0, 0) if mag[k] <= 0 else (b, mag[k], k))
+            avg = sum(m for _, m, _ in bands) / len(bands)
+            for b, m, k in bands:
+                if m > avg:
+                    t = (f + k / size) * (n / (FP.LP_RATE / 2) / nf) * 1000
+                    peaks.append((t, b, int(math.floor(t)), k))
+        peaks.sort()
+        anchors = {}
+        for i, (_, _, a_ms, a_f) in enumerate(peaks):
+            for dd in range(1, audio.TARGET_ZONE + 1):
+                if i + dd < len(peaks):
+                    _, _, b_ms, b_f = peaks[i + dd]
+                    addr = ((a_f << 23) | (b_f << 14) | ((b_ms - a_ms) & 0xFFFFFFFF)) & 0xFFFFFFFF
+                    anchors[addr] = a_ms  # written in (anchor, distance) order: the last one wins
+        want |= {(addr, int(song), ms) for addr, ms in anchors.items()}
+    got = set(rows(E.queries()["song_fingerprints"](spark, "/root/testdata/sf0.001"), "address", "song_id", "anchor_ms"))
+    assert len(want) > 0
+    assert got == want
