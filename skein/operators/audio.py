@@ -65,12 +65,18 @@ def _lowpass_block(x: np.ndarray, alpha: float, y0: float = 0.0) -> np.ndarray:
 
 
 def low_pass(samples: DataFrame, cutoff_hz: float, sample_rate: float,
-             chunk: int = 65536) -> DataFrame:
+             chunk: int = 65536, max_back: int = 4096) -> DataFrame:
     """First-order low-pass per song, exact, in parallel chunks.
 
     1. each (song, chunk) is filtered from a zero state (``applyInPandas``);
-    2. the chunk ends ``L_c`` are chained per song into the true entering state
-       ``Y_c`` (one small row per chunk);
+    2. the chunk ends ``L_c`` give the true entering state
+       ``Y_c = sum_{m>=1} L_{c-m} R^(m-1)`` with ``R = (1-a)^chunk`` (positions
+       ``i`` are dense, so every earlier chunk is full). Terms with
+       ``R^(m-1) < 2^-80`` no longer change a double, so each chunk end is sent
+       to the next ``M`` chunks only (``M`` depends on the filter, not on the
+       data) and summed by a ``groupBy``: no task holds a whole song. Only if
+       ``M`` would exceed ``max_back`` (a cut-off extremely close to zero) are
+       the chunk ends chained per song instead;
     3. ``y_n = local_n + (1-a)^(pos+1) * Y_c`` is a plain column expression.
     """
     a = _alpha(cutoff_hz, sample_rate)
@@ -91,6 +97,19 @@ def low_pass(samples: DataFrame, cutoff_hz: float, sample_rate: float,
 
     ends = loc.groupBy("song_id", "chunk").agg(
         F.max_by("local", "i").alias("last"), F.count(F.lit(1)).alias("n"))
+    big_r = r ** chunk
+    back = 1 if big_r <= 0.0 else (math.ceil(80 * math.log(2) / -math.log(big_r)) + 1 if big_r < 1.0 else None)
+    pos = F.col("i") - F.col("chunk") * chunk
+    if back is not None and back <= max_back:
+        m = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(back).cast("long"))).alias("m")
+        sent = ends.select("song_id", "chunk", "last", m)
+        carry = sent.groupBy("song_id", (F.col("chunk") + F.col("m")).alias("chunk")).agg(
+            F.sum(F.col("last") * F.pow(F.lit(big_r), F.col("m") - 1)).alias("enter"))
+        return (
+            loc.join(carry, ["song_id", "chunk"], "left")
+            .select("song_id", "i",
+                    (F.col("local") + F.pow(F.lit(r), pos + 1) * F.coalesce("enter", F.lit(0.0))).alias("v"))
+        )
 
     def chain(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("chunk")
@@ -102,7 +121,6 @@ def low_pass(samples: DataFrame, cutoff_hz: float, sample_rate: float,
                              "enter": np.array(enter, dtype=float)})
 
     carry = apply_sorted_groups(ends, ["song_id"], ["chunk"], chain, "song_id long, chunk long, enter double")
-    pos = F.col("i") - F.col("chunk") * chunk
     return (
         loc.join(carry, ["song_id", "chunk"])
         .select("song_id", "i",

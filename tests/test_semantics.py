@@ -140,6 +140,23 @@ def test_low_pass_chunks_equal_recurrence(spark):
     assert np.allclose(got, want, atol=1e-12)
 
 
+@pytest.mark.parametrize("cutoff,max_back", [(0.5, 4096), (50.0, 1)])
+def test_low_pass_slow_filter_and_chained_fallback(spark, cutoff, max_back):
+    # a slow filter reaches back ~2500 chunks; max_back=1 forces the per-song chain
+    rnd = np.random.default_rng(4)
+    x = rnd.normal(size=60)
+    df = spark.createDataFrame([(s, i, float(v)) for s in (1, 2) for i, v in enumerate(x)],
+                               "song_id long, i long, v double")
+    got = [r["v"] for r in audio.low_pass(df, cutoff, 1000.0, chunk=7, max_back=max_back)
+           .filter("song_id = 2").orderBy("i").collect()]
+    a = audio._alpha(cutoff, 1000.0)
+    y, want = 0.0, []
+    for v in x:
+        y = a * v + (1 - a) * y
+        want.append(y)
+    assert np.allclose(got, want, rtol=0, atol=1e-12)
+
+
 def test_stft_numpy_equals_relational(spark):
     rnd = np.random.default_rng(5)
     df = spark.createDataFrame([(s, i, float(v)) for s in (1, 2) for i, v in enumerate(rnd.normal(size=40))],
