@@ -23,7 +23,7 @@ def event_samples(t: Tables) -> DataFrame:
     """Events as audio samples: song = user, sample value = ``value``, position by (ts, event_id)."""
     ev = t.events.select("event_id", "user_id", "ts", "value")
     ev = ev.withColumn("ms", epoch_ms("ts"))
-    s = dense_index(ev, ["user_id"], F.floor(F.col("ms") / DAY_MS),
+    s = dense_index(ev, ["user_id"], None,
                     [F.col("ms"), F.col("event_id")], out="i")
     return s.select(F.col("user_id").alias("song_id"), "i", F.col("value").alias("v"))
 

@@ -43,7 +43,7 @@ def library_peaks(t: Tables, events: DataFrame | None = None) -> DataFrame:
     start = ev.groupBy("user_id").agg(F.min("ms").alias("m0"))
     p = ev.join(start, "user_id").select(
         F.col("user_id").alias("song_id"), (F.col("ms") - F.col("m0")).alias("t_ms"), "freq", "event_id")
-    return dense_index(p, ["song_id"], F.floor(F.col("t_ms") / DAY_MS),
+    return dense_index(p, ["song_id"], None,
                        [F.col("t_ms"), F.col("freq"), F.col("event_id")])
 
 
@@ -52,7 +52,7 @@ def clip_peaks(t: Tables, events: DataFrame | None = None) -> DataFrame:
     wk = F.floor(F.col("ms") / WEEK_MS).cast("long")
     p = ev.select((F.col("user_id") * 10000 + wk).alias("request_id"),
                   (F.col("ms") - wk * WEEK_MS).alias("t_ms"), "freq", "event_id")
-    return dense_index(p, ["request_id"], F.floor(F.col("t_ms") / DAY_MS),
+    return dense_index(p, ["request_id"], None,
                        [F.col("t_ms"), F.col("freq"), F.col("event_id")])
 
 
@@ -324,5 +324,5 @@ def q_song_fingerprints(spark, sf_dir):
     s = audio.downsample(s, 2)
     spec = audio.stft(s, FR_SIZE, FR_HOP, FR_BINS, mode="full")
     peaks = audio.extract_peaks(audio.band_peaks(spec, SMALL_BANDS), LP_RATE / 2, FR_SIZE)
-    peaks = dense_index(peaks, ["song_id"], F.col("frame"), [F.col("t_ms_exact"), F.col("band")])
+    peaks = dense_index(peaks, ["song_id"], None, [F.col("t_ms_exact"), F.col("band")])
     return audio.fingerprints(peaks, key="song_id")

@@ -38,7 +38,7 @@ def q_rolling_history(spark, sf_dir):
 def q_count_blocks(spark, sf_dir):
     """Blocks of 50 consecutive quotes per symbol and their sizes."""
     q = _quotes(Tables(spark, sf_dir)).withColumn("ms", epoch_ms("ts"))
-    ix = windows.dense_index(q, ["symbol"], F.floor(F.col("ms") / DAY_MS), [F.col("ts"), F.col("event_id")])
+    ix = windows.dense_index(q, ["symbol"], None, [F.col("ts"), F.col("event_id")])
     return ix.groupBy("symbol", F.floor(F.col("idx") / N_HISTORY).cast("long").alias("block")).agg(
         F.count(F.lit(1)).alias("n"))
 
