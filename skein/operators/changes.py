@@ -14,11 +14,13 @@ from pyspark.sql import functions as F
 from skein.operators.sizing import broadcast_if_small
 
 
-def append_rows(base: DataFrame, new: DataFrame, id_col: str, order: list[Column], block: Column) -> DataFrame:
+def append_rows(base: DataFrame, new: DataFrame, id_col: str, order: list[Column],
+                block: Column | None = None) -> DataFrame:
     """Append rows, numbering new ids after the largest existing id.
 
     The batch is numbered by ``order`` with per-block counts and offsets
-    (``block`` monotone in ``order``), so no single task numbers it all; the
+    (range-partitioned blocks, or a caller's bounded ``block`` monotone in
+    ``order``), so no single task numbers it all; the
     offset is ``max(id)`` of the base (a scalar subquery: partial max per task).
     """
     from skein.operators.windows import dense_index

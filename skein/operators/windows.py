@@ -46,9 +46,10 @@ def dense_index(df: DataFrame, keys: list[str], block: Column | None, order: lis
     )
 
 
-def assign_ids(df: DataFrame, order: list[Column], block: Column, start: int = 1000,
+def assign_ids(df: DataFrame, order: list[Column], block: Column | None = None, start: int = 1000,
                out: str = "id") -> DataFrame:
-    """Dense ids from a sequence start, in an explicit order."""
+    """Dense ids from a sequence start, in an explicit order (range-partitioned
+    blocks unless the caller passes a bounded monotone ``block``)."""
     return dense_index(df.withColumn("__all", F.lit(0)), ["__all"], block, order, out, start).drop("__all")
 
 

@@ -22,7 +22,7 @@ def q_append_rows(spark, sf_dir):
     t = Tables(spark, sf_dir)
     base = t.nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"))
     new = t.region.select(F.col("r_name").alias("name"))
-    return changes.append_rows(base, new, "id", [F.col("name")], F.substring("name", 1, 1))
+    return changes.append_rows(base, new, "id", [F.col("name")])
 
 
 @query("set_diff", sql="""

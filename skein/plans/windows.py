@@ -70,7 +70,7 @@ def q_sample_interval(spark, sf_dir):
 def q_assign_ids(spark, sf_dir):
     """Dense ids from 1000 in (ts, event_id) order, numbered per day block."""
     e = Tables(spark, sf_dir).events.select("event_id", "ts")
-    out = windows.assign_ids(e, [F.col("ts"), F.col("event_id")], F.floor(epoch_ms("ts") / DAY_MS), start=1000)
+    out = windows.assign_ids(e, [F.col("ts"), F.col("event_id")], start=1000)
     return out.select("event_id", "id")
 
 
