@@ -120,6 +120,22 @@ def test_dense_index_matches_row_number(spark):
             assert got[(k, i)] == pos
 
 
+def test_dense_index_splits_a_hot_key(spark):
+    # one key holds 90 % of the rows, all at the same time value: range blocks
+    # still spread it over several tasks, and positions stay exact
+    rnd = random.Random(2)
+    data = [(0 if i % 10 else rnd.randint(1, 5), 7 if i % 10 else rnd.randint(0, 50), i) for i in range(4000)]
+    df = spark.createDataFrame(data, "k int, t int, id int").repartition(8)
+    ix = windows.dense_index(df, ["k"], None, [F.col("t"), F.col("id")])
+    per_task = ix.filter("k = 0").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(per_task) > 1
+    assert max(r["count"] for r in per_task) < 0.75 * sum(1 for k, _, _ in data if k == 0)
+    got = {(r["k"], r["id"]): r["idx"] for r in ix.collect()}
+    for k in range(6):
+        seq = sorted((t, i) for kk, t, i in data if kk == k)
+        assert [got[(k, i)] for _, i in seq] == list(range(len(seq)))
+
+
 def test_top_k_plans_partial_limit(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("g"), "id")
     plan = df.transform(lambda d: paging.top_k_per_group(d, ["g"], [F.col("id").desc()], 2))._jdf.queryExecution().executedPlan().toString()
