@@ -169,3 +169,25 @@ def test_url_encoded_whole_texts_f13(spark):
     for r in texts:
         want = None if r.text is None else quote_plus(r.text, safe="*").replace("~", "%7E")
         assert got[(r.conv_id, r.turn)] == want
+
+
+def _scans(df):
+    import re
+
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [(m.group(1), m.group(2), m.group(3)) for m in re.finditer(
+        r"FileScan parquet [^\[]*\[([^\]]*)\][^\n]*?PushedFilters: \[([^\]]*)\][^\n]*?ReadSchema: (struct<[^\n]*?>)", plan)]
+
+
+def test_filters_and_columns_reach_the_scan(spark, sf_dir):
+    # scale guard: the predicates are pushed into the parquet scan and only the
+    # needed columns are read
+    import __spark_entry__ as E
+
+    qs = E.queries()
+    inc = _scans(qs["incremental_new"](spark, sf_dir))
+    assert inc and all("o_orderdate" in pushed for _, pushed, _ in inc)
+    lk = _scans(qs["lookup_keys"](spark, sf_dir))
+    orders = [s for s in lk if "o_orderpriority" in s[2]]
+    assert orders and "EqualTo(o_orderpriority" in orders[0][1]
+    assert "o_comment" not in orders[0][2] and "o_totalprice" not in orders[0][2]
