@@ -59,12 +59,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "skein", name)
 
 
+def _tables_dir(spark: SparkSession) -> str:
+    # written intermediates of this application only (release_scratch drops them)
+    return scratch_path(spark, f"tables/{spark.sparkContext.applicationId}")
+
+
 def materialize(df, name: str):
     """Write ``df`` once as parquet under the shared checkpoint folder and read it
     back: later branches read the written table instead of recomputing the
     lineage, and a lost executor costs a re-read, not a recompute."""
     import uuid
 
-    path = scratch_path(df.sparkSession, f"tables/{name}-{uuid.uuid4().hex}")
+    path = os.path.join(_tables_dir(df.sparkSession), f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete this application's written intermediates (call when its results
+    are consumed). Goes through the Hadoop file system of the folder, so it works
+    on HDFS and object stores as well as locally; other applications' tables
+    and stream checkpoints are left alone."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_tables_dir(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(path):
+        fs.delete(path, True)

@@ -191,3 +191,16 @@ def test_filters_and_columns_reach_the_scan(spark, sf_dir):
     orders = [s for s in lk if "o_orderpriority" in s[2]]
     assert orders and "EqualTo(o_orderpriority" in orders[0][1]
     assert "o_comment" not in orders[0][2] and "o_totalprice" not in orders[0][2]
+
+
+def test_release_scratch_drops_only_written_tables(spark):
+    import os
+
+    from skein.session import _tables_dir, materialize, release_scratch
+
+    t = materialize(spark.range(10), "scratch_probe")
+    assert t.count() == 10
+    d = _tables_dir(spark)
+    assert os.path.isdir(d) and os.listdir(d)
+    release_scratch(spark)
+    assert not os.path.exists(d)
