@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import ann, bpe, sharding, token_counts, urlfilter
+from skein.llm import ann, bpe, ngram_jaccard, sharding, token_counts, urlfilter
 from skein.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,9 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 nearest vectors of every vector whose id is divisible by 100."""
     return ann.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
+@_query
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of 5-word shingle similarity 0.8 or more."""
+    return ngram_jaccard.jaccard_components(read_table(spark, sf_dir, "documents"), words=5, percent=80)
