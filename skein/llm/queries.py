@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import ann, bpe, ngram_jaccard, sharding, token_counts, urlfilter
+from skein.llm import ann, bpe, ngram_jaccard, sharding, suffix_dedup, token_counts, urlfilter
 from skein.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +68,13 @@ def op9_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links of 5-word shingle similarity 0.8 or more."""
     return ngram_jaccard.jaccard_components(read_table(spark, sf_dir, "documents"), words=5, percent=80)
+
+
+@_query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every whole text without the bytes that repeated 400-byte strings cover."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = suffix_dedup.remove_repeats(docs, length=400)
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return done.select("doc_id", (F.octet_length("kept") + gone).cast("long").alias("n_bytes"), gone.alias("n_removed"),
+                       F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
