@@ -278,12 +278,13 @@ def _keys(signed: DataFrame, component: DataFrame, held: np.ndarray) -> DataFram
     return rows.mapInArrow(run, "key long, a long, n long, bits binary, component long")
 
 
-def jaccard_components(docs: DataFrame, ident: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
-    """(ident, n_shingles, component_id) per row: documents link when 100 * intersection >= percent * union."""
+def _linked(docs: DataFrame, ident: str, text: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(signatures, (a, head)): head is the (id is null, id, rid) of its component's smallest document."""
     common = common_buckets(docs, text, words)
     signed = materialize(signatures(docs, common, ident, text, words, percent), "signed")
-    classes = materialize(signed.filter("n > 0").groupBy("a", "b").agg(F.min("rid").alias("rid"), F.min("id").alias("id")), "classes")
     full = signed.filter("n > 0")
+    head = F.struct(F.col("id").isNull().alias("no_id"), "id", "rid")
+    classes = materialize(full.groupBy("a", "b").agg(F.min(head).alias("head")).withColumn("rid", F.col("head.rid")), "classes")
 
     firsts = full.select("a", "n", F.explode(F.slice("prefix", 1, STAR_KEYS)).alias("key"))
     hubs = firsts.groupBy("key").agg(F.min(F.struct("a", "n")).alias("lo"), F.max(F.struct("a", "n")).alias("hi")).filter("lo.a <> hi.a")
@@ -298,19 +299,32 @@ def jaccard_components(docs: DataFrame, ident: str = "doc_id", text: str = "text
     mixed = keyed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
     mixed = materialize(mixed, "mixed_keys")
     members = _keys(full, near, membership(mixed, "key")).join(mixed, "key", "left_semi").dropDuplicates(["key", "a"])
-    more = _cells(materialize(members, "members"), percent)
-    more = materialize(more, "pairs")
-    found = _verify(more, classes, docs, ident, text, words, percent)
+    pairs = materialize(_cells(materialize(members, "members"), percent), "pairs")
+    found = _verify(pairs, classes, docs, ident, text, words, percent)
 
-    named = near
     to = near.select(F.col("a").alias("u"), F.col("component").alias("cu"))
     joined = found.join(to, "u", "left").join(to.select(F.col("u").alias("v"), F.col("cu").alias("cv")), "v", "left")
     late = components(joined.select(F.coalesce("cu", "u").alias("u"), F.coalesce("cv", "v").alias("v")))
-    all_nodes = classes.select("a", "id").join(named, "a", "left").select("a", "id", F.coalesce("component", "a").alias("c"))
-    all_nodes = all_nodes.join(late.select(F.col("node").alias("c"), F.col("component").alias("c2")), "c", "left").select(
-        "a", "id", F.coalesce("c2", "c").alias("c"))
-    smallest = all_nodes.groupBy("c").agg(F.min("id").alias("component_id"))
-    of = all_nodes.select("a", "c").join(smallest, "c").select("a", "component_id")
-    out = signed.select("id", "a", "n").join(of, "a", "left")
+    nodes = classes.select("a", "head").join(near, "a", "left").select("a", "head", F.coalesce("component", "a").alias("c"))
+    nodes = nodes.join(late.select(F.col("node").alias("c"), F.col("component").alias("c2")), "c", "left").select(
+        "a", "head", F.coalesce("c2", "c").alias("c"))
+    smallest = nodes.groupBy("c").agg(F.min("head").alias("head"))
+    return signed, nodes.select("a", "c").join(smallest, "c").select("a", "head")
+
+
+def jaccard_components(docs: DataFrame, ident: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """(ident, n_shingles, component_id) per row: documents link when 100 * intersection >= percent * union."""
+    signed, heads = _linked(docs, ident, text, words, percent)
+    out = signed.select("id", "a", "n").join(heads, "a", "left")
     return out.select(F.col("id").alias(ident), F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+                      F.when(F.col("n") > 0, F.col("head.id")).otherwise(F.col("id")).alias("component_id"))
+
+
+def deduplicate(docs: DataFrame, ident: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
+    """One row of every component, the one with the smallest id, all columns kept; rows without words all stay."""
+    signed, heads = _linked(docs, ident, text, words, percent)
+    stay = heads.select(F.col("head.rid").alias("__rid"), F.lit(True).alias("__one")).distinct()
+    stay = stay.union(signed.filter("n = 0").select("rid", F.lit(False)).distinct())
+    rows = docs.withColumn("__rid", F.xxhash64(text, ident)).join(materialize(stay, "heads"), "__rid")
+    one = rows.filter("__one").dropDuplicates(["__rid"])  # repeated rows are one component, too
+    return one.unionByName(rows.filter("not __one")).select(*docs.columns)

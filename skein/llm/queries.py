@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import ann, bpe, ngram_jaccard, sharding, suffix_dedup, token_counts, urlfilter
+from skein.llm import (
+    ann, bpe, decontaminate, html_extract, ngram_jaccard, quality, sharding, suffix_dedup, token_counts, urlfilter,
+)
 from skein.sources.tables import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +81,44 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return done.select("doc_id", (F.octet_length("kept") + gone).cast("long").alias("n_bytes"), gone.alias("n_removed"),
                        F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@_query
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, benchmark item) that overlap in 13 words but for two substitutions."""
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@_query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from the labels outside the held-out third."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = quality.classify(docs, read_table(spark, sf_dir, "labels"))
+    return done.select("doc_id", quality.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query
+def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page, by a field trained on laid-out pages."""
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    done = html_extract.extract_pages(pages, html_extract.train())
+    return done.withColumn("n_chars", F.length("text").cast("long"))
+
+
+@_query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages of corpus_pipeline over the whole documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+#: exact nearest neighbours by brute force
+ORACLE_SQL["op9_ann"] = """
+WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) v FROM embeddings),
+     p AS (SELECT q.vec_id query_id, c.vec_id, list_distance(q.v, c.v) score
+           FROM e q JOIN e c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM p QUALIFY rank <= 10
+"""

@@ -369,15 +369,16 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 400) -> Da
     return _brought_back(rows, decided, length)
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400) -> DataFrame:
-    """``docs`` with removed (merged spans, bytes) and kept (the remaining bytes) in place of the text."""
+def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400, as_text: bool = False) -> DataFrame:
+    """``docs`` with removed (merged spans, bytes) and kept (the remaining bytes; with ``as_text`` a string
+    without the characters that lost a byte) in place of the text."""
     keep = [f for f in docs.schema.fields if f.name not in (text, "removed", "kept")]
     names = [f.name for f in keep]
     spans = repeated_spans(docs, text, length)
-    joined = docs.select(*names, F.col(text).alias("__text"), F.xxhash64(text).alias("__rid")).join(
-        spans.select(F.col("rid").alias("__rid"), F.col("spans").alias("__spans")), "__rid", "left").select(*names, "__text", "__spans")
+    joined = docs.select(*names, F.col(text).alias("__body"), F.xxhash64(text).alias("__rid")).join(
+        spans.select(F.col("rid").alias("__rid"), F.col("spans").alias("__spans")), "__rid", "left").select(*names, "__body", "__spans")
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
-    schema = T.StructType([*keep, T.StructField("removed", span), T.StructField("kept", T.BinaryType())])
+    schema = T.StructType([*keep, T.StructField("removed", span), T.StructField("kept", T.StringType() if as_text else T.BinaryType())])
 
     def run(batches):
         for batch in batches:
@@ -396,10 +397,10 @@ def remove_repeats(docs: DataFrame, text: str = "text", length: int = 400) -> Da
                     out = [{"start": int(a), "end": int(b)} for a, b in zip(edge[::2], edge[1::2])]
                     row = row[~gone]
                 removed.append(out)
-                kept.append(row.tobytes())
+                kept.append(row.tobytes().decode("utf-8", "ignore") if as_text else row.tobytes())
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k) for k in range(len(names))),
-                 pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.binary())],
+                 pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.string() if as_text else pa.binary())],
                 names=[*names, "removed", "kept"])
 
     return joined.mapInArrow(run, schema)
