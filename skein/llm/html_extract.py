@@ -3,7 +3,7 @@
 A page is cut into leaf blocks: the text between two block-level tags, with the elements it stands
 in. Scripts, styles, comments and other markup never become text. Each block has features of its
 ancestors (tag names, words of class, id and role) and of its text (length, share of
-link text, end mark, place, signs), and the field gives every block a label, main text or
+link text, end mark, signs), and the field gives every block a label, main text or
 not, by the features and by the label before it. It is trained by gradient ascent on labelled pages
 (``labelled_pages``: laid out from templates, every block's label known); the best labels are
 found by Viterbi. Feature weights are a table of fixed size; pages are mapped one by one.
@@ -161,13 +161,9 @@ def _slot(name: str) -> int:
 def block_features(blocks: list[Block]) -> list[list[int]]:
     """Hashed features of each block of a page."""
     out = []
-    for i, b in enumerate(blocks):
+    for b in blocks:
         n, text = len(b.text), b.text
         names = [*b.path, "one", f"long:{min(n.bit_length(), 9)}", f"links:{min(4, 4 * b.links // max(n, 1))}", f"end:{text[-1] if text[-1] in '.!?:' else '-'}"]
-        if i == 0:
-            names.append("first")
-        if i == len(blocks) - 1:
-            names.append("last")
         if "©" in text or "(c)" in text.lower():
             names.append("copyright")
         if "|" in text or "»" in text or "·" in text:
