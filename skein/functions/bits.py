@@ -48,11 +48,12 @@ def hamming_hex(a: Column | str, b: Column | str) -> Column:
 
 
 def bits_to_long(bits: Column) -> Column:
-    """Pack an array<boolean> (first element = most significant bit) into BIGINT."""
-    return F.aggregate(
+    """Pack an array<boolean> (first element = most significant bit) into BIGINT; more than 64 bits are an error."""
+    packed = F.aggregate(
         bits, F.lit(0).cast("long"),
         lambda acc, b: F.shiftleft(acc, 1).bitwiseOR(F.when(b, F.lit(1)).otherwise(F.lit(0)).cast("long")),
     )
+    return F.when(F.size(bits) > 64, F.raise_error(F.lit("a hash of more than 64 bits does not fit a BIGINT")).cast("long")).otherwise(packed)
 
 
 def hash_bucket(h: Column | str, width: int = 64) -> Column:

@@ -22,13 +22,12 @@ from pyspark.sql import functions as F
 
 from skein.functions.bits import pair_address
 from skein.operators.grouped import apply_sorted_groups
-from skein.operators.sizing import broadcast_if_small
+from skein.operators.sizing import null_safe_join
+from skein.session import materialize
 
 # Fixed values of the reference algorithm.
-DSP_RATIO = 4
 FRAME_SIZE = 1024
 HOP_SIZE = FRAME_SIZE // 32
-MAX_FREQ_HZ = 5000.0
 TARGET_ZONE = 5
 BAND_EDGES = [0, 10, 20, 40, 80, 160, 512]
 TIMING_TOLERANCE_MS = 100
@@ -64,20 +63,38 @@ def _lowpass_block(x: np.ndarray, alpha: float, y0: float = 0.0) -> np.ndarray:
     return out
 
 
-def low_pass(samples: DataFrame, cutoff_hz: float, sample_rate: float,
-             chunk: int = 65536, max_back: int = 4096) -> DataFrame:
+CHAIN = 256  # chunk ends that are chained as one array
+
+
+def _entering(ends: DataFrame, ratio: float, levels: int = 3) -> DataFrame:
+    """(song_id, c, enter): the state before each of a song's values ``last`` at 0, 1, 2, ... (column c), where
+    state_c = last_c + ratio * state_{c - 1}.
+
+    Values are chained in arrays of CHAIN; the arrays' ends are values of the next level, whose entering
+    states come back to them. With three levels one array holds the ends of CHAIN**3 values.
+    """
+    blocks = ends.withColumn("block", F.floor(F.col("c") / CHAIN).cast("long")).groupBy("song_id", "block").agg(
+        F.sort_array(F.collect_list(F.struct("c", "last"))).alias("values"))
+    step = lambda y, e: e["last"] + F.lit(ratio) * y
+    if levels:
+        tops = blocks.select("song_id", F.col("block").alias("c"), F.aggregate("values", F.lit(0.0), step).alias("last"))
+        blocks = null_safe_join(blocks, _entering(tops, ratio**CHAIN, levels - 1).withColumnRenamed("c", "block"), ["song_id", "block"])
+    else:
+        blocks = blocks.withColumn("enter", F.lit(0.0))
+    none = F.array().cast("array<struct<c: bigint, enter: double>>")
+    walked = F.aggregate("values", F.struct(F.col("enter").alias("y"), none.alias("out")), lambda s, e: F.struct(
+        step(s["y"], e).alias("y"), F.concat(s["out"], F.array(F.struct(e["c"].alias("c"), s["y"].alias("enter")))).alias("out")))
+    return blocks.select("song_id", F.inline(walked["out"]))
+
+
+def low_pass(samples: DataFrame, cutoff_hz: float, sample_rate: float, chunk: int = 65536) -> DataFrame:
     """First-order low-pass per song, exact, in parallel chunks.
 
-    1. each (song, chunk) is filtered from a zero state (``applyInPandas``);
-    2. the chunk ends ``L_c`` give the true entering state
-       ``Y_c = sum_{m>=1} L_{c-m} R^(m-1)`` with ``R = (1-a)^chunk`` (positions
-       ``i`` are dense, so every earlier chunk is full). Terms with
-       ``R^(m-1) < 2^-80`` no longer change a double, so each chunk end is sent
-       to the next ``M`` chunks only (``M`` depends on the filter, not on the
-       data) and summed by a ``groupBy``: no task holds a whole song. Only if
-       ``M`` would exceed ``max_back`` (a cut-off extremely close to zero) are
-       the chunk ends chained per song instead;
-    3. ``y_n = local_n + (1-a)^(pos+1) * Y_c`` is a plain column expression.
+    1. each (song, chunk) is filtered from a zero state (numpy); the result is written once, as the
+       chunk ends and the last step read it;
+    2. the chunk ends, chained in arrays of bounded size on several levels, give the state that enters
+       each chunk (positions ``i`` are dense, so every earlier chunk is full);
+    3. ``y_n = local_n + (1-a)^(pos+1) * enter`` is a plain column expression.
     """
     a = _alpha(cutoff_hz, sample_rate)
     r = 1.0 - a
@@ -89,43 +106,13 @@ def low_pass(samples: DataFrame, cutoff_hz: float, sample_rate: float,
         return pd.DataFrame({"song_id": pdf["song_id"].to_numpy(), "i": pdf["i"].to_numpy(),
                              "chunk": pdf["chunk"].to_numpy(), "local": y})
 
-    from skein.session import materialize
-
-    # written once: both the chunk ends and the final pass read it
-    loc = apply_sorted_groups(s.select("song_id", "i", "chunk", "v"), ["song_id", "chunk"], ["i"], local,
-                              "song_id long, i long, chunk long, local double")
-
-    ends = loc.groupBy("song_id", "chunk").agg(
-        F.max_by("local", "i").alias("last"), F.count(F.lit(1)).alias("n"))
-    big_r = r ** chunk
-    back = 1 if big_r <= 0.0 else (math.ceil(80 * math.log(2) / -math.log(big_r)) + 1 if big_r < 1.0 else None)
+    loc = materialize(apply_sorted_groups(s.select("song_id", "i", "chunk", "v"), ["song_id", "chunk"], ["i"], local,
+                                          "song_id long, i long, chunk long, local double"), "low_pass")
+    ends = loc.groupBy("song_id", F.col("chunk").alias("c")).agg(F.max_by("local", "i").alias("last"))
+    enter = _entering(ends, r**chunk).withColumnRenamed("c", "chunk")
     pos = F.col("i") - F.col("chunk") * chunk
-    if back is not None and back <= max_back:
-        m = F.explode(F.sequence(F.lit(1).cast("long"), F.lit(back).cast("long"))).alias("m")
-        sent = ends.select("song_id", "chunk", "last", m)
-        carry = sent.groupBy("song_id", (F.col("chunk") + F.col("m")).alias("chunk")).agg(
-            F.sum(F.col("last") * F.pow(F.lit(big_r), F.col("m") - 1)).alias("enter"))
-        return (
-            loc.join(carry, ["song_id", "chunk"], "left")
-            .select("song_id", "i",
-                    (F.col("local") + F.pow(F.lit(r), pos + 1) * F.coalesce("enter", F.lit(0.0))).alias("v"))
-        )
-
-    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("chunk")
-        enter, y = [], 0.0
-        for last, n in zip(pdf["last"].to_numpy(), pdf["n"].to_numpy()):
-            enter.append(y)
-            y = last + (r ** int(n)) * y
-        return pd.DataFrame({"song_id": pdf["song_id"].to_numpy(), "chunk": pdf["chunk"].to_numpy(),
-                             "enter": np.array(enter, dtype=float)})
-
-    carry = apply_sorted_groups(ends, ["song_id"], ["chunk"], chain, "song_id long, chunk long, enter double")
-    return (
-        loc.join(carry, ["song_id", "chunk"])
-        .select("song_id", "i",
-                (F.col("local") + F.pow(F.lit(r), pos + 1) * F.col("enter")).alias("v"))
-    )
+    return null_safe_join(loc, enter, ["song_id", "chunk"]).select(
+        "song_id", "i", (F.col("local") + F.pow(F.lit(r), pos + 1) * F.col("enter")).alias("v"))
 
 
 # --------------------------------------------------------------- A15 downsample
@@ -155,7 +142,7 @@ def frames(samples: DataFrame, size: int = FRAME_SIZE, hop: int = HOP_SIZE,
     (they are simply absent: a zero adds nothing to the transform)."""
     lens = samples.groupBy("song_id").agg(F.count(F.lit(1)).alias("n_samples"))
     lens = lens.withColumn("n_frames", frame_count(F.col("n_samples"), size, hop, mode))
-    s = samples.join(broadcast_if_small(lens), "song_id")
+    s = null_safe_join(samples, lens, ["song_id"])
     lo = F.greatest(F.ceil((F.col("i") - size + 1) / hop), F.lit(0)).cast("long")
     hi = F.least(F.floor(F.col("i") / hop), F.col("n_frames") - 1).cast("long")
     s = s.filter(lo <= hi).withColumn("frame", F.explode(F.sequence(lo, hi)))
@@ -175,7 +162,7 @@ def dft_table(spark, size: int, n_bins: int) -> DataFrame:
 
 def stft_relational(fr: DataFrame, size: int, n_bins: int) -> DataFrame:
     """X1 (oracle form): sum over positions of x * e^{-2 pi i k pos / size}."""
-    tab = F.broadcast(dft_table(fr.sparkSession, size, n_bins))
+    tab = dft_table(fr.sparkSession, size, n_bins)
     j = fr.join(tab, "pos")
     return j.groupBy("song_id", "frame").agg(F.first("n_frames").alias("n_frames"),
                                              F.first("n_samples").alias("n_samples")).join(
@@ -196,7 +183,7 @@ def stft(samples: DataFrame, size: int = FRAME_SIZE, hop: int = HOP_SIZE, n_bins
     lens = samples.groupBy("song_id").agg(F.count(F.lit(1)).alias("n_samples"))
     lens = lens.withColumn("n_frames", frame_count(F.col("n_samples"), size, hop, mode))
     span = frames_per_task * hop
-    s = samples.join(broadcast_if_small(lens), "song_id")
+    s = null_safe_join(samples, lens, ["song_id"])
     # block b holds frames [b*F, (b+1)*F) -> samples [b*span, b*span + span + size - hop)
     lo = F.greatest(F.floor((F.col("i") - (span + size - hop)) / span) + 1, F.lit(0))
     hi = F.floor(F.col("i") / span)
@@ -205,7 +192,7 @@ def stft(samples: DataFrame, size: int = FRAME_SIZE, hop: int = HOP_SIZE, n_bins
     window = 0.54 - 0.46 * np.cos(2 * np.pi * np.arange(size) / (size - 1))
 
     def block_fft(pdf: pd.DataFrame) -> pd.DataFrame:
-        song = int(pdf["song_id"].iloc[0])
+        song = pdf["song_id"].iloc[0]
         b = int(pdf["blk"].iloc[0])
         nf = int(pdf["n_frames"].iloc[0])
         ns = int(pdf["n_samples"].iloc[0])
@@ -219,7 +206,7 @@ def stft(samples: DataFrame, size: int = FRAME_SIZE, hop: int = HOP_SIZE, n_bins
         spec = np.fft.fft(fr, axis=1)[:, :n_bins]
         nfr = f1 - f0
         return pd.DataFrame({
-            "song_id": np.full(nfr * n_bins, song, dtype=np.int64),
+            "song_id": pd.array([None if pd.isna(song) else int(song)] * (nfr * n_bins), "Int64"),
             "frame": np.repeat(np.arange(f0, f1, dtype=np.int64), n_bins),
             "k": np.tile(np.arange(n_bins, dtype=np.int64), nfr),
             "re": spec.real.ravel(), "im": spec.imag.ravel(), "mag": np.abs(spec).ravel(),
@@ -310,31 +297,40 @@ def four_peak_key(spec: DataFrame, ranges: list[int] = PEAK_RANGES, fuzz: int =
 
 
 # ------------------------------------------------- W1 / F1 / A19 fingerprints
-def target_pairs(peaks: DataFrame, key: str = "song_id", zone: int = TARGET_ZONE) -> DataFrame:
+def target_pairs(peaks: DataFrame, key: str = "song_id", zone: int = TARGET_ZONE, also: tuple[str, ...] = ()) -> DataFrame:
     """Each peak (position ``idx`` inside ``key``) paired with the next ``zone`` peaks.
 
+    ``delta_ms`` truncates the difference of the exact times (``t_ms_exact``, where the peaks have it), not the
+    difference of truncated times, so a sound's addresses don't depend on where it starts. Columns named in
+    ``also`` come along as ``a_...`` and ``b_...``.
+
     An equi-join on (key, idx + d) instead of a per-key window: the work of
     one long song is spread by position. The positioned peaks feed both sides,
     so they are written once to the shared folder (four narrow columns):
     neither side re-derives the positions, and a lost executor costs a re-read.
     """
-    from skein.session import materialize
-
-    peaks = materialize(peaks.select(key, "idx", "t_ms", "freq"), "positioned_peaks")
-    a = peaks.select(F.col(key), F.col("idx").alias("a_idx"), F.col("t_ms").alias("a_ms"),
-                     F.col("freq").alias("a_freq"))
+    exact = F.col("t_ms_exact" if "t_ms_exact" in peaks.columns else "t_ms")
+    more = [c for c in also if c not in (key, "idx", "t_ms", "freq")]
+    peaks = materialize(peaks.select(key, "idx", "t_ms", "freq", exact.alias("t_x"), *more), "positioned_peaks")
+    a = peaks.select(F.col(key), F.col("idx").alias("a_idx"), F.col("t_ms").alias("a_ms"), F.col("t_x").alias("a_x"),
+                     F.col("freq").alias("a_freq"), *[F.col(c).alias(f"a_{c}") for c in more])
     a = a.withColumn("d", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(zone).cast("long"))))
     a = a.withColumn("t_idx", F.col("a_idx") + F.col("d"))
-    b = peaks.select(F.col(key), F.col("idx").alias("t_idx"), F.col("t_ms").alias("b_ms"),
-                     F.col("freq").alias("b_freq"))
-    return a.join(b, [key, "t_idx"])
+    b = peaks.select(F.col(key), F.col("idx").alias("t_idx"), F.col("t_ms").alias("b_ms"), F.col("t_x").alias("b_x"),
+                     F.col("freq").alias("b_freq"), *[F.col(c).alias(f"b_{c}") for c in more])
+    pairs = null_safe_join(a, b, [key, "t_idx"]).withColumn("delta_ms", F.floor(F.col("b_x") - F.col("a_x")).cast("long"))
+    return pairs.drop("a_x", "b_x")
 
 
 def fingerprints(peaks: DataFrame, key: str = "song_id", zone: int = TARGET_ZONE) -> DataFrame:
     """F1 + A19: ``(address, anchor_ms, key)``; within a key the last pair
     written for an address wins (pairs are written anchor by anchor, then by
     target distance)."""
-    p = target_pairs(peaks, key, zone)
-    p = p.withColumn("address", pair_address("a_freq", "b_freq", F.col("b_ms") - F.col("a_ms")))
+    return index_of_pairs(target_pairs(peaks, key, zone), key, F.col("a_ms"), zone)
+
+
+def index_of_pairs(pairs: DataFrame, key: str, anchor_ms: Column, zone: int = TARGET_ZONE) -> DataFrame:
+    """F1 + A19 on pairs."""
+    p = pairs.withColumn("address", pair_address("a_freq", "b_freq", F.col("delta_ms")))
     order = F.col("a_idx") * (zone + 1) + F.col("d")
-    return p.groupBy("address", key).agg(F.max_by("a_ms", order).alias("anchor_ms"))
+    return p.groupBy("address", key).agg(F.max_by(anchor_ms, order).alias("anchor_ms"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.operators.sizing import broadcast_if_small
+from skein.session import materialize
 
 
 def append_rows(base: DataFrame, new: DataFrame, id_col: str, order: list[Column],
@@ -32,9 +32,13 @@ def append_rows(base: DataFrame, new: DataFrame, id_col: str, order: list[Column
 
 
 def set_difference_counts(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows of a not in b and of b not in a (multiset), as counts; equal sets -> (0, 0)."""
-    right = b.exceptAll(a).agg(F.count(F.lit(1))).scalar()
-    return a.exceptAll(b).agg(F.count(F.lit(1)).alias("only_left")).select("only_left", right.alias("only_right"))
+    """Rows of a not in b and of b not in a (multiset), as counts; equal sets -> (0, 0).
+
+    One signed count per row: +1 for each in a, -1 for each in b, combined before the shuffle."""
+    both = a.withColumn("__s", F.lit(1)).union(b.withColumn("__s", F.lit(-1)))
+    left = both.groupBy(*a.columns).agg(F.sum("__s").alias("__s"))
+    return left.agg(F.coalesce(F.sum(F.greatest("__s", F.lit(0))), F.lit(0)).alias("only_left"),
+                    F.coalesce(F.sum(F.greatest(-F.col("__s"), F.lit(0))), F.lit(0)).alias("only_right"))
 
 
 def history_then_updates(history: DataFrame, updates: DataFrame) -> DataFrame:
@@ -44,16 +48,25 @@ def history_then_updates(history: DataFrame, updates: DataFrame) -> DataFrame:
 
 def except_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Remove rows whose key is in ``keys`` (anti join)."""
-    return df.join(broadcast_if_small(keys.select(key).distinct()), key, "left_anti")
+    return df.join(keys.select(key).distinct(), key, "left_anti")
+
 
+def last_per_key(changes: DataFrame, key: str, order: list[Column] | None) -> DataFrame:
+    """The last change of each key by ``order``; equal ones, or all without an order, by their columns. An
+    aggregate (combined on the map side), not a window."""
+    others = [c for c in changes.columns if c != key]
+    by = F.struct(*(order or []), *others)
+    return changes.groupBy(key).agg(F.max_by(F.struct(*others), by).alias("__last")).select(key, "__last.*")
 
-def apply_updates(base: DataFrame, changes: DataFrame, key: str, cols: list[str]) -> DataFrame:
+
+def apply_updates(base: DataFrame, changes: DataFrame, key: str, cols: list[str], order: list[Column] | None = None) -> DataFrame:
     """Update ``cols`` of rows whose key appears in ``changes``; absent keys ignored.
 
-    The choice is made on a match flag, not on NULL, so a NULL in the change
-    overwrites (``UPDATE ... SET c = NULL``).
+    Of several changes of a key the last one by ``order`` counts. The choice is made on a match flag, not on
+    NULL, so a NULL in the change overwrites (``UPDATE ... SET c = NULL``).
     """
-    ch = changes.select(key, *[F.col(c).alias(f"__new_{c}") for c in cols]).withColumn("__hit", F.lit(True))
+    ch = last_per_key(changes, key, order)
+    ch = ch.select(key, *[F.col(c).alias(f"__new_{c}") for c in cols]).withColumn("__hit", F.lit(True))
     j = base.join(ch, key, "left")
     out = [F.when(F.col("__hit"), F.col(f"__new_{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c)
            for c in base.columns]
@@ -62,38 +75,56 @@ def apply_updates(base: DataFrame, changes: DataFrame, key: str, cols: list[str]
 
 def apply_upserts(base: DataFrame, changes: DataFrame, key: str, order: list[Column] | None = None) -> DataFrame:
     """D3: insert or replace on key (copy-on-write). The last change per key wins."""
-    ch = changes
-    if order:
-        # last change per key by an aggregate (partial on the map side), not a window
-        others = [c for c in ch.columns if c != key]
-        ch = ch.groupBy(key).agg(F.max_by(F.struct(*others), F.struct(*order)).alias("__last")).select(
-            key, "__last.*")
-    else:
-        ch = ch.dropDuplicates([key])
+    ch = last_per_key(changes, key, order)
     return base.join(ch.select(key), key, "left_anti").unionByName(ch.select(*base.columns))
 
 
-def unique_insert(base: DataFrame, batch: DataFrame, unique: list[str], order: list[Column]) -> tuple[DataFrame, DataFrame]:
-    """Insert with uniqueness on each column of ``unique``.
+def unique_insert(base: DataFrame, batch: DataFrame, unique: list[str | tuple[str, ...]],
+                  order: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """Insert row by row in ``order`` with uniqueness on each of ``unique`` (a column or a group of columns).
+
+    A row is rejected when a unique value of it stands in the base or in an earlier *accepted* row; a rejected
+    row leaves no trace, so it blocks nobody. A NULL never conflicts. ``order`` must tell the rows apart.
+    Returns (accepted, rejected with reason, the first violated one of ``unique``).
 
-    A batch row is rejected when any unique value already exists in the base,
-    or repeats an earlier row of the batch (by ``order``). Returns
-    (accepted, rejected-with-reason).
+    Rounds instead of a row-by-row pass: an undecided row that is the first undecided one for each of its unique
+    values is accepted; rows that share a value with it are rejected; the first undecided row is always
+    decided. Each round is a few aggregates and joins on the unique values; its state is written.
     """
-    b = batch.withColumn("__order", F.struct(*order))
-    reason = F.lit(None).cast("string")
-    for u in unique:
-        first = b.groupBy(u).agg(F.min("__order").alias(f"__first_{u}"))
-        b = b.join(first, u, "left").withColumn(f"__dup_{u}", F.col("__order") > F.col(f"__first_{u}"))
-        existing = base.select(F.col(u).alias(f"__ex_{u}")).distinct().withColumn(f"__in_{u}", F.lit(True))
-        b = b.join(existing, b[u] == existing[f"__ex_{u}"], "left").drop(f"__ex_{u}")
-        reason = F.coalesce(reason, F.when(F.col(f"__in_{u}"), F.lit(f"{u} exists")),
-                            F.when(F.col(f"__dup_{u}"), F.lit(f"{u} repeated")))
-    b = b.withColumn("reason", reason)
-    helper = [c for c in b.columns if c.startswith("__")]
-    accepted = b.filter(F.col("reason").isNull()).drop("reason", *helper)
-    rejected = b.filter(F.col("reason").isNotNull()).drop(*helper)
-    return accepted, rejected
+    groups = {u if isinstance(u, str) else ", ".join(u): [u] if isinstance(u, str) else list(u) for u in unique}
+    cols = batch.columns
+
+    def known(df: DataFrame, names: list[str]) -> Column:
+        return F.when(F.expr(" and ".join(f"`{n}` is not null" for n in names)), F.struct(*names))
+
+    rows = batch.withColumn("__order", F.struct(*order)).withColumn("__reason", F.lit(None).cast("string"))
+    keys = {name: f"__u{i}" for i, name in enumerate(groups)}
+    for name, names in groups.items():
+        rows = rows.withColumn(keys[name], known(rows, names))
+    for name, names in groups.items():
+        there = base.select(known(base, names).alias(keys[name])).filter(F.col(keys[name]).isNotNull()).distinct()
+        there = there.withColumn("__in", F.lit(f"{name} exists"))
+        rows = rows.join(there, keys[name], "left").withColumn("__reason", F.coalesce("__reason", "__in")).drop("__in")
+    rejected = materialize(rows.filter(F.col("__reason").isNotNull()), "rejected")
+    rows = materialize(rows.filter(F.col("__reason").isNull()), "undecided")
+    accepted = rows.limit(0)
+    while not rows.isEmpty():
+        first = rows.withColumn("__first", F.lit(True))
+        for k in keys.values():
+            least = rows.filter(F.col(k).isNotNull()).groupBy(k).agg(F.min("__order").alias("__least"))
+            first = first.join(least, k, "left").withColumn(
+                "__first", F.col("__first") & F.coalesce(F.col("__order") == F.col("__least"), F.lit(True))).drop("__least")
+        first = materialize(first, "first")
+        taken = first.filter("__first").drop("__first")
+        rest = first.filter(~F.col("__first")).drop("__first")
+        for name, k in keys.items():
+            blocked = taken.filter(F.col(k).isNotNull()).select(k, F.lit(f"{name} repeated").alias("__in"))
+            rest = rest.join(blocked, k, "left").withColumn("__reason", F.coalesce("__reason", "__in")).drop("__in")
+        rest = materialize(rest, "rest")
+        accepted = accepted.unionByName(taken)
+        rejected = rejected.unionByName(rest.filter(F.col("__reason").isNotNull()))
+        rows = rest.filter(F.col("__reason").isNull())
+    return accepted.select(*cols), rejected.select(*cols, F.col("__reason").alias("reason"))
 
 
 def keep_consistent(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:

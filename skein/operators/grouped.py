@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 def apply_sorted_groups(df: DataFrame, keys: list[str], order: list[str],
                         fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str,
                         partitions: int | None = None) -> DataFrame:
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    d = df.repartition(parts, *keys).sortWithinPartitions(*keys, *order)
+    d = df.repartition(partitions, *keys) if partitions else df.repartition(*keys)
+    d = d.sortWithinPartitions(*keys, *order)
 
     def run(batches):
         carry = None
@@ -33,10 +33,10 @@ def apply_sorted_groups(df: DataFrame, keys: list[str], order: list[str],
             last = tuple(pdf.iloc[-1][k] for k in keys)
             tail = pd.Series(True, index=pdf.index)
             for k, v in zip(keys, last):
-                tail &= pdf[k] == v
+                tail &= pdf[k].isna() if pd.isna(v) else pdf[k] == v  # a NULL key is a group, too
             carry = pdf[tail]
             done = pdf[~tail]
-            outs = [fn(g) for _, g in done.groupby(keys, sort=False)] if not done.empty else []
+            outs = [fn(g) for _, g in done.groupby(keys, sort=False, dropna=False)] if not done.empty else []
             outs = [o for o in outs if o is not None and len(o)]
             if outs:
                 yield pd.concat(outs, ignore_index=True)

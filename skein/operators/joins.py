@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.operators.sizing import broadcast_if_small
-
 
 def anti_known(candidates: DataFrame, known: DataFrame, key: str) -> DataFrame:
     """Candidates whose key is not known yet."""
@@ -30,21 +28,20 @@ def range_first(queries: DataFrame, cands: DataFrame, qkey: str, qval: str, cval
 
 def orphans(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent."""
-    p = broadcast_if_small(parent.select(F.col(pk).alias(fk)).distinct())
+    p = parent.select(F.col(pk).alias(fk)).distinct()
     return child.filter(F.col(fk).isNotNull()).join(p, fk, "left_anti")
 
 
-def row_with_options(row: DataFrame, options: DataFrame, value: str, label: str,
-                     max_options: int = 100_000) -> DataFrame:
-    """A row plus the option list (value, label) sorted by label.
+def row_with_options(row: DataFrame, options: DataFrame, value: str, label: str) -> DataFrame:
+    """A row plus its option list in long form, one row per option: the row's columns, the option's label
+    and value, and its position by (label, value).
 
-    The option list is a bounded dimension: its size is checked before it is
-    folded into one array.
+    No list is folded into one cell, so the options may be of any number. The row enters the scan of the options
+    as a scalar subquery; positions come from range-partitioned blocks.
     """
-    from skein.operators.sizing import row_count_at_most
+    from skein.operators.windows import dense_index
 
-    if not row_count_at_most(options, max_options):
-        raise ValueError(f"option list larger than {max_options} rows")
-    opts = options.agg(F.sort_array(F.collect_list(F.struct(F.col(label).alias("label"), F.col(value).alias("value"))))
-                       .alias("options"))
-    return row.withColumn("options", opts.scalar())
+    one = row.select(F.struct("*").alias("row")).scalar()
+    listed = options.select(F.col(label).alias("label"), F.col(value).alias("value"))
+    placed = dense_index(listed, [], None, [F.col("label"), F.col("value")], out="position")
+    return placed.withColumn("__row", one).select("__row.*", "label", "value", "position")

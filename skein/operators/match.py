@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.operators.audio import TIMING_TOLERANCE_MS, ZONE_MIN_HITS
-from skein.operators.sizing import broadcast_if_small
 
 PAIR_KEYS = ["request_id", "song_id"]
 
@@ -78,7 +77,7 @@ def timing_from_points(pts: DataFrame, tol: int = TIMING_TOLERANCE_MS) -> DataFr
         F.sum("c").alias("c"))
     per_off = per_off.withColumn("b", bucket)
     same = per_off.groupBy(*PAIR_KEYS, "b").agg(F.sum("c").alias("n")).groupBy(*PAIR_KEYS).agg(
-        F.sum(F.col("n") * (F.col("n") - 1) / 2).cast("long").alias("same"))
+        F.sum(F.expr("n * (n - 1) div 2")).cast("long").alias("same"))
 
     # (2) pairs across neighbouring buckets b, b+1 with off2 - off1 < tol
     lo = per_off.select(*PAIR_KEYS, (F.col("b") + 1).alias("b"), F.col("off").alias("o1"), F.col("c").alias("c1"))
@@ -122,15 +121,14 @@ def match_scores(m: DataFrame, songs: DataFrame) -> DataFrame:
 
     The matches are reduced once to counts per distinct (s, d) and that table
     is written to the shared folder; the statistics and the timing score are
-    then read from it. Songs unknown to the catalogue are dropped (inner join;
-    the catalogue is broadcast only under a checked size).
+    then read from it. Songs unknown to the catalogue are dropped (inner join).
     """
     from skein.session import materialize
 
     pts = materialize(m.groupBy(*PAIR_KEYS, "s_ms", "d_ms").agg(F.count(F.lit(1)).alias("c")), "match_points")
     stats = pts.groupBy(*PAIR_KEYS).agg(F.min("d_ms").alias("first_ms"), F.sum("c").alias("matches"))
     sc = timing_from_points(pts)
-    cat = broadcast_if_small(songs.select("song_id", "title", "artist"))
+    cat = songs.select("song_id", "title", "artist")
     return (
         stats.join(sc, PAIR_KEYS, "left")
         .withColumn("score", F.coalesce("score", F.lit(0)).cast("long"))

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from skein.operators.profile import exact_percentiles
 
 
+_MULTIPLIERS = (2654435761, 40503, 97)
+
+
 def drop_nulls(df: DataFrame, subset: list[str] | None = None) -> DataFrame:
     """M1: rows without NULLs (the result is used, unlike the reference; Q17)."""
     return df.na.drop(subset=subset)
@@ -26,26 +29,32 @@ def impute(df: DataFrame, median_cols: list[str], constants: dict) -> DataFrame:
     return out.fillna(constants)
 
 
-def assemble(df: DataFrame, inputs: list[str], out: str = "features") -> DataFrame:
-    """M3: feature vector."""
-    return VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid="skip").transform(df)
+def assemble(df: DataFrame, inputs: list[str], out: str = "features", invalid: str = "error") -> DataFrame:
+    """M3: feature vector. NULL or NaN inputs are an error, or kept as NaN with ``invalid="keep"``; rows are
+    dropped only where the caller asks for it (M1, or ``invalid="skip"``)."""
+    return VectorAssembler(inputCols=inputs, outputCol=out, handleInvalid=invalid).transform(df)
 
 
-def scale(df: DataFrame, inputs: list[str]) -> DataFrame:
+def scale(df: DataFrame, inputs: list[str], invalid: str = "error") -> DataFrame:
     """M4: standard scaler with the defaults (unit std, no centering); columns out."""
-    a = assemble(df, inputs, "__f")
+    a = assemble(df, inputs, "__f", invalid)
     model = StandardScaler(inputCol="__f", outputCol="__s", withStd=True, withMean=False).fit(a)
     arr = vector_to_array(F.col("__s"))
     return model.transform(a).select(*df.columns, *[arr[i].alias(f"{c}_scaled") for i, c in enumerate(inputs)])
 
 
 def split_flag(*keys: Column, train: float = 0.8) -> Column:
-    """M5: deterministic 80/20 split by a multiplicative hash of the key, the
-    same on any partitioning (``randomSplit`` depends on it)."""
+    """M5: deterministic 80/20 split by a multiplicative hash of all keys modulo
+    2**32, the same on any partitioning (``randomSplit`` depends on it). Each
+    product is taken in 16-bit halves, so no key can overflow."""
+    top = F.lit(1 << 32)
     h = F.lit(0).cast("long")
-    for k, mult in zip(keys, (2654435761, 40503, 97)):
-        h = h + k.cast("long") * mult
-    return (F.pmod(h, F.lit(4294967296)) / 4294967296.0) < train
+    for i, k in enumerate(keys):
+        mult = _MULTIPLIERS[i] if i < len(_MULTIPLIERS) else _MULTIPLIERS[0] + 2 * i
+        part = F.pmod(k.cast("long"), top)
+        low, high = part % 65536, F.shiftright(part, 16)
+        h = h + F.pmod(low * mult + F.pmod(high * mult, top) * 65536, top)
+    return (F.pmod(h, top) / 4294967296.0) < train
 
 
 def fit_linear(df: DataFrame, inputs: list[str], label: str):

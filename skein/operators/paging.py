@@ -10,14 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.operators.sizing import broadcast_if_small
 
-
-def left_join_dim(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                  max_dim_rows: int = 1_000_000) -> DataFrame:
-    """Every fact row, with the dimension's columns or NULLs."""
-    d = broadcast_if_small(dim, max_dim_rows)
-    return fact.join(d, fact[fact_key] == d[dim_key], "left")
+def left_join_dim(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
+    """Every fact row, with the dimension's columns or NULLs (broadcast or not: by measured bytes)."""
+    return fact.join(dim, fact[fact_key] == dim[dim_key], "left")
 
 
 def contains_ci(c: Column | str, text: str) -> Column:
@@ -74,14 +70,18 @@ def page_meta(total: Column, page_no: int, page_size: int) -> list[Column]:
     ]
 
 
-def natural_sort_key(c: Column | str, width: int = 20) -> Column:
-    """text/digit runs; digit runs left-padded so they compare numerically
-    (real numeric order for any length up to ``width`` digits)."""
+def _counted(digits: Column) -> Column:
+    return F.concat(F.lpad(F.length(digits).cast("string"), 10, "0"), digits)
+
+
+def natural_sort_key(c: Column | str) -> Column:
+    """text/digit runs; a digit run, without leading zeros, is preceded by its length, so runs of
+    any length compare as numbers."""
     c = F.col(c) if isinstance(c, str) else c
     parts = F.regexp_extract_all(c, F.lit(r"(\d+|\D+)"), 1)
     padded = F.transform(
         parts,
-        lambda p: F.when(p.rlike(r"^\d+$"), F.lpad(F.regexp_replace(p, r"^0+(?=\d)", ""), width, "0"))
+        lambda p: F.when(p.rlike(r"^\d+$"), _counted(F.regexp_replace(p, r"^0+(?=\d)", "")))
         .otherwise(F.lower(p)),
     )
     return F.array_join(padded, "\u0001")

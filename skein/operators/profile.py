@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.operators.sizing import broadcast_if_small
+from skein.operators.sizing import null_safe_join
+from skein.session import materialize
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -47,21 +48,24 @@ def exact_percentiles(df: DataFrame, col: str, ps: list[float], keys: list[str]
     values never straddle two). Per-partition totals give offsets, a running
     count inside each partition gives every distinct value its rank interval,
     and the two values around rank ``(n-1)p`` are picked by an aggregation.
-    Memory per task is one range of distinct values, whatever the skew.
+    Memory per task is one range of distinct values, whatever the skew. The
+    partitioned pairs are written once: their bounds come from a sample, and the
+    offsets must see the very same ranges whether or not Spark reuses an exchange.
+    Keys may be NULL; a key without any value is not in the result.
     """
     keys = list(keys)
     spark = df.sparkSession
     nb = buckets or max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     v = df.select(*keys, F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
     vc = v.groupBy(*keys, "v").agg(F.count(F.lit(1)).alias("cnt"))
-    vc = vc.repartitionByRange(nb, *keys, "v").withColumn("bkt", F.spark_partition_id())
+    vc = materialize(vc.repartitionByRange(nb, *keys, "v").withColumn("bkt", F.spark_partition_id()), "value_counts")
     per_b = vc.groupBy(*keys, "bkt").agg(F.sum("cnt").alias("bc"))
     wo = (Window.partitionBy(*keys).orderBy("bkt") if keys else Window.orderBy("bkt")).rowsBetween(
         Window.unboundedPreceding, -1)
     per_b = per_b.withColumn("off", F.coalesce(F.sum("bc").over(wo), F.lit(0)))
     # totals per key over the (keys x buckets) rows: a window, not a join
     per_b = per_b.withColumn("n", F.sum("bc").over(Window.partitionBy(*keys))).drop("bc")
-    j = vc.join(F.broadcast(per_b) if not keys else per_b, keys + ["bkt"])
+    j = null_safe_join(vc, per_b, keys + ["bkt"])
     wi = Window.partitionBy(*keys, "bkt").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     j = j.withColumn("hi_r", F.col("off") + F.sum("cnt").over(wi)).withColumn("lo_r", F.col("hi_r") - F.col("cnt"))
     aggs = []
@@ -90,7 +94,7 @@ def summary_long(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     cols = cols or numeric_columns(df)
     d = describe_long(df, cols)
     qs = exact_percentiles(stack_columns(df, cols), "v", [0.25, 0.5, 0.75], keys=["column"])
-    return d.join(qs, "column")
+    return d.join(qs, "column", "left")  # a column without values has no quantiles, but is a column
 
 
 def null_counts(df: DataFrame) -> DataFrame:

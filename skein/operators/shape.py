@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.operators.sizing import broadcast_if_small
 
 
 def clean_column_name(name: str) -> str:
@@ -74,15 +73,14 @@ def split_by_column(value: Column | str, delimiter: Column | str, literal: bool
     return F.split(value, pat)
 
 
-def owner_or_feature(df: DataFrame, key: str, owner: str, features: str, ids: DataFrame, id_col: str,
-                     max_set_rows: int = 1_000_000) -> DataFrame:
+def owner_or_feature(df: DataFrame, key: str, owner: str, features: str, ids: DataFrame, id_col: str) -> DataFrame:
     """Rows whose owner is in the id set or whose feature list overlaps it.
 
     The id set stays a DataFrame (never collected): (row key, candidate id)
-    pairs over owner and features are semi-joined with the set (broadcast
-    under a checked size), then the matching keys select the rows.
+    pairs over owner and features are semi-joined with the set, then the
+    matching keys select the rows.
     """
-    s = broadcast_if_small(ids.select(F.col(id_col).alias("__id")).distinct(), max_set_rows)
+    s = ids.select(F.col(id_col).alias("__id")).distinct()
     empty = F.array().cast(df.schema[features].dataType)
     cand = df.select(F.col(key), F.explode(F.array_union(
         F.array(F.col(owner)), F.coalesce(F.col(features), empty))).alias("__id"))
@@ -193,5 +191,5 @@ def semi_lookup(df: DataFrame, keys: DataFrame, key: str, allowed: tuple[str, ..
     if allowed is not None and key not in allowed:
         raise ValueError(f"key {key!r} not in {allowed}")
     kc = keys_col or key
-    k = broadcast_if_small(keys.select(F.col(kc).alias(key)).distinct())
+    k = keys.select(F.col(kc).alias(key)).distinct()
     return df.join(k, key, "left_semi")

@@ -1,23 +1,17 @@
-"""Size checks that guard every explicit broadcast.
-
-A broadcast side must have a proven bound: we count at most ``max_rows + 1``
-rows (a LIMIT job that stops early) and only then hint ``broadcast``. Above
-the bound the join is left to the planner (sort-merge / AQE, which can still
-switch to broadcast at run time from real shuffle sizes).
-"""
+"""Joins on keys that may be NULL."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    return df.limit(max_rows + 1).count() <= max_rows
-
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys equal each other, as they do in ``groupBy`` and ``partitionBy``; the keys
+    come from ``left``. ``<=>`` plans as a hash or merge join; which side is broadcast, if any, is decided at
+    run time from measured bytes."""
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__r_{k}")) for k in keys])
+    return left.join(renamed, on, how).drop(*[f"__r_{k}" for k in keys])

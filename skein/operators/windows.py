@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from skein.operators.sizing import null_safe_join
+
 
 def dense_index(df: DataFrame, keys: list[str], block: Column | None, order: list[Column],
                 out: str = "idx", start: int = 0) -> DataFrame:
@@ -38,7 +40,7 @@ def dense_index(df: DataFrame, keys: list[str], block: Column | None, order: lis
     w = (Window.partitionBy(*keys).orderBy("__blk") if keys else Window.orderBy("__blk")).rowsBetween(
         Window.unboundedPreceding, -1)
     offsets = counts.withColumn("__off", F.coalesce(F.sum("__n").over(w), F.lit(0))).drop("__n")
-    j = b.join(offsets, keys + ["__blk"], "inner")
+    j = null_safe_join(b, offsets, keys + ["__blk"])
     wr = Window.partitionBy(*keys, "__blk").orderBy(*order)
     return (
         j.withColumn(out, (F.col("__off") + F.row_number().over(wr) - 1 + start).cast("long"))
@@ -89,7 +91,7 @@ def step_ratio(df: DataFrame, key: str, order: list[Column], value: str,
     """
     ix = dense_index(df, [key], None, order, out="__i")
     prev = ix.select(F.col(key), (F.col("__i") + 1).alias("__i"), F.col(value).alias("__prev"))
-    j = ix.join(prev, [key, "__i"], "left")
+    j = null_safe_join(ix, prev, [key, "__i"], "left")
     ratio = F.try_divide(F.col(value), F.col("__prev"))
     return j.withColumn("ratio", ratio).withColumn(
         "in_bound", (F.col("ratio") >= low) & (F.col("ratio") < high)).drop("__i", "__prev")

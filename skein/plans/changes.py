@@ -140,18 +140,27 @@ def q_apply_upserts(spark, sf_dir):
 
 
 @query("unique_insert", sql="""
-    WITH b AS (SELECT s_suppkey * 20 AS c_custkey, 'Supplier#' || (s_suppkey % 50)::VARCHAR AS c_name, s_suppkey AS ord
-               FROM supplier),
-    r AS (SELECT *, CASE
-            WHEN c_custkey IN (SELECT c_custkey FROM customer) THEN 'c_custkey exists'
-            WHEN ord > min(ord) OVER (PARTITION BY c_custkey) THEN 'c_custkey repeated'
-            WHEN c_name IN (SELECT c_name FROM customer) THEN 'c_name exists'
-            WHEN ord > min(ord) OVER (PARTITION BY c_name) THEN 'c_name repeated' END AS reason FROM b)
-    SELECT c_custkey, c_name, ord, reason FROM r""")
+    WITH RECURSIVE b AS (
+      SELECT (s_suppkey // 3) * 20 AS c_custkey, 'Supplier#' || (s_suppkey % 50)::VARCHAR AS c_name, s_suppkey AS ord,
+             row_number() OVER (ORDER BY s_suppkey) AS n FROM supplier),
+    c AS (SELECT b.*, CASE WHEN c_custkey IN (SELECT c_custkey FROM customer) THEN 'c_custkey exists'
+                           WHEN c_name IN (SELECT c_name FROM customer) THEN 'c_name exists' END AS base FROM b),
+    r AS (
+      SELECT 0::BIGINT AS n, []::BIGINT[] AS ids, []::VARCHAR[] AS names, NULL::BIGINT AS c_custkey, NULL::VARCHAR AS c_name,
+             NULL::BIGINT AS ord, NULL::VARCHAR AS reason
+      UNION ALL
+      SELECT n, CASE WHEN reason IS NULL THEN list_append(ids, c_custkey) ELSE ids END,
+             CASE WHEN reason IS NULL THEN list_append(names, c_name) ELSE names END, c_custkey, c_name, ord, reason
+      FROM (SELECT c.n, r.ids, r.names, c.c_custkey, c.c_name, c.ord,
+                   CASE WHEN c.base IS NOT NULL THEN c.base WHEN list_contains(r.ids, c.c_custkey) THEN 'c_custkey repeated'
+                        WHEN list_contains(r.names, c.c_name) THEN 'c_name repeated' END AS reason
+            FROM r JOIN c ON c.n = r.n + 1))
+    SELECT c_custkey, c_name, ord, reason FROM r WHERE n > 0""")
 def q_unique_insert(spark, sf_dir):
-    """Insert with uniqueness on id and name; accepted rows (reason NULL) and rejects."""
+    """Insert with uniqueness on id and name; accepted rows (reason NULL) and rejects. Ids repeat in threes and
+    names every fifty rows, so rejected rows share values with later ones."""
     t = Tables(spark, sf_dir)
-    batch = t.supplier.select((F.col("s_suppkey") * 20).alias("c_custkey"),
+    batch = t.supplier.select((F.expr("s_suppkey div 3") * 20).alias("c_custkey"),
                               F.concat(F.lit("Supplier#"), (F.col("s_suppkey") % 50).cast("string")).alias("c_name"),
                               F.col("s_suppkey").alias("ord"))
     acc, rej = changes.unique_insert(t.customer, batch, ["c_custkey", "c_name"], [F.col("ord")])

@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.operators import audio, match
-from skein.operators.sizing import broadcast_if_small
 from skein.operators.windows import dense_index
 from skein.plans.common import DAY_MS, SAMPLES_SQL, WEEK_MS, epoch_ms, event_samples
 from skein.plans.registry import query
+from skein.session import materialize
 from skein.sources.tables import Tables
 
 ZONE_THRESHOLD = 3
@@ -38,31 +38,43 @@ def _events_of(events: DataFrame) -> DataFrame:
                            (F.floor("value").cast("long").bitwiseAND(F.lit(511))).alias("freq"))
 
 
-def library_peaks(t: Tables, events: DataFrame | None = None) -> DataFrame:
+def positioned_peaks(t: Tables, events: DataFrame | None = None) -> DataFrame:
+    """Library peaks with their clip: (song_id, idx, t_ms, freq, request_id, clip_ms). A clip is a run of its
+    song's peaks in the same order, so one positioning serves both."""
     ev = _events_ms(t) if events is None else _events_of(events)
     start = ev.groupBy("user_id").agg(F.min("ms").alias("m0"))
+    wk = F.floor(F.col("ms") / WEEK_MS).cast("long")
     p = ev.join(start, "user_id").select(
-        F.col("user_id").alias("song_id"), (F.col("ms") - F.col("m0")).alias("t_ms"), "freq", "event_id")
+        F.col("user_id").alias("song_id"), (F.col("ms") - F.col("m0")).alias("t_ms"), "freq", "event_id",
+        (F.col("user_id") * 10000 + wk).alias("request_id"), (F.col("ms") - wk * WEEK_MS).alias("clip_ms"))
     return dense_index(p, ["song_id"], None,
                        [F.col("t_ms"), F.col("freq"), F.col("event_id")])
 
 
-def clip_peaks(t: Tables, events: DataFrame | None = None) -> DataFrame:
-    ev = _events_ms(t) if events is None else _events_of(events)
-    wk = F.floor(F.col("ms") / WEEK_MS).cast("long")
-    p = ev.select((F.col("user_id") * 10000 + wk).alias("request_id"),
-                  (F.col("ms") - wk * WEEK_MS).alias("t_ms"), "freq", "event_id")
-    return dense_index(p, ["request_id"], None,
-                       [F.col("t_ms"), F.col("freq"), F.col("event_id")])
+def library_peaks(t: Tables, events: DataFrame | None = None) -> DataFrame:
+    return positioned_peaks(t, events).select("song_id", "t_ms", "freq", "event_id", "idx")
+
+
+def peak_pairs(t: Tables, events: DataFrame | None = None) -> DataFrame:
+    """Target-zone pairs of the library; those inside one clip are that clip's pairs, too."""
+    return audio.target_pairs(positioned_peaks(t, events), also=("request_id", "clip_ms"))
+
+
+def index_from(pairs: DataFrame) -> DataFrame:
+    return audio.index_of_pairs(pairs, "song_id", F.col("a_ms"))
+
+
+def clips_from(pairs: DataFrame) -> DataFrame:
+    inside = pairs.filter(F.col("a_request_id") == F.col("b_request_id")).withColumnRenamed("a_request_id", "request_id")
+    return audio.index_of_pairs(inside, "request_id", F.col("a_clip_ms")).withColumnRenamed("anchor_ms", "s_ms")
 
 
 def library_index(t: Tables, events: DataFrame | None = None) -> DataFrame:
-    return audio.fingerprints(library_peaks(t, events), key="song_id")
+    return index_from(peak_pairs(t, events))
 
 
 def clip_fingerprints(t: Tables, events: DataFrame | None = None) -> DataFrame:
-    fp = audio.fingerprints(clip_peaks(t, events), key="request_id")
-    return fp.withColumnRenamed("anchor_ms", "s_ms")
+    return clips_from(peak_pairs(t, events))
 
 
 def songs(t: Tables) -> DataFrame:
@@ -71,7 +83,8 @@ def songs(t: Tables) -> DataFrame:
 
 
 def matches(t: Tables) -> DataFrame:
-    return match.fingerprint_join(clip_fingerprints(t), library_index(t))
+    pairs = peak_pairs(t)
+    return match.fingerprint_join(clips_from(pairs), index_from(pairs))
 
 
 # ------------------------------------------------------------------ oracle SQL
@@ -288,7 +301,7 @@ def q_extract_peaks(spark, sf_dir):
 def q_heat_map(spark, sf_dir):
     """Spectrum magnitudes as grey levels against the global maximum."""
     sp = _spectrum(spark, sf_dir).select("song_id", "frame", "k", F.round("mag", 3).alias("mag"))
-    return audio.heat_map(sp)
+    return audio.heat_map(materialize(sp, "spectrum"))  # read for the maximum and for the result: one FFT
 
 
 # F2 reads bins 40..299, so it takes a long-frame spectrum: one 1024-sample

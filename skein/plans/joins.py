@@ -54,10 +54,9 @@ def q_fk_orphans(spark, sf_dir):
 
 
 @query("row_with_options", sql="""
-    SELECT c.c_custkey, c.c_name,
-           (SELECT list({'label': n_name, 'value': n_nationkey::VARCHAR} ORDER BY n_name, n_nationkey::VARCHAR)
-            FROM nation WHERE n_regionkey <> 4) AS options
-    FROM customer c WHERE c.c_custkey = 21""")
+    SELECT c.c_custkey, c.c_name, n.n_name AS label, n.n_nationkey::VARCHAR AS value,
+           row_number() OVER (ORDER BY n.n_name, n.n_nationkey::VARCHAR) - 1 AS position
+    FROM customer c, nation n WHERE c.c_custkey = 21 AND n.n_regionkey <> 4""")
 def q_row_with_options(spark, sf_dir):
     """One computer plus the company option list for its edit view."""
     t = Tables(spark, sf_dir)

@@ -55,14 +55,13 @@ def q_fingerprint_store(spark, sf_dir):
 
 
 @query("fingerprint_nested", sql=fp._FP_SQL + """,
-    cnt AS (SELECT *, count(*) OVER (PARTITION BY address) AS n FROM idx)
-    SELECT address, ((anchor_ms * 31 + song_id) % ceil(n / 10000.0)::BIGINT)::BIGINT AS chunk,
-           list({'anchor_ms': anchor_ms, 'song_id': song_id} ORDER BY anchor_ms, song_id) AS couples
-    FROM cnt GROUP BY address, chunk""")
+    c AS (SELECT *, ((anchor_ms * 31 + song_id) % 16)::BIGINT AS chunk FROM idx)
+    SELECT address, chunk, list({'anchor_ms': anchor_ms, 'song_id': song_id} ORDER BY anchor_ms, song_id) AS couples
+    FROM c GROUP BY address, chunk""")
 def q_fingerprint_nested(spark, sf_dir):
     """Address -> sorted couples (anchor time, song), in bounded chunks."""
     idx = fp.library_index(Tables(spark, sf_dir))
-    return store.nested_by_key(idx, "address", ["song_id"], ["anchor_ms", "song_id"], 10_000)
+    return store.nested_by_key(idx, "address", ["song_id"], ["anchor_ms", "song_id"], 16)
 
 
 @query("pcm_decode")

@@ -88,7 +88,8 @@ def q_latest_state(spark, sf_dir):
 
 @query("natural_sort", sql="""
     SELECT page_id, url, array_to_string(list_transform(regexp_extract_all(url, '(\\d+|\\D+)', 1),
-        lambda p: CASE WHEN regexp_full_match(p, '\\d+') THEN lpad(regexp_replace(p, '^0+(\\d)', '\\1'), 20, '0')
+        lambda p: CASE WHEN regexp_full_match(p, '\\d+')
+                       THEN lpad(length(regexp_replace(p, '^0+(\\d)', '\\1'))::VARCHAR, 10, '0') || regexp_replace(p, '^0+(\\d)', '\\1')
                        ELSE lower(p) END), chr(1)) AS sort_key FROM pages""")
 def q_natural_sort(spark, sf_dir):
     """Natural sort key (digit runs compare as numbers)."""

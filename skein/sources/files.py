@@ -11,7 +11,7 @@ import uuid
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,10 +65,9 @@ def write_once(df: DataFrame, path: str, fmt: str = "json") -> None:
 
 def seed_if_empty(spark: SparkSession, path: str, seed: DataFrame, fmt: str = "parquet") -> bool:
     """Append the seed rows only when the table at ``path`` is missing or empty."""
-    try:
-        empty = spark.read.format(fmt).load(path).isEmpty()
-    except Exception:  # no table yet
-        empty = True
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    there = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+    empty = not there or spark.read.format(fmt).load(path).isEmpty()  # a table that can't be read is an error
     if empty:
         seed.write.mode("append").format(fmt).save(path)
     return empty
@@ -76,59 +75,57 @@ def seed_if_empty(spark: SparkSession, path: str, seed: DataFrame, fmt: str = "p
 
 def pcm16_decode(recordings: DataFrame, id_col: str = "rec_id", audio_col: str = "audio") -> DataFrame:
     """base64 text -> 16-bit little-endian PCM -> samples in [-1, 1) as
-    ``(rec_id, i, v)``. Decoding runs in ``mapInPandas`` (numpy) per Arrow
-    batch; each recording is one row."""
+    ``(rec_id, i, v)``. Decoding runs in ``mapInPandas`` (numpy), one output
+    per recording. An odd number of bytes is an error; ``pcm16_invalid`` lists
+    such recordings for a caller that wants to go on without them."""
     rec = recordings.select(F.col(id_col).alias("rec_id"), F.unbase64(audio_col).alias("pcm"))
 
     def run(batches):
         for pdf in batches:
-            ids, idx, vals = [], [], []
             for rid, b in zip(pdf["rec_id"].to_numpy(), pdf["pcm"]):
                 if b is None:
                     continue
-                raw = bytes(b)
-                a = np.frombuffer(raw[: len(raw) // 2 * 2], dtype="<i2").astype(np.float64) / 32768.0
-                ids.append(np.full(len(a), rid, dtype=np.int64))
-                idx.append(np.arange(len(a), dtype=np.int64))
-                vals.append(a)
-            if ids:
-                yield pd.DataFrame({"rec_id": np.concatenate(ids), "i": np.concatenate(idx), "v": np.concatenate(vals)})
+                if len(b) % 2:
+                    raise ValueError(f"recording {rid}: {len(b)} bytes are not 16-bit samples")
+                a = np.frombuffer(bytes(b), dtype="<i2").astype(np.float64) / 32768.0
+                yield pd.DataFrame({"rec_id": np.full(len(a), rid, dtype=np.int64), "i": np.arange(len(a), dtype=np.int64), "v": a})
 
     return rec.mapInPandas(run, "rec_id long, i long, v double")
 
 
-WAV_SCHEMA = ("path string, ok boolean, reason string, channels int, sample_rate int, bits int, "
-              "data_bytes long, duration double")
+def pcm16_invalid(recordings: DataFrame, id_col: str = "rec_id", audio_col: str = "audio") -> DataFrame:
+    """(rec_id, reason) of recordings that ``pcm16_decode`` does not accept."""
+    size = F.octet_length(F.unbase64(audio_col))
+    return recordings.filter(size % 2 != 0).select(F.col(id_col).alias("rec_id"), F.concat(
+        size.cast("string"), F.lit(" bytes are not 16-bit samples")).alias("reason"))
+
+
+def _little_endian(head: Column, at: int, size: int) -> Column:
+    """Unsigned little-endian number of ``size`` bytes at offset ``at`` of a binary column."""
+    part = F.reverse(F.transform(F.sequence(F.lit(at + 1), F.lit(at + size)), lambda i: F.hex(head.substr(i, F.lit(1)))))
+    return F.conv(F.array_join(part, ""), 16, 10).cast("long")
 
 
 def wav_info(files: DataFrame) -> DataFrame:
     """S13 + A24: RIFF/WAVE header check (PCM, 16-bit), channels, rate and
     duration = data bytes / (channels * 2 * rate). ``files``: a binaryFile
-    scan (path, content). Bad files come back with ``ok = false`` and a reason."""
-
-    def parse(b: bytes):
-        if len(b) < 44 or b[0:4] != b"RIFF" or b[8:12] != b"WAVE":
-            return (False, "not a RIFF/WAVE file", None, None, None, None, None)
-        fmt = int.from_bytes(b[20:22], "little")
-        ch = int.from_bytes(b[22:24], "little")
-        rate = int.from_bytes(b[24:28], "little")
-        bits = int.from_bytes(b[34:36], "little")
-        size = int.from_bytes(b[40:44], "little")
-        if fmt != 1:
-            return (False, "not PCM", ch, rate, bits, size, None)
-        if bits != 16:
-            return (False, "not 16-bit", ch, rate, bits, size, None)
-        dur = size / (ch * 2 * rate) if ch and rate else None
-        return (True, None, ch, rate, bits, size, dur)
-
-    def run(batches):
-        for pdf in batches:
-            rows = [(p, *parse(bytes(c))) for p, c in zip(pdf["path"], pdf["content"])]
-            yield pd.DataFrame(rows, columns=["path", "ok", "reason", "channels", "sample_rate", "bits",
-                                              "data_bytes", "duration"]).astype(
-                {"channels": "Int32", "sample_rate": "Int32", "bits": "Int32", "data_bytes": "Int64"})
-
-    return files.select("path", "content").mapInPandas(run, WAV_SCHEMA)
+    scan (path, content). Bad files come back with ``ok = false`` and a reason.
+    Only column functions on the first 44 bytes: no file content leaves the JVM."""
+    head = F.substring("content", 1, 44)
+    f = files.select("path", head.alias("h"))
+    h = F.col("h")
+    riff = (F.octet_length(h) == 44) & (h.substr(1, 4) == F.lit(b"RIFF")) & (h.substr(9, 4) == F.lit(b"WAVE"))
+    fields = {"fmt": _little_endian(h, 20, 2), "channels": _little_endian(h, 22, 2), "sample_rate": _little_endian(h, 24, 4),
+              "bits": _little_endian(h, 34, 2), "data_bytes": _little_endian(h, 40, 4)}
+    f = f.withColumn("riff", riff).select("path", "riff", *[F.when(F.col("riff"), c).alias(n) for n, c in fields.items()])
+    reason = (F.when(~F.coalesce("riff", F.lit(False)), "not a RIFF/WAVE file").when(F.col("fmt") != 1, "not PCM")
+              .when(F.col("bits") != 16, "not 16-bit"))
+    f = f.withColumn("reason", reason).withColumn("ok", F.col("reason").isNull())
+    rate = F.col("channels") * 2 * F.col("sample_rate")
+    duration = F.when(F.col("ok") & (rate > 0), F.col("data_bytes") / rate)
+    return f.select("path", "ok", "reason", F.col("channels").cast("int").alias("channels"),
+                    F.col("sample_rate").cast("int").alias("sample_rate"), F.col("bits").cast("int").alias("bits"),
+                    "data_bytes", duration.alias("duration"))
 
 
 def upload_sizes(files: DataFrame) -> DataFrame:

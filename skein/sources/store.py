@@ -19,19 +19,17 @@ def store_append(existing: DataFrame, batch: DataFrame, pk: list[str]) -> DataFr
     return existing.unionByName(b.join(existing.select(*pk), pk, "left_anti"))
 
 
-def nested_by_key(df: DataFrame, key: str, items: list[str], order: list[str], max_items: int = 10_000) -> DataFrame:
-    """``key -> sorted array<struct<items>>`` in chunks of about ``max_items``.
+def nested_by_key(df: DataFrame, key: str, items: list[str], order: list[str], chunks: int = 16) -> DataFrame:
+    """``(key, chunk) -> sorted array<struct<items>>``.
 
-    One hot key is split into ``ceil(n / max_items)`` chunks by a hash of the
-    item, so no array (and no task building one) grows with the key's size.
-    Counts per key are a pre-aggregated side table.
+    Every key is cut in the same way, whatever its size: an item's chunk is its hash modulo ``chunks``, so the
+    arrays of a hot key are ``chunks`` times smaller, and chunks without items have no row. Choose ``chunks`` for
+    the largest key; ``chunks=1`` gives one row per key.
     """
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    d = df.join(counts, key).withColumn("__chunks", F.ceil(F.col("__n") / F.lit(max_items)))
     mix = F.lit(0).cast("long")
-    for i, c in enumerate(order):
-        mix = mix * 31 + F.col(c).cast("long")
-    d = d.withColumn("chunk", F.pmod(mix, F.col("__chunks")).cast("long"))
+    for c in order:
+        mix = F.pmod(mix * 31 + F.pmod(F.col(c).cast("long"), F.lit(1 << 40)), F.lit(1 << 40))
+    d = df.withColumn("chunk", F.pmod(mix, F.lit(chunks)).cast("long"))
     return d.groupBy(key, "chunk").agg(
         F.sort_array(F.collect_list(F.struct(*[F.col(c) for c in order + [i for i in items if i not in order]])))
         .alias("couples"))

@@ -156,14 +156,15 @@ def test_low_pass_chunks_equal_recurrence(spark):
     assert np.allclose(got, want, atol=1e-12)
 
 
-@pytest.mark.parametrize("cutoff,max_back", [(0.5, 4096), (50.0, 1)])
-def test_low_pass_slow_filter_and_chained_fallback(spark, cutoff, max_back):
-    # a slow filter reaches back ~2500 chunks; max_back=1 forces the per-song chain
+@pytest.mark.parametrize("cutoff", [0.5, 50.0])
+def test_low_pass_chains_chunk_ends_on_levels(spark, cutoff, monkeypatch):
+    # arrays of two chunk ends: the song's nine chunks need every level
+    monkeypatch.setattr(audio, "CHAIN", 2)
     rnd = np.random.default_rng(4)
     x = rnd.normal(size=60)
     df = spark.createDataFrame([(s, i, float(v)) for s in (1, 2) for i, v in enumerate(x)],
                                "song_id long, i long, v double")
-    got = [r["v"] for r in audio.low_pass(df, cutoff, 1000.0, chunk=7, max_back=max_back)
+    got = [r["v"] for r in audio.low_pass(df, cutoff, 1000.0, chunk=7)
            .filter("song_id = 2").orderBy("i").collect()]
     a = audio._alpha(cutoff, 1000.0)
     y, want = 0.0, []
@@ -344,10 +345,11 @@ def test_unique_insert_rejects_d4(spark):
     assert rows(rej, "key", "reason") == [("k1", "key exists"), ("k2", "yt exists"), ("k3", "key repeated")]
 
 
-def test_nested_chunks_bounded_s10(spark):
+def test_nested_chunks_one_rule_s10(spark):
     df = spark.createDataFrame([(7, i, i % 3) for i in range(50)] + [(8, 1, 1)], "address long, anchor_ms long, song_id long")
-    out = store.nested_by_key(df, "address", ["song_id"], ["anchor_ms", "song_id"], max_items=10).collect()
+    out = store.nested_by_key(df, "address", ["song_id"], ["anchor_ms", "song_id"], chunks=5).collect()
     assert max(len(r["couples"]) for r in out) <= 20
+    assert {r["chunk"] for r in out if r["address"] == 7} == set(range(5))
     assert sum(len(r["couples"]) for r in out if r["address"] == 7) == 50
 
 
@@ -424,11 +426,12 @@ def test_song_fingerprints_equal_brute_force_x2(spark):
                     peaks.append((t, b, int(math.floor(t)), k))
         peaks.sort()
         anchors = {}
-        for i, (_, _, a_ms, a_f) in enumerate(peaks):
+        for i, (a_t, _, a_ms, a_f) in enumerate(peaks):
             for dd in range(1, audio.TARGET_ZONE + 1):
                 if i + dd < len(peaks):
-                    _, _, b_ms, b_f = peaks[i + dd]
-                    addr = ((a_f << 23) | (b_f << 14) | ((b_ms - a_ms) & 0xFFFFFFFF)) & 0xFFFFFFFF
+                    b_t, _, _, b_f = peaks[i + dd]
+                    delta = math.floor(b_t - a_t)  # of the exact times
+                    addr = ((a_f << 23) | (b_f << 14) | (delta & 0xFFFFFFFF)) & 0xFFFFFFFF
                     anchors[addr] = a_ms  # written in (anchor, distance) order: the last one wins
         want |= {(addr, int(song), ms) for addr, ms in anchors.items()}
     got = set(rows(E.queries()["song_fingerprints"](spark, "/root/testdata/sf0.001"), "address", "song_id", "anchor_ms"))
