@@ -1,5 +1,5 @@
-"""Streaming queries: each drains a table file as a stream (``availableNow``)
-into a sink under the shared checkpoint folder and returns the sink. The
+"""Streaming queries: each replays a table as three files, one per micro-batch, and drains
+that stream (``availableNow``) into a sink under the shared checkpoint folder. The
 oracle is the batch rule, including what the final watermark leaves open."""
 
 from __future__ import annotations
@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from skein.operators import match
 from skein.plans import fingerprint as fp
+from skein.plans.common import WEEK_MS
 from skein.plans.registry import query
+from skein.session import materialize
 from skein.sources.tables import Tables
 from skein.functions import scalars as SC
 from skein.streaming import streams as S
@@ -18,14 +20,22 @@ DEFAULT_WATCH = ["click", "view", "purchase"]
 SYMBOLS = ["signup", "error", "click", "view", "purchase"]
 
 
+#: where the events' replay is cut into micro-batches
+CUTS = ["2024-01-10 12:00:00", "2024-01-20 12:00:00"]
+
+
+def _events(spark, sf_dir):
+    return S.replayed(Tables(spark, sf_dir).events, "ts", CUTS)
+
+
 def _quotes(spark, sf_dir):
-    e = S.table_stream(spark, sf_dir, "events")
+    e = _events(spark, sf_dir)
     return e.select(F.col("event_type").alias("symbol"), "ts", "event_id", F.col("value").alias("price"))
 
 
 @query("throttle", sql="""
     SELECT event_type AS symbol, make_timestamp((epoch_us(ts) // 75000) * 75000) AS window_start,
-           arg_max(value, ts) AS price
+           arg_max(value, (ts, event_id)) AS price
     FROM events GROUP BY ALL
     HAVING ((epoch_us(ts) // 75000) + 1) * 75000 <= (SELECT epoch_us(max(ts)) FROM events)""")
 def q_throttle(spark, sf_dir):
@@ -40,43 +50,38 @@ def q_throttle(spark, sf_dir):
     WHERE rn <= 50 GROUP BY symbol""")
 def q_stream_history(spark, sf_dir):
     """Per symbol the last 50 prices kept in streaming state (latest emission)."""
-    out = S.run_to_table(S.keyed_history(_quotes(spark, sf_dir)), "history")
-    last = out.groupBy("symbol").agg(F.max_by(F.struct("history", "seen"), "seen").alias("x"))
-    return last.select("symbol", "x.history", "x.seen")
-
-
-def _watching(spark, sf_dir):
-    t = Tables(spark, sf_dir)
-    cmd = t.events.filter(F.col("event_type").isin("signup", "error")).select(
-        "user_id", F.element_at(F.array(*[F.lit(s) for s in SYMBOLS]),
-                                (F.get_json_object("props", "$.k").cast("int") % 5 + 1)).alias("symbol"),
-        F.when(F.col("event_type") == "signup", "watch").otherwise("unwatch").alias("action"),
-        "ts", F.col("event_id").alias("seq"))
-    users = t.events.select("user_id").distinct()
-    return S.watch_state(cmd, users, DEFAULT_WATCH)
+    return S.merged_history(S.run_to_table(S.keyed_history(_quotes(spark, sf_dir)), "history"))
 
 
 _WATCH_SQL = f"""
+  cut AS (SELECT * FROM (VALUES (0, TIMESTAMP '1970-01-01', TIMESTAMP '{CUTS[0]}'), (1, TIMESTAMP '{CUTS[0]}', TIMESTAMP '{CUTS[1]}'),
+                                (2, TIMESTAMP '{CUTS[1]}', TIMESTAMP '2100-01-01')) v(batch, low, high)),
   cmd AS (SELECT user_id, ['signup','error','click','view','purchase'][json_extract(props, '$.k')::INTEGER % 5 + 1] AS symbol,
                  CASE WHEN event_type = 'signup' THEN 'watch' ELSE 'unwatch' END AS action, ts, event_id
           FROM events WHERE event_type IN ('signup', 'error')),
-  last AS (SELECT user_id, symbol, arg_max(action, (ts, event_id)) AS action FROM cmd GROUP BY ALL),
-  dflt AS (SELECT u.user_id, s.symbol FROM (SELECT DISTINCT user_id FROM events) u,
+  last AS (SELECT batch, user_id, symbol, arg_max(action, (ts, event_id)) AS action FROM cmd JOIN cut ON ts < low GROUP BY ALL),
+  dflt AS (SELECT batch, u.user_id, s.symbol FROM cut, (SELECT DISTINCT user_id FROM events) u,
                   (SELECT unnest({DEFAULT_WATCH!r}) AS symbol) s),
-  watching AS (SELECT user_id, symbol FROM last WHERE action = 'watch'
-               UNION ALL SELECT user_id, symbol FROM dflt
-               WHERE (user_id, symbol) NOT IN (SELECT (user_id, symbol) FROM last))"""
+  watching AS (SELECT batch, user_id, symbol FROM last WHERE action = 'watch'
+               UNION ALL SELECT d.* FROM dflt d ANTI JOIN last l USING (batch, user_id, symbol)),
+  sums AS (SELECT batch, event_type AS symbol, count(*) AS quotes, sum(value) AS total_price
+           FROM events JOIN cut ON ts >= low AND ts < high GROUP BY ALL)"""
 
 
 @query("stream_watch", sql=f"""WITH {_WATCH_SQL}
-    SELECT w.user_id, q.event_type AS symbol, count(*) AS quotes, round(sum(q.value), 4) AS total_price
-    FROM events q JOIN watching w ON w.symbol = q.event_type GROUP BY ALL""")
+    SELECT batch, user_id, symbol, quotes, round(total_price, 4) AS total_price FROM watching JOIN sums USING (batch, symbol)""")
 def q_stream_watch(spark, sf_dir):
-    """T4: quotes delivered per watcher (every delivered row goes to the sink;
-    the query reports the deliveries per user and symbol)."""
-    out = S.run_to_table(S.watched_quotes(_quotes(spark, sf_dir), _watching(spark, sf_dir)), "watch")
-    return out.groupBy("user_id", "symbol").agg(F.count(F.lit(1)).alias("quotes"),
-                                                 F.round(F.sum("price"), 4).alias("total_price"))
+    """T4: what every watcher got in each micro-batch; watch and unwatch commands arrive in the same stream and take
+    effect between micro-batches."""
+    e = _events(spark, sf_dir)
+    symbol = F.element_at(F.array(*[F.lit(s) for s in SYMBOLS]), (F.get_json_object("props", "$.k").cast("int") % 5 + 1))
+    action = F.when(F.col("event_type") == "signup", "watch").when(F.col("event_type") == "error", "unwatch")
+    common = ["user_id", F.col("value").alias("price"), "ts", "event_id"]
+    quotes = e.select(F.lit("quote").alias("kind"), F.col("event_type").alias("symbol"), F.lit(None).cast("string").alias("action"), *common)
+    commands = e.filter(action.isNotNull()).select(F.lit("command").alias("kind"), symbol.alias("symbol"), action.alias("action"), *common)
+    users = Tables(spark, sf_dir).events.select("user_id").distinct()
+    out = S.run_to_table(quotes.unionByName(commands), "watch", foreach=S.deliver(users, DEFAULT_WATCH))
+    return out.select(F.col("batch").cast("int").alias("batch"), "user_id", "symbol", "quotes", F.round("total_price", 4).alias("total_price"))
 
 
 @query("stream_merge", sql="""
@@ -84,7 +89,7 @@ def q_stream_watch(spark, sf_dir):
     UNION ALL SELECT 'chat', conv_id * 1000 + turn, role FROM conversations""")
 def q_stream_merge(spark, sf_dir):
     """T5: two producers merged into one stream, fanned out to two sinks per batch."""
-    a = S.table_stream(spark, sf_dir, "events").select(
+    a = _events(spark, sf_dir).select(
         F.lit("events").alias("source"), F.col("event_id").alias("key"), F.col("event_type").alias("text"))
     b = S.table_stream(spark, sf_dir, "conversations").select(
         F.lit("chat").alias("source"), (F.col("conv_id") * 1000 + F.col("turn")).alias("key"),
@@ -111,36 +116,59 @@ def q_stream_sanitize(spark, sf_dir):
     FROM s GROUP BY user_id, sid HAVING max(ts) + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events)""")
 def q_sessions(spark, sf_dir):
     """5-minute sessions per user from the drained stream."""
-    return S.run_to_table(S.sessions(S.table_stream(spark, sf_dir, "events")), "sessions")
+    return S.run_to_table(S.sessions(_events(spark, sf_dir)), "sessions")
 
 
 @query("running_count", sql="""
     SELECT user_id AS key, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events""")
 def q_running_count(spark, sf_dir):
     """A running counter per user, the new value for every increment."""
-    return S.run_to_table(S.running_counts(S.table_stream(spark, sf_dir, "events")), "count")
+    return S.run_to_table(_events(spark, sf_dir), "count", foreach=S.number_batches("user_id")).drop("batch")
+
+
+@query("session_cache", sql="""
+    WITH e AS (SELECT user_id, ts, event_id, event_type = 'error' AS bad,
+                      lag(ts) OVER w AS before, coalesce(lag(event_type) OVER w = 'error', true) AS after_bad
+               FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    f AS (SELECT *, NOT bad AND (after_bad OR ts - before >= INTERVAL 5 MINUTE) AS starts,
+                 bad AND NOT after_bad AND ts - before < INTERVAL 5 MINUTE AS evicts,
+                 bad AND NOT after_bad AND ts - before >= INTERVAL 5 MINUTE AS too_late FROM e),
+    g AS (SELECT *, sum(starts::INTEGER) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM f
+          WHERE starts OR NOT bad OR evicts),
+    s AS (SELECT user_id, sid, min(ts) AS session_start, max(ts) AS last_seen, count(*) AS events,
+                 CASE WHEN bool_or(evicts) THEN 'evicted' ELSE 'expired' END AS ended FROM g GROUP BY user_id, sid)
+    SELECT user_id, session_start, last_seen, events, ended FROM s
+    WHERE ended = 'evicted' OR last_seen + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events)""")
+def q_session_cache(spark, sf_dir):
+    """T7 with explicit eviction: an error event ends its user's session at once."""
+    out = S.run_to_table(S.session_cache(_events(spark, sf_dir)), "cache")
+    ntz = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return out.select("user_id", ntz("session_start"), ntz("last_seen"), "events", "ended")
 
 
 @query("status_counts", sql="SELECT event_type AS status, count(*) AS n FROM events GROUP BY ALL")
 def q_status_counts(spark, sf_dir):
     """Totals per status (complete mode, newest totals replace the table)."""
-    return S.run_to_table(S.status_counts(S.table_stream(spark, sf_dir, "events")), "status",
+    return S.run_to_table(S.status_counts(_events(spark, sf_dir)), "status",
                           mode="complete", foreach=S.overwrite_batches)
 
 
 @query("stream_match", sql=fp._FP_SQL + ", " + fp._TIMING_SQL + f"""
     SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY score DESC, song_id)::BIGINT AS rank
-                   FROM scores) WHERE rank <= {fp.TOP_K}""")
+                   FROM scores) WHERE rank <= {fp.TOP_K}
+      AND (request_id % 10000 + 1) * {WEEK_MS} <= (SELECT epoch_ms(max(ts)) FROM events)""")
 def q_stream_match(spark, sf_dir):
-    """Recordings arrive as a stream; every micro-batch is fingerprinted,
-    matched against the stored index and answered with its top 10."""
+    """Recordings arrive as a stream; a clip's events are collected until the watermark has passed its week,
+    then it is fingerprinted, matched against the stored index and answered with its top 10, once."""
     t = Tables(spark, sf_dir)
-    index = fp.library_index(t)
+    index = materialize(fp.library_index(t), "stored_index")
     songs = fp.songs(t)
 
     def answer(batch, batch_id, out):
-        clips = fp.clip_fingerprints(t, batch)
+        events = batch.select("user_id", F.inline("rows"))
+        clips = fp.clip_fingerprints(t, events)
         top = match.top_matches(match.match_scores(match.fingerprint_join(clips, index), songs), fp.TOP_K)
         top.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    return S.run_to_table(S.table_stream(spark, sf_dir, "events"), "match", foreach=answer).drop("batch")
+    clips = S.closed_groups(_events(spark, sf_dir), ["user_id"], "ts", "7 days", ["event_id", "ts", "value"])
+    return S.run_to_table(clips, "match", foreach=answer).drop("batch")

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from skein.functions.scalars import sanitize_html
-from skein.session import scratch_path
+from skein.operators.windows import dense_index
+from skein.session import _tables_dir
 
 
 # ------------------------------------------------------------------- plumbing
@@ -33,6 +34,22 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | N
     return r.parquet(sf_dir)
 
 
+def replayed(df: DataFrame, ts: str, cuts: list[str]) -> DataFrame:
+    """``df`` as a stream of ``len(cuts) + 1`` files, one per micro-batch: the rows before the first cut, those
+    between each two, and the rest, in this order. Inside a file rows come in no particular order."""
+    spark = df.sparkSession
+    base = f"{_tables_dir(spark)}/streams/replay-{uuid.uuid4().hex}"
+    edges = [None, *cuts, None]
+    for low, high in zip(edges, edges[1:]):
+        part = df
+        if low is not None:
+            part = part.filter(F.col(ts) >= F.lit(low).cast(df.schema[ts].dataType))
+        if high is not None:
+            part = part.filter(F.col(ts) < F.lit(high).cast(df.schema[ts].dataType))
+        part.coalesce(1).write.mode("append").parquet(base)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(base)
+
+
 def with_event_time(df: DataFrame, ts: str = "ts", out: str = "ets") -> DataFrame:
     return df.withColumn(out, F.col(ts).cast("timestamp"))
 
@@ -42,7 +59,7 @@ def run_to_table(df: DataFrame, name: str, mode: str = "append",
     """Drain ``df`` (``availableNow``) into a parquet sink in the shared checkpoint
     folder and return the sink as a batch DataFrame."""
     spark = df.sparkSession
-    base = scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex}")
+    base = f"{_tables_dir(spark)}/streams/{name}-{uuid.uuid4().hex}"  # released with the other written tables
     w = df.writeStream.option("checkpointLocation", f"{base}/_checkpoint").trigger(availableNow=True)
     if foreach is not None:
         q = w.foreachBatch(lambda b, i: foreach(b, i, f"{base}/out")).outputMode(mode).start()
@@ -62,41 +79,76 @@ def clock_stream(spark: SparkSession, rows_per_second: int = 10) -> DataFrame:
 
 def throttle(quotes: DataFrame, every: str = "75 milliseconds", delay: str = "0 seconds") -> DataFrame:
     """At most one update per symbol per interval: the latest price of each
-    tumbling window, emitted once the watermark passes the window."""
+    tumbling window (of equal times the one with the largest id), emitted once the watermark passes the window."""
     q = with_event_time(quotes).withWatermark("ets", delay)
-    g = q.groupBy("symbol", F.window("ets", every).alias("w")).agg(F.max_by("price", "ets").alias("price"))
+    g = q.groupBy("symbol", F.window("ets", every).alias("w")).agg(F.max_by("price", F.struct("ets", "event_id")).alias("price"))
     return g.select("symbol", F.col("w.start").cast("timestamp_ntz").alias("window_start"), "price")
 
 
-HISTORY_SCHEMA = "symbol string, history array<double>, seen long"
-HISTORY_STATE = "prices array<double>, seen long"
+HISTORY_SCHEMA = "symbol string, part int, ts array<long>, ids array<long>, prices array<double>, seen long"
+HISTORY_STATE = "ts array<long>, ids array<long>, prices array<double>, seen long"
+HISTORY_PARTS = 8
 
 
-def keyed_history(quotes: DataFrame, n: int = 50) -> DataFrame:
-    """Per symbol the last ``n`` prices (oldest first), updated every
-    micro-batch; state is bounded by ``n`` values per key."""
+def keyed_history(quotes: DataFrame, n: int = 50, parts: int = HISTORY_PARTS) -> DataFrame:
+    """The last ``n`` prices of each symbol, by (ts, event_id), updated every micro-batch.
+
+    A symbol is dealt over ``parts`` states (by a hash of the event), so a few hot symbols don't carry the stream
+    in a few tasks; each state keeps the newest ``n`` of its rows, in whatever order and chunks they come.
+    ``merged_history`` puts the parts together."""
 
     def fn(key, pdfs, state):
-        prices, seen = ([], 0)
+        kept = pd.DataFrame({"ts": [], "event_id": [], "price": []})
+        seen = 0
         if state.exists:
-            prices, seen = list(state.get[0]), int(state.get[1])
+            ts, ids, prices, seen = state.get
+            kept = pd.DataFrame({"ts": list(ts), "event_id": list(ids), "price": list(prices)})
         for pdf in pdfs:
-            pdf = pdf.sort_values(["ts", "event_id"])
-            prices.extend(pdf["price"].tolist())
             seen += len(pdf)
-            prices = prices[-n:]
-        state.update((prices, seen))
-        yield pd.DataFrame({"symbol": [key[0]], "history": [prices], "seen": [seen]})
+            kept = pd.concat([kept, pdf[["ts", "event_id", "price"]]]).sort_values(["ts", "event_id"]).tail(n)
+        ts, ids, prices = kept["ts"].astype("int64").tolist(), kept["event_id"].astype("int64").tolist(), kept["price"].tolist()
+        state.update((ts, ids, prices, int(seen)))
+        yield pd.DataFrame({"symbol": [key[0]], "part": [key[1]], "ts": [ts], "ids": [ids], "prices": [prices], "seen": [seen]})
+
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    part = F.pmod(F.xxhash64("event_id"), F.lit(parts)).cast("int")
+    rows = quotes.select("symbol", part.alias("part"), micros.alias("ts"), F.col("event_id").cast("long").alias("event_id"),
+                         F.col("price").cast("double").alias("price"))
+    return rows.groupBy("symbol", "part").applyInPandasWithState(fn, HISTORY_SCHEMA, HISTORY_STATE, "append", GroupStateTimeout.NoTimeout)
 
-    return quotes.groupBy("symbol").applyInPandasWithState(
-        fn, HISTORY_SCHEMA, HISTORY_STATE, "append", GroupStateTimeout.NoTimeout)
+
+def merged_history(parts: DataFrame, n: int = 50) -> DataFrame:
+    """(symbol, history, seen) from the newest emission of each part."""
+    last = parts.groupBy("symbol", "part").agg(F.max_by(F.struct("ts", "ids", "prices", "seen"), "seen").alias("x"))
+    seen = last.groupBy("symbol").agg(F.sum("x.seen").alias("seen"))
+    rows = last.select("symbol", F.inline(F.arrays_zip("x.ts", "x.ids", "x.prices")))
+    top = rows.groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct("ts", "ids", "prices"))).alias("rows"))  # parts * n at most
+    history = F.transform(F.slice("rows", F.greatest(F.size("rows") - n + 1, F.lit(1)), n), lambda r: r["prices"])
+    return top.select("symbol", history.alias("history")).join(seen, "symbol")
 
 
 def watched_quotes(quotes: DataFrame, watching: DataFrame) -> DataFrame:
-    """T4: quotes delivered to every user watching their symbol (stream-static
-    join; the static watch table is read again for every micro-batch, so
-    watch / unwatch commands written to it take effect while the stream runs)."""
-    return quotes.join(watching, "symbol")
+    """T4: what every watcher gets: (user_id, symbol, quotes, total_price). Quotes are summed up per symbol first,
+    so the join has one row per watcher and symbol, not one per watcher and quote."""
+    sums = quotes.groupBy("symbol").agg(F.count(F.lit(1)).alias("quotes"), F.sum("price").alias("total_price"))
+    return watching.join(sums, "symbol").select("user_id", "symbol", "quotes", "total_price")
+
+
+def deliver(users: DataFrame, defaults: list[str]) -> Callable:
+    """T4 as a ``foreachBatch`` writer over rows (kind "quote" or "command", user_id, symbol, action, price, ts,
+    event_id): a batch's quotes go to those who watch by the commands of earlier batches; its own commands take effect
+    with the next batch. Replaying a batch writes the same files again."""
+
+    def write(batch: DataFrame, batch_id: int, out: str):
+        spark = batch.sparkSession
+        commands = f"{out}_commands"
+        command = batch.filter("kind = 'command'").select("user_id", "symbol", "action", "ts", F.col("event_id").alias("seq"))
+        command.write.mode("overwrite").parquet(f"{commands}/batch={batch_id}")
+        before = spark.read.schema(command.schema.add("batch", "long")).parquet(commands).filter(F.col("batch") < batch_id).drop("batch")
+        got = watched_quotes(batch.filter("kind = 'quote'"), watch_state(before, users, defaults))
+        got.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return write
 
 
 def watch_state(commands: DataFrame, users: DataFrame, defaults: list[str]) -> DataFrame:
@@ -144,7 +196,8 @@ SESSION_STATE = "session_start timestamp, last_seen timestamp, events long"
 def session_cache(events: DataFrame, gap_ms: int = 300_000, evict_type: str = "error") -> DataFrame:
     """T7 with explicit eviction: put/get (any event) refreshes the session,
     an ``evict_type`` event ends it at once, silence for ``gap_ms`` ends it on
-    the event-time timeout."""
+    the event-time timeout. One key's rows of a micro-batch are put in order
+    as a whole (they come in several chunks), so the source's batch size bounds them."""
 
     def fn(key, pdfs, state):
         out = []
@@ -154,7 +207,7 @@ def session_cache(events: DataFrame, gap_ms: int = 300_000, evict_type: str = "e
             state.remove()
         else:
             cur = state.get if state.exists else None
-            for pdf in pdfs:
+            for pdf in [pd.concat(list(pdfs))]:
                 for row in pdf.sort_values(["ets", "event_id"]).itertuples():
                     t = row.ets
                     if cur is not None and (t - cur[1]).total_seconds() * 1000 >= gap_ms:
@@ -180,27 +233,38 @@ def session_cache(events: DataFrame, gap_ms: int = 300_000, evict_type: str = "e
         fn, SESSION_OUT, SESSION_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-COUNT_OUT = "key long, event_id long, n long"
+def number_batches(key: str = "user_id") -> Callable:
+    """``foreachBatch`` writer of a counter per key: every increment (key, event_id, n) with the new value.
 
+    Inside a batch rows are numbered by (ts, event_id) through distributed positions, after the key's total of the
+    batches before; totals are kept as a table per batch. Replaying a batch writes the same files again."""
 
-def running_counts(events: DataFrame, key: str = "user_id") -> DataFrame:
-    """A counter per key; every increment returns the new value.
-    State is one long per key."""
+    def write(batch: DataFrame, batch_id: int, out: str):
+        spark = batch.sparkSession
+        totals = f"{out}_totals"
+        rows = batch.select(F.col(key).alias("key"), "event_id", "ts")
+        numbered = dense_index(rows, ["key"], None, [F.col("ts"), F.col("event_id")], out="n", start=1)
+        counted = numbered.groupBy("key").agg(F.max("n").alias("n"))
+        if batch_id:
+            before = spark.read.parquet(f"{totals}/batch={batch_id - 1}").select("key", F.col("n").alias("before"))
+        else:
+            before = counted.select("key", F.lit(0).cast("long").alias("before")).limit(0)
+        same = F.col("key").eqNullSafe(F.col("k"))
+        more = before.withColumnRenamed("key", "k")
+        done = numbered.join(more, same, "left").select("key", "event_id", (F.col("n") + F.coalesce("before", F.lit(0))).alias("n"))
+        done.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        both = counted.unionByName(before.withColumnRenamed("before", "n"))
+        both.groupBy("key").agg(F.sum("n").alias("n")).write.mode("overwrite").parquet(f"{totals}/batch={batch_id}")
 
-    def fn(k, pdfs, state):
-        n = int(state.get[0]) if state.exists else 0
-        outs = []
-        for pdf in pdfs:
-            pdf = pdf.sort_values(["ts", "event_id"])
-            vals = n + pd.RangeIndex(1, len(pdf) + 1).to_numpy()
-            n += len(pdf)
-            outs.append(pd.DataFrame({"key": k[0], "event_id": pdf["event_id"].to_numpy(), "n": vals}))
-        state.update((n,))
-        if outs:
-            yield pd.concat(outs)
-
-    return events.select(F.col(key).alias("k"), "event_id", "ts").groupBy("k").applyInPandasWithState(
-        fn, COUNT_OUT, "n long", "append", GroupStateTimeout.NoTimeout)
+    return write
+
+
+def closed_groups(rows: DataFrame, keys: list, ts: str, every: str, values: list[str]) -> DataFrame:
+    """(keys, window_start, rows): the rows of each key and window of event time, once, when the watermark has passed
+    the window; until then they are state, whatever batches they come in."""
+    e = with_event_time(rows, ts).withWatermark("ets", "0 seconds")
+    return e.groupBy(*keys, F.window("ets", every).alias("w")).agg(F.collect_list(F.struct(*values)).alias("rows")).select(
+        *keys, F.col("w.start").alias("window_start"), "rows")
 
 
 def status_counts(events: DataFrame, status: str = "event_type") -> DataFrame:
