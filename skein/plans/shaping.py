@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skein.operators import catalogue as track_catalogue
 from skein.operators import shape
 from skein.plans.registry import query
 from skein.sources.tables import Tables
@@ -178,16 +179,44 @@ def q_url_path_id(spark, sf_dir):
     return p.select("page_id", shape.url_path_part("url", 4).alias("path_id"))
 
 
-@query("json_items", sql="""
-    SELECT event_id, json_extract(props, '$.k')::INTEGER AS k,
-           round(value * 1000)::BIGINT AS duration_ms, (round(value * 1000)::BIGINT // 1000) AS duration_s
-    FROM events""")
+_PAGES_SQL = """
+  i AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS pos, l_linenumber,
+               p_name, p_type, p_brand, s_name, (l_extendedprice * 100)::BIGINT AS ms
+        FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey)"""
+
+
+def _catalogue_pages(t):
+    """One JSON page per order, its items the order's lines: playlist pages for even order keys, album pages for odd
+    ones. Every third line has no artists, the others two."""
+    li = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey")).join(t.supplier, F.col("s_suppkey") == F.col("l_suppkey"))
+    name = lambda c: F.struct(F.col(c).alias("name"))
+    artist = lambda c: F.struct(name(c).alias("profile"))
+    none = F.array().cast("array<struct<profile: struct<name: string>>>")
+    artists = F.struct(F.when(F.col("l_linenumber") % 3 != 0, F.array(artist("s_name"), artist("p_brand"))).otherwise(none).alias("items"))
+    lasts = F.struct((F.col("l_extendedprice") * 100).cast("long").alias("totalMilliseconds"))
+    song = F.struct(F.col("p_name").alias("name"), artists.alias("artists"), name("p_type").alias("albumOfTrack"), lasts.alias("trackDuration"),
+                    lasts.alias("duration"))
+    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", song.alias("song")))).alias("lines"))
+    o = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", "o_orderpriority", "lines")
+    playlist = F.struct(F.struct(F.struct(F.col("o_orderpriority").alias("name"), F.struct(F.size("lines").alias("totalCount"), F.transform(
+        "lines", lambda x: F.struct(F.struct(x["song"].alias("data")).alias("itemV2"))).alias("items")).alias("content")).alias("playlistV2")).alias("data"))
+    album = F.struct(F.struct(F.struct(F.col("o_orderpriority").alias("name"), F.struct(F.transform(
+        "lines", lambda x: F.struct(x["song"].alias("track"))).alias("items")).alias("tracks")).alias("albumUnion")).alias("data"))
+    return o.select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, F.to_json(playlist)).otherwise(F.to_json(album)).alias("page"))
+
+
+@query("json_items", sql=f"""WITH {_PAGES_SQL}
+    SELECT o_orderkey, pos::INTEGER AS pos, coalesce(p_name, '') AS title, CASE WHEN l_linenumber % 3 <> 0 THEN s_name ELSE '' END AS artist,
+           CASE WHEN l_linenumber % 3 <> 0 THEN [s_name, p_brand] ELSE []::VARCHAR[] END AS artists,
+           CASE WHEN pos IS NULL AND o_orderkey % 2 = 0 THEN '' WHEN o_orderkey % 2 = 0 THEN p_type ELSE o_orderpriority END AS album,
+           coalesce(ms // 1000, 0) AS duration_s
+    FROM orders LEFT JOIN i ON l_orderkey = o_orderkey""")
 def q_json_items(spark, sf_dir):
-    """JSON record fields to columns; ms -> s by integer division."""
-    e = Tables(spark, sf_dir).events
-    ms = F.round(F.col("value") * 1000).cast("long")
-    return e.select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"),
-                    ms.alias("duration_ms"), F.floor(ms / 1000).cast("long").alias("duration_s"))
+    """Playlist and album pages (JSON text with an item array) to track rows; ms to s by integer division."""
+    pages = _catalogue_pages(Tables(spark, sf_dir))
+    even = F.col("o_orderkey") % 2 == 0
+    return track_catalogue.track_rows(pages.filter(even), "page", "playlist").unionByName(
+        track_catalogue.track_rows(pages.filter(~even), "page", "album"))
 
 
 @query("composite_key", sql="""
