@@ -144,20 +144,36 @@ def dct2(grid: Column | str, n: int) -> Column:
     return let(F.struct(dct_rows(grid, n).alias("r"), cos_table(n).alias("c")), cols)
 
 
-def phash(grid: Column | str, n: int, mode: str = "median") -> Column:
-    """DCT hash. ``median`` (Python form): coefficients > their median;
-    ``mean_no_dc`` (Scala form): > mean of all but the DC term;
-    ``simple``: 1-D row DCT, columns 1.. n-1, > their mean."""
+def phash(grid: Column | str, n: int, mode: str = "median", hash_size: int | None = None) -> Column:
+    """DCT hash of the ``hash_size`` x ``hash_size`` lowest frequencies of an n x n grid (8 of 32 in the usual form;
+    default: 8, or n if that is smaller). The rest, the fine detail, is left out.
+
+    ``median`` (Python form): coefficients > their median; ``mean_no_dc`` (Scala form): coefficients with the first row
+    and column scaled by 1/sqrt(2), > the mean of all but the DC term, horizontal frequency first; ``simple``: 1-D row
+    DCT, the first ``hash_size`` rows, columns 1 to ``hash_size`` (to n - 1 at most), > their mean."""
+    k = min(n, 8) if hash_size is None else hash_size
+    if not 2 <= k <= n:
+        raise ValueError(f"hash_size must be from 2 to {n}")
+
     def above(stat):
         return lambda d: let(stat(d), lambda m: bits_to_long(F.transform(d, lambda x: x > m)))
 
+    def low(d: Column, first: int = 0, turned: bool = False) -> Column:
+        last = min(k, n - first)
+        places = [(v, u) if turned else (u, v) for u in range(k) for v in range(first, first + last)]
+        return F.transform(F.array(*[F.lit(u * n + v + 1) for u, v in places]), lambda i: F.element_at(d, i))
+
+    def scaled(d: Column) -> Column:
+        half = 1 / math.sqrt(2)
+        return F.transform(d, lambda x, i: x * F.when(i < n, half).otherwise(1.0) * F.when(i % n == 0, half).otherwise(1.0))
+
     if mode == "simple":
-        keep = let(dct_rows(grid, n), lambda d: F.filter(d, lambda x, i: i % n != 0))
-        return let(keep, above(mean_of))
+        return let(let(dct_rows(grid, n), lambda d: low(d, 1)), above(mean_of))
     if mode == "median":
-        return let(dct2(grid, n), above(median_of))
+        return let(let(dct2(grid, n), lambda d: low(d)), above(median_of))
     if mode == "mean_no_dc":
-        return let(dct2(grid, n), above(lambda d: mean_of(F.slice(d, 2, n * n - 1))))
+        kept = let(let(dct2(grid, n), scaled), lambda d: low(d, turned=True))
+        return let(kept, above(lambda d: mean_of(F.slice(d, 2, k * k - 1))))
     raise ValueError(mode)
 
 

@@ -233,7 +233,7 @@ def hash_rows(grids: DataFrame, w: int, h: int) -> DataFrame:
         H.hash_hex(H.average_hash(g), w * h).alias("ahash"),
         H.hash_hex(H.dhash(g, w, h), (w - 1) * h).alias("dhash"),
         H.hash_hex(H.dhash_vertical(g, w, h), w * (h - 1)).alias("dhash_vertical"),
-        H.hash_hex(H.phash(g, w, "median"), w * h).alias("phash"),
+        H.hash_hex(H.phash(g, w, "median"), min(w, 8) ** 2).alias("phash"),
         H.hash_hex(H.wavelet_hash(g), w * h).alias("whash"),
     )
 
@@ -248,7 +248,9 @@ HASHERS = {
     "ahash": lambda g, w, h: (H.average_hash(g), w * h),
     "dhash": lambda g, w, h: (H.dhash(g, w, h), (w - 1) * h),
     "dhash_vertical": lambda g, w, h: (H.dhash_vertical(g, w, h), w * (h - 1)),
-    "phash": lambda g, w, h: (H.phash(g, w, "median"), w * h),
+    "phash": lambda g, w, h: (H.phash(g, w, "median"), min(w, 8) ** 2),
+    "phash_mean": lambda g, w, h: (H.phash(g, w, "mean_no_dc"), min(w, 8) ** 2),
+    "phash_simple": lambda g, w, h: (H.phash(g, w, "simple"), min(w, 8) * min(w - 1, 8)),
     "whash": lambda g, w, h: (H.wavelet_hash(g), w * h),
 }
 

@@ -59,7 +59,8 @@ _DV = f"""dv AS (SELECT a.vec_id, {_bits('b.p > a.p', 'a.i')} AS u FROM g a JOIN
 _CO = """co AS (SELECT g.vec_id, uu.u, vv.v, sum(p * cos(pi() / 16 * uu.u * (2 * (i // 8) + 1)) * cos(pi() / 16 * vv.v * (2 * (i % 8) + 1))) AS c
                 FROM g, range(8) AS uu(u), range(8) AS vv(v) GROUP BY ALL)"""
 _PH = f"""ph AS (SELECT vec_id, {_bits('c > med', 'u * 8 + v')} AS u FROM co JOIN (SELECT vec_id, median(c) AS med FROM co GROUP BY 1) USING (vec_id) GROUP BY vec_id)"""
-_PS = f"""ps AS (SELECT vec_id, {_bits('c > mn', 'u * 8 + v')} AS u FROM co JOIN (SELECT vec_id, avg(c) AS mn FROM co WHERE u + v > 0 GROUP BY 1) USING (vec_id) GROUP BY vec_id)"""
+_PS = f"""cs AS (SELECT vec_id, u, v, c * CASE WHEN u = 0 THEN 1 / sqrt(2) ELSE 1 END * CASE WHEN v = 0 THEN 1 / sqrt(2) ELSE 1 END AS c FROM co),
+  ps AS (SELECT vec_id, {_bits('c > mn', 'v * 8 + u')} AS u FROM cs JOIN (SELECT vec_id, avg(c) AS mn FROM cs WHERE u + v > 0 GROUP BY 1) USING (vec_id) GROUP BY vec_id)"""
 _CR = """cr AS (SELECT g.vec_id, i // 8 AS y, kk.k, sum(p * cos(pi() / 16 * kk.k * (2 * (i % 8) + 1))) AS c
                 FROM g, range(1, 8) AS kk(k) GROUP BY ALL)"""
 _P1 = f"""p1 AS (SELECT vec_id, {_bits('c > mn', 'y * 8 + k')} AS u FROM cr JOIN (SELECT vec_id, avg(c) AS mn FROM cr GROUP BY 1) USING (vec_id) GROUP BY vec_id)"""
@@ -113,7 +114,7 @@ def q_phash_median(spark, sf_dir):
 
 @query("phash", sql=_w(_G, _CO, _PS) + f"SELECT vec_id AS img, {_hex('u', 16)} AS hash FROM ps")
 def q_phash(spark, sf_dir):
-    """DCT hash, coefficients above the mean without the DC term (Scala form)."""
+    """DCT hash, scaled coefficients above the mean without the DC term (Scala form)."""
     g = grids(Tables(spark, sf_dir))
     return g.select("img", H.hash_hex(H.phash("grid", W, "mean_no_dc"), 64).alias("hash"))
 
@@ -125,6 +126,39 @@ def q_phash_simple(spark, sf_dir):
     return g.select("img", H.hash_hex(H.phash("grid", W, "simple"), 56).alias("hash"))
 
 
+def grids16(t: Tables) -> DataFrame:
+    """16x16 images made of four neighbouring ones (vec_id / 4), two by two; incomplete fours are no image."""
+    g = grids(t).withColumn("four", F.floor(F.col("img") / 4).cast("long"))
+    parts = g.groupBy("four").agg(F.sort_array(F.collect_list(F.struct((F.col("img") % 4).alias("at"), "grid"))).alias("parts"))
+    parts = parts.filter(F.size("parts") == 4)  # four rows of a group at most
+    pixel = lambda i: (i / 128).cast("int") * 2 + ((i % 16) / 8).cast("int")
+    inner = lambda i: ((i / 16).cast("int") % 8) * 8 + i % 8
+    whole = F.transform(F.sequence(F.lit(0), F.lit(255)), lambda i: F.element_at(
+        F.element_at(F.col("parts"), pixel(i) + 1)["grid"], inner(i) + 1))
+    return parts.select(F.col("four").alias("img"), whole.alias("grid"))
+
+
+_G16 = """g16 AS (SELECT vec_id // 4 AS img, (vec_id % 4) // 2 * 8 + i // 8 AS y, (vec_id % 4) % 2 * 8 + i % 8 AS x, p FROM g
+          WHERE vec_id // 4 IN (SELECT vec_id // 4 FROM embeddings GROUP BY 1 HAVING count(*) = 4))"""
+
+
+@query("phash_lowfreq", sql=_w(_G, _G16) + f""",
+    co AS (SELECT img, uu.u, vv.v, sum(p * cos(pi() / 32 * uu.u * (2 * y + 1)) * cos(pi() / 32 * vv.v * (2 * x + 1))) AS c
+           FROM g16, range(8) AS uu(u), range(8) AS vv(v) GROUP BY ALL),
+    ph AS (SELECT img, {_bits('c > med', 'u * 8 + v')} AS u FROM co JOIN (SELECT img, median(c) AS med FROM co GROUP BY 1) USING (img) GROUP BY img),
+    cs AS (SELECT img, u, v, c * CASE WHEN u = 0 THEN 1 / sqrt(2) ELSE 1 END * CASE WHEN v = 0 THEN 1 / sqrt(2) ELSE 1 END AS c FROM co),
+    ps AS (SELECT img, {_bits('c > mn', 'v * 8 + u')} AS u FROM cs JOIN (SELECT img, avg(c) AS mn FROM cs WHERE u + v > 0 GROUP BY 1) USING (img) GROUP BY img),
+    cr AS (SELECT img, y, kk.k, sum(p * cos(pi() / 32 * kk.k * (2 * x + 1))) AS c FROM g16, range(1, 9) AS kk(k) WHERE y < 8 GROUP BY ALL),
+    p1 AS (SELECT img, {_bits('c > mn', 'y * 8 + k')} AS u FROM cr JOIN (SELECT img, avg(c) AS mn FROM cr GROUP BY 1) USING (img) GROUP BY img)
+    SELECT img, {_hex('ph.u', 16)} AS median, {_hex('ps.u', 16)} AS mean, {_hex('p1.u', 16)} AS simple
+    FROM ph JOIN ps USING (img) JOIN p1 USING (img)""")
+def q_phash_lowfreq(spark, sf_dir):
+    """the three DCT hashes of the 8x8 lowest frequencies of 16x16 images."""
+    g = grids16(Tables(spark, sf_dir))
+    of = lambda mode: H.hash_hex(H.phash("grid", 16, mode, 8), 64)
+    return g.select("img", of("median").alias("median"), of("mean_no_dc").alias("mean"), of("simple").alias("simple"))
+
+
 @query("whash", sql=_w(_G, _WH) + f"SELECT vec_id AS img, {_hex('u', 16)} AS hash FROM wh")
 def q_whash(spark, sf_dir):
     """F8: Haar wavelet hash at hash size (value above the median)."""

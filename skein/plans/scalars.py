@@ -63,9 +63,10 @@ def q_clean_name(spark, sf_dir):
                     S.clean_file_name("url", windows=True).alias("windows_name"))
 
 
-@query("url_encoded")
+@query("url_encoded", sql="""
+    SELECT conv_id, turn, replace(replace(replace(url_encode(text), '%20', '+'), '%2A', '*'), '~', '%7E') AS encoded FROM conversations""")
 def q_url_encoded(spark, sf_dir):
-    """query-string encoding of whole messages (rows check: encoders differ in detail)."""
+    """query-string (form) encoding of whole messages."""
     c = Tables(spark, sf_dir).conversations
     return c.select("conv_id", "turn", S.query_encode("text").alias("encoded"))
 

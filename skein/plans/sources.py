@@ -64,7 +64,9 @@ def q_fingerprint_nested(spark, sf_dir):
     return store.nested_by_key(idx, "address", ["song_id"], ["anchor_ms", "song_id"], 16)
 
 
-@query("pcm_decode")
+@query("pcm_decode", sql="""
+    WITH s AS (SELECT event_id AS rec_id, unnest([0, 1, 2]) AS i, value / 500 - 0.5 AS s FROM events)
+    SELECT rec_id, i::BIGINT AS i, trunc(CASE i WHEN 0 THEN s WHEN 1 THEN -s ELSE s / 2 END * 32767) / 32768 AS v FROM s""")
 def q_pcm_decode(spark, sf_dir):
     """Recordings (base64 16-bit PCM, one per event: three samples derived
     from its value) decoded to samples."""
