@@ -80,18 +80,31 @@ def pcm_quantise(sample: Column | str, bits: int) -> Column:
 SAFE_TAGS = ["a", "b", "blockquote", "br", "cite", "code", "dd", "dl", "dt", "em", "i", "li", "ol",
              "p", "pre", "q", "small", "span", "strike", "strong", "sub", "sup", "u", "ul"]
 
-SCRIPT_RX = r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>"
-COMMENT_RX = r"(?s)<!--.*?-->"
-SAFE_TAG_RX = r"(?i)<(/?)(" + "|".join(SAFE_TAGS) + r")\b[^>]*>"
-ANY_TAG_RX = r"<[^>]*>"
+# Clean-up steps (pattern, replacement with \\1, \\2 for groups), in order. What is kept is put between
+# \u0001 and \u0002 first, so the sweep of all other tags leaves it alone. Links keep an absolute href and are marked
+# nofollow, quotations keep an absolute cite; these are the attributes of the basic safe list.
+SANITIZE_STEPS = (
+    (r"(?is)<(script|style)\b[^>]*>.*?</(script|style)\s*>", ""),
+    (r"(?s)<!--.*?-->", ""),
+    (r'(?i)<a\b[^>]*?\bhref\s*=\s*"((?:https?|ftp|mailto):[^"]*)"[^>]*>', '\u0001a href="\\1" rel="nofollow"\u0002'),
+    (r"(?i)<a\b[^>]*>", '\u0001a rel="nofollow"\u0002'),
+    (r'(?i)<(blockquote|q)\b[^>]*?\bcite\s*=\s*"(https?:[^"]*)"[^>]*>', '\u0001\\1 cite="\\2"\u0002'),
+    (r"(?i)<(/?)(" + "|".join(SAFE_TAGS) + r")\b[^>]*>", "\u0001\\1\\2\u0002"),
+    (r"<[^>]*>", ""),
+)
 
 
 def sanitize_html(html: Column | str) -> Column:
-    """keep text and safe-list tags (without attributes); drop script/style
-    bodies, comments and every other tag. Tags are marked with \\u0001/\\u0002
-    first so the final ``<...>`` sweep leaves them alone."""
-    h = F.regexp_replace(_c(html), SCRIPT_RX, "")
-    h = F.regexp_replace(h, COMMENT_RX, "")
-    h = F.regexp_replace(h, SAFE_TAG_RX, "\u0001$1$2\u0002")
-    h = F.regexp_replace(h, ANY_TAG_RX, "")
+    """keep text and safe-list tags with their safe attributes; drop script/style
+    bodies, comments, every other tag and attribute."""
+    h = _c(html)
+    for pattern, kept in SANITIZE_STEPS:
+        h = F.regexp_replace(h, pattern, kept.replace("\\1", "$1").replace("\\2", "$2"))
     return F.translate(h, "\u0001\u0002", "<>")
+
+
+def sanitize_sql(html: str) -> str:
+    """The same steps as a SQL expression of engines with ``regexp_replace(text, pattern, replacement, 'g')``."""
+    for pattern, kept in SANITIZE_STEPS:
+        html = f"regexp_replace({html}, '{pattern}', '{kept}', 'g')"
+    return f"translate({html}, '\u0001\u0002', '<>')"

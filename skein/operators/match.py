@@ -108,16 +108,9 @@ def timing_from_points(pts: DataFrame, tol: int = TIMING_TOLERANCE_MS) -> DataFr
     )
 
 
-def best_offset(m: DataFrame) -> DataFrame:
-    """Q5 extra: the most common offset s - d per (recording, song), ties -> smaller."""
-    per_off = m.groupBy(*PAIR_KEYS, (F.col("s_ms") - F.col("d_ms")).alias("off")).agg(
-        F.count(F.lit(1)).alias("c"))
-    return per_off.groupBy(*PAIR_KEYS).agg(
-        (-F.max(F.struct(F.col("c"), (-F.col("off")).alias("no")))["no"]).alias("best_offset"))
-
-
 def match_scores(m: DataFrame, songs: DataFrame) -> DataFrame:
-    """A13 + J4: score per (recording, song) with earliest time and names.
+    """A13 + J4: score per (recording, song) with earliest time, names and the most common offset s - d (Q5;
+    ties: the smaller).
 
     The matches are reduced once to counts per distinct (s, d) and that table
     is written to the shared folder; the statistics and the timing score are
@@ -128,12 +121,15 @@ def match_scores(m: DataFrame, songs: DataFrame) -> DataFrame:
     pts = materialize(m.groupBy(*PAIR_KEYS, "s_ms", "d_ms").agg(F.count(F.lit(1)).alias("c")), "match_points")
     stats = pts.groupBy(*PAIR_KEYS).agg(F.min("d_ms").alias("first_ms"), F.sum("c").alias("matches"))
     sc = timing_from_points(pts)
+    off = pts.groupBy(*PAIR_KEYS, (F.col("s_ms") - F.col("d_ms")).alias("off")).agg(F.sum("c").alias("c"))
+    off = off.groupBy(*PAIR_KEYS).agg(F.max_by("off", F.struct("c", -F.col("off"))).alias("best_offset"))
     cat = songs.select("song_id", "title", "artist")
     return (
         stats.join(sc, PAIR_KEYS, "left")
         .withColumn("score", F.coalesce("score", F.lit(0)).cast("long"))
+        .join(off, PAIR_KEYS)
         .join(cat, "song_id")
-        .select(*PAIR_KEYS, "title", "artist", "first_ms", "matches", "score")
+        .select(*PAIR_KEYS, "title", "artist", "first_ms", "matches", "score", "best_offset")
     )
 
 

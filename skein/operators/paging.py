@@ -58,6 +58,26 @@ def page(df: DataFrame, keys: list[Column], page_no: int, page_size: int,
     return ranked(top, keys, rank_col).filter(F.col(rank_col) > offset)
 
 
+def page_after(df: DataFrame, order: list[tuple[str, bool]], last: list, page_size: int) -> DataFrame:
+    """O3 for deep pages: the ``page_size`` rows after the row whose order columns are ``last``, by ``order``
+    ((column, descending), NULLs last, ending with a unique column).
+
+    The position is a condition on the key, not a count of rows to skip: every task keeps at most
+    ``page_size`` rows, whatever the depth, and the condition on the first column can reach the scan.
+    """
+    after, same = F.lit(False), F.lit(True)
+    for (name, down), value in zip(order, last):
+        c = F.col(name)
+        if value is None:  # NULLs are last: only the next column can still be greater
+            same = same & c.isNull()
+            continue
+        beyond = (c < F.lit(value)) if down else (c > F.lit(value))
+        after = after | (same & (beyond | c.isNull()))
+        same = same & (c == F.lit(value))
+    keys = [F.col(n).desc_nulls_last() if down else F.col(n).asc_nulls_last() for n, down in order]
+    return df.filter(F.coalesce(after, F.lit(False))).orderBy(*keys).limit(page_size)
+
+
 def page_meta(total: Column, page_no: int, page_size: int) -> list[Column]:
     """Page count and has-prev / has-next flags from a total."""
     return [

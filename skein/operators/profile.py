@@ -39,6 +39,16 @@ def describe_long(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return _long_form(df.agg(*aggs), cols, ["count", "mean", "stddev", "min", "max"])
 
 
+def describe_text(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """A3 for text columns: count of values, smallest and largest, one pass, long form (mean and deviation have no
+    meaning there)."""
+    cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    aggs = []
+    for c in cols:
+        aggs += [F.count(F.col(c)).alias(f"count__{c}"), F.min(c).alias(f"min__{c}"), F.max(c).alias(f"max__{c}")]
+    return _long_form(df.agg(*aggs), cols, ["count", "min", "max"])
+
+
 def exact_percentiles(df: DataFrame, col: str, ps: list[float], keys: list[str] = (),
                       buckets: int | None = None) -> DataFrame:
     """Exact linear-interpolated percentiles (``percentile_cont``) without one big buffer.
@@ -138,9 +148,10 @@ def chart_range(last_prices: DataFrame, key: str, price: str, low: float = 0.9,
     return last_prices.groupBy(key).agg((F.min(price) * low).alias("y_min"), (F.max(price) * high).alias("y_max"))
 
 
-def rate_latency(df: DataFrame, ts: str, latency: str, every: str = "1 day") -> DataFrame:
-    """Requests and latency per time window (tumbling)."""
-    return df.groupBy(F.window(ts, every).alias("w")).agg(
-        F.count(F.lit(1)).alias("requests"), F.avg(latency).alias("avg_latency"),
-        F.max(latency).alias("max_latency")).select(
-        F.col("w.start").alias("window_start"), "requests", "avg_latency", "max_latency")
+def rate_latency(df: DataFrame, ts: str, latency: str, every: str = "1 day", percentiles: tuple[float, ...] = (0.5, 0.95, 0.99)) -> DataFrame:
+    """Requests, mean, maximum and exact percentiles (p50, ...) of the latency per time window (tumbling)."""
+    rows = df.select(F.window(ts, every)["start"].alias("window_start"), F.col(latency).alias("__v"))
+    per = rows.groupBy("window_start").agg(
+        F.count(F.lit(1)).alias("requests"), F.avg("__v").alias("avg_latency"), F.max("__v").alias("max_latency"))
+    qs = exact_percentiles(rows, "__v", list(percentiles), keys=["window_start"])
+    return null_safe_join(per, qs, ["window_start"], "left")

@@ -40,14 +40,11 @@ def q_set_diff(spark, sf_dir):
 
 
 @query("id_intersect", sql="""
-    SELECT l_suppkey AS id FROM lineitem WHERE l_quantity > 45
-    INTERSECT SELECT s_suppkey FROM supplier WHERE s_nationkey < 10""")
+    SELECT o_custkey AS id FROM orders INTERSECT SELECT user_id FROM events""")
 def q_id_intersect(spark, sf_dir):
     """Intersection of two id sets."""
     t = Tables(spark, sf_dir)
-    a = t.lineitem.filter(F.col("l_quantity") > 45).select(F.col("l_suppkey").alias("id"))
-    b = t.supplier.filter(F.col("s_nationkey") < 10).select(F.col("s_suppkey").alias("id"))
-    return a.intersect(b)
+    return t.orders.select(F.col("o_custkey").alias("id")).intersect(t.events.select("user_id"))
 
 
 _SPLIT_TS = "2024-01-15 00:00:00"

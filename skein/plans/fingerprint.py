@@ -136,10 +136,12 @@ _TIMING_SQL = """
       AND (b.s_ms - a.s_ms) * (b.d_ms - a.d_ms) >= 0
     GROUP BY ALL),
   stats AS (SELECT request_id, song_id, min(d_ms) AS first_ms, count(*) AS matches FROM m GROUP BY ALL),
+  offs AS (SELECT request_id, song_id, arg_max(off, (n, -off)) AS best_offset
+           FROM (SELECT request_id, song_id, s_ms - d_ms AS off, count(*) AS n FROM m GROUP BY ALL) GROUP BY ALL),
   scores AS (
     SELECT s.request_id, s.song_id, c.c_name AS title, c.c_mktsegment AS artist, s.first_ms, s.matches,
-           coalesce(t.score, 0)::BIGINT AS score
-    FROM stats s LEFT JOIN timing t USING (request_id, song_id)
+           coalesce(t.score, 0)::BIGINT AS score, o.best_offset
+    FROM stats s LEFT JOIN timing t USING (request_id, song_id) JOIN offs o USING (request_id, song_id)
     JOIN customer c ON c.c_custkey = s.song_id)"""
 
 

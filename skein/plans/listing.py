@@ -1,8 +1,8 @@
 """E3 listing on the driver tables.
 
 Role mapping: ``customer`` plays the computer table (id, name, company_id)
-and ``nation`` the company table; companies of region 4 are left out of the
-dimension so that some computers have no company (NULL after the left join).
+and ``nation`` the company table; a computer with a negative balance has no
+company (a NULL company_id, and NULL after the left join).
 """
 
 from __future__ import annotations
@@ -19,25 +19,24 @@ NAME_TEXT = "customer#0000001"  # searched any case, as the listing's filter box
 
 _COMPUTERS_SQL = """
     SELECT c.c_custkey AS id, c.c_name AS name, c.c_acctbal AS acctbal,
-           n.n_name AS company, c.c_nationkey AS company_id
-    FROM customer c
-    LEFT JOIN (SELECT n_nationkey, n_name FROM nation WHERE n_regionkey <> 4) n
-      ON c.c_nationkey = n.n_nationkey
+           n.n_name AS company, c.company_id
+    FROM (SELECT *, CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS company_id FROM customer) c
+    LEFT JOIN nation n ON c.company_id = n.n_nationkey
 """
 
 
 def companies(t: Tables) -> DataFrame:
-    return t.nation.filter(F.col("n_regionkey") != 4).select("n_nationkey", "n_name")
+    return t.nation.select("n_nationkey", "n_name")
 
 
 def computers(t: Tables) -> DataFrame:
     """Computers left join companies -> (id, name, acctbal, company, company_id)."""
-    c = t.customer.select("c_custkey", "c_name", "c_acctbal", "c_nationkey")
-    j = paging.left_join_dim(c, companies(t), "c_nationkey", "n_nationkey")
+    c = t.customer.select("c_custkey", "c_name", "c_acctbal", F.when(F.col("c_acctbal") >= 0, F.col("c_nationkey")).alias("company_id"))
+    j = paging.left_join_dim(c, companies(t), "company_id", "n_nationkey")
     return j.select(
         F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
         F.col("c_acctbal").alias("acctbal"), F.col("n_name").alias("company"),
-        F.col("c_nationkey").alias("company_id"),
+        "company_id",
     )
 
 
@@ -94,6 +93,17 @@ def q_page(spark, sf_dir):
     return paging.page(df, keys, page_no=2, page_size=PAGE_SIZE)
 
 
+@query("page_keyset", sql=f"""
+    SELECT id, name, acctbal, company, company_id FROM ({_COMPUTERS_SQL})
+    WHERE company IS NULL OR company < 'FRANCE' OR company = 'FRANCE' AND (acctbal < 5000 OR acctbal = 5000 AND id > 40)
+    ORDER BY company DESC NULLS LAST, acctbal DESC NULLS LAST, id LIMIT {PAGE_SIZE}
+""")
+def q_page_keyset(spark, sf_dir):
+    """O3: the page after a given row (its key), however deep: company and balance descending, then id."""
+    df = computers(Tables(spark, sf_dir))
+    return paging.page_after(df, [("company", True), ("acctbal", True), ("id", False)], ["FRANCE", 5000.0, 40], PAGE_SIZE)
+
+
 @query("count_filtered", sql=f"""
     SELECT count(*) AS total,
            count(*) FILTER (WHERE name ILIKE '%{NAME_TEXT}%') AS matched,

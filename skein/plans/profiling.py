@@ -144,8 +144,16 @@ def q_price_range(spark, sf_dir):
 
 @query("rate_latency", sql="""
     SELECT date_trunc('day', ts) AS window_start, count(*) AS requests, round(avg(value), 4) AS avg_latency,
-           max(value) AS max_latency FROM events GROUP BY ALL""")
+           max(value) AS max_latency, round(quantile_cont(value, 0.5), 4) AS p50, round(quantile_cont(value, 0.95), 4) AS p95,
+           round(quantile_cont(value, 0.99), 4) AS p99 FROM events GROUP BY ALL""")
 def q_rate_latency(spark, sf_dir):
-    """Requests, mean and max latency per day."""
+    """Requests, mean, maximum and percentiles of the latency per day."""
     r = profile.rate_latency(Tables(spark, sf_dir).events, "ts", "value", "1 day")
-    return r.select("window_start", "requests", _r("avg_latency"), "max_latency")
+    return r.select("window_start", "requests", _r("avg_latency"), "max_latency", _r("p50"), _r("p95"), _r("p99"))
+
+
+@query("describe_text", sql=" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count({c}) AS count, min({c}) AS min, max({c}) AS max FROM customer" for c in ("c_name", "c_mktsegment")))
+def q_describe_text(spark, sf_dir):
+    """A3: the text columns of a table described."""
+    return profile.describe_text(Tables(spark, sf_dir).customer)

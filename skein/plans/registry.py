@@ -25,6 +25,7 @@ _MODULES = (
     "mlplans",
     "sources",
     "streams",
+    "roundtrips",
 )
 
 

@@ -115,14 +115,7 @@ def q_pcm_quantise(spark, sf_dir):
     return e.select("event_id", *[S.pcm_quantise("s", b).alias(f"pcm{b}") for b in (8, 16, 24, 32)])
 
 
-@query("sanitize_html", sql=f"""
-    SELECT page_id, translate(
-      regexp_replace(
-        regexp_replace(
-          regexp_replace(regexp_replace(html, '{S.SCRIPT_RX}', '', 'g'), '{S.COMMENT_RX}', '', 'g'),
-          '{S.SAFE_TAG_RX}', '\x01\\1\\2\x02', 'g'),
-        '{S.ANY_TAG_RX}', '', 'g'),
-      '\x01\x02', '<>') AS clean FROM pages""")
+@query("sanitize_html", sql=f"SELECT page_id, {S.sanitize_sql('html')} AS clean FROM pages")
 def q_sanitize_html(spark, sf_dir):
     """whole pages cleaned to text plus safe-list tags."""
     p = Tables(spark, sf_dir).pages

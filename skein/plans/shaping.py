@@ -94,7 +94,7 @@ def q_flatten_nested(spark, sf_dir):
     return shape.flatten(nested)
 
 
-_LINK_RX = r'<a href="([^"]*)">([^<]*)</a>'
+_LINK_RX = r'(?s)<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
 
 
 @query("explode_transform", sql=f"""

@@ -97,11 +97,7 @@ def q_stream_merge(spark, sf_dir):
     return S.run_to_table(a.unionByName(b), "merge", foreach=S.fan_out(["copy"])).drop("batch")
 
 
-@query("stream_sanitize", sql=f"""
-    SELECT page_id, translate(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
-        '{SC.SCRIPT_RX}', '', 'g'), '{SC.COMMENT_RX}', '', 'g'),
-        '{SC.SAFE_TAG_RX}', '\x01\\1\\2\x02', 'g'), '{SC.ANY_TAG_RX}', '', 'g'), '\x01\x02', '<>') AS clean,
-        html IS NULL AS rejected FROM pages""")
+@query("stream_sanitize", sql=f"SELECT page_id, {SC.sanitize_sql('html')} AS clean, html IS NULL AS rejected FROM pages")
 def q_stream_sanitize(spark, sf_dir):
     """Messages cleaned as they stream; rows without text flagged, not fatal."""
     p = S.table_stream(spark, sf_dir, "pages")
@@ -165,6 +161,8 @@ def q_stream_match(spark, sf_dir):
     songs = fp.songs(t)
 
     def answer(batch, batch_id, out):
+        if batch.isEmpty():  # no week has closed
+            return
         events = batch.select("user_id", F.inline("rows"))
         clips = fp.clip_fingerprints(t, events)
         top = match.top_matches(match.match_scores(match.fingerprint_join(clips, index), songs), fp.TOP_K)

@@ -72,9 +72,12 @@ def test_ascii_lower_keeps_non_ascii_f11(spark):
 
 
 def test_sanitize_html_f17(spark):
-    html = '<p class="x">Hi <b>there</b><script>alert(1)</script><!-- c --><div>text</div><a href="http://e">l</a></p>'
+    html = ('<p class="x">Hi <b>there</b><script>alert(1)</script><!-- c --><div>text</div><a class="y" href="http://e" onclick="z">l</a>'
+            '<A HREF="javascript:x">m</A><q cite="https://s/1" id="i">n</q><blockquote cite="x">o</blockquote><abbr>p</abbr></p>')
     df = spark.createDataFrame([(html,)], "h string")
-    assert df.select(S.sanitize_html("h")).first()[0] == "<p>Hi <b>there</b>text<a>l</a></p>"
+    assert df.select(S.sanitize_html("h")).first()[0] == (
+        '<p>Hi <b>there</b>text<a href="http://e" rel="nofollow">l</a><a rel="nofollow">m</A><q cite="https://s/1">n</q>'
+        '<blockquote>o</blockquote>p</p>')
 
 
 def test_validation_fixture_p20(spark):
