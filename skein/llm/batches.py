@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = (2 << 20) - 4096
+SLICE_BYTES = (1 << 20) - 4096
 
 
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -35,7 +35,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """(base**i, base**-i) for i < n at least, modulo 2**64; sizes are rounded up so they are reused."""
-    size = 1 << 21
+    size = 1 << 20
     while size < n:
         size *= 2
     return _powers(size)
@@ -55,6 +55,11 @@ def range_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nda
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64))
 
 
+def rows_of(start: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """Row of each ascending position, by the rows' offsets."""
+    return np.repeat(np.arange(len(offs) - 1), np.diff(np.searchsorted(start, offs)))
+
+
 def membership(keys: DataFrame, column: str, bits: int = FILTER_BITS) -> np.ndarray:
     """A bitmap of 2**bits bits with a bit set for the low bits of every key. Its size is fixed, so
     it may be broadcast; with many keys it fills up and lets more pass, never fewer."""

@@ -6,7 +6,7 @@ all documents. The context table has a fixed size; tasks add up their own, and S
 the tasks' tables block by block.
 
 A document is pooled into: the mean context vector and the mean index vector of its words, the
-mean product of neighbouring words' index vectors (repetition shows as a positive product),
+mean inner product of neighbouring words' index vectors (repetition shows as a positive one),
 and the mean index vector of its character runs' shapes (letters, capitals, digits,
 each punctuation run as itself). A two-layer numpy network turns that into a logit;
 a temperature fitted on a fifth of the labelled sample that was not trained on calibrates it.
@@ -23,6 +23,7 @@ score alike; an empty table stays empty; columns beside id and text are not read
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +31,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.llm.batches import list_array, slices, text_bytes
-from skein.llm.hashing import mix, prefix_hash, range_hash
+from skein.llm.hashing import mix, prefix_hash, range_hash, rows_of
 
 DIM = 32  # of every vector
 NONZERO = 4  # ones and minus ones of an index vector
 BUCKETS = 4096  # hashed words of the context table
 BLOCK = 128  # buckets of a block when tables are added up
 MAX_LABELLED = 20_000
+POOLED_ROWS = 512  # documents counted at once
 HIDDEN, EPOCHS, RATE, DECAY = 24, 60, 0.01, 1e-4
 
 _SPACE, _LOW, _CAPITAL, _DIGIT, _MARK = range(5)
@@ -45,9 +47,12 @@ _CLASS[[*range(97, 123), *range(128, 256)]] = _LOW
 _CLASS[65:91] = _CAPITAL
 _CLASS[48:58] = _DIGIT
 _CLASS[[0x20, *range(0x09, 0x0E)]] = _SPACE
+#: bucket of a run of a class, by its length up to 6
+_SHAPE = (mix(np.arange(1, 36, dtype=np.uint64)) % np.uint64(BUCKETS)).astype(np.int64).reshape(5, 7)
 
 
-def _index_table() -> np.ndarray:
+@lru_cache(maxsize=1)
+def index_table() -> np.ndarray:
     """Index vectors of BUCKETS hashed tokens."""
     rng = np.random.default_rng(29)
     table = np.zeros((BUCKETS, DIM), np.float32)
@@ -56,13 +61,10 @@ def _index_table() -> np.ndarray:
     return table
 
 
-_INDEX: list[np.ndarray] = []
-
-
-def index_table() -> np.ndarray:
-    if not _INDEX:
-        _INDEX.append(_index_table())
-    return _INDEX[0]
+@lru_cache(maxsize=1)
+def index_products() -> np.ndarray:
+    """Inner products of all index vectors."""
+    return (index_table() @ index_table().T).astype(np.int8)
 
 
 def _bucket(code: np.ndarray) -> np.ndarray:
@@ -75,40 +77,46 @@ def tokens(data: np.ndarray, offs: np.ndarray):
     edge = np.zeros(len(data) + 1, bool)
     edge[offs] = True
     prefix = prefix_hash(data)
+    word = kind != _SPACE
 
-    def runs(part: np.ndarray, cut: np.ndarray):
-        start = np.flatnonzero(part & (cut | edge[:-1]))
-        stop = np.flatnonzero(part & (np.r_[cut[1:], True][:len(part)] | edge[1:])) + 1
-        return start, stop, np.searchsorted(offs, start, side="right") - 1
+    def runs(cut: np.ndarray):
+        """Starts and ends of the runs of non-space between changes."""
+        change = edge.copy()
+        change[1:-1] |= cut
+        return np.flatnonzero(word & change[:-1]), np.flatnonzero(word & change[1:]) + 1
 
-    word = kind != _SPACE
-    start, stop, word_row = runs(word, np.r_[True, word[1:] != word[:-1]][:len(word)])
-    word_at = _bucket(range_hash(prefix, start, stop))
-    start, stop, shape_row = runs(word, np.r_[True, kind[1:] != kind[:-1]][:len(kind)])
-    size = stop - start
-    shape = kind[start].astype(np.uint64) * np.uint64(64) + np.minimum(size, 6).astype(np.uint64)
-    marks = kind[start] == _MARK  # a punctuation run counts as itself
-    shape = np.where(marks, range_hash(prefix, start, np.minimum(stop, start + 6)), mix(shape + np.uint64(1)))
-    return word_at, word_row, _bucket(shape), shape_row
+    start, stop = runs(word[1:] != word[:-1])
+    word_at, word_row = _bucket(range_hash(prefix, start, stop)), rows_of(start, offs)
+    start, stop = runs(kind[1:] != kind[:-1])
+    shape = _SHAPE[kind[start], np.minimum(stop - start, 6)]
+    marks = np.flatnonzero(kind[start] == _MARK)  # a punctuation run counts as itself
+    shape[marks] = _bucket(range_hash(prefix, start[marks], np.minimum(stop[marks], start[marks] + 6)))
+    return word_at, word_row, shape, rows_of(start, offs)
+
+
+def _mean(table: np.ndarray, at: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """Mean vector of the table's lines ``at`` of each row, through counts."""
+    count = np.bincount(row * BUCKETS + at, minlength=rows * BUCKETS).reshape(rows, BUCKETS).astype(np.float32)
+    return (count @ table) / np.maximum(np.bincount(row, minlength=rows), 1)[:, None].astype(np.float32)
 
 
-def _mean(vectors: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
-    out = np.zeros((rows, vectors.shape[1]), np.float32)
-    if len(row):
-        first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-        out[row[first]] = np.add.reduceat(vectors, first, axis=0) / np.diff(np.r_[first, len(row)])[:, None]
-    return out
+def _likeness(word: np.ndarray, row: np.ndarray, rows: int, lag: int) -> np.ndarray:
+    """Mean inner product of the index vectors of words ``lag`` apart: 0 by chance, NONZERO for a repeated word."""
+    pair = np.flatnonzero(row[lag:] == row[:-lag])
+    total = np.bincount(row[pair], index_products()[word[pair], word[pair + lag]], rows)
+    return (total / np.maximum(np.bincount(row[pair], minlength=rows), 1)).astype(np.float32)
 
 
 def pooled(data: np.ndarray, offs: np.ndarray, context: np.ndarray) -> np.ndarray:
     """Feature rows of a slice of texts."""
-    index, rows = index_table(), len(offs) - 1
+    rows = len(offs) - 1
+    if rows > POOLED_ROWS:  # counts of a few rows at a time
+        return np.concatenate([pooled(data[offs[a]:offs[min(a + POOLED_ROWS, rows)]], offs[a:a + POOLED_ROWS + 1] - offs[a], context)
+                               for a in range(0, rows, POOLED_ROWS)])
     word, row, shape, shape_row = tokens(data, offs)
-    vec = index[word]
-    pair = np.flatnonzero(row[1:] == row[:-1])
     long = np.log1p(np.bincount(row, minlength=rows)).astype(np.float32)
-    return np.hstack([_mean(context[word], row, rows), _mean(vec, row, rows), _mean(vec[pair] * vec[pair + 1], row[pair], rows),
-                      _mean(index[shape], shape_row, rows), long[:, None]])
+    return np.hstack([_mean(np.hstack([context, index_table()]), word, row, rows), _mean(index_table(), shape, shape_row, rows),
+                      *(_likeness(word, row, rows, lag)[:, None] for lag in (1, 2)), long[:, None]])
 
 
 def context_table(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -116,21 +124,21 @@ def context_table(docs: DataFrame, text: str = "text") -> np.ndarray:
 
     def run(batches):
         index = index_table()
-        # neighbours are counted first (a sparse table of bucket pairs), vectors added once at the end
-        follows = np.zeros((BUCKETS, DIM))
+        # neighbours are counted first, their vectors added once at the end
+        follows = np.zeros(BUCKETS * BUCKETS, np.int32)
         for batch in batches:
             data, offs = text_bytes(batch.column(0))
             for a, b in slices(offs):
                 word, row, _, _ = tokens(data[offs[a]:offs[b]], offs[a:b + 1] - offs[a])
                 at = np.flatnonzero(row[1:] == row[:-1])
-                pair, n = np.unique(word[at] * BUCKETS + word[at + 1], return_counts=True)
-                left, right = pair // BUCKETS, pair % BUCKETS
-                for one, other in ((left, right), (right, left)):
-                    order = np.argsort(one, kind="stable")
-                    first = np.flatnonzero(np.r_[True, np.diff(one[order]) > 0]) if len(order) else order
-                    if len(order):
-                        follows[one[order][first]] += np.add.reduceat(index[other[order]] * n[order][:, None], first, axis=0)
-        blocks = follows.reshape(-1, BLOCK * DIM)
+                np.add.at(follows, word[at] * BUCKETS + word[at + 1], 1)
+        table = follows.reshape(BUCKETS, BUCKETS)
+        blocks = np.zeros((BUCKETS, DIM))
+        for a in range(0, BUCKETS, BLOCK):
+            part = table[a:a + BLOCK].astype(np.float64)
+            blocks[a:a + BLOCK] += part @ index
+            blocks += part.T @ index[a:a + BLOCK]
+        blocks = blocks.reshape(-1, BLOCK * DIM)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(blocks)), pa.int32()), pa.array([x.tobytes() for x in blocks], pa.binary())],
                                          names=["block", "sums"])
 
