@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm import (
-    ann, bpe, decontaminate, html_extract, ngram_jaccard, quality, sharding, suffix_dedup, token_counts, urlfilter,
+    ann, bpe, decontaminate, html_extract, ngram_jaccard, oracles, quality, sharding, suffix_dedup, token_counts, urlfilter,
 )
 from skein.sources.tables import read_table
 
@@ -114,11 +114,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
 
-#: exact nearest neighbours by brute force
-ORACLE_SQL["op9_ann"] = """
-WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) v FROM embeddings),
-     p AS (SELECT q.vec_id query_id, c.vec_id, list_distance(q.v, c.v) score
-           FROM e q JOIN e c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
-FROM p QUALIFY rank <= 10
-"""
+ORACLE_SQL |= {"op1_ngram_jaccard": oracles.OP1, "op3_decontaminate": oracles.OP3, "op8_suffix_dedup": oracles.OP8, "op9_ann": oracles.OP9}
