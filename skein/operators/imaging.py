@@ -9,6 +9,8 @@ equi-join on (band, band value) finds every candidate and the exact
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -192,22 +194,41 @@ def _ahash_bits(img: np.ndarray) -> int:
 SEGMENT_SCHEMA = ("img long, seg int, size int, min_x int, min_y int, max_x int, max_y int, h long")
 
 
+def _neighbours(img: np.ndarray) -> np.ndarray:
+    """The 3 x 3 surroundings of every pixel (edges repeated), as a third axis."""
+    p = np.pad(img, 1, mode="edge")
+    h, w = img.shape
+    return np.stack([p[r:r + h, c:c + w] for r in range(3) for c in range(3)], axis=2)
+
+
+def smoothed(img: np.ndarray) -> np.ndarray:
+    """A small Gaussian blur (weights 1 2 1), then a 3 x 3 median: specks don't become segments."""
+    near = _neighbours(img)
+    blurred = near @ (np.outer([1, 2, 1], [1, 2, 1]).ravel() / 16)
+    return np.median(_neighbours(blurred), axis=2)
+
+
 def crop_segments(grids: DataFrame, w: int, h: int, threshold: int = 128, min_size: int = 2,
-                  hash_size: int = 4, limit: int | None = None) -> DataFrame:
+                  hash_size: int = 4, limit: int | None = None, smooth: bool = False,
+                  hash_func: Callable[[np.ndarray], int] | None = None, scale: tuple[float, float] = (1.0, 1.0)) -> DataFrame:
     """Crop-resistant segments of each image with a hash of each bounding box.
 
     ``grids``: (img, grid array<int> of w*h). One image is one row, so the
     per-image flood fill runs in ``mapInPandas`` on Arrow batches with no
     shuffle. Without any segment the whole image is one segment. ``limit``
-    keeps the largest segments (O7).
+    keeps the largest segments (O7). ``smooth`` looks for segments in the blurred,
+    median-filtered image. ``hash_func`` hashes a box's pixels (default: average
+    hash of the box at ``hash_size``); ``scale`` (width, height) takes the boxes
+    back to an original of another size.
     """
+    hash_of = hash_func or (lambda box: _ahash_bits(_resize_nearest(box, hash_size)))
 
     def run(batches):
         for pdf in batches:
             out = []
             for img, grid in zip(pdf["img"].to_numpy(), pdf["grid"]):
                 g = np.asarray(grid, dtype=np.float64).reshape(h, w)
-                segs = _label_segments(g, threshold, min_size)
+                segs = _label_segments(smoothed(g) if smooth else g, threshold, min_size)
                 if not segs:
                     segs = [[(0, 0), (h - 1, w - 1)]]
                 if limit:
@@ -216,8 +237,8 @@ def crop_segments(grids: DataFrame, w: int, h: int, threshold: int = 128, min_si
                     rs = [p[0] for p in s]
                     cs = [p[1] for p in s]
                     box = g[min(rs):max(rs) + 1, min(cs):max(cs) + 1]
-                    hv = _ahash_bits(_resize_nearest(box, hash_size))
-                    out.append((int(img), k, len(s), min(cs), min(rs), max(cs) + 1, max(rs) + 1, hv))
+                    sx, sy = scale
+                    out.append((int(img), k, len(s), int(min(cs) * sx), int(min(rs) * sy), int((max(cs) + 1) * sx), int((max(rs) + 1) * sy), hash_of(box)))
             yield pd.DataFrame(out, columns=["img", "seg", "size", "min_x", "min_y", "max_x", "max_y", "h"]).astype(
                 {"img": "int64", "seg": "int32", "size": "int32", "min_x": "int32", "min_y": "int32",
                  "max_x": "int32", "max_y": "int32", "h": "int64"})

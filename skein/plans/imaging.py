@@ -334,7 +334,25 @@ def q_multihash_best(spark, sf_dir):
     return imaging.multihash_best(s.withColumn("score", F.round("score", 6)))
 
 
-@query("crop_segments")
+_CROP_SQL = """WITH RECURSIVE """ + _G + """,
+  c AS (SELECT vec_id, i AS root, i AS pos FROM g
+        UNION SELECT c.vec_id, c.root, b.i FROM c JOIN g a ON a.vec_id = c.vec_id AND a.i = c.pos
+                     JOIN g b ON b.vec_id = a.vec_id AND (b.p > 128) = (a.p > 128)
+                      AND (abs(b.i - a.i) = 8 OR abs(b.i - a.i) = 1 AND b.i // 8 = a.i // 8)),
+  comp AS (SELECT vec_id, root AS i, min(pos) AS first FROM c GROUP BY vec_id, root),
+  box AS (SELECT vec_id, first, bool_or(p > 128) AS bright, count(*) AS size, min(i % 8) AS min_x, min(i // 8) AS min_y,
+                 max(i % 8) + 1 AS max_x, max(i // 8) + 1 AS max_y FROM comp JOIN g USING (vec_id, i) GROUP BY vec_id, first HAVING count(*) > 2),
+  seg AS (SELECT vec_id, row_number() OVER (PARTITION BY vec_id ORDER BY bright DESC, first) - 1 AS seg, size, min_x, min_y, max_x, max_y FROM box
+          UNION ALL SELECT vec_id, 0, 2, 0, 0, 8, 8 FROM embeddings WHERE vec_id NOT IN (SELECT vec_id FROM box)),
+  spot AS (SELECT s.*, k.k, g.p FROM seg s, range(16) AS k(k), g WHERE g.vec_id = s.vec_id
+             AND g.i = (min_y + (k.k // 4) * (max_y - min_y) // 4) * 8 + min_x + (k.k % 4) * (max_x - min_x) // 4),
+  mean AS (SELECT vec_id, seg, avg(p) AS m FROM spot GROUP BY vec_id, seg)
+SELECT vec_id AS img, seg::INTEGER AS seg, size::INTEGER AS size, min_x::INTEGER AS min_x, min_y::INTEGER AS min_y, max_x::INTEGER AS max_x,
+       max_y::INTEGER AS max_y, ('0b' || string_agg(CASE WHEN p > m THEN '1' ELSE '0' END, '' ORDER BY k))::BIGINT AS h
+FROM spot JOIN mean USING (vec_id, seg) GROUP BY ALL"""
+
+
+@query("crop_segments", sql=_CROP_SQL)
 def q_crop_segments(spark, sf_dir):
     """bright/dark connected segments of each image, box and hash per segment."""
     g = grids(Tables(spark, sf_dir)).select("img", "grid")

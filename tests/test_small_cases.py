@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from skein.operators import audio, paging, profile, shape, validate
+import numpy as np
+
+from skein.operators import audio, imaging, paging, profile, shape, validate
 from skein.sources import files
 
 
@@ -51,3 +53,16 @@ def test_latency_of_a_window_without_values(spark):
     df = spark.createDataFrame([("2024-01-01 00:00:01", 2.0), ("2024-01-01 00:00:02", 4.0), ("2024-01-02 00:00:00", None)], "t string, v double")
     got = profile.rate_latency(df.withColumn("t", F.col("t").cast("timestamp")), "t", "v", "1 day", (0.5,)).orderBy("window_start").collect()
     assert [(r.requests, r.p50, r.max_latency) for r in got] == [(2, 3.0, 4.0), (1, None, None)]
+
+
+def test_segments_with_a_hash_of_choice_scaled_and_smoothed(spark):
+    grid = np.zeros((16, 16), int)
+    grid[2:8, 3:9] = 200  # a bright block
+    grid[12, 12] = 255  # a speck
+    df = spark.createDataFrame([(1, grid.ravel().tolist())], "img long, grid array<int>")
+    find = lambda **more: {(r.min_x, r.min_y, r.max_x, r.max_y, r.h) for r in imaging.crop_segments(
+        df, 16, 16, 100, 0, hash_func=lambda box: int(box.max()), **more).collect()}
+    assert (3, 2, 9, 8, 200) in find() and (12, 12, 13, 13, 255) in find()
+    assert (6, 6, 18, 24, 200) in find(scale=(2.0, 3.0))
+    assert not any(h == 255 and x > 9 for x, _, _, _, h in find(smooth=True))
+    assert np.allclose(imaging.smoothed(np.full((5, 5), 7.0)), 7.0)
