@@ -7,13 +7,17 @@ one class; links are sought between classes:
    shingles of each in any common order. The order puts shingles last that a hashed
    count table of fixed size shows to be very common, so that shared passages
    are seldom keys. The table orders only; every order gives all links.
-2. Stars. For each of a class's first keys, its edges to the smallest and the largest class
-   of that key are checked exactly; components of these links gather near copies.
+2. Stars. The smallest shingle hashes of a class (alike sets share them with high probability) lead
+   to hubs: of each such hash, the class with the fewest uncommon shingles, which is the most
+   central one of a large group of copies, and another one. The edges to the hubs that
+   signatures leave room for are checked exactly; components of these links gather near copies.
 3. Tiles. Keys held by more than one component are cut into tiles: a key's classes in two
    neighbouring size bands (similar sets are in the same or the next band), dealt into
    cells of bounded size. In a cell, sorted by size, pairs of different components in the size
    range are kept if their bitmaps leave room: a bit that is set in one signature only
-   is a shingle that the other lacks, so bit counts bound the overlap from above.
+   is a shingle that the other lacks, so bit counts bound the overlap from above. A
+   signature grows with its set; cells hold it folded to a fixed width, and the pairs that
+   pass there are bounded once more at full width.
 4. The pairs that remain are intersected exactly as sorted arrays. Links inside a component need
    no check: they cannot change a component.
 
@@ -29,6 +33,7 @@ empty result; columns beside id and text are not read.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -37,15 +42,17 @@ from pyspark.sql import functions as F
 
 from skein.llm.batches import list_array, slices, text_bytes
 from skein.llm.graph import components
-from skein.llm.hashing import member, membership, mix, prefix_hash, range_hash
+from skein.llm.hashing import member, membership, mix, prefix_hash, range_hash, rows_of
 from skein.session import materialize
 
 HASH_BITS = 52  # of a shingle; the other 12 hold its row while a slice is sorted
 SLICE_ROWS = 1 << (64 - HASH_BITS)
-ORDER_BITS = 22  # log2 of the count table that orders shingles
-STAR_KEYS = 3  # keys of a class whose stars are checked first
+ORDER_BITS = 23  # log2 of the count table that orders shingles
+ORDER_BLOCK = 1 << 17  # buckets of a block when tables are added up
+SALTS = 64
+STAR_KEYS = 4  # smallest hashes of a class whose stars are checked first
 CELL = 512  # classes of a tile's cell, in the mean
-SIGNATURE = 1024  # bits of a bitmap signature
+FOLDED = 1024  # bits of a bitmap signature in a cell; a whole one has 4 to 8 for each shingle, at least FOLDED
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -66,7 +73,7 @@ def shingle_sets(data: np.ndarray, offs: np.ndarray, words: int) -> tuple[np.nda
     start = np.flatnonzero(solid & (~before | first[:-1]))
     end = np.flatnonzero(solid & (~after | first[1:])) + 1
     word = range_hash(prefix_hash(low), start, end)
-    row = np.searchsorted(offs, start, side="right") - 1
+    row = rows_of(start, offs)
     count = np.bincount(row, minlength=rows)
     begin = np.cumsum(count) - count
     last = np.maximum(count - words + 1, (count > 0).astype(count.dtype))  # shingles of each row
@@ -101,34 +108,54 @@ def _row_slices(batch: pa.RecordBatch, column: str):
             yield c, d, data[offs[c]:offs[d]], offs[c:d + 1] - offs[c]
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts in as few bytes each as the largest needs, compressed."""
+    kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if counts.max() <= np.iinfo(k).max)
+    return np.dtype(kind).char.encode() + zlib.compress(counts.astype(kind).tobytes(), 1)
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(raw[1:]), np.dtype(raw[:1].decode())).astype(np.int64)
+
+
 def common_buckets(docs: DataFrame, text: str, words: int) -> np.ndarray:
-    """The count table's buckets (low bits of a shingle) of far more shingles than the mean, as a bitmap."""
+    """The count table's buckets (low bits of a shingle) of more shingles than chance gives, as a bitmap.
+
+    Every task counts all its shingles in a table of fixed size; tables are added up block by block, first in
+    SALTS parts, so no task holds the tables of all."""
+    size = 1 << ORDER_BITS
 
     def run(batches):
-        table = np.zeros(1 << ORDER_BITS, np.int32)
-        total = 0
+        table = np.zeros(size, np.int32)
         for batch in batches:
             for _, _, data, offs in _row_slices(batch, "text"):
-                codes, _ = shingle_sets(data, offs, words)
-                total += len(codes)
-                at = codes & ((1 << ORDER_BITS) - 1)
-                table += np.bincount(at, minlength=len(table)).astype(np.int32) if len(at) > len(table) // 8 else 0
-                if len(at) <= len(table) // 8:
-                    where, n = np.unique(at, return_counts=True)
-                    table[where] += n.astype(np.int32)
-        # what is rare even here is left out: it would not change the order
-        often = np.flatnonzero(table >= max(3, 8 * total / len(table)))
-        yield pa.RecordBatch.from_arrays([pa.array(np.r_[-1, often], pa.int64()), pa.array(np.r_[total, table[often]], pa.int64())],
-                                         names=["at", "n"])
-
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
-    counted = materialize(counted, "shingle_counts")
-    total = counted.filter("at = -1").agg(F.sum("n")).first()[0] or 0
-    return membership(counted.filter((F.col("at") >= 0) & (F.col("n") >= max(24, 16 * total // (1 << ORDER_BITS)))), "at", ORDER_BITS)
+                np.add.at(table, shingle_sets(data, offs, words)[0] & (size - 1), 1)
+        if table.any():
+            salt = int(table[:: size >> 10].sum()) % SALTS
+            for block, part in enumerate(table.reshape(-1, ORDER_BLOCK)):
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([salt], pa.int32()),
+                                                  pa.array([_packed(part)], pa.binary())], names=["block", "salt", "counts"])
+
+    def add(t: pa.Table) -> pa.Table:
+        total = sum(_unpacked(x.as_py()) for x in t["counts"])
+        return pa.table([t["block"].slice(0, 1), t["salt"].slice(0, 1), pa.array([_packed(total)], pa.binary())],
+                        names=["block", "salt", "counts"])
+
+    def judged(t: pa.Table) -> pa.Table:
+        counts = sum(_unpacked(x.as_py()) for x in t["counts"])
+        mean = counts.mean()
+        often = np.flatnonzero(counts >= mean + 5 * mean**0.5 + 4) + t["block"][0].as_py() * ORDER_BLOCK
+        return pa.table([pa.array(often, pa.int64())], names=["at"])
+
+    kind = "block int, salt int, counts binary"
+    counted = docs.select(F.col(text).alias("text")).mapInArrow(run, kind)
+    counted = counted.groupBy("block", "salt").applyInArrow(add, kind).groupBy("block").applyInArrow(judged, "at long")
+    return membership(counted, "at", ORDER_BITS)
 
 
 def signatures(docs: DataFrame, common: np.ndarray, ident: str, text: str, words: int, percent: int) -> DataFrame:
-    """(id, rid, a, b, n, prefix, bits) per document: a, b name its set, rid the row."""
+    """(id, rid, a, b, n, rare, star, prefix, bits, folded) per document: a, b name its set, rid the row, rare is its
+    number of uncommon shingles, star holds its smallest hashes."""
     common_of = docs.sparkSession.sparkContext.broadcast(common)  # fixed size
 
     def run(batches):
@@ -150,17 +177,26 @@ def signatures(docs: DataFrame, common: np.ndarray, ident: str, text: str, words
                 take = np.flatnonzero(rank < prefix_length(n, percent)[row])
                 order = take[np.lexsort((rank[take], row[take]))]
                 held = np.bincount(row[order], minlength=len(n))
-                bits = np.zeros((len(n), SIGNATURE), bool)
-                bits[row, (codes >> 26) & (SIGNATURE - 1)] = True
-                packed = np.packbits(bits, axis=1)
+                least = np.flatnonzero(at < STAR_KEYS)
+                stars = np.r_[0, np.cumsum(np.minimum(n, STAR_KEYS))]
+                width = np.maximum(FOLDED, 1 << np.ceil(np.log2(np.maximum(4 * n, 1))).astype(np.int64))
+                place = np.r_[0, np.cumsum(width)]
+                bits = np.zeros(place[-1], bool)
+                bits[place[row] + ((codes >> 20) & (width[row] - 1))] = True
+                packed = np.packbits(bits).tobytes()
+                folded = np.zeros((len(n), FOLDED), bool)
+                folded[row, (codes >> 20) & (FOLDED - 1)] = True
+                small = np.packbits(folded, axis=1).tobytes()
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), pa.array(a), pa.array(b), pa.array(n, pa.int64()),
-                    list_array(codes[order], np.r_[0, np.cumsum(held)], pa.int64()),
-                    pa.array([p.tobytes() for p in packed], pa.binary())], names=["id", "rid", "a", "b", "n", "prefix", "bits"])
+                    pa.array(rare, pa.int64()), list_array(codes[least], stars, pa.int64()), list_array(codes[order], np.r_[0, np.cumsum(held)], pa.int64()),
+                    pa.array([packed[x // 8:y // 8] for x, y in zip(place, place[1:])], pa.binary()),
+                    pa.array([small[x:x + FOLDED // 8] for x in range(0, len(small), FOLDED // 8)], pa.binary())],
+                    names=["id", "rid", "a", "b", "n", "rare", "star", "prefix", "bits", "folded"])
 
     rows = docs.select(F.col(ident).alias("id"), F.xxhash64(text, ident).alias("rid"), F.col(text).alias("text"))
     id_type = docs.schema[ident].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {id_type}, rid long, a long, b long, n long, prefix array<long>, bits binary")
+    return rows.mapInArrow(run, f"id {id_type}, rid long, a long, b long, n long, rare long, star array<long>, prefix array<long>, bits binary, folded binary")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, ident: str, text: str, words: int) -> DataFrame:
@@ -209,16 +245,26 @@ def _verify(pairs: DataFrame, classes: DataFrame, docs: DataFrame, ident: str, t
     return materialize(joined.mapInArrow(run, "u long, v long"), "links")
 
 
-def _cells(members: DataFrame, percent: int) -> DataFrame:
+def _room(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Whether signatures x, y (rows of words) of sets of n, m shingles leave room for a link."""
+    lacks_y = np.bitwise_count(x & ~y).sum(1, dtype=np.int64)
+    lacks_x = np.bitwise_count(y & ~x).sum(1, dtype=np.int64)
+    most = np.minimum(n - lacks_y, m - lacks_x)
+    return 100 * most >= percent * (n + m - most)
+
+
+def _cells(members: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
     """Pairs (u, v) of different components that share a key and may link, from tiles of bounded cells."""
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int")
-    tiled = members.withColumn("band", band).withColumn("tile", F.explode(F.array(F.col("band") - 1, F.col("band"))))
-    crowd = tiled.groupBy("key", "tile").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").withColumn(
-        "parts", F.ceil(F.col("m") / CELL).cast("int")).drop("m")
+    tiled = members.withColumn("band", band).withColumn("tile", F.explode(F.array(F.col("band") - 1, F.col("band")))).drop("band")
+    crowd = tiled.groupBy("key", "tile").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    crowd = crowd.filter("lo <> hi").select("key", "tile", F.ceil(F.col("m") / CELL).cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")
     dealt = tiled.join(crowd, ["key", "tile"]).withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select(F.xxhash64("key", "tile", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "n", "a", "component", "bits")
+    dealt = dealt.select(F.xxhash64("key", "tile", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "n", "a", "component")
+    bits = signed.select("a", "folded").dropDuplicates(["a"])
+    dealt = dealt.join(bits, "a").select("cell", "n", "a", "component", "folded")
     dealt = dealt.repartition("cell").sortWithinPartitions("cell", "n", "a")
 
     def pairs_of(t: pa.Table) -> pa.RecordBatch:
@@ -234,10 +280,7 @@ def _cells(members: DataFrame, percent: int) -> DataFrame:
             for c in range(0, len(k), 1 << 16):
                 x = k[c:c + (1 << 16)]
                 y = x + d
-                lacks_y = np.bitwise_count(bits[x] & ~bits[y]).sum(1, dtype=np.int64)
-                lacks_x = np.bitwise_count(bits[y] & ~bits[x]).sum(1, dtype=np.int64)
-                room = np.minimum(n[x] - lacks_y, n[y] - lacks_x)
-                ok = 100 * room >= percent * (n[x] + n[y] - room)
+                ok = _room(bits[x], bits[y], n[x], n[y], percent)
                 out.append(np.stack([np.minimum(a[x], a[y])[ok], np.maximum(a[x], a[y])[ok]]))
             d += 1
         u, v = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
@@ -258,8 +301,28 @@ def _cells(members: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "u long, v long").distinct()
 
 
+def _bounded(pairs: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
+    """The pairs that whole signatures leave room for."""
+    bits = signed.select("a", "n", "bits").dropDuplicates(["a"])
+    joined = pairs.join(bits.select(F.col("a").alias("u"), F.col("n").alias("un"), F.col("bits").alias("ub")), "u").join(
+        bits.select(F.col("a").alias("v"), F.col("n").alias("vn"), F.col("bits").alias("vb")), "v").select("u", "v", "un", "vn", "ub", "vb")
+
+    def run(batches):
+        for batch in batches:
+            n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            ok = np.zeros(batch.num_rows, bool)
+            for i, (x, y) in enumerate(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                least = min(len(x), len(y))  # the wider one is folded: its place modulo the width
+                x, y = (np.bitwise_or.reduce(z.reshape(-1, least), axis=0)[None] for z in (x, y))
+                ok[i] = _room(x, y, n[i:i + 1], m[i:i + 1], percent)[0]
+            yield batch.select([0, 1]).filter(pa.array(ok))
+
+    return joined.mapInArrow(run, "u long, v long")
+
+
 def _keys(signed: DataFrame, component: DataFrame, held: np.ndarray) -> DataFrame:
-    """(key, a, n, bits, component) for the prefix keys that may be in ``held``."""
+    """(key, a, n, component) for the prefix keys that may be in ``held``."""
     held_of = signed.sparkSession.sparkContext.broadcast(held)
 
     def run(batches):
@@ -270,12 +333,12 @@ def _keys(signed: DataFrame, component: DataFrame, held: np.ndarray) -> DataFram
             keys = col.flatten().to_numpy()
             take = member(held, keys)
             row = pa.array(np.repeat(np.arange(len(size)), size)[take])
-            yield pa.RecordBatch.from_arrays([pa.array(keys[take]), *(batch.column(k).take(row) for k in range(1, 5))],
-                                             names=["key", "a", "n", "bits", "component"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys[take]), *(batch.column(k).take(row) for k in range(1, 4))],
+                                             names=["key", "a", "n", "component"])
 
-    rows = signed.select("prefix", "a", "n", "bits").join(component, "a", "left").select(
-        "prefix", "a", "n", "bits", F.coalesce("component", "a").alias("component"))
-    return rows.mapInArrow(run, "key long, a long, n long, bits binary, component long")
+    rows = signed.select("prefix", "a", "n").join(component, "a", "left").select(
+        "prefix", "a", "n", F.coalesce("component", "a").alias("component"))
+    return rows.mapInArrow(run, "key long, a long, n long, component long")
 
 
 def _linked(docs: DataFrame, ident: str, text: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -286,11 +349,14 @@ def _linked(docs: DataFrame, ident: str, text: str, words: int, percent: int) ->
     head = F.struct(F.col("id").isNull().alias("no_id"), "id", "rid")
     classes = materialize(full.groupBy("a", "b").agg(F.min(head).alias("head")).withColumn("rid", F.col("head.rid")), "classes")
 
-    firsts = full.select("a", "n", F.explode(F.slice("prefix", 1, STAR_KEYS)).alias("key"))
-    hubs = firsts.groupBy("key").agg(F.min(F.struct("a", "n")).alias("lo"), F.max(F.struct("a", "n")).alias("hi")).filter("lo.a <> hi.a")
-    star = firsts.join(hubs, "key").select("a", "n", F.explode(F.array("lo", "hi")).alias("h")).filter(
+    firsts = full.select("a", "n", "rare", F.explode("star").alias("key"))
+    hub, other = F.struct("rare", "a", "n"), F.struct("a", "n")
+    hubs = firsts.groupBy("key").agg(F.min(hub).alias("hub"), F.min(other).alias("lo"), F.max(other).alias("hi")).filter("lo.a <> hi.a")
+    hubs = hubs.select("key", F.array(F.struct("hub.a", "hub.n"), "hi").alias("hubs"))
+    star = firsts.join(hubs, "key").select("a", "n", F.explode("hubs").alias("h")).filter(
         (F.col("a") != F.col("h.a")) & (percent * F.greatest("n", "h.n") <= 100 * F.least("n", "h.n")))
-    star = materialize(star.select(F.least("a", "h.a").alias("u"), F.greatest("a", "h.a").alias("v")).distinct(), "star")
+    star = star.select(F.least("a", "h.a").alias("u"), F.greatest("a", "h.a").alias("v")).distinct()
+    star = materialize(_bounded(star, full, percent), "star")
     links = _verify(star, classes, docs, ident, text, words, percent)
     near = components(links).select(F.col("node").alias("a"), "component")
 
@@ -299,7 +365,8 @@ def _linked(docs: DataFrame, ident: str, text: str, words: int, percent: int) ->
     mixed = keyed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
     mixed = materialize(mixed, "mixed_keys")
     members = _keys(full, near, membership(mixed, "key")).join(mixed, "key", "left_semi").dropDuplicates(["key", "a"])
-    pairs = materialize(_cells(materialize(members, "members"), percent), "pairs")
+    pairs = materialize(_cells(materialize(members, "members"), full, percent), "pairs")
+    pairs = materialize(_bounded(pairs, full, percent), "bounded")
     found = _verify(pairs, classes, docs, ident, text, words, percent)
 
     to = near.select(F.col("a").alias("u"), F.col("component").alias("cu"))
