@@ -8,7 +8,7 @@ every suffix is sorted, only enough of them to decide every window of ``length``
    at the same offset; about one position in ``length / 4`` is marked.
 2. A marked position's context holds all windows that it decides: up to length / 2 bytes
    before it and ``length`` bytes from it on. Contexts are counted by hash, first inside
-   each batch, then by gram. A context with a copy decides all its windows; a gram with
+   each task, then by gram. A context with a copy decides all its windows; a gram with
    one context and no copy is dropped. What is left are grams with different contexts.
 3. Merge sort. Each map task sorts the suffixes that start at its left-over positions into one run for
    each bucket and front-codes it: a suffix is the length it shares with the one before it and the
@@ -21,7 +21,7 @@ every suffix is sorted, only enough of them to decide every window of ``length``
 5. The windows found are brought back to all positions by context, and merged per text.
 
 Memory is bounded by batches, runs and buckets (whose number follows their count); copies
-are pre-aggregated in each batch, so a group of a third of all rows is a few rows per batch.
+are pre-aggregated over GATHERED positions, so a group of a third of all rows is a few rows of each such part.
 
 Defined results: a null or empty text has no bytes and keeps none; texts shorter than
 ``length`` keep all; repeated rows are copies, so all their bytes go from ``length`` on;
@@ -36,11 +36,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skein.llm.batches import list_array, slices, text_bytes
-from skein.llm.hashing import member, membership, mix, prefix_hash, range_hash
+from skein.llm.batches import list_array, slices, small_batches, text_bytes
+from skein.llm.hashing import member, membership, mix, powers, prefix_hash, range_hash
 from skein.session import materialize
 
-BUCKET_SUFFIXES = 20_000  # suffixes of a bucket, in the mean
+BUCKET_SUFFIXES = 20_000  # suffixes of a bucket, in the mean, and of a run, at most
+GATHERED = 200_000  # marked positions combined at once
+_LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 PAIRWISE = 8  # up to so many contexts of a gram are compared two by two
 
 
@@ -52,31 +54,33 @@ def marked(data: np.ndarray, offs: np.ndarray, length: int):
     if n < length:
         return none, none.view(np.uint64), none.view(np.uint64), none, none
     prefix = prefix_hash(data)
-    starts = np.arange(n - gram + 1)
-    code = range_hash(prefix, starts, starts + gram)
+    places = n - gram + 1
     bits = max(22, int(n).bit_length())
     low = np.uint64((1 << bits) - 1)
-    key = (code & ~low) | starts.astype(np.uint64)
-    for end in offs[1:-1]:  # grams over a row's edge never win
-        key[max(end - gram + 1, 0):end] = np.uint64(0xFFFFFFFFFFFFFFFF)
-    m = -(-len(key) // span) * span
-    block = np.full(m, np.uint64(0xFFFFFFFFFFFFFFFF))
-    block[:len(key)] = key
+    key = prefix[gram:] - prefix[:places]
+    key *= powers(n)[1][:places]
+    key *= np.uint64(0xD1342543DE82EF95)  # the high bits order the grams
+    key &= ~low
+    key |= np.arange(places, dtype=np.uint64)
+    free = np.ones(n - length + 1, bool)  # windows inside one row
+    for end in offs[1:-1].tolist():  # grams over a row's edge never win
+        key[max(end - gram + 1, 0):end] = _LAST
+        free[max(end - length + 1, 0):end] = False
+    block = np.full(-(-places // span) * span, _LAST)
+    block[:places] = key
     block = block.reshape(-1, span)
     head = np.minimum.accumulate(block, axis=1).ravel()
     tail = np.minimum.accumulate(block[:, ::-1], axis=1)[:, ::-1].ravel()
-    windows = n - length + 1
-    least = np.minimum(tail[:windows], head[span - 1:span - 1 + windows])
-    row = np.searchsorted(offs, np.arange(windows), side="right") - 1 if len(offs) > 2 else np.zeros(windows, np.int64)
-    least = least[np.arange(windows) + length <= offs[row + 1]]
+    least = np.minimum(tail[:len(free)], head[span - 1:span - 1 + len(free)])[free] & low
     if not len(least):
         return none, none.view(np.uint64), none.view(np.uint64), none, none
-    pos = np.unique((least[np.r_[True, least[1:] != least[:-1]]] & low).astype(np.int64))
+    pos = least[np.r_[True, least[1:] != least[:-1]]].astype(np.int64)  # they only move to the right
+    code = range_hash(prefix, pos, pos + gram)
     row = np.searchsorted(offs, pos, side="right") - 1
     before = np.minimum(pos - offs[row], length - gram)
     after = np.minimum(offs[row + 1] - pos, length)
     context = mix(range_hash(prefix, pos - before, pos + after) + before.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25))
-    return pos, code[pos], context, before, after
+    return pos, code, context, before, after
 
 
 def _marked_rows(batch: pa.RecordBatch, length: int):
@@ -90,6 +94,19 @@ def _marked_rows(batch: pa.RecordBatch, length: int):
         yield part, rid[a + row], pos, pos - po[row], gram.view(np.int64), context.view(np.int64), before, after
 
 
+def _gathered(parts):
+    """Lists of (arrays, ...) of GATHERED rows or more together, so that copies are combined over many batches."""
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size >= GATHERED:
+            yield held
+            held, size = [], 0
+    if size:
+        yield held
+
+
 def _place(rid: np.ndarray, at: np.ndarray) -> np.ndarray:
     return mix(rid.view(np.uint64) + at.astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)).view(np.int64)
 
@@ -99,10 +116,7 @@ def contexts(rows: DataFrame, length: int) -> DataFrame:
     contexts and positions its gram has."""
 
     def run(batches):
-        for batch in batches:
-            got = [(rid, at, gram, context) for _, rid, _, at, gram, context, _, _ in _marked_rows(batch, length)]
-            if not got:
-                continue
+        for got in _gathered((x[1], x[3], x[4], x[5]) for batch in batches for x in _marked_rows(batch, length)):
             rid, at, gram, context = (np.concatenate(x) for x in zip(*got))
             place = _place(rid, at)
             order = np.lexsort((place, context, gram))
@@ -270,7 +284,7 @@ def _runs(rows: DataFrame, grams: np.ndarray, places: np.ndarray, buckets: int,
                         p = int(pos[i])
                         kept[key] = (part[p:p + int(after[i])].tobytes(), part[p - int(before[i]):p][::-1].tobytes())
                         size += 1
-            if size > 4 * BUCKET_SUFFIXES:  # bounds a task's memory: more runs, not longer ones
+            if size > BUCKET_SUFFIXES:  # bounds a task's memory: more runs, not longer ones
                 yield from give(kept)
                 kept, size = {}, 0
         yield from give(kept)
@@ -330,17 +344,17 @@ def _brought_back(rows: DataFrame, decided: DataFrame, length: int) -> DataFrame
     """(rid, spans): byte spans of each text that decided contexts cover."""
     held_of = rows.sparkSession.sparkContext.broadcast(membership(decided, "context"))
 
-    def run(batches):
+    def found(batches):
         held = held_of.value
         for batch in batches:
-            got = []
             for _, rid, _, at, gram, context, before, after in _marked_rows(batch, length):
                 take = member(held, context)
-                got.append([x[take] for x in (rid, at, gram, context, before, after)])
-            if not got:
-                continue
+                yield [x[take] for x in (rid, at, gram, context, before, after)]
+
+    def run(batches):
+        for got in _gathered(found(batches)):
             cols = [np.concatenate(x) for x in zip(*got)]
-            order = np.lexsort((cols[1], cols[0]))  # copies in a batch give their positions once
+            order = np.lexsort((cols[1], cols[0]))  # copies give their positions once
             rid, at = cols[0][order], cols[1][order]
             new = np.r_[True, (rid[1:] != rid[:-1]) | (at[1:] != at[:-1])][:len(rid)]
             cols = [x[order][new] for x in cols]
@@ -358,7 +372,7 @@ def _brought_back(rows: DataFrame, decided: DataFrame, length: int) -> DataFrame
 
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = 400) -> DataFrame:
     """(rid, spans: array<struct<start, end>>) of the texts with repeated windows; rid is xxhash64 of the text."""
-    rows = docs.select(F.xxhash64(text).alias("rid"), F.col(text).alias("text")).filter(F.octet_length("text") >= length)
+    rows = small_batches(docs).select(F.xxhash64(text).alias("rid"), F.col(text).alias("text")).filter(F.octet_length("text") >= length)
     seen = materialize(contexts(rows, length), "contexts")
     open_ = seen.filter("kinds > 1")
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-open_.count() // BUCKET_SUFFIXES))
