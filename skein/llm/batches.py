@@ -1,8 +1,9 @@
 """Arrow batches as flat numpy byte buffers, cut into slices of bounded bytes.
 
 Python steps of this subpackage work on whole texts; what bounds their memory is
-that a batch is handled in slices of consecutive rows of at most ``SLICE_BYTES``
-(a single longer text is a slice of its own).
+that at most ``BATCH_ROWS`` rows come at once (``small_batches``), and that they
+are handled in slices of consecutive rows of at most ``SLICE_BYTES`` (a single longer
+text is a slice of its own).
 """
 
 from __future__ import annotations
@@ -11,8 +12,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
-SLICE_BYTES = (1 << 20) - 4096
+SLICE_BYTES = (1 << 19) - 4096
+BATCH_ROWS = 1_000
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Lowers the session's Arrow batch size to ``BATCH_ROWS`` rows (a smaller setting stays): at Spark's default
+    of 10,000, a batch of long texts alone can fill a worker."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(_ROWS)) <= BATCH_ROWS:
+        conf.set(_ROWS, str(BATCH_ROWS))
+    return df
 
 
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

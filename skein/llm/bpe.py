@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from skein.llm.batches import list_array, text_slices, texts_of
+from skein.llm.batches import list_array, small_batches, text_slices, texts_of
 
 LEAF_BYTES = 8  # pieces up to this length are merged directly
 SCAN_BYTES = 64
@@ -177,7 +177,7 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, text: str = "
                     cols.append(pa.array([bpe.decode(x.tolist()) for x in found], pa.binary()))
                 yield pa.RecordBatch.from_arrays(cols, names=[*names, ids, *([decoded] if decoded else [])])
 
-    return df.select(*names, text).mapInArrow(run, out)
+    return small_batches(df).select(*names, text).mapInArrow(run, out)
 
 
 def decode_documents(df: DataFrame, ranks_path: str, pattern: str, ids: str = "ids", text: str = "text") -> DataFrame:
@@ -192,4 +192,4 @@ def decode_documents(df: DataFrame, ranks_path: str, pattern: str, ids: str = "i
             cols = [batch.column(batch.schema.get_field_index(n)) for n in names]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(back, pa.binary())], names=[*names, text])
 
-    return df.select(*names, ids).mapInArrow(run, T.StructType([*keep, T.StructField(text, T.BinaryType(), False)]))
+    return small_batches(df).select(*names, ids).mapInArrow(run, T.StructType([*keep, T.StructField(text, T.BinaryType(), False)]))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.batches import list_array, slices, text_bytes
+from skein.llm.batches import list_array, slices, small_batches, text_bytes
 from skein.llm.hashing import member, membership, mix, prefix_hash, range_hash
 from skein.session import materialize
 
@@ -50,7 +50,7 @@ def word_hashes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndar
     start = np.flatnonzero(solid & (~np.r_[False, solid[:-1]][:len(solid)] | edge[:-1]))
     end = np.flatnonzero(solid & (~np.r_[solid[1:], False][:len(solid)] | edge[1:])) + 1
     word = range_hash(prefix_hash(low), start, end)
-    counts = np.bincount(np.searchsorted(offs, start, side="right") - 1, minlength=len(offs) - 1)
+    counts = np.diff(np.searchsorted(start, offs))
     return word, np.r_[0, np.cumsum(counts)].astype(np.int64)
 
 
@@ -136,7 +136,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, text: str = "text", item_id:
     items = benchmark.select(F.col(item_id).alias("id"), F.col(item_text).alias("text"))
     item_seeds = materialize(_hits(items, None, True).dropDuplicates(["seed", "id", "around"]), "item_seeds")
     held = membership(item_seeds, "seed")
-    rows = docs.select(F.xxhash64(text).alias("id"), F.col(text).alias("text"))
+    rows = small_batches(docs).select(F.xxhash64(text).alias("id"), F.col(text).alias("text"))
     hits = _hits(rows, held, False).withColumnRenamed("id", "rid")
     joined = hits.join(item_seeds.select("seed", F.col("id").alias("item"), F.col("n_words").alias("item_words"),
                                          F.col("around").alias("item_around")), "seed")

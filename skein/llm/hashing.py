@@ -35,7 +35,7 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """(base**i, base**-i) for i < n at least, modulo 2**64; sizes are rounded up so they are reused."""
-    size = 1 << 20
+    size = 1 << 19
     while size < n:
         size *= 2
     return _powers(size)

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from skein.llm.batches import text_slices, texts_of
+from skein.llm.batches import small_batches, text_slices, texts_of
 
 FEATURES = 1 << 13  # hashed features
 TRAINING_PAGES, STEPS, RATE, DECAY = 400, 250, 0.1, 1e-3
@@ -397,4 +397,4 @@ def extract_pages(df: DataFrame, field: Field, html: str = "html", out: str = "t
                 cols = [rows.column(rows.schema.get_field_index(c)) for c in names]
                 yield pa.RecordBatch.from_arrays([*cols, pa.array([extract(p, model) for p in texts_of(data, offs)], pa.string())], names=[*names, out])
 
-    return df.select(*names, html).mapInArrow(run, T.StructType([*keep, T.StructField(out, T.StringType(), False)]))
+    return small_batches(df).select(*names, html).mapInArrow(run, T.StructType([*keep, T.StructField(out, T.StringType(), False)]))

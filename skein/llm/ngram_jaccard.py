@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.batches import list_array, slices, text_bytes
+from skein.llm.batches import list_array, slices, small_batches, text_bytes
 from skein.llm.graph import components
 from skein.llm.hashing import member, membership, mix, prefix_hash, range_hash, rows_of
 from skein.session import materialize
@@ -343,7 +343,7 @@ def _keys(signed: DataFrame, component: DataFrame, held: np.ndarray) -> DataFram
 
 def _linked(docs: DataFrame, ident: str, text: str, words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """(signatures, (a, head)): head is the (id is null, id, rid) of its component's smallest document."""
-    common = common_buckets(docs, text, words)
+    common = common_buckets(small_batches(docs), text, words)
     signed = materialize(signatures(docs, common, ident, text, words, percent), "signed")
     full = signed.filter("n > 0")
     head = F.struct(F.col("id").isNull().alias("no_id"), "id", "rid")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm.batches import list_array, slices, text_bytes
+from skein.llm.batches import list_array, slices, small_batches, text_bytes
 from skein.llm.hashing import mix, prefix_hash, range_hash, rows_of
 
 DIM = 32  # of every vector
@@ -146,7 +146,7 @@ def context_table(docs: DataFrame, text: str = "text") -> np.ndarray:
         total = sum(np.frombuffer(x, np.float64) for x in t["sums"].to_pylist())
         return pa.table([t["block"].slice(0, 1), pa.array([total.tobytes()], pa.binary())], names=["block", "sums"])
 
-    parts = docs.select(text).mapInArrow(run, "block int, sums binary")
+    parts = small_batches(docs).select(text).mapInArrow(run, "block int, sums binary")
     got = parts.groupBy("block").applyInArrow(add, "block int, sums binary").collect()  # BUCKETS * DIM numbers
     table = np.zeros((BUCKETS // BLOCK, BLOCK * DIM))
     for r in got:
@@ -270,7 +270,7 @@ def score(docs: DataFrame, model: Network | Constant, context: np.ndarray, text:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(got) if got else np.zeros(0), pa.float64())],
                                              names=[*names, out])
 
-    schema = docs.select(*names).schema
+    schema = small_batches(docs).select(*names).schema
     return docs.select(*names).mapInArrow(run, schema.add(out, "double"))
 
 

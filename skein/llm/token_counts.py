@@ -21,7 +21,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from skein.llm.batches import text_slices, texts_of
+from skein.llm.batches import small_batches, text_slices, texts_of
 
 CACHE_ENTRIES = 600_000  # bound of the memo table in a worker
 LONG_PIECE = 64  # longer pre-tokens are not remembered
@@ -177,4 +177,4 @@ def count_tokens(df: DataFrame, tokenizer_path: str, text: str = "text", out: st
                 yield pa.RecordBatch.from_arrays(
                     [*cols, pa.array(np.diff(offs), pa.int64()), pa.array(n, pa.int64())], names=[*names, "n_bytes", out])
 
-    return df.select(*names, text).mapInArrow(run, schema)
+    return small_batches(df).select(*names, text).mapInArrow(run, schema)
