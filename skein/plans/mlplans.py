@@ -89,7 +89,7 @@ RULES = [
 
 @query("validate_rows", sql="""
     WITH v AS (SELECT c_custkey AS id, c_name AS name, c_acctbal AS acctbal,
-                      CASE WHEN c_nationkey % 7 = 0 THEN 'badbadbad' ELSE '2011-12-' || lpad((c_nationkey + 1)::VARCHAR, 2, '0') END AS joined,
+                      CASE WHEN c_nationkey % 7 = 0 THEN 'no date' ELSE '2011-12-' || lpad((c_nationkey + 1)::VARCHAR, 2, '0') END AS joined,
                       CASE WHEN c_mktsegment = 'BUILDING' THEN lower(c_name) ELSE replace(lower(c_name), '#', '.') END || '@example.com' AS email,
                       nullif(c_mktsegment, 'MACHINERY') AS segment FROM customer)
     SELECT id, list_filter([
@@ -103,7 +103,7 @@ RULES = [
 def q_validate_rows(spark, sf_dir):
     """P20: rule list -> error list per row (empty = valid)."""
     c = Tables(spark, sf_dir).customer
-    joined = F.when(F.col("c_nationkey") % 7 == 0, F.lit("badbadbad")).otherwise(
+    joined = F.when(F.col("c_nationkey") % 7 == 0, F.lit("no date")).otherwise(
         F.concat(F.lit("2011-12-"), F.lpad((F.col("c_nationkey") + 1).cast("string"), 2, "0")))
     email = F.concat(F.when(F.col("c_mktsegment") == "BUILDING", F.lower("c_name")).otherwise(
         F.replace(F.lower("c_name"), F.lit("#"), F.lit("."))), F.lit("@example.com"))

@@ -75,13 +75,13 @@ def q_url_encoded(spark, sf_dir):
     SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%H %M %S') AS clock,
            strftime(ts, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS iso,
            strftime(ts, '%a, %d %b %Y %H:%M:%S') || ' GMT' AS rfc1123,
-           try_strptime(CASE WHEN event_type = 'error' THEN 'badbadbad' ELSE strftime(ts, '%Y-%m-%d') END,
+           try_strptime(CASE WHEN event_type = 'error' THEN 'no date' ELSE strftime(ts, '%Y-%m-%d') END,
                         '%Y-%m-%d')::DATE AS parsed
     FROM events""")
 def q_time_formats(spark, sf_dir):
     """date / clock / ISO / RFC-1123 formatting and tolerant date parsing."""
     e = Tables(spark, sf_dir).events
-    text = F.when(F.col("event_type") == "error", F.lit("badbadbad")).otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    text = F.when(F.col("event_type") == "error", F.lit("no date")).otherwise(F.date_format("ts", "yyyy-MM-dd"))
     return e.select(
         "event_id",
         F.date_format("ts", "yyyy-MM-dd").alias("day"),

@@ -71,7 +71,7 @@ def test_update_to_null_date(spark):
 def test_form_validation(spark):
     rules = [validate.Rule("name", "nonempty"), validate.Rule("introduced", "date", "yyyy-MM-dd"),
              validate.Rule("price", "min", 0)]
-    df = spark.createDataFrame([(1, "FooBar", "badbadbad", 1), (2, "FooBar", "2011-12-24", 1), (3, "foo", "2011-12-24", -100)],
+    df = spark.createDataFrame([(1, "Lamp", "last spring", 3), (2, "Lamp", "1998-02-28", 0), (3, "Desk", "2020-06-01", -7)],
                                "id long, name string, introduced string, price int")
     got = {r.id: sorted(r.errors) for r in validate.validate(df, rules).collect()}
     assert got[2] == []
