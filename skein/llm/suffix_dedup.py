@@ -341,7 +341,7 @@ def _merged(runs: DataFrame, length: int) -> DataFrame:
 
 
 def _brought_back(rows: DataFrame, decided: DataFrame, length: int) -> DataFrame:
-    """(rid, spans): byte spans of each text that decided contexts cover."""
+    """(rid, spans): byte spans of each text that decided contexts (gram, context, ranges) cover."""
     held_of = rows.sparkSession.sparkContext.broadcast(membership(decided, "context"))
 
     def found(batches):
@@ -362,12 +362,12 @@ def _brought_back(rows: DataFrame, decided: DataFrame, length: int) -> DataFrame
                                              names=["rid", "at", "gram", "context", "before", "after"])
 
     places = rows.mapInArrow(run, "rid long, at int, gram long, context long, before int, after int")
-    there = places.join(decided, ["gram", "context"])
-    lo = F.greatest(F.coalesce("lo", F.lit(0)), F.lit(length) - F.col("after"))
-    hi = F.least(F.coalesce("hi", F.lit(length)), F.col("before"))
-    spans = there.withColumn("lo", lo).withColumn("hi", hi).filter("lo <= hi").select(
-        "rid", F.struct((F.col("at") - F.col("hi")).alias("start"), (F.col("at") - F.col("lo") + length).alias("end")).alias("span"))
-    return spans.groupBy("rid").agg(F.collect_set("span").alias("spans"))
+    there = places.join(decided, ["gram", "context"])  # a row for each place at most
+    inside = F.transform("ranges", lambda r: F.struct(F.greatest(r["lo"], F.lit(length) - F.col("after")).alias("lo"),
+                                                      F.least(r["hi"], F.col("before")).alias("hi")))
+    spans = F.transform(F.filter(inside, lambda r: r["lo"] <= r["hi"]), lambda r: F.struct(
+        (F.col("at") - r["hi"]).alias("start"), (F.col("at") - r["lo"] + length).alias("end")))
+    return there.select("rid", spans.alias("spans")).groupBy("rid").agg(F.flatten(F.collect_set("spans")).alias("spans"))
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = 400) -> DataFrame:
@@ -378,8 +378,11 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 400) -> Da
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-open_.count() // BUCKET_SUFFIXES))
     runs = _runs(rows, membership(open_, "gram"), membership(open_, "place"), buckets, length)
     windows = _merged(runs, length)
-    whole = seen.filter("n > 1").select("gram", "context", F.lit(None).cast("int").alias("lo"), F.lit(None).cast("int").alias("hi"))
-    decided = materialize(whole.unionByName(windows), "decided")
+    whole = seen.filter("n > 1").select("gram", "context", F.lit(0).alias("lo"), F.lit(length).alias("hi"))
+    both = whole.unionByName(windows).groupBy("gram", "context").agg(
+        F.max(F.expr(f"lo = 0 and hi = {length}")).alias("whole"), F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+    every = F.array(F.struct(F.lit(0).alias("lo"), F.lit(length).alias("hi")))
+    decided = materialize(both.select("gram", "context", F.when(F.col("whole"), every).otherwise(F.col("ranges")).alias("ranges")), "decided")
     return _brought_back(rows, decided, length)
 
 
