@@ -3,10 +3,10 @@
 A byte goes if a string of ``length`` bytes that covers it starts anywhere else, too. Not
 every suffix is sorted, only enough of them to decide every window of ``length`` bytes:
 
-1. Winnowing. In each window, the leftmost smallest hash among its ``length / 2``-byte grams marks
+1. Winnowing. In each window, the leftmost smallest hash among its grams of a quarter of ``length`` marks
    a position. Equal windows mark equal places, so equal windows share a marked gram
-   at the same offset; about one position in ``length / 4`` is marked.
-2. A marked position's context holds all windows that it decides: up to length / 2 bytes
+   at the same offset; about one position in ``3 * length / 8`` is marked.
+2. A marked position's context holds all windows that it decides: up to three quarters of length
    before it and ``length`` bytes from it on. Contexts are counted by hash, first inside
    each task, then by gram. A context with a copy decides all its windows; a gram with
    one context and no copy is dropped. What is left are grams with different contexts.
@@ -46,9 +46,14 @@ _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 PAIRWISE = 8  # up to so many contexts of a gram are compared two by two
 
 
+def gram_bytes(length: int) -> int:
+    """Size of the grams that mark windows: longer ones mark more places, shorter ones leave more of them open."""
+    return max(1, length // 4)
+
+
 def marked(data: np.ndarray, offs: np.ndarray, length: int):
     """(positions, gram hashes, context hashes, bytes before, bytes from there on) of marked positions."""
-    gram = length // 2
+    gram = gram_bytes(length)
     span = length - gram + 1  # grams of a window
     n, none = len(data), np.zeros(0, np.int64)
     if n < length:
@@ -223,7 +228,7 @@ def merge_runs(runs: list[tuple[list[int], list[bytes]]]):
 def equal_windows(before: list[bytes], suffixes: list[bytes], lcp: list[int], length: int) -> list[list[tuple[int, int]]]:
     """For each context of one gram, in suffix order: ranges [lo, hi] of d whose window, d bytes before the
     gram, another context has, too. before: the bytes before the gram, reversed; lcp[i]: suffixes i - 1 and i."""
-    m, half = len(suffixes), length - length // 2
+    m, half = len(suffixes), length - gram_bytes(length)
     out: list[list[tuple[int, int]]] = [[] for _ in range(m)]
     if m <= PAIRWISE:
         for i in range(m):
@@ -295,7 +300,7 @@ def _runs(rows: DataFrame, grams: np.ndarray, places: np.ndarray, buckets: int,
 
 def _merged(runs: DataFrame, length: int) -> DataFrame:
     """(gram, context, lo, hi): equal windows found in the merged order of each bucket."""
-    gram_size = length // 2
+    gram_size = gram_bytes(length)
 
     def cut(raw: bytes, ends: list[int]) -> list[bytes]:
         return [raw[a:b] for a, b in zip([0, *ends], ends)]
