@@ -18,10 +18,14 @@ every suffix is sorted, only enough of them to decide every window of ``length``
 4. In the merged order a gram's contexts are neighbours. Windows that start d bytes before the
    gram are equal if the suffixes share length - d bytes and the texts before them d bytes: both
    are segments of a sorted order, so equal pairs of segments are equal windows.
+   A gram with more than HOT contexts (a passage with many neighbours) is split first: windows that start
+   lo to hi bytes before the gram share the lo bytes before it and the suffix's first length - hi. Contexts
+   are grouped by these, range after range halved; a group of one is dropped, contexts alike in all windows of
+   the range are decided by their count and one stands for them, and a group of HOT or less goes to one task.
 5. The windows found are brought back to all positions by context, and merged per text.
 
-Memory is bounded by batches, runs and buckets (whose number follows their count); copies
-are pre-aggregated over GATHERED positions, so a group of a third of all rows is a few rows of each such part.
+Memory is bounded by batches, runs and buckets (whose number follows their count, with groups of HOT contexts
+at most); copies are pre-aggregated over GATHERED positions, so a group of a third of all rows is a few rows of each such part.
 
 Defined results: a null or empty text has no bytes and keeps none; texts shorter than
 ``length`` keep all; repeated rows are copies, so all their bytes go from ``length`` on;
@@ -43,6 +47,7 @@ from skein.session import materialize
 BUCKET_SUFFIXES = 20_000  # suffixes of a bucket, in the mean, and of a run, at most
 GATHERED = 200_000  # marked positions combined at once
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
+HOT = 5_000  # contexts of a gram, or of a part of its contexts, that one task may compare
 PAIRWISE = 8  # up to so many contexts of a gram are compared two by two
 
 
@@ -132,9 +137,9 @@ def contexts(rows: DataFrame, length: int) -> DataFrame:
                                               pa.array(place[first])], names=["gram", "context", "n", "place"])
 
     seen = rows.mapInArrow(run, "gram long, context long, n long, place long")
-    by_gram = seen.repartition("gram").groupBy("gram", "context").agg(F.sum("n").alias("n"), F.min("place").alias("place"))
-    every = F.expr("count(*) over (partition by gram)"), F.expr("sum(n) over (partition by gram)")
-    return by_gram.withColumns({"kinds": every[0], "total": every[1]}).filter("total > 1")
+    counted = materialize(seen.groupBy("gram", "context").agg(F.sum("n").alias("n"), F.min("place").alias("place")), "counted")
+    by_gram = counted.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds"), F.sum("n").alias("total")).filter("total > 1")
+    return counted.join(by_gram, "gram").select("gram", "context", "n", "place", "kinds", "total")
 
 
 def shared(a: bytes, b: bytes, known: int = 0) -> int:
@@ -258,10 +263,10 @@ def equal_windows(before: list[bytes], suffixes: list[bytes], lcp: list[int], le
     return out
 
 
-def _runs(rows: DataFrame, grams: np.ndarray, places: np.ndarray, buckets: int, length: int) -> DataFrame:
-    """One sorted, front-coded run of suffixes per map task and bucket."""
+def _runs(rows: DataFrame, grams: np.ndarray, places: np.ndarray, hot: np.ndarray, buckets: int, length: int) -> DataFrame:
+    """One sorted, front-coded run of suffixes per map task and bucket; ``hot`` grams are left to ``_split``."""
     sc = rows.sparkSession.sparkContext
-    grams_of, places_of = sc.broadcast(grams), sc.broadcast(places)
+    grams_of, places_of, hot_of = sc.broadcast(grams), sc.broadcast(places), sc.broadcast(hot)
     names = ["bucket", "lcp", "rest", "ends", "before", "before_ends", "gram", "context"]
 
     def give(kept: dict):
@@ -278,12 +283,12 @@ def _runs(rows: DataFrame, grams: np.ndarray, places: np.ndarray, buckets: int,
                 pa.array([[x[3] for x in run]], pa.list_(pa.int64()))], names=names)
 
     def run(batches):
-        grams, places = grams_of.value, places_of.value
+        grams, places, hot = grams_of.value, places_of.value, hot_of.value
         kept: dict = {}
         size = 0
         for batch in batches:
             for part, rid, pos, at, gram, context, before, after in _marked_rows(batch, length):
-                for i in np.flatnonzero(member(grams, gram) & member(places, _place(rid, at))):
+                for i in np.flatnonzero(member(grams, gram) & ~member(hot, gram) & member(places, _place(rid, at))):
                     key = (int(gram[i]), int(context[i]))
                     if key not in kept:
                         p = int(pos[i])
@@ -345,6 +350,82 @@ def _merged(runs: DataFrame, length: int) -> DataFrame:
     return runs.groupBy("bucket").applyInArrow(merge, "gram long, context long, lo int, hi int")
 
 
+def _hot_contexts(rows: DataFrame, places: np.ndarray, hot: np.ndarray, length: int) -> DataFrame:
+    """(gram, context, before, suffix) of the contexts of hot grams, each once; before is reversed."""
+    sc = rows.sparkSession.sparkContext
+    places_of, hot_of = sc.broadcast(places), sc.broadcast(hot)
+
+    def run(batches):
+        places, hot = places_of.value, hot_of.value
+        for batch in batches:
+            for part, rid, pos, at, gram, context, before, after in _marked_rows(batch, length):
+                take = np.flatnonzero(member(hot, gram) & member(places, _place(rid, at)))
+                ends = [(int(pos[i]), int(before[i]), int(after[i])) for i in take]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(gram[take]), pa.array(context[take]), pa.array([part[p - b:p][::-1].tobytes() for p, b, _ in ends], pa.binary()),
+                    pa.array([part[p:p + a].tobytes() for p, _, a in ends], pa.binary())], names=["gram", "context", "before", "suffix"])
+
+    got = rows.mapInArrow(run, "gram long, context long, before binary, suffix binary")
+    return got.dropDuplicates(["gram", "context"])
+
+
+def _compared(parts: DataFrame, buckets: int, length: int) -> DataFrame:
+    """(gram, context, lo, hi): equal windows inside the groups (key) of HOT contexts or less."""
+
+    def compare(t: pa.Table) -> pa.Table:
+        cols = t.to_pydict()
+        order = sorted(range(len(t)), key=lambda i: (cols["key"][i], cols["suffix"][i]))
+        found: list[tuple[int, int, int, int]] = []
+        start = 0
+        for end in range(1, len(order) + 1):
+            if end < len(order) and cols["key"][order[end]] == cols["key"][order[start]]:
+                continue
+            of = order[start:end]
+            start = end
+            suffixes = [cols["suffix"][i] for i in of]
+            lcp = [0] + [shared(a, b) for a, b in zip(suffixes, suffixes[1:])]
+            for i, ranges in zip(of, equal_windows([cols["before"][i] for i in of], suffixes, lcp, length)):
+                inside = {(max(lo, cols["lo"][i]), min(hi, cols["hi"][i])) for lo, hi in ranges}
+                found.extend((cols["gram"][i], cols["context"][i], lo, hi) for lo, hi in inside if lo <= hi)
+        gram, context, lo, hi = zip(*found) if found else ((), (), (), ())
+        return pa.table([pa.array(gram, pa.int64()), pa.array(context, pa.int64()), pa.array(lo, pa.int32()), pa.array(hi, pa.int32())],
+                        names=["gram", "context", "lo", "hi"])
+
+    bucket = F.pmod(F.col("key"), F.lit(buckets)).alias("bucket")
+    rows = parts.select(bucket, "key", "gram", "context", "lo", "hi", "before", "suffix")
+    return rows.groupBy("bucket").applyInArrow(compare, "gram long, context long, lo int, hi int")
+
+
+def _split(hot: DataFrame, length: int) -> DataFrame:
+    """(gram, context, lo, hi): equal windows of hot grams' contexts; nothing of a gram's size is in one task.
+
+    A group shares ``lo`` bytes before the gram and the suffix's first ``length - hi``: all that windows from lo to hi bytes
+    before it have in common. A range of one window is decided by counts alone, so halving ends there at the latest."""
+    shuffles = int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = None
+    todo = hot.select("gram", "context", "before", "suffix", F.lit(0).alias("lo"), F.lit(length - gram_bytes(length)).alias("hi"))
+    while True:
+        mid = F.expr("cast((lo + hi) div 2 as int)")
+        halves = F.array(F.struct(F.col("lo"), mid.alias("hi")), F.struct((mid + 1).alias("lo"), F.col("hi")))
+        part = todo.select("gram", "context", "before", "suffix", F.explode(halves).alias("r")).select(
+            "gram", "context", "before", "suffix", "r.lo", "r.hi").filter(f"length(before) >= lo and length(suffix) >= {length} - hi")
+        key = F.expr(f"xxhash64(gram, lo, hi, substring(before, 1, lo), substring(suffix, 1, {length} - hi))")
+        alike = F.expr(f"case when length(before) >= hi and length(suffix) >= {length} - lo then unhex(sha2(concat("
+                       f"substring(before, 1, hi), substring(suffix, 1, {length} - lo)), 256)) else cast(cast(context as string) as binary) end")
+        part = materialize(part.withColumns({"key": key, "alike": alike}), "hot-part")
+        kinds = part.groupBy("key", "alike").agg(F.count(F.lit(1)).alias("n"), F.min("context").alias("first"))
+        sizes = kinds.groupBy("key").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).filter("total > 1")
+        part = materialize(part.join(kinds, ["key", "alike"]).join(sizes, "key"), "hot-groups")
+        whole = part.filter("n > 1").select("gram", "context", "lo", "hi")
+        left = part.filter("kinds > 1 and context = first and lo < hi").select("key", "kinds", "gram", "context", "before", "suffix", "lo", "hi")
+        small, todo = left.filter(f"kinds <= {HOT}"), left.filter(f"kinds > {HOT}")
+        buckets = max(shuffles, -(-small.count() // BUCKET_SUFFIXES))
+        whole = whole.unionByName(_compared(small, buckets, length))
+        found = whole if found is None else found.unionByName(whole)
+        if todo.isEmpty():
+            return found
+
+
 def _brought_back(rows: DataFrame, decided: DataFrame, length: int) -> DataFrame:
     """(rid, spans): byte spans of each text that decided contexts (gram, context, ranges) cover."""
     held_of = rows.sparkSession.sparkContext.broadcast(membership(decided, "context"))
@@ -381,8 +462,10 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = 400) -> Da
     seen = materialize(contexts(rows, length), "contexts")
     open_ = seen.filter("kinds > 1")
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-open_.count() // BUCKET_SUFFIXES))
-    runs = _runs(rows, membership(open_, "gram"), membership(open_, "place"), buckets, length)
-    windows = _merged(runs, length)
+    places, hot = membership(open_, "place"), membership(seen.filter(f"kinds > {HOT}").select("gram").distinct(), "gram")
+    windows = _merged(_runs(rows, membership(open_, "gram"), places, hot, buckets, length), length)
+    if hot.any():
+        windows = windows.unionByName(_split(_hot_contexts(rows, places, hot, length), length))
     whole = seen.filter("n > 1").select("gram", "context", F.lit(0).alias("lo"), F.lit(length).alias("hi"))
     both = whole.unionByName(windows).groupBy("gram", "context").agg(
         F.max(F.expr(f"lo = 0 and hi = {length}")).alias("whole"), F.collect_set(F.struct("lo", "hi")).alias("ranges"))

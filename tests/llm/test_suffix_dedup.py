@@ -55,6 +55,28 @@ def test_common_short_passage(spark):
     assert run(spark, texts, 100) == brute(texts, 100)
 
 
+@pytest.mark.parametrize("size", [60, 99, 100, 170])
+def test_hot_gram_is_split_over_tasks(spark, monkeypatch, size):
+    """A passage in every document with different neighbours: no task compares all its contexts."""
+    rng = random.Random(size)
+    letters = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    passage, sides = letters(size), [letters(150) for _ in range(4)]
+    texts = [letters(150) + passage + letters(150) for _ in range(120)]
+    for i in range(60):  # some share a part of their neighbours too
+        a, b = rng.randrange(1, 60), rng.randrange(1, 60)
+        texts.append(letters(150 - a) + sides[i % 2][-a:] + passage + sides[2 + i % 2][:b] + letters(150 - b))
+    want = brute(texts, 100)
+    real, limit = suffix_dedup.equal_windows, 16
+
+    def bounded(before, suffixes, lcp, length):
+        assert len(suffixes) <= limit, f"{len(suffixes)} contexts in one task"
+        return real(before, suffixes, lcp, length)
+
+    monkeypatch.setattr(suffix_dedup, "HOT", limit, raising=False)
+    monkeypatch.setattr(suffix_dedup, "equal_windows", bounded)
+    assert run(spark, texts, 100) == want
+
+
 def test_empty_table(spark):
     assert run(spark, [], 40) == []
     assert run(spark, [None, "", "short"], 40) == brute([None, "", "short"], 40)
