@@ -1,4 +1,4 @@
-"""Streaming queries: each replays a table as three files, one per micro-batch, and drains
+"""Streaming queries: each replays a table as three micro-batches and drains
 that stream (``availableNow``) into a sink under the shared checkpoint folder. The
 oracle is the batch rule, including what the final watermark leaves open."""
 
@@ -72,8 +72,8 @@ _WATCH_SQL = f"""
     SELECT batch, user_id, symbol, quotes, round(total_price, 4) AS total_price FROM watching JOIN sums USING (batch, symbol)""")
 def q_stream_watch(spark, sf_dir):
     """T4: what every watcher got in each micro-batch; watch and unwatch commands arrive in the same stream and take
-    effect between micro-batches."""
-    e = _events(spark, sf_dir)
+    effect between micro-batches. An event without a time is in no batch of the rule."""
+    e = _events(spark, sf_dir).filter(F.col("ts").isNotNull())
     symbol = F.element_at(F.array(*[F.lit(s) for s in SYMBOLS]), (F.get_json_object("props", "$.k").cast("int") % 5 + 1))
     action = F.when(F.col("event_type") == "signup", "watch").when(F.col("event_type") == "error", "unwatch")
     common = ["user_id", F.col("value").alias("price"), "ts", "event_id"]

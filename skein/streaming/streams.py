@@ -35,19 +35,26 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | N
 
 
 def replayed(df: DataFrame, ts: str, cuts: list[str]) -> DataFrame:
-    """``df`` as a stream of ``len(cuts) + 1`` files, one per micro-batch: the rows before the first cut, those
-    between each two, and the rest, in this order. Inside a file rows come in no particular order."""
+    """``df`` as a stream of ``len(cuts) + 1`` micro-batches: the rows before the first cut, those between each two,
+    and the rest with those without a time, in this order. Inside a batch rows come in no particular order.
+
+    A batch is as many files as ``df`` has partitions (shuffle partitions at most); where a part has fewer, empty files fill it up."""
     spark = df.sparkSession
     base = f"{_tables_dir(spark)}/streams/replay-{uuid.uuid4().hex}"
+    files = max(1, min(df.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    none = spark.createDataFrame([], df.schema).coalesce(1)
     edges = [None, *cuts, None]
-    for low, high in zip(edges, edges[1:]):
+    for i, (low, high) in enumerate(zip(edges, edges[1:]), 1):
         part = df
         if low is not None:
-            part = part.filter(F.col(ts) >= F.lit(low).cast(df.schema[ts].dataType))
+            late = F.col(ts) >= F.lit(low).cast(df.schema[ts].dataType)
+            part = part.filter(late if high is not None else late | F.col(ts).isNull())
         if high is not None:
             part = part.filter(F.col(ts) < F.lit(high).cast(df.schema[ts].dataType))
-        part.coalesce(1).write.mode("append").parquet(base)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(base)
+        part.repartition(files).write.mode("append").option("maxRecordsPerFile", 0).parquet(base)
+        for _ in range(i * files - len(spark.read.schema(df.schema).parquet(base).inputFiles())):
+            none.write.mode("append").parquet(base)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(base)
 
 
 def with_event_time(df: DataFrame, ts: str = "ts", out: str = "ets") -> DataFrame:
@@ -88,6 +95,7 @@ def throttle(quotes: DataFrame, every: str = "75 milliseconds", delay: str = "0
 HISTORY_SCHEMA = "symbol string, part int, ts array<long>, ids array<long>, prices array<double>, seen long"
 HISTORY_STATE = "ts array<long>, ids array<long>, prices array<double>, seen long"
 HISTORY_PARTS = 8
+NO_TIME = -(1 << 63)  # a quote without a time: older than all others, but last in the history
 
 
 def keyed_history(quotes: DataFrame, n: int = 50, parts: int = HISTORY_PARTS) -> DataFrame:
@@ -112,7 +120,7 @@ def keyed_history(quotes: DataFrame, n: int = 50, parts: int = HISTORY_PARTS) ->
 
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     part = F.pmod(F.xxhash64("event_id"), F.lit(parts)).cast("int")
-    rows = quotes.select("symbol", part.alias("part"), micros.alias("ts"), F.col("event_id").cast("long").alias("event_id"),
+    rows = quotes.select("symbol", part.alias("part"), F.coalesce(micros, F.lit(NO_TIME)).alias("ts"), F.col("event_id").cast("long").alias("event_id"),
                          F.col("price").cast("double").alias("price"))
     return rows.groupBy("symbol", "part").applyInPandasWithState(fn, HISTORY_SCHEMA, HISTORY_STATE, "append", GroupStateTimeout.NoTimeout)
 
@@ -123,7 +131,9 @@ def merged_history(parts: DataFrame, n: int = 50) -> DataFrame:
     seen = last.groupBy("symbol").agg(F.sum("x.seen").alias("seen"))
     rows = last.select("symbol", F.inline(F.arrays_zip("x.ts", "x.ids", "x.prices")))
     top = rows.groupBy("symbol").agg(F.sort_array(F.collect_list(F.struct("ts", "ids", "prices"))).alias("rows"))  # parts * n at most
-    history = F.transform(F.slice("rows", F.greatest(F.size("rows") - n + 1, F.lit(1)), n), lambda r: r["prices"])
+    newest = F.slice("rows", F.greatest(F.size("rows") - n + 1, F.lit(1)), n)
+    last_none = F.concat(F.filter(newest, lambda r: r["ts"] != NO_TIME), F.filter(newest, lambda r: r["ts"] == NO_TIME))
+    history = F.transform(last_none, lambda r: r["prices"])
     return top.select("symbol", history.alias("history")).join(seen, "symbol")
 
 
@@ -243,7 +253,7 @@ def number_batches(key: str = "user_id") -> Callable:
         spark = batch.sparkSession
         totals = f"{out}_totals"
         rows = batch.select(F.col(key).alias("key"), "event_id", "ts")
-        numbered = dense_index(rows, ["key"], None, [F.col("ts"), F.col("event_id")], out="n", start=1)
+        numbered = dense_index(rows, ["key"], None, [F.col("ts").isNull(), F.col("ts"), F.col("event_id")], out="n", start=1)
         counted = numbered.groupBy("key").agg(F.max("n").alias("n"))
         if batch_id:
             before = spark.read.parquet(f"{totals}/batch={batch_id - 1}").select("key", F.col("n").alias("before"))

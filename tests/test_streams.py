@@ -32,6 +32,25 @@ def test_replay_gives_a_batch_per_file(spark, quotes):
     assert [(r.n, r["last"]) for r in got.orderBy("batch").collect()] == [(7200, 7199), (10800, 17999), (12000, 29999)]
 
 
+@pytest.mark.parametrize("parts", [1, 5])
+def test_rows_without_a_time_come_last(spark, quotes, parts):
+    """No row is lost, a part may be many files or empty, and every part is one micro-batch."""
+    def sizes(batch, batch_id, out):
+        batch.groupBy().agg(F.count(F.lit(1)).alias("n"), F.count("ts").alias("timed")).write.parquet(f"{out}/batch={batch_id}")
+
+    holes = quotes.filter("event_id < 9000").withColumn("ts", F.when(F.col("event_id") % 10 != 0, F.col("ts"))).repartition(parts)
+    got = S.run_to_table(S.replayed(holes, "ts", CUTS), "sizes", foreach=sizes).orderBy("batch").collect()
+    assert [(r.n, r.timed) for r in got] == [(6480, 6480), (1620, 1620), (900, 0)]
+    counts = S.run_to_table(S.status_counts(S.replayed(holes, "ts", CUTS), "symbol"), "status", mode="complete", foreach=S.overwrite_batches)
+    assert {r.status: r.n for r in counts.collect()} == {"hot": 8991, "rare": 9}
+    history = S.merged_history(S.run_to_table(S.keyed_history(S.replayed(holes, "ts", CUTS)), "history"))
+    assert {r.symbol: r.seen for r in history.collect()} == {"hot": 8991, "rare": 9}
+    numbered = S.run_to_table(S.replayed(holes, "ts", CUTS), "count", foreach=S.number_batches("symbol"))
+    hot = [i for i in range(9000) if i % 1000]
+    want = [i for i in hot if i % 10] + [i for i in hot if i % 10 == 0]
+    assert [r.event_id for r in numbered.filter("key = 'hot'").orderBy("n").collect()] == want
+
+
 def test_history_of_a_hot_key(spark, quotes):
     out = S.run_to_table(S.keyed_history(S.replayed(quotes, "ts", CUTS)), "history")
     got = {r.symbol: (r.history, r.seen) for r in S.merged_history(out).collect()}
