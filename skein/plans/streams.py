@@ -137,7 +137,7 @@ def q_running_count(spark, sf_dir):
     WHERE ended = 'evicted' OR last_seen + INTERVAL 5 MINUTE <= (SELECT max(ts) FROM events)""")
 def q_session_cache(spark, sf_dir):
     """T7 with explicit eviction: an error event ends its user's session at once."""
-    out = S.run_to_table(S.session_cache(_events(spark, sf_dir)), "cache")
+    out = S.run_to_table(_events(spark, sf_dir), "cache", foreach=S.session_batches())
     ntz = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
     return out.select("user_id", ntz("session_start"), ntz("last_seen"), "events", "ended")
 
@@ -160,13 +160,10 @@ def q_stream_match(spark, sf_dir):
     index = materialize(fp.library_index(t), "stored_index")
     songs = fp.songs(t)
 
-    def answer(batch, batch_id, out):
-        if batch.isEmpty():  # no week has closed
-            return
-        events = batch.select("user_id", F.inline("rows"))
+    def answer(events, batch_id, out):
         clips = fp.clip_fingerprints(t, events)
         top = match.top_matches(match.match_scores(match.fingerprint_join(clips, index), songs), fp.TOP_K)
         top.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    clips = S.closed_groups(_events(spark, sf_dir), ["user_id"], "ts", "7 days", ["event_id", "ts", "value"])
-    return S.run_to_table(clips, "match", foreach=answer).drop("batch")
+    events = _events(spark, sf_dir).select("user_id", "event_id", "ts", "value")
+    return S.run_to_table(events, "match", foreach=S.closed_windows("ts", "7 days", answer)).drop("batch")

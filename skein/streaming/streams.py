@@ -14,13 +14,14 @@ import uuid
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from skein.functions.scalars import sanitize_html
+from skein.operators.sizing import null_safe_join
 from skein.operators.windows import dense_index
-from skein.session import _tables_dir
+from skein.session import _tables_dir, materialize
 
 
 # ------------------------------------------------------------------- plumbing
@@ -207,7 +208,7 @@ def session_cache(events: DataFrame, gap_ms: int = 300_000, evict_type: str = "e
     """T7 with explicit eviction: put/get (any event) refreshes the session,
     an ``evict_type`` event ends it at once, silence for ``gap_ms`` ends it on
     the event-time timeout. One key's rows of a micro-batch are put in order
-    as a whole (they come in several chunks), so the source's batch size bounds them."""
+    as a whole (they come in several chunks), in one task: ``session_batches`` is for sources without a bound on them."""
 
     def fn(key, pdfs, state):
         out = []
@@ -243,6 +244,66 @@ def session_cache(events: DataFrame, gap_ms: int = 300_000, evict_type: str = "e
         fn, SESSION_OUT, SESSION_STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
+RUN_BLOCK = 10_000  # rows of a key whose session starts are counted by one task
+
+
+def _clock(batch: DataFrame, batch_id: int, out: str, ts: str) -> tuple[int, int]:
+    """(the latest time of the batches before, and with this one) in microseconds; kept as a row per batch."""
+    spark = batch.sparkSession
+    now = batch.select(F.max(F.unix_micros(F.col(ts).cast("timestamp"))).alias("at"))
+    floor = -(1 << 63)
+    before = spark.read.parquet(f"{out}_clock/batch={batch_id - 1}").first()["at"] if batch_id else floor
+    now.select(F.greatest(F.coalesce("at", F.lit(floor)), F.lit(before)).alias("at")).write.mode("overwrite").parquet(f"{out}_clock/batch={batch_id}")
+    return before, spark.read.parquet(f"{out}_clock/batch={batch_id}").first()["at"]
+
+
+def session_batches(gap_ms: int = 300_000, evict_type: str = "error") -> Callable:
+    """T7 with explicit eviction as a ``foreachBatch`` writer, for keys of any size: the sessions of ``session_cache``.
+
+    A batch's rows follow their user's open session by distributed positions; a row starts a session by the row before
+    it (a join), and sessions are numbered from counts per block of positions. The session that stays open is kept as a table
+    per batch and expires once the latest time seen is ``gap_ms`` past it. Events without a time are in no session.
+    Replaying a batch writes the same files again."""
+    gap = gap_ms * 1000
+
+    def write(batch: DataFrame, batch_id: int, out: str):
+        spark = batch.sparkSession
+        _, now = _clock(batch, batch_id, out, "ts")
+        rows = with_event_time(batch).filter(F.col("ets").isNotNull()).select(
+            "user_id", "ets", F.col("event_id").cast("long").alias("event_id"), F.coalesce(F.col("event_type") == evict_type, F.lit(False)).alias("bad"),
+            F.lit(False).alias("held"), F.col("ets").alias("session_start"), F.lit(1).cast("long").alias("n"))
+        if batch_id:
+            held = spark.read.parquet(f"{out}_open/batch={batch_id - 1}")
+            rows = rows.unionByName(held.select("user_id", F.col("last_seen").alias("ets"), F.lit(None).cast("long").alias("event_id"), F.lit(False).alias("bad"),
+                                                F.lit(True).alias("held"), "session_start", F.col("events").alias("n")))
+        order = [F.col("held").desc(), F.col("ets"), F.col("event_id")]  # the open session comes first
+        at = materialize(dense_index(rows, ["user_id"], None, order, out="at"), "session-rows")
+        last = at.select("user_id", (F.col("at") + 1).alias("at"), F.unix_micros("ets").alias("before"), F.col("bad").alias("after_bad"))
+        joined = at.join(last.withColumnsRenamed({"user_id": "u", "at": "a"}), F.col("user_id").eqNullSafe(F.col("u")) & (F.col("at") == F.col("a")), "left")
+        apart = F.coalesce(F.unix_micros("ets") - F.col("before") >= gap, F.lit(True))
+        alone = F.coalesce("after_bad", F.lit(True))
+        told = materialize(joined.select(
+            "user_id", "at", "ets", "bad", "session_start", "n", F.expr(f"at div {RUN_BLOCK}").alias("block"),
+            (~F.col("bad") & (alone | apart)).cast("int").alias("starts"), (F.col("bad") & ~alone & ~apart).alias("evicts")), "session-starts")
+        blocks = told.groupBy("user_id", "block").agg(F.sum("starts").alias("here"))
+        run = Window.partitionBy("user_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+        blocks = blocks.select("user_id", "block", F.coalesce(F.sum("here").over(run), F.lit(0)).alias("past"))
+        inside = Window.partitionBy("user_id", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+        sid = (F.col("past") + F.sum("starts").over(inside)).alias("sid")
+        named = null_safe_join(told, blocks, ["user_id", "block"]).select("user_id", "at", "ets", "bad", "session_start", "n", "evicts", sid)
+        tail = named.groupBy("user_id").agg(F.max("sid").alias("sid"), F.max_by("bad", "at").alias("over"))
+        done = named.filter(~F.col("bad") | F.col("evicts")).groupBy("user_id", "sid").agg(
+            F.min("session_start").alias("session_start"), F.max("ets").alias("last_seen"), F.sum("n").alias("events"), F.bool_or("evicts").alias("evicted"))
+        both = done.join(tail.withColumnsRenamed({"user_id": "u", "sid": "s"}), F.col("user_id").eqNullSafe(F.col("u")) & (F.col("sid") == F.col("s")), "left")
+        closed = F.col("evicted") | F.coalesce("over", F.lit(True)) | (F.unix_micros("last_seen") + gap <= now)
+        both = materialize(both.select("user_id", "session_start", "last_seen", "events", "evicted", closed.alias("closed")), "session-ends")
+        ended = F.when(F.col("evicted"), "evicted").otherwise("expired").alias("ended")
+        both.filter("closed").select("user_id", "session_start", "last_seen", "events", ended).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        both.filter("not closed").select("user_id", "session_start", "last_seen", "events").write.mode("overwrite").parquet(f"{out}_open/batch={batch_id}")
+
+    return write
+
+
 def number_batches(key: str = "user_id") -> Callable:
     """``foreachBatch`` writer of a counter per key: every increment (key, event_id, n) with the new value.
 
@@ -271,12 +332,29 @@ def number_batches(key: str = "user_id") -> Callable:
 
 def closed_groups(rows: DataFrame, keys: list, ts: str, every: str, values: list[str]) -> DataFrame:
     """(keys, window_start, rows): the rows of each key and window of event time, once, when the watermark has passed
-    the window; until then they are state, whatever batches they come in."""
+    the window; until then they are state, whatever batches they come in. A group is one row: ``closed_windows`` has no such bound."""
     e = with_event_time(rows, ts).withWatermark("ets", "0 seconds")
     return e.groupBy(*keys, F.window("ets", every).alias("w")).agg(F.collect_list(F.struct(*values)).alias("rows")).select(
         *keys, F.col("w.start").alias("window_start"), "rows")
 
 
+def closed_windows(ts: str, every: str, answer: Callable) -> Callable:
+    """``closed_groups`` as a ``foreachBatch`` writer, for groups of any size: rows are kept in a table per batch, and the
+    rows of the windows that the latest time has passed with this batch go to ``answer(rows, batch_id, out)``, each window once."""
+
+    def write(batch: DataFrame, batch_id: int, out: str):
+        spark = batch.sparkSession
+        before, now = _clock(batch, batch_id, out, ts)
+        rows = batch.withColumn("__w", F.window(F.col(ts).cast("timestamp"), every)).withColumn("__end", F.unix_micros("__w.end")).drop("__w")
+        rows.write.mode("overwrite").parquet(f"{out}_rows/batch={batch_id}")
+        kept = spark.read.schema(rows.schema.add("batch", "long")).parquet(f"{out}_rows")
+        closed = kept.filter((F.col("batch") <= batch_id) & (F.col("__end") > before) & (F.col("__end") <= now)).drop("batch", "__end")
+        if not closed.isEmpty():
+            answer(closed, batch_id, out)
+
+    return write
+
+
 def status_counts(events: DataFrame, status: str = "event_type") -> DataFrame:
     """Running totals per status (complete mode; poll with a processing-time trigger)."""
     return events.groupBy(F.col(status).alias("status")).agg(F.count(F.lit(1)).alias("n"))

@@ -73,6 +73,44 @@ def test_sessions_in_one_shuffled_batch(spark, quotes):
     assert out.filter("user_id = 1").count() == 0  # never silent, and still open
 
 
+def test_sessions_of_a_hot_user(spark, monkeypatch):
+    """The sessions of a plain walk over each user's rows, over three batches and many blocks of positions."""
+    monkeypatch.setattr(S, "RUN_BLOCK", 50)
+    rng = random.Random(7)
+    rows, t = [], 0
+    for i in range(1500):
+        t += rng.choice([1, 20, 100, 299, 300, 301])
+        rows.append((1 if rng.random() < 0.9 else rng.choice([2, None]), i, t, "error" if rng.random() < 0.1 else "view"))
+    want, cur = [], {}
+    for user, _, t, kind in rows:
+        c = cur.pop(user, None)
+        if c and t - c[1] >= 300:
+            want.append((user, *c, "expired"))
+            c = None
+        if kind == "error":
+            if c:
+                want.append((user, c[0], t, c[2] + 1, "evicted"))
+        else:
+            cur[user] = (c[0], t, c[2] + 1) if c else (t, t, 1)
+    want += [(u, *c, "expired") for u, c in cur.items() if c[1] + 300 <= rows[-1][2]]
+    random.Random(1).shuffle(rows)
+    df = spark.createDataFrame(rows, "user_id long, event_id long, s long, event_type string").withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz")).drop("s")
+    cuts = ["1970-01-01 20:00:00", "1970-01-02 10:00:00"]
+    got = S.run_to_table(S.replayed(df.coalesce(1), "ts", cuts), "hot", foreach=S.session_batches())
+    got = got.select("user_id", F.unix_seconds("session_start"), F.unix_seconds("last_seen"), "events", "ended").collect()
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, want))
+
+
+def test_closed_windows_are_answered_once(spark, quotes):
+    def answer(rows, batch_id, out):
+        n = rows.groupBy("symbol", F.window(F.col("ts").cast("timestamp"), "3 hours").alias("w")).agg(F.count(F.lit(1)).alias("n"))
+        n.select("symbol", "w.start", "n").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    rows = S.run_to_table(S.replayed(quotes, "ts", CUTS), "closed", foreach=S.closed_windows("ts", "3 hours", answer)).collect()
+    assert len(rows) == len({(r.symbol, r.start) for r in rows}) == 4
+    assert sorted(r.n for r in rows if r.symbol == "hot") == [10789, 10789]
+
+
 def test_a_group_over_two_batches_closes_once(spark, quotes):
     got = S.closed_groups(S.replayed(quotes, "ts", CUTS), ["symbol"], "ts", "3 hours", ["event_id"])
     rows = S.run_to_table(got.select("symbol", "window_start", F.size("rows").alias("n")), "closed").collect()
