@@ -57,3 +57,38 @@ WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) v FROM embeddings),
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM p QUALIFY rank <= 10
 """
+
+#: every contiguous run of one to four words of every piece
+OP12 = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+  w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM d),
+  g AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) AS phrase
+        FROM w, range(1, 5) t(m) WHERE len(w) >= m),
+  f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+  n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+  c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND f >= 30),
+  k AS (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS one, array_to_string(w[k + 1:], ' ') AS two FROM c, range(1, 4) t(k) WHERE k < m),
+  s AS (SELECT k.lang, k.phrase, a, k, x.f AS l, y.f AS r, (2000000 * a::HUGEINT // (x.f + y.f))::BIGINT AS score
+        FROM k JOIN f x ON x.lang = k.lang AND x.phrase = one JOIN f y ON y.lang = k.lang AND y.phrase = two),
+  b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+  i AS (SELECT lang, phrase, max(a) AS most FROM (SELECT lang, a, unnest(list_transform(range(1, m - z + 2), lambda i: array_to_string(w[i:i + z - 1], ' '))) AS phrase
+        FROM c, range(2, 4) t(z) WHERE z < m) GROUP BY ALL),
+  o AS (SELECT b.lang, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, encode(b.phrase)) AS rank, b.phrase, a, l, r, score
+        FROM b LEFT JOIN i USING (lang, phrase) WHERE most IS NULL OR 100 * most::HUGEINT < 80 * a::HUGEINT)
+SELECT o.lang, rank, phrase, a, l, r, n, score FROM o JOIN n USING (lang) WHERE rank <= 2000
+"""
+
+#: all inner products of anchors and rows
+OP13 = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  s AS (SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+        FROM e a JOIN e c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id),
+  p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score QUALIFY rank <= 5
+"""

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and of the pipeline, with production parameters."""
+"""The registered queries of the operators and of the pipeline, with production parameters."""
 
 from __future__ import annotations
 
@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skein.llm import (
-    ann, bpe, decontaminate, html_extract, ngram_jaccard, oracles, quality, sharding, suffix_dedup, token_counts, urlfilter,
+    ann, bpe, collocations, decontaminate, hard_negatives, html_extract, licenses, ngram_jaccard, oracles, quality, sharding, suffix_dedup,
+    token_counts, urlfilter,
 )
 from skein.sources.tables import read_table
 
@@ -105,6 +106,30 @@ def op5_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.withColumn("n_chars", F.length("text").cast("long"))
 
 
+#: phrases of the licence query and their labels
+LICENSE_PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
+
+
+@_query
+def op11_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in every whole text."""
+    return licenses.license_report(read_table(spark, sf_dir, "documents"), LICENSE_PHRASES)
+
+
+@_query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 most cohesive phrases of 2 to 4 words of each language."""
+    return collocations.collocations(read_table(spark, sf_dir, "documents"), support=30, top=2000, percent=80)
+
+
+@_query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five hard negatives of each of the five positives of every vector whose id is divisible by 100."""
+    rows = read_table(spark, sf_dir, "embeddings")
+    rows = rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine_negatives(rows, F.col("vec_id") % 100 == 0, k=5, low=80, high=100)
+
+
 @_query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages of corpus_pipeline over the whole documents."""
@@ -114,4 +139,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
 
-ORACLE_SQL |= {"op1_ngram_jaccard": oracles.OP1, "op3_decontaminate": oracles.OP3, "op8_suffix_dedup": oracles.OP8, "op9_ann": oracles.OP9}
+ORACLE_SQL |= {"op1_ngram_jaccard": oracles.OP1, "op3_decontaminate": oracles.OP3, "op8_suffix_dedup": oracles.OP8, "op9_ann": oracles.OP9,
+               "op12_collocations": oracles.OP12, "op13_hard_negatives": oracles.OP13}
