@@ -6,10 +6,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from skein.operators import changes, paging
-from skein.plans.registry import query
+from skein.plans.registry import ORACLE_SQL, query
+from skein.session import scratch_path
+from skein.sources import snapshots
 from skein.sources.tables import Tables
 
 
@@ -106,9 +110,12 @@ def q_apply_updates(spark, sf_dir):
 def q_apply_deletes(spark, sf_dir):
     """Delete by key."""
     t = Tables(spark, sf_dir)
-    keys = t.orders.filter((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 300000)).select(
+    return changes.except_keys(t.customer, _deletes(t), "c_custkey")
+
+
+def _deletes(t):
+    return t.orders.filter((F.col("o_orderstatus") == "F") & (F.col("o_totalprice") > 300000)).select(
         F.col("o_custkey").alias("c_custkey"))
-    return changes.except_keys(t.customer, keys, "c_custkey")
 
 
 _UPS_SQL = """(SELECT o_custkey + CASE WHEN o_orderstatus = 'P' THEN 1000000 ELSE 0 END AS c_custkey,
@@ -126,14 +133,53 @@ _UPS_SQL = """(SELECT o_custkey + CASE WHEN o_orderstatus = 'P' THEN 1000000 ELS
 def q_apply_upserts(spark, sf_dir):
     """D3: insert or replace on key; the latest change per key wins."""
     t = Tables(spark, sf_dir)
-    o = t.orders
-    ch = o.select(
+    up = changes.apply_upserts(t.customer, _upserts(t), "c_custkey", [F.col("o_orderdate"), F.col("o_orderkey")])
+    return up.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+def _upserts(t):
+    return t.orders.select(
         (F.col("o_custkey") + F.when(F.col("o_orderstatus") == "P", 1000000).otherwise(0)).alias("c_custkey"),
         F.concat(F.lit("Customer#"), F.lpad(F.col("o_custkey").cast("string"), 9, "0")).alias("c_name"),
         F.lit(0).cast("int").alias("c_nationkey"), F.col("o_totalprice").alias("c_acctbal"),
         F.col("o_orderpriority").alias("c_mktsegment"), "o_orderdate", "o_orderkey")
-    up = changes.apply_upserts(t.customer, ch, "c_custkey", [F.col("o_orderdate"), F.col("o_orderkey")])
-    return up.select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
+
+
+#: buckets of the customer snapshot in the queries below
+BUCKETS = 64
+
+
+def _customer_snapshot(spark, t) -> str:
+    path = scratch_path(spark, f"tables/{spark.sparkContext.applicationId}/snapshot-{uuid.uuid4().hex}")
+    snapshots.create_snapshot(t.customer, path, "c_custkey", BUCKETS)
+    return path
+
+
+@query("apply_updates_bucketed", sql=ORACLE_SQL["apply_updates"])
+def q_apply_updates_bucketed(spark, sf_dir):
+    """D1 on a hash-partitioned snapshot: only touched buckets are read and replaced."""
+    t = Tables(spark, sf_dir)
+    path = _customer_snapshot(spark, t)
+    snapshots.update_snapshot(spark, path, _changes(t), ["c_acctbal"])
+    return snapshots.read_snapshot(spark, path)
+
+
+@query("apply_deletes_bucketed", sql=ORACLE_SQL["apply_deletes"])
+def q_apply_deletes_bucketed(spark, sf_dir):
+    """D2 on a hash-partitioned snapshot."""
+    t = Tables(spark, sf_dir)
+    path = _customer_snapshot(spark, t)
+    snapshots.delete_from_snapshot(spark, path, _deletes(t))
+    return snapshots.read_snapshot(spark, path)
+
+
+@query("apply_upserts_bucketed", sql=ORACLE_SQL["apply_upserts"])
+def q_apply_upserts_bucketed(spark, sf_dir):
+    """D3 on a hash-partitioned snapshot; the latest change per key wins."""
+    t = Tables(spark, sf_dir)
+    path = _customer_snapshot(spark, t)
+    snapshots.upsert_snapshot(spark, path, _upserts(t), [F.col("o_orderdate"), F.col("o_orderkey")])
+    return snapshots.read_snapshot(spark, path)
 
 
 @query("unique_insert", sql="""

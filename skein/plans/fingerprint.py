@@ -12,6 +12,7 @@ the library and in exactly one clip, and every clip should find its user.
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +20,9 @@ from pyspark.sql import functions as F
 from skein.operators import audio, match
 from skein.operators.windows import dense_index
 from skein.plans.common import DAY_MS, SAMPLES_SQL, WEEK_MS, epoch_ms, event_samples
-from skein.plans.registry import query
-from skein.session import materialize
+from skein.plans.registry import ORACLE_SQL, query
+from skein.session import materialize, scratch_path
+from skein.sources import fpindex
 from skein.sources.tables import Tables
 
 ZONE_THRESHOLD = 3
@@ -204,6 +206,30 @@ def q_top_matches(spark, sf_dir):
     return match.top_matches(match.match_scores(matches(t), songs(t)), TOP_K)
 
 
+INDEX_BUCKETS = 32
+
+
+def stored_index(spark, t: Tables, pairs: DataFrame) -> DataFrame:
+    """The library index as a bucketed table, stored in two overlapping batches: the songs of even users, then all."""
+    name = f"skein_index_{uuid.uuid4().hex}"
+    path = scratch_path(spark, f"tables/{spark.sparkContext.applicationId}/{name}")
+    index = materialize(index_from(pairs).select("address", "song_id", "anchor_ms"), "index_rows")
+    fpindex.create_index(spark, name, path, INDEX_BUCKETS)
+    fpindex.append_to_index(spark, name, index.filter(F.col("song_id") % 2 == 0))
+    fpindex.append_to_index(spark, name, index)
+    return spark.table(name)
+
+
+@query("indexed_match", sql=ORACLE_SQL["top_matches"])
+def q_indexed_match(spark, sf_dir):
+    """S9 + J3 + O4: the ten best songs for every clip, from the stored, bucketed index."""
+    t = Tables(spark, sf_dir)
+    pairs = peak_pairs(t)
+    index = stored_index(spark, t, pairs)
+    found = fpindex.probe_index(clips_from(pairs), index)
+    return match.top_matches(match.match_scores(found, songs(t)), TOP_K)
+
+
 # ---------------------------------------------------------------- signal steps
 LP_CUTOFF, LP_RATE = 50.0, 1000.0
 FR_SIZE, FR_HOP, FR_BINS = 16, 4, 8

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions import imagehash as H
+from skein.functions import separable, wide
 from skein.functions.bits import hamming64, hamming_hex, hash_bucket
-from skein.operators import imaging
+from skein.operators import imaging, widejoin
 from skein.plans.registry import query
 from skein.sources.tables import Tables
 
@@ -357,3 +358,128 @@ def q_crop_segments(spark, sf_dir):
     """bright/dark connected segments of each image, box and hash per segment."""
     g = grids(Tables(spark, sf_dir)).select("img", "grid")
     return imaging.crop_segments(g, W, W, threshold=128, min_size=2)
+
+
+# ------------------------------------------- resampling, wavelets, wide hashes
+def _matrix_sql(name: str, m) -> str:
+    kind = int if m.dtype.kind == "i" else float
+    rows = [f"({o}, {i}, {kind(w)!r})" for o, row in enumerate(m) for i, w in enumerate(row) if w != 0]
+    return f"{name}(o, i, w) AS (SELECT o, i, w::{'BIGINT' if kind is int else 'DOUBLE'} FROM (VALUES " + ", ".join(rows) + ") AS v(o, i, w))"
+
+
+def _resampled_sql(k: int, n: int) -> str:
+    half, unit = 1 << (separable.PRECISION - 1), 1 << separable.PRECISION
+    clip = f"least(greatest(floor((sum(p * w) + {half}) / {unit}), 0), 255)::INTEGER"
+    return f"""{_matrix_sql(f'k{n}', separable.lanczos_matrix(k, n))},
+  x{n} AS (SELECT vec_id, g.i // {k} AS y, o AS x, {clip} AS p FROM g JOIN k{n} m ON m.i = g.i % {k} GROUP BY ALL),
+  r{n} AS (SELECT vec_id, o AS y, x, {clip} AS p FROM x{n} JOIN k{n} m ON m.i = x{n}.y GROUP BY ALL),
+  l{n} AS (SELECT vec_id, list(p ORDER BY y, x) AS grid FROM r{n} GROUP BY vec_id)"""
+
+
+@query("resampled_grid", sql=_w(_G, _resampled_sql(8, 5), _resampled_sql(8, 16)) + """
+    SELECT vec_id AS img, l5.grid AS smaller, l16.grid AS larger FROM l5 JOIN l16 USING (vec_id)""")
+def q_resampled_grid(spark, sf_dir):
+    """Every 8x8 image resampled to 5x5 and to 16x16 (Lanczos-3, 8-bit rounding)."""
+    g = grids(Tables(spark, sf_dir))
+    return g.select("img", separable.resample("grid", W, W, 5, 5).alias("smaller"), separable.resample("grid", W, W, 16, 16).alias("larger"))
+
+
+def _low_sql(name: str, levels: int, lowest: int | None) -> str:
+    """Convolution sums of the 16x16 images, without their lowest Haar band."""
+    low = separable.cascade(16, name, levels)
+    if lowest == 4:
+        base = "px16 AS (SELECT img, y, x, (p - avg(p) OVER (PARTITION BY img)) / 255 AS p FROM g16)"
+    elif lowest is None:
+        base = "px16 AS (SELECT img, y, x, p / 255 AS p FROM g16)"
+    else:
+        base = f"px16 AS (SELECT img, y, x, (p - avg(p) OVER (PARTITION BY img, y // {2**lowest}, x // {2**lowest})) / 255 AS p FROM g16)"
+    return f"""{_matrix_sql('fb', low)}, {base},
+  ax AS (SELECT img, y, o AS x, sum(p * w) AS p FROM px16 JOIN fb ON fb.i = px16.x GROUP BY ALL),
+  ll AS (SELECT img, o AS y, x, sum(p * w) AS p FROM ax JOIN fb ON fb.i = ax.y GROUP BY ALL),
+  md AS (SELECT img, median(p) AS m FROM ll GROUP BY img),
+  tx AS (SELECT img, string_agg(CASE WHEN p > m THEN '1' ELSE '0' END, '' ORDER BY y, x) AS b FROM ll JOIN md USING (img) GROUP BY img)"""
+
+
+def _hex_of_bits(b: str, n: int) -> str:
+    """Hex digits of a text of n binary digits, four at a time from the right."""
+    pad = -n % 4
+    return f"""list_aggregate(list_transform(range(1, {n + pad}, 4), lambda j: format('{{:x}}', instr('0000 0001 0010 0011 0100 0101 0110 0111 1000 1001 1010 1011 1100 1101 1110 1111',
+      substr('{'0' * pad}' || {b}, j, 4)) // 5)), 'string_agg', '')"""
+
+
+@query("whash_db4", sql=_w(_G, _G16, _low_sql("db4", 1, 4)) + f"SELECT img, {_hex_of_bits('b', 121)} AS hash FROM tx")
+def q_whash_db4(spark, sf_dir):
+    """F8: Daubechies-4 wavelet hash of 16x16 images at hash size 8, lowest Haar band removed. The filter's borders make
+    the low band 11 x 11, so the hash has 121 bits."""
+    bits, n = separable.wavelet_bits("grid", 16, 8, "db4", remove_lowest=4)
+    g = grids16(Tables(spark, sf_dir)).select("img", bits.alias("bits"))
+    return g.select("img", wide.wide_hex(wide.pack_bits(F.col("bits"), n), n).alias("hash"))
+
+
+@query("whash_db4_levels", sql=_w(_G, _G16, _low_sql("db4", 2, 2)) + f"SELECT img, {_hex_of_bits('b', 81)} AS hash FROM tx")
+def q_whash_db4_levels(spark, sf_dir):
+    """F8: two levels of the cascade, with the 4x4 block means (two Haar levels, reconstructed) taken away first."""
+    bits, n = separable.wavelet_bits("grid", 16, 4, "db4", remove_lowest=2)
+    g = grids16(Tables(spark, sf_dir)).select("img", bits.alias("bits"))
+    return g.select("img", wide.wide_hex(wide.pack_bits(F.col("bits"), n), n).alias("hash"))
+
+
+BITS_WIDE = 256
+
+
+def _wide_hash(grid):
+    """256-bit average hash of a 16x16 grid, as words."""
+    return H.let(grid, lambda g: H.let(H.mean_of(g), lambda m: wide.pack_bits(F.transform(g, lambda p: p > m), BITS_WIDE)))
+
+
+def wide_hashes(t: Tables) -> DataFrame:
+    return grids16(t).select("img", _wide_hash(F.col("grid")).alias("h"))
+
+
+_AW = """aw AS (SELECT img, string_agg(CASE WHEN p > m THEN '1' ELSE '0' END, '' ORDER BY y, x) AS b
+        FROM g16 JOIN (SELECT img, avg(p) AS m FROM g16 GROUP BY 1) USING (img) GROUP BY img)"""
+
+
+@query("hamming_wide", sql=_w(_G, _G16, _AW) + """
+    SELECT a.img, b.img AS other, bit_count(xor(a.b::BIT, b.b::BIT))::INTEGER AS dist FROM aw a JOIN aw b ON b.img = a.img + 1""")
+def q_hamming_wide(spark, sf_dir):
+    """bit distance of the 256-bit average hashes of consecutive images."""
+    h = wide_hashes(Tables(spark, sf_dir))
+    nxt = h.select((F.col("img") - 1).alias("img"), F.col("img").alias("other"), F.col("h").alias("h2"))
+    return h.join(nxt, "img").select("img", "other", wide.hamming_words("h", "h2").alias("dist"))
+
+
+@query("hash_text_forms", sql=_w(_G, _G16, _AW) + f""", t AS (SELECT img, b, {_hex_of_bits('b', 256)} AS hash FROM aw),
+    p AS (SELECT img, list_transform(range(4), lambda q: substr(hash, q * 16 + 1, 16)) AS parts FROM t)
+    SELECT t.img, hash, list_aggregate(list_transform(parts, lambda x: x), 'string_agg', ',') AS multi, 4 AS parts,
+           list_aggregate(list_transform(range(1, 257, 8), lambda j: list_aggregate(list_transform([j + 4, j], lambda k:
+             format('{{:x}}', instr('0000 0001 0010 0011 0100 0101 0110 0111 1000 1001 1010 1011 1100 1101 1110 1111', reverse(substr(b, k, 4))) // 5)), 'string_agg', '')), 'string_agg', '') AS old,
+           0 AS dist
+    FROM t JOIN p USING (img)""")
+def q_hash_text_forms(spark, sf_dir):
+    """256-bit hashes as hex, as a multi-hash of four 64-bit segments, and in the old byte order; ``parts`` and ``dist``
+    come from parsing these texts again (dist: bits by which a parsed hash differs from its source)."""
+    h = wide_hashes(Tables(spark, sf_dir))
+    segments = F.transform("h", lambda x: F.array(x))
+    t = h.select("img", "h", wide.wide_hex("h", BITS_WIDE).alias("hash"), wide.multi_hex(segments, 64).alias("multi"), wide.wide_old_hex("h", BITS_WIDE).alias("old"))
+    back = wide.hamming_words("h", wide.hex_wide("hash", BITS_WIDE)) + wide.hamming_words("h", wide.old_hex_wide("old", 16)) + wide.hamming_words(
+        "h", F.flatten(wide.hex_multi("multi", 64)))
+    return t.select("img", "hash", "multi", F.size(wide.hex_multi("multi", 64)).alias("parts"), "old", back.alias("dist"))
+
+
+T_WIDE = 12
+
+
+@query("hamming_join_wide", sql=_w(_G, _G16, _AW) + f""",
+  n16 AS (SELECT img, y, x, CASE WHEN (y * 16 + x) % 41 = img % 41 THEN 255 - p ELSE p END AS p FROM g16),
+  an AS (SELECT img, string_agg(CASE WHEN p > m THEN '1' ELSE '0' END, '' ORDER BY y, x) AS b
+         FROM n16 JOIN (SELECT img, avg(p) AS m FROM n16 GROUP BY 1) USING (img) GROUP BY img)
+    SELECT a.img, c.img AS copy, bit_count(xor(a.b::BIT, c.b::BIT))::INTEGER AS dist FROM aw a JOIN an c ON bit_count(xor(a.b::BIT, c.b::BIT)) <= {T_WIDE}""")
+def q_hamming_join_wide(spark, sf_dir):
+    """Every image and every altered copy (each 41st pixel inverted) within 12 of 256 bits; seven bands, probed one bit away."""
+    g = grids16(Tables(spark, sf_dir))
+    altered = F.transform("grid", lambda p, i: F.when(i % 41 == F.col("img") % 41, 255 - p).otherwise(p))
+    left = g.select("img", _wide_hash(F.col("grid")).alias("h"))
+    right = g.select("img", altered.alias("grid")).select(F.col("img").alias("copy"), _wide_hash(F.col("grid")).alias("h"))
+    pairs = widejoin.hamming_pairs_wide(left, right, BITS_WIDE, T_WIDE, ["img"], ["copy"], bands=7)
+    return pairs.select("img", F.col("r_copy").alias("copy"), "dist")
