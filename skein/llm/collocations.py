@@ -2,17 +2,19 @@
 
 Texts are cut at ``.,;:!?`` and line ends into pieces and at spaces and tabs into words (A-Z lower-cased). A
 phrase with f occurrences in a language is frequent if f >= ``support``. Rows are dealt into ``shards``
-shards by a hash of their text. A shard that holds the share s of a language's words mines it at the support
-ceil(s * support): a phrase below that in every shard is below ``support`` in all, so the union of
-what shards find holds every frequent phrase. The shards are mined completely, level by level: a
-phrase of n words is looked at where both its parts of n - 1 words are frequent in the shard. Then
-all candidates are counted globally, by their words, in one more pass, and only these counts are used.
-
-A shard is a part of the table, not a task: its counts are combined in batches, then in tasks, then by
-``groupBy``; no group of rows meets anywhere, and neither a hot text, word nor language is a hot task. Between
-levels goes a bitmap of the frequent keys (at least 16 bits a key, at most 2**MAX_BITS bits, 32 MB): beyond
-that size it passes more, never less. Mining works on 64-bit keys, whose collisions can only add candidates;
-the global counts have the words themselves as key (inside a batch 128 bits).
+shards: by a hash of the file they come from, so that a task works on few shards, or of their text where there is no file. A
+shard that holds the share s of a language's words mines it at the support ceil(s * support): a phrase below that in
+every shard is below ``support`` in all, so the union of what shards find holds every frequent phrase.
+The shards are mined completely, by levels (1, 2, then 3 and 4 words): a phrase is looked at where all its parts of the
+level before are frequent in the shard. Then all candidates are counted globally in one more pass, and only these
+counts are used.
+
+A shard is a part of the table, not a task. Tasks count keys of 64 bits in sorted arrays and send them as blocks to buckets by
+the keys' top bits; the number of buckets grows with the counted words, so a bucket's memory is bounded, and as keys are hashes
+neither a hot text, word nor language is a hot bucket. Between levels goes a bitmap of the frequent keys (16 to 32 bits
+a key, at most 2**MAX_BITS bits, 32 MB): beyond that size it passes more, never less. In mining, two phrases with one key can only
+add a candidate; in the global counts phrases are told apart by 64 bits of hash and 32 bits of lengths and byte sums. The words
+of what is frequent are read in a last pass from one of the texts that hold it, and checked against these bits.
 
 Defined results: a null text is empty, an empty one has no words; a null language is ``und``, as is a language of that
 name; very long texts are read whole, in slices; repeated rows count as often as they stand; ties go to the
@@ -33,6 +35,7 @@ from skein.session import materialize
 MAX_WORDS = 4
 MAX_BITS = 28  # log2 of the largest bitmap's bits
 FLUSH = 1 << 21  # keys that a task gathers before it counts them
+BUCKET_WORDS = 1 << 21  # words of the table for each bucket, about
 
 _CLASS = np.zeros(256, np.uint8)  # 0 word, 1 between words, 2 between pieces
 _CLASS[[0x20, 0x09]] = 1
@@ -41,26 +44,33 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _STEP = np.uint64(0xC2B2AE3D27D4EB4F)
 _OTHER = np.uint64(0x165667B19E3779F9)
+_LOW32 = np.uint64(0xFFFFFFFF)
 
 
-def cut(data: np.ndarray, offs: np.ndarray):
-    """(lower-cased bytes, start, end, piece, row) of every word of a slice; words of one piece share its number."""
-    low = _LOWER[data]
+def _first_bytes(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(whether a word begins at each byte, each byte's class); a row's first byte follows nothing."""
     kind = _CLASS[data]
     word = kind == 0
     first = word.copy()
     first[1:] &= ~word[:-1]
-    begins = offs[:-1][np.diff(offs) > 0]  # a row's first byte begins a word, whatever stands before
+    begins = offs[:-1][np.diff(offs) > 0]
     first[begins] |= word[begins]
+    return first, kind
+
+
+def cut(data: np.ndarray, offs: np.ndarray):
+    """(lower-cased bytes, start, end, piece, row) of every word of a slice; words of one piece share its number."""
+    first, kind = _first_bytes(data, offs)
+    word = kind == 0
     last = word.copy()
     last[:-1] &= ~word[1:]
-    ends = begins[1:] - 1
+    ends = offs[:-1][np.diff(offs) > 0][1:] - 1
     last[ends] |= word[ends]
     start = np.flatnonzero(first)
     end = np.flatnonzero(last) + 1
-    row = np.searchsorted(offs, start, side="right") - 1
-    piece = np.cumsum(kind == 2, dtype=np.int64)[start] if len(start) else start
-    return low, start, end, piece + row, row
+    row = np.repeat(np.arange(len(offs) - 1), np.diff(np.searchsorted(start, offs)))
+    piece = np.cumsum(kind == 2, dtype=np.int32)[start] if len(start) else start
+    return _LOWER[data], start, end, piece + row, row
 
 
 def grams(words: np.ndarray, piece: np.ndarray, seed: np.ndarray, n: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -73,60 +83,100 @@ def grams(words: np.ndarray, piece: np.ndarray, seed: np.ndarray, n: int) -> lis
     return out
 
 
-def _names(column: pa.Array) -> tuple[np.ndarray, list]:
-    """(hash of each row's string, the rows' strings)."""
-    values = column.to_pylist()
+def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))
+
+
+def _seeds(column: pa.Array) -> np.ndarray:
+    """A hash of each row's language."""
     memo: dict = {}
+    values = column.to_pylist()
     for v in values:
         if v not in memo:
             raw = np.frombuffer((v or "").encode() + b"\x00", np.uint8)
             memo[v] = range_hash(prefix_hash(raw), np.array([0]), np.array([len(raw)]))[0]
-    return np.array([memo[v] for v in values], np.uint64), values
+    return np.array([memo[v] for v in values], np.uint64)
+
+
+def _salt(shard: np.ndarray) -> np.ndarray:
+    return shard.astype(np.uint64) * _OTHER
 
 
 def _salted(keys: np.ndarray, shard: np.ndarray) -> np.ndarray:
-    return mix(keys ^ (shard.astype(np.uint64) * _OTHER))
+    """A phrase's key in a shard; with the shard, it can be taken back."""
+    return mix(keys ^ _salt(shard))
+
 
+def _unmixed(x: np.ndarray) -> np.ndarray:
+    """The inverse of ``mix``."""
+    def unshifted(x: np.ndarray, by: int) -> np.ndarray:
+        y = x
+        for _ in range(64 // by):
+            y = x ^ (y >> np.uint64(by))
+        return y
 
-def _counts(key: np.ndarray, shard: np.ndarray, need: np.ndarray):
-    """Equal keys of a shard as one row: (key, shard, need, count)."""
-    own = _salted(key, shard)
-    _, at, n = np.unique(own, return_index=True, return_counts=True)
-    return key[at], shard[at], need[at], n
+    x = unshifted(x, 31) * np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
+    x = unshifted(x, 27) * np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
+    return unshifted(x, 30)
 
 
-def _mine(maps: list, level: int):
-    """Arrow batches -> (key, shard, need, n) of ``level``-word phrases whose parts are frequent in the shard."""
+def _edges(keys: np.ndarray, bits: int) -> list[tuple[int, int, int]]:
+    """(bucket, begin, end) of the runs of sorted keys with equal top ``bits`` bits."""
+    if not len(keys):
+        return []
+    if not bits:
+        return [(0, 0, len(keys))]
+    bucket = (keys >> np.uint64(64 - bits)).astype(np.int64)
+    at = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(keys))
+    return [(int(bucket[a]), int(a), int(b)) for a, b in zip(at[:-1], at[1:])]
+
+
+def _blocks(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
+
+
+def _mine(bitmap: np.ndarray | None, levels: tuple[int, ...], bits: int):
+    """Arrow batches -> (bucket, shard, need, keys, counts) of the phrases of ``levels`` words whose parts, one word
+    shorter than the least level, are frequent in the shard: sorted keys as a block, with their numbers."""
 
     def run(stream):
-        names = ["key", "shard", "need", "n"]
+        names, kinds = ["bucket", "shard", "need", "keys", "counts"], [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
         held: list[tuple] = []
         size = 0
 
         def flush():
-            parts = [np.concatenate([h[i] for h in held]) for i in range(3)]
-            k, s, d, n = _counts(*parts)
-            return pa.RecordBatch.from_arrays([pa.array(k.view(np.int64)), pa.array(s), pa.array(d), pa.array(n.astype(np.int64))], names=names)
+            group = np.concatenate([h[1] for h in held])
+            own = np.concatenate([h[0] for h in held])
+            rows = []
+            for g in np.unique(group):  # a shard and its support
+                keys, n = np.unique(own[group == g], return_counts=True)
+                n = n.astype("<u4")
+                rows += [(b, int(g >> 32), int(g & 0xFFFFFFFF), keys[a:z].tobytes(), n[a:z].tobytes()) for b, a, z in _edges(keys, bits)]
+            return _blocks(rows, names, kinds)
 
         for batch in stream:
             for part, data, offs in batches.text_slices(batch, "text"):
                 low, start, end, piece, row = cut(data, offs)
                 if not len(start):
                     continue
-                langs, _ = _names(part.column(part.schema.get_field_index("lang")))
-                shard = part.column(part.schema.get_field_index("shard")).to_numpy(zero_copy_only=False).astype(np.int32)
-                need = part.column(part.schema.get_field_index("need")).to_numpy(zero_copy_only=False).astype(np.int32)
+                shard = _column(part, "shard").to_numpy(zero_copy_only=False).astype(np.int64)
+                group = (shard << 32) | _column(part, "need").to_numpy(zero_copy_only=False).astype(np.int64)
                 words = range_hash(prefix_hash(low), start, end)
-                levels = grams(words, piece, langs[row], level)
-                key, take = levels[-1]
-                m = len(key)
-                take = take.copy()
-                if level > 1:
-                    parts = member(maps[-1], _salted(levels[-2][0], shard[row[:len(levels[-2][0])]]))
-                    take &= parts[:m] & parts[1:m + 1]
-                at = np.flatnonzero(take)
-                held.append((key[at], shard[row[at]], need[row[at]]))
-                size += len(at)
+                found = grams(words, piece, _seeds(_column(part, "lang"))[row], levels[-1])
+                parts = None
+                if bitmap is not None:
+                    short = found[levels[0] - 2][0]
+                    parts = member(bitmap, _salted(short, shard[row[:len(short)]]))
+                for k in levels:
+                    key, fits = found[k - 1]
+                    take = fits
+                    if parts is not None:
+                        take = fits & parts[:len(key)]
+                        for j in range(1, k - levels[0] + 2):
+                            take &= parts[j:j + len(key)]
+                    at = np.flatnonzero(take)
+                    held.append((_salted(key[at], shard[row[at]]), group[row[at]]))
+                    size += len(at)
                 if size >= FLUSH:
                     yield flush()
                     held, size = [], 0
@@ -136,107 +186,193 @@ def _mine(maps: list, level: int):
     return run
 
 
+def _gathered(table: pa.Table, name: str, kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(table[name].to_pylist()), kind)
+
+
+def _summed(keys: list[np.ndarray], n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(positions of the first of equal keys, sums of n) by the last key first."""
+    order = np.lexsort(keys)
+    new = np.ones(len(order), bool)
+    new[1:] = False
+    for k in keys:
+        new[1:] |= k[order[1:]] != k[order[:-1]]
+    edge = np.flatnonzero(new)
+    return order[edge], np.add.reduceat(n[order], edge) if len(edge) else n[:0]
+
+
+def _frequent_in_shard(table: pa.Table) -> pa.Table:
+    """All blocks of a bucket -> (own, key) of the phrases that reach their shard's support."""
+    own, keys = [], []
+    groups = np.stack([table["shard"].to_numpy(), table["need"].to_numpy()], axis=1)
+    for shard, need in np.unique(groups, axis=0).tolist():
+        part = table.filter(pa.array((groups == (shard, need)).all(axis=1)))
+        k = _gathered(part, "keys", "<u8")
+        at, n = _summed([k], _gathered(part, "counts", "<u4").astype(np.int64))
+        k = k[at[n >= need]]
+        own.append(k)
+        keys.append(_unmixed(k) ^ _salt(np.array([shard])))
+    return pa.table([pa.array(np.concatenate(x).view(np.int64)) for x in (own, keys)], names=["own", "key"])
+
+
 def _tally(stream):
-    """Arrow batches -> (lang, shard, words) of each batch."""
+    """Arrow batches -> (lang, shard, words) of each row."""
     for batch in stream:
         n = np.zeros(batch.num_rows, np.int64)
         at = 0
         for part, data, offs in batches.text_slices(batch, "text"):
-            row = cut(data, offs)[4]
-            n[at:at + part.num_rows] = np.bincount(row, minlength=part.num_rows)
+            before = np.append(0, np.cumsum(_first_bytes(data, offs)[0], dtype=np.int32))[offs]
+            n[at:at + part.num_rows] = np.diff(before)
             at += part.num_rows
-        yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index("lang")), batch.column(batch.schema.get_field_index("shard")),
-                                          pa.array(n)], names=["lang", "shard", "words"])
+        yield pa.RecordBatch.from_arrays([_column(batch, "lang"), _column(batch, "shard"), pa.array(n)], names=["lang", "shard", "words"])
+
+
+def _occurrences(part: pa.RecordBatch, data: np.ndarray, offs: np.ndarray, n_max: int, bitmap: np.ndarray):
+    """For each size k: (k, places of candidates, their keys, checks, texts' hashes), and the words' ends, of a slice."""
+    low, start, end, piece, row = cut(data, offs)
+    if not len(start):
+        return [], low, start, end, row
+    prefix = prefix_hash(low)
+    words = range_hash(prefix, start, end)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(low, dtype=np.uint64)])
+    marks = mix((sums[end] - sums[start]) * _STEP + (end - start).astype(np.uint64))  # lengths and byte sums: not of the hash's making
+    texts = range_hash(prefix, offs[:-1], offs[1:]) & _LOW32
+    out = []
+    for k, (key, fits) in enumerate(grams(words, piece, _seeds(_column(part, "lang"))[row], n_max), 1):
+        at = np.flatnonzero(fits & member(bitmap, key))
+        check = marks[at]
+        for j in range(1, k):
+            check = mix(check + marks[at + j] * _OTHER)
+        out.append((k, at, key[at], check & _LOW32, texts[row[at]]))
+    return out, low, start, end, row
+
+
+def _count_all(bitmap: np.ndarray, n_max: int, bits: int):
+    """Arrow batches -> (bucket, keys, checks, texts, counts): every occurrence of a candidate, as sorted blocks."""
 
+    def run(stream):
+        names, kinds = ["bucket", "keys", "checks", "texts", "counts"], [pa.int32()] + [pa.binary()] * 4
+        held: list[tuple] = []
+        size = 0
 
-def _count_all(bitmap: np.ndarray, n_max: int):
-    """Arrow batches -> (lang, phrase, size, n): every occurrence of a candidate, counted per slice."""
+        def flush():
+            key, check, text = (np.concatenate([h[i] for h in held]) for i in range(3))
+            order = np.argsort(key)  # of one key with two checks, parts may come twice; the bucket adds them up
+            key, check = key[order], check[order]
+            at = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (check[1:] != check[:-1])))
+            cols = [x.astype("<u4") for x in (check[at], text[order[at]], np.diff(np.append(at, len(key))))]
+            key = key[at]
+            return _blocks([(b, key[a:z].tobytes(), *(x[a:z].tobytes() for x in cols)) for b, a, z in _edges(key, bits)], names, kinds)
+
+        for batch in stream:
+            for part, data, offs in batches.text_slices(batch, "text"):
+                for _, at, key, check, text in _occurrences(part, data, offs, n_max, bitmap)[0]:
+                    held.append((key, check, text))
+                    size += len(at)
+                if size >= FLUSH:
+                    yield flush()
+                    held, size = [], 0
+        if size:
+            yield flush()
+
+    return run
+
+
+def _frequent(support: int):
+    def run(table: pa.Table) -> pa.Table:
+        key, check, text = (_gathered(table, c, k) for c, k in (("keys", "<u8"), ("checks", "<u4"), ("texts", "<u4")))
+        at, n = _summed([check, key], _gathered(table, "counts", "<u4").astype(np.int64))
+        at, n = at[n >= support], n[n >= support]
+        return pa.table([pa.array(key[at].view(np.int64)), pa.array(check[at].astype(np.int64)), pa.array(text[at].astype(np.int64)), pa.array(n)],
+                        names=["key", "check", "text", "f"])
+
+    return run
+
+
+def _in_text(keys: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    return mix(keys ^ (texts * _STEP))
+
+
+def _spelled(frequent: np.ndarray, spots: np.ndarray, n_max: int):
+    """Arrow batches -> (key, check, lang, phrase, size) where a frequent phrase stands in the text that was noted for it."""
 
     def run(stream):
+        seen: set = set()
         for batch in stream:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for part, data, offs in batches.text_slices(batch, "text"):
-                low, start, end, piece, row = cut(data, offs)
-                if not len(start):
-                    continue
-                seeds, names = _names(part.column(part.schema.get_field_index("lang")))
-                prefix = prefix_hash(low)
-                words = range_hash(prefix, start, end)
+                found, low, start, end, row = _occurrences(part, data, offs, n_max, frequent)
                 raw = low.tobytes()
-                for k, (key, fits) in enumerate(grams(words, piece, seeds[row], n_max), 1):
-                    at = np.flatnonzero(fits & member(bitmap, key))
-                    if not len(at):
-                        continue
-                    check = words[at] * _OTHER
-                    for j in range(1, k):
-                        check = mix(check + words[at + j] * _STEP)
-                    both = np.stack([key[at], check ^ seeds[row[at]]], axis=1)
-                    order = np.lexsort((both[:, 1], both[:, 0]))
-                    new = np.ones(len(at), bool)
-                    new[1:] = (both[order[1:]] != both[order[:-1]]).any(axis=1)
-                    edge = np.flatnonzero(new)
-                    n = np.diff(np.append(edge, len(at)))
-                    for i, c in zip(at[order[edge]].tolist(), n.tolist()):
-                        out[0].append(names[row[i]])
-                        out[1].append(b" ".join(raw[start[i + j]:end[i + j]] for j in range(k)).decode("utf-8", "replace"))
-                        out[2].append(k)
-                        out[3].append(c)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int32()),
-                                              pa.array(out[3], pa.int64())], names=["lang", "phrase", "size", "n"])
+                langs = _column(part, "lang")
+                for k, at, key, check, text in found:
+                    here = np.flatnonzero(member(spots, _in_text(key, text)))
+                    _, first = np.unique(key[here], return_index=True)
+                    for i, x, c in zip(at[here[first]].tolist(), key[here[first]].view(np.int64).tolist(), check[here[first]].tolist()):
+                        if (x, c) not in seen:
+                            seen.add((x, c))
+                            phrase = b" ".join(raw[start[i + j]:end[i + j]] for j in range(k)).decode("utf-8", "replace")
+                            for o, v in zip(out, (x, c, langs[int(row[i])].as_py(), phrase, k)):
+                                o.append(v)
+            yield _blocks(list(zip(*out)), ["key", "check", "lang", "phrase", "size"], [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32()])
+            if len(seen) > FLUSH:  # a phrase that is sent twice is merged later
+                seen = set()
 
     return run
 
 
 def _bitmap(keys: DataFrame, column: str) -> np.ndarray:
     """Membership of the keys in a bitmap of 16 to 32 bits a key, within 2**MAX_BITS bits."""
-    n = keys.count()
-    return membership(keys, column, min(MAX_BITS, max(20, int(16 * n).bit_length())))
+    return membership(keys, column, min(MAX_BITS, max(20, int(16 * keys.count()).bit_length())))
 
 
 def frequent_phrases(df: DataFrame, support: int, shards: int = 4, max_words: int = MAX_WORDS, lang: str = "lang",
                      text: str = "text") -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, size, f) of all phrases of 1 to ``max_words`` words with f >= support, (lang, n) of all words)."""
     spark = df.sparkSession
-    docs = df.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
-    docs = docs.filter(F.octet_length("text") > 0).withColumn("shard", F.pmod(F.xxhash64("text"), F.lit(shards)).cast("int"))
+    sc = spark.sparkContext
+    file = F.input_file_name()  # the same in every pass, however the file is split
+    docs = df.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"),
+                     F.pmod(F.when(file != "", F.xxhash64(file)).otherwise(F.xxhash64(F.col(text))), F.lit(shards)).cast("int").alias("shard"))
     docs = batches.small_batches(docs)
     words = docs.mapInArrow(_tally, "lang string, shard int, words long").groupBy("lang", "shard").agg(F.sum("words").alias("words"))
     words = materialize(words.filter("words > 0"), "words")
     totals = words.groupBy("lang").agg(F.sum("words").cast("long").alias("n"))
-    # the smallest count that reaches the shard's share of the support, in whole numbers
+    n_words = words.agg(F.sum("words")).first()[0] or 0
+    bits = max(0, min(30, (max(n_words // BUCKET_WORDS, int(spark.conf.get("spark.sql.shuffle.partitions"))) - 1).bit_length()))
+    # the smallest count that reaches the shard's share of the support, in whole numbers: at most ``support`` different ones
     share = words.join(totals, "lang").select("lang", "shard", F.greatest(F.lit(1), F.expr(
         f"cast(ceil(cast(words as decimal(28,0)) * {int(support)} / cast(n as decimal(28,0))) as int)")).alias("need"))
     shared = docs.join(share, ["lang", "shard"]).select("text", "lang", "shard", "need")
-    sc = spark.sparkContext
-    kind = "key long, shard int, need int, n long"
-    maps: list = []
     found = []
-    for level in range(1, max_words + 1):
-        sent = sc.broadcast(maps)
-        rows = shared.mapInArrow(lambda stream, b=sent, k=level: _mine(b.value, k)(stream), kind)
-        rows = rows.groupBy("key", "shard", "need").agg(F.sum("n").alias("n")).filter("n >= need").select("key", "shard")
-        rows = materialize(rows, "frequent")
+    bitmap = None
+    for levels in [(1,), (2,), tuple(range(3, max_words + 1))]:
+        levels = tuple(k for k in levels if k <= max_words)
+        if not levels:
+            break
+        sent = sc.broadcast(bitmap)
+        blocks = shared.mapInArrow(lambda stream, b=sent, k=levels: _mine(b.value, k, bits)(stream), "bucket int, shard int, need int, keys binary, counts binary")
+        rows = materialize(blocks.groupBy("bucket").applyInArrow(_frequent_in_shard, "own long, key long"), "frequent")
         found.append(rows.select("key"))
-        if level < max_words:
-            maps = [_bitmap(rows.select(_salt_column().alias("own")), "own")]
+        bitmap = _bitmap(rows, "own")
     union = found[0]
     for rows in found[1:]:
         union = union.union(rows)
-    sent = sc.broadcast(_bitmap(union.distinct(), "key"))
-    counted = docs.select("text", "lang").mapInArrow(lambda stream: _count_all(sent.value, max_words)(stream), "lang string, phrase string, size int, n long")
-    counted = counted.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("f")).filter(F.col("f") >= support)
-    return materialize(counted, "phrases"), totals
-
+    sent = sc.broadcast(_bitmap(union, "key"))
+    blocks = docs.select("text", "lang").mapInArrow(lambda stream: _count_all(sent.value, max_words, bits)(stream),
+                                                    "bucket int, keys binary, checks binary, texts binary, counts binary")
+    counted = materialize(blocks.groupBy("bucket").applyInArrow(_frequent(support), "key long, check long, text long, f long"), "counted")
 
-def _salt_column():
-    """``_salted`` as a column function of (key, shard)."""
-    @F.pandas_udf("long")
-    def salt(key, shard):
-        import pandas as pd
-
-        return pd.Series(_salted(key.to_numpy().astype(np.int64).view(np.uint64), shard.to_numpy()).view(np.int64))
-
-    return salt("key", "shard")
+    def spots(stream):
+        for batch in stream:
+            key, at = (batch.column(i).to_numpy().astype(np.int64).view(np.uint64) for i in range(2))
+            yield pa.RecordBatch.from_arrays([pa.array(_in_text(key, at).view(np.int64))], names=["spot"])
+
+    noted = sc.broadcast((_bitmap(counted, "key"), _bitmap(counted.select("key", "text").mapInArrow(spots, "spot long"), "spot")))
+    spelled = docs.select("text", "lang").mapInArrow(lambda stream: _spelled(*noted.value, max_words)(stream),
+                                                     "key long, check long, lang string, phrase string, size int")
+    spelled = spelled.groupBy("key", "check").agg(F.min(F.struct("lang", "phrase", "size")).alias("p"))
+    named = counted.join(spelled, ["key", "check"]).select("p.lang", "p.phrase", "p.size", "f")
+    return materialize(named, "phrases"), totals
 
 
 def collocations(df: DataFrame, support: int = 30, top: int = 2000, percent: int = 80, scale: int = 2_000_000, shards: int = 4,

@@ -92,3 +92,17 @@ def test_small_slices_give_the_same(spark, monkeypatch):
     whole = list(batches.slices(np.cumsum([0] + [len(t) for _, t in rows]), 64))
     assert len(whole) > 20
     assert run(spark, rows, 4, 500, shards=3) == brute(rows, 4, 500)
+
+
+def test_shards_by_file(spark, tmp_path):
+    rng = random.Random(12)
+    rows = [(rng.choice(["en", "fr"]), t) for t in corpus(rng, 400, ["a", "b", "c", "d", "e", "f g", "É"])]
+    spark.createDataFrame(rows, "lang string, text string").repartition(9).write.parquet(str(tmp_path / "docs"))
+    got = collocations.collocations(spark.read.parquet(str(tmp_path / "docs")), 15, 200, shards=5).collect()
+    assert {tuple(r) for r in got} == brute(rows, 15, 200)
+
+
+def test_salted_keys_come_back():
+    keys = np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64)
+    shard = np.arange(1000) % 7
+    assert (collocations._unmixed(collocations._salted(keys, shard)) ^ collocations._salt(shard) == keys).all()
