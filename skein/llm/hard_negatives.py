@@ -101,14 +101,14 @@ def bounds(x: np.ndarray, centres: np.ndarray, theta: np.ndarray) -> np.ndarray:
     return np.where(length[:, None] > 0, length[:, None] * (np.cos(angle) + _SLACK), 0.0)
 
 
-def band_of(bound: np.ndarray, top: float) -> np.ndarray:
-    """0 for the largest bounds up to BANDS - 1; monotone in the bound, which is within [-top, top]."""
+def band_of(bound: np.ndarray, top: float, bands: int) -> np.ndarray:
+    """0 for the largest bounds up to bands - 1; monotone in the bound, which is within [-top, top]."""
     if top <= 0:
         return np.zeros(bound.shape, np.int64)
-    return np.clip(((1 - bound / (top * (1 + 1e-6))) * (BANDS / 2)).astype(np.int64), 0, BANDS - 1)
+    return np.clip(((1 - bound / (top * (1 + 1e-6))) * (bands / 2)).astype(np.int64), 0, bands - 1)
 
 
-def walk(members: list[dict], ids: np.ndarray, labels: np.ndarray, x: np.ndarray, bound: np.ndarray, k: int) -> list[tuple]:
+def walk(members: list[dict], ids: np.ndarray, labels: np.ndarray, x: np.ndarray, bound: np.ndarray, k: int, step: int = STEP_ROWS) -> list[tuple]:
     """The first k rows for each question of each member, from a list sorted by falling bound.
 
     A member has id, label, vector, length and questions: (positive id or None, lowest, highest, k-th score so far).
@@ -118,7 +118,7 @@ def walk(members: list[dict], ids: np.ndarray, labels: np.ndarray, x: np.ndarray
     u = np.stack([m["vector"] for m in members])
     best: list[list[list]] = [[[] for _ in m["questions"]] for m in members]
     open_ = list(range(len(members)))
-    for a in range(0, len(ids), STEP_ROWS):
+    for a in range(0, len(ids), step):
         going = []
         for i in open_:
             reach = members[i]["length"] * bound[a]
@@ -134,7 +134,7 @@ def walk(members: list[dict], ids: np.ndarray, labels: np.ndarray, x: np.ndarray
         if not going:
             break
         open_ = [i for i, _ in going]
-        part = slice(a, a + STEP_ROWS)
+        part = slice(a, a + step)
         scores = products(u[open_], x[part])
         for row, (i, ask) in zip(scores, going):
             m = members[i]
@@ -198,14 +198,14 @@ def _histogram(rows: DataFrame, centres: np.ndarray, theta: np.ndarray, dim: int
     spark = rows.sparkSession
     length = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, c: s + c * c))
     top = rows.agg(F.max(length)).first()[0] or 0.0
-    sent = spark.sparkContext.broadcast((centres, theta, top))
+    sent = spark.sparkContext.broadcast((centres, theta, top, BANDS))
 
     def count(stream):
-        centres, theta, top = sent.value
-        seen = np.zeros(len(centres) * BANDS, np.int64)
+        centres, theta, top, bands = sent.value
+        seen = np.zeros(len(centres) * bands, np.int64)
         for batch in stream:
-            band = band_of(bounds(matrix(batch.column(0), dim), centres, theta), top)
-            seen += np.bincount((band + np.arange(len(centres)) * BANDS).ravel(), minlength=len(seen))
+            band = band_of(bounds(matrix(batch.column(0), dim), centres, theta), top, bands)
+            seen += np.bincount((band + np.arange(len(centres)) * bands).ravel(), minlength=len(seen))
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], names=["at", "n"])
 
@@ -223,16 +223,17 @@ def _segment(rows: DataFrame, state: DataFrame, centres, theta, top, spans: dict
     members = state.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"))
     blocks = {r.cluster: -(-r.n // CELL_MEMBERS) for r in members.collect()}  # at most MAX_CLUSTERS rows
     plan = {c: (a, b, max(1, -(-n // CELL_ROWS)), blocks[c]) for c, (a, b, n) in spans.items() if c in blocks and n}
-    sent = spark.sparkContext.broadcast((centres, theta, top, plan))
+    sent = spark.sparkContext.broadcast((centres, theta, top, plan, BANDS))
+    step = STEP_ROWS
 
     def ship(stream):
-        centres, theta, top, plan = sent.value
+        centres, theta, top, plan, bands = sent.value
         names = ["cluster", "part", "block", "id", "label", "bound", "x"]
         use = np.array(sorted(plan), np.int64)
         for batch in stream:
             x = matrix(batch.column(2), dim)
             bound = bounds(x, centres[use], theta[use])
-            band = band_of(bound, top)
+            band = band_of(bound, top, bands)
             ids = batch.column(0).to_numpy()
             lists = batch.column(2)
             for j, c in enumerate(use.tolist()):
@@ -262,7 +263,7 @@ def _segment(rows: DataFrame, state: DataFrame, centres, theta, top, spans: dict
             members = [{"id": i, "label": lab, "vector": v, "length": float(np.sqrt((v * v).sum())),
                         "questions": [(q["positive"], q["low"], q["high"], q["kth"]) for q in qs]}
                        for i, lab, v, qs in zip(asks["id"].to_pylist(), asks["label"].to_pylist(), u, asks["questions"].to_pylist())]
-            got = walk(members, cands["id"].to_numpy()[order], cands["label"].to_numpy()[order], x, cands["bound"].to_numpy()[order], k)
+            got = walk(members, cands["id"].to_numpy()[order], cands["label"].to_numpy()[order], x, cands["bound"].to_numpy()[order], k, step)
         cols = list(zip(*got)) or [(), (), (), ()]
         return pa.table([pa.array(c, pa.int64()) for c in cols], names=["anchor", "positive", "id", "score"])
 

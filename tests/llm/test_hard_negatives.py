@@ -97,7 +97,7 @@ def test_bounds_hold():
     bound = hn.bounds(x, centres, theta)[:, own]
     assert (x @ u.T <= bound * np.sqrt((u * u).sum(1))[None, :] + 1e-6).all()
     top = np.sqrt((x * x).sum(1)).max()
-    band = hn.band_of(bound, top)
+    band = hn.band_of(bound, top, hn.BANDS)
     order = np.argsort(-bound[:, 0])
     assert (np.diff(band[order, 0]) >= 0).all() and band.min() >= 0 and band.max() < hn.BANDS
 
