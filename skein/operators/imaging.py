@@ -151,61 +151,101 @@ def multihash_best(scored: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------- X4 segments
-def _label_segments(grid: np.ndarray, threshold: int, min_size: int) -> list[list[tuple[int, int]]]:
-    """Bright regions first, then dark ones; 4-neighbour flood fill (row, col)."""
-    h, w = grid.shape
-    seen = np.zeros((h, w), dtype=bool)
-    segments = []
-    for bright in (True, False):
-        mask = grid > threshold if bright else ~(grid > threshold)
-        for r0 in range(h):
-            for c0 in range(w):
-                if seen[r0, c0] or not mask[r0, c0]:
-                    continue
-                stack, region = [(r0, c0)], []
-                seen[r0, c0] = True
-                while stack:
-                    r, c = stack.pop()
-                    region.append((r, c))
-                    for rr, cc in ((r - 1, c), (r + 1, c), (r, c - 1), (r, c + 1)):
-                        if 0 <= rr < h and 0 <= cc < w and not seen[rr, cc] and mask[rr, cc]:
-                            seen[rr, cc] = True
-                            stack.append((rr, cc))
-                if len(region) > min_size:
-                    segments.append(region)
-    return segments
-
-
-def _resize_nearest(img: np.ndarray, size: int) -> np.ndarray:
-    h, w = img.shape
-    rows = (np.arange(size) * h // size).clip(0, h - 1)
-    cols = (np.arange(size) * w // size).clip(0, w - 1)
-    return img[np.ix_(rows, cols)]
-
-
-def _ahash_bits(img: np.ndarray) -> int:
-    bits = (img > img.mean()).flatten()
-    v = 0
-    for b in bits:
-        v = (v << 1) | int(b)
-    return v
+STACK_PIXELS = 1 << 22  # pixels of the images that are labelled at once
+
+
+def joined(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Smallest member of every one of ``n`` nodes' component under the edges a-b (union by hooking the larger
+    root to the smaller, with all paths cut short after each round)."""
+    root = np.arange(n)
+    while len(a):
+        ra, rb = root[a], root[b]
+        apart = ra != rb
+        a, b, ra, rb = a[apart], b[apart], ra[apart], rb[apart]
+        np.minimum.at(root, np.maximum(ra, rb), np.minimum(ra, rb))
+        while True:
+            up = root[root]
+            if (up == root).all():
+                break
+            root = up
+    return root
+
+
+def stack_segments(stack: np.ndarray, threshold: float) -> dict[str, np.ndarray]:
+    """4-connected bright (> threshold) and dark regions of a stack of images (images x rows x columns), all at once.
+
+    Every row is cut into runs of one brightness; runs of neighbouring rows that overlap are joined. Returns one entry per region: img,
+    bright, first (its first pixel in reading order), size and box (max exclusive), ordered by img, bright ones first, then first."""
+    n, h, w = stack.shape
+    bright = (stack > threshold).reshape(n * h, w)
+    new = np.ones((n * h, w), bool)
+    new[:, 1:] = bright[:, 1:] != bright[:, :-1]
+    start = np.flatnonzero(new.ravel())  # runs cover every pixel, so the run of a pixel is found by its position
+    end = np.append(start[1:], n * h * w)
+    line = start // w
+    kind = bright.ravel()[start]
+    above = np.flatnonzero(line % h < h - 1)
+    lo = np.searchsorted(start, start[above] + w, side="right") - 1
+    hi = np.searchsorted(start, end[above] - 1 + w, side="right")
+    a = np.repeat(above, hi - lo)
+    b = np.arange(len(a)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)
+    same = kind[a] == kind[b]
+    root = joined(len(start), a[same], b[same])
+    top, region = np.unique(root, return_inverse=True)
+    order = np.argsort(region, kind="stable")
+    edge = np.searchsorted(region[order], np.arange(len(top)))
+    least = lambda v: np.minimum.reduceat(v[order], edge)
+    most = lambda v: np.maximum.reduceat(v[order], edge)
+    column, row = start - line * w, line % h
+    out = {"img": line[top] // h, "bright": kind[top], "first": start[top], "size": np.add.reduceat((end - start)[order], edge),
+           "min_x": least(column), "max_x": most(end - line * w), "min_y": least(row), "max_y": most(row) + 1}
+    by = np.lexsort((out["first"], ~out["bright"], out["img"]))
+    return {k: v[by] for k, v in out.items()}
+
+
+def _box_hashes(stack: np.ndarray, seg: dict[str, np.ndarray], size: int) -> np.ndarray:
+    """Average hash of every region's box, by the nearest pixels of a size x size raster (first bit on top, signed)."""
+    if size * size > 64:
+        raise ValueError("a segment's hash has at most 64 bits")
+    step = np.arange(size)
+    rows = seg["min_y"][:, None] + step * (seg["max_y"] - seg["min_y"])[:, None] // size
+    cols = seg["min_x"][:, None] + step * (seg["max_x"] - seg["min_x"])[:, None] // size
+    spots = stack[seg["img"][:, None, None], rows[:, :, None], cols[:, None, :]].reshape(len(rows), size * size)
+    bits = spots > spots.mean(1)[:, None]
+    weights = np.uint64(1) << np.arange(size * size - 1, -1, -1).astype(np.uint64)
+    return np.where(bits, weights, np.uint64(0)).sum(1, dtype=np.uint64).view(np.int64)
 
 
 SEGMENT_SCHEMA = ("img long, seg int, size int, min_x int, min_y int, max_x int, max_y int, h long")
 
 
-def _neighbours(img: np.ndarray) -> np.ndarray:
-    """The 3 x 3 surroundings of every pixel (edges repeated), as a third axis."""
-    p = np.pad(img, 1, mode="edge")
-    h, w = img.shape
-    return np.stack([p[r:r + h, c:c + w] for r in range(3) for c in range(3)], axis=2)
+def _neighbours(stack: np.ndarray) -> np.ndarray:
+    """The 3 x 3 surroundings of every pixel (edges repeated), as a last axis."""
+    p = np.pad(stack, [(0, 0)] * (stack.ndim - 2) + [(1, 1), (1, 1)], mode="edge")
+    h, w = stack.shape[-2:]
+    return np.stack([p[..., r:r + h, c:c + w] for r in range(3) for c in range(3)], axis=-1)
 
 
-def smoothed(img: np.ndarray) -> np.ndarray:
+def smoothed(stack: np.ndarray) -> np.ndarray:
     """A small Gaussian blur (weights 1 2 1), then a 3 x 3 median: specks don't become segments."""
-    near = _neighbours(img)
+    near = _neighbours(stack)
     blurred = near @ (np.outer([1, 2, 1], [1, 2, 1]).ravel() / 16)
-    return np.median(_neighbours(blurred), axis=2)
+    return np.median(_neighbours(blurred), axis=-1)
+
+
+def kept_segments(seg: dict[str, np.ndarray], n: int, w: int, h: int, min_size: int, limit: int | None) -> dict[str, np.ndarray]:
+    """Regions of more than ``min_size`` pixels, at most the ``limit`` largest of an image; an image without any is one
+    region of size 2 (its corners). Adds ``seg``, their number inside the image."""
+    seg = {k: v[seg["size"] > min_size] for k, v in seg.items()}
+    if limit:
+        seg = {k: v[np.lexsort((-seg["size"], seg["img"]))] for k, v in seg.items()}
+    at = np.arange(len(seg["img"])) - np.searchsorted(seg["img"], seg["img"])
+    seg["seg"] = at
+    if limit:
+        seg = {k: v[at < limit] for k, v in seg.items()}
+    bare = np.setdiff1d(np.arange(n), seg["img"])
+    whole = {"size": 2, "min_x": 0, "min_y": 0, "max_x": w, "max_y": h, "seg": 0, "bright": False, "first": 0}
+    return {k: np.concatenate([v, bare if k == "img" else np.full(len(bare), whole[k], v.dtype)]) for k, v in seg.items()}
 
 
 def crop_segments(grids: DataFrame, w: int, h: int, threshold: int = 128, min_size: int = 2,
@@ -214,34 +254,31 @@ def crop_segments(grids: DataFrame, w: int, h: int, threshold: int = 128, min_si
     """Crop-resistant segments of each image with a hash of each bounding box.
 
     ``grids``: (img, grid array<int> of w*h). One image is one row, so the
-    per-image flood fill runs in ``mapInPandas`` on Arrow batches with no
+    regions of all images of a batch are found in ``mapInPandas`` (run lengths and a
+    union of overlapping runs, up to STACK_PIXELS pixels at once) with no
     shuffle. Without any segment the whole image is one segment. ``limit``
     keeps the largest segments (O7). ``smooth`` looks for segments in the blurred,
     median-filtered image. ``hash_func`` hashes a box's pixels (default: average
     hash of the box at ``hash_size``); ``scale`` (width, height) takes the boxes
     back to an original of another size.
     """
-    hash_of = hash_func or (lambda box: _ahash_bits(_resize_nearest(box, hash_size)))
+    at_once = max(1, STACK_PIXELS // (w * h))
 
     def run(batches):
         for pdf in batches:
-            out = []
-            for img, grid in zip(pdf["img"].to_numpy(), pdf["grid"]):
-                g = np.asarray(grid, dtype=np.float64).reshape(h, w)
-                segs = _label_segments(smoothed(g) if smooth else g, threshold, min_size)
-                if not segs:
-                    segs = [[(0, 0), (h - 1, w - 1)]]
-                if limit:
-                    segs = sorted(segs, key=len, reverse=True)[:limit]
-                for k, s in enumerate(segs):
-                    rs = [p[0] for p in s]
-                    cs = [p[1] for p in s]
-                    box = g[min(rs):max(rs) + 1, min(cs):max(cs) + 1]
-                    sx, sy = scale
-                    out.append((int(img), k, len(s), int(min(cs) * sx), int(min(rs) * sy), int((max(cs) + 1) * sx), int((max(rs) + 1) * sy), hash_of(box)))
-            yield pd.DataFrame(out, columns=["img", "seg", "size", "min_x", "min_y", "max_x", "max_y", "h"]).astype(
-                {"img": "int64", "seg": "int32", "size": "int32", "min_x": "int32", "min_y": "int32",
-                 "max_x": "int32", "max_y": "int32", "h": "int64"})
+            for a in range(0, len(pdf), at_once):
+                part = pdf.iloc[a:a + at_once]
+                stack = np.stack([np.asarray(g, dtype=np.float64) for g in part["grid"]]).reshape(-1, h, w)
+                seg = stack_segments(smoothed(stack) if smooth else stack, threshold)
+                seg = kept_segments(seg, len(stack), w, h, min_size, limit)
+                if hash_func is None:
+                    hashes = _box_hashes(stack, seg, hash_size)
+                else:
+                    boxes = zip(*(seg[k].tolist() for k in ("img", "min_y", "max_y", "min_x", "max_x")))
+                    hashes = np.array([hash_func(stack[i, top:low, left:right]) for i, top, low, left, right in boxes], np.int64)
+                scaled = {k: (seg[k] * scale[k.endswith("y")]).astype(np.int32) for k in ("min_x", "min_y", "max_x", "max_y")}
+                yield pd.DataFrame({"img": part["img"].to_numpy(np.int64)[seg["img"]], "seg": seg["seg"].astype(np.int32), "size": seg["size"].astype(np.int32),
+                                    **scaled, "h": hashes})
 
     return grids.select("img", "grid").mapInPandas(run, SEGMENT_SCHEMA)
 

@@ -7,10 +7,13 @@ Floating results are rounded to 4 digits on both sides of the oracle check.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from skein.operators import paging, profile
+from skein.operators import paging, profile, sketches
 from skein.plans.registry import query
+from skein.session import materialize, scratch_path
 from skein.sources.tables import Tables
 
 NUM_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -157,3 +160,24 @@ def q_rate_latency(spark, sf_dir):
 def q_describe_text(spark, sf_dir):
     """A3: the text columns of a table described."""
     return profile.describe_text(Tables(spark, sf_dir).customer)
+
+
+RANKS = [0.01, 0.25, 0.5, 0.75, 0.99]
+_SKETCHED = ["l_partkey", *NUM_COLS]
+
+
+@query("profile_incremental", sql=" UNION ALL ".join(
+    f"SELECT '{c}' AS column, count(*) AS rows, count(*) - count({c}) AS nulls, min({c})::DOUBLE AS low, max({c})::DOUBLE AS high, "
+    f"round(avg({c}), 4) AS mean, true AS distinct_within, true AS ranks_within FROM lineitem" for c in _SKETCHED))
+def q_profile_incremental(spark, sf_dir):
+    """A profile merged from the stored sketches of seven batches (by line number), and whether its distinct counts
+    and quantiles are within their bounds of the table's own."""
+    rows = Tables(spark, sf_dir).lineitem
+    path = scratch_path(spark, f"tables/{spark.sparkContext.applicationId}/profile-{uuid.uuid4().hex}")
+    for batch in range(1, 8):  # line numbers are 1 to 7; each append reads its own rows
+        sketches.store_profile(rows.filter(F.col("l_linenumber") == batch), _SKETCHED, path, str(batch))
+    merged = materialize(sketches.merged_profile(sketches.stored_profiles(spark, path), RANKS), "merged_profile")
+    off = sketches.rank_errors(rows, merged, _SKETCHED, RANKS)
+    return merged.join(off, "column").select("column", "rows", "nulls", "low", "high", F.round("mean", 4).alias("mean"),
+                                             (F.col("distinct_error") <= sketches.COUNT_ERROR).alias("distinct_within"),
+                                             (F.col("rank_error") <= sketches.RANK_ERROR).alias("ranks_within"))

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.operators import catalogue as track_catalogue
-from skein.operators import shape
-from skein.plans.registry import query
+from skein.operators import shape, variants
+from skein.plans.registry import ORACLE_SQL, query
 from skein.sources.tables import Tables
 
 # ------------------------------------------------------------------ catalogue
@@ -219,6 +219,13 @@ def q_json_items(spark, sf_dir):
         track_catalogue.track_rows(pages.filter(~even), "page", "album"))
 
 
+@query("variant_tracks", sql=f"SELECT o_orderkey, pos, title, artist, duration_s FROM ({ORACLE_SQL['json_items']})")
+def q_variant_tracks(spark, sf_dir):
+    """P15 on VARIANT: track rows of playlist and album pages in one pass, without a schema."""
+    rows = variants.track_rows_variant(_catalogue_pages(Tables(spark, sf_dir)), "page")
+    return rows.select("o_orderkey", "pos", "title", "artist", "duration_s")
+
+
 @query("composite_key", sql="""
     SELECT p_partkey, p_name || '---' || p_brand AS key,
            regexp_extract(p_name || '---' || p_brand, '^(.*?)---(.*)$', 1) AS title,

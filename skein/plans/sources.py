@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from skein.operators import variants
 from skein.plans import fingerprint as fp
-from skein.plans.registry import query
-from skein.sources import files, store
+from skein.plans.registry import ORACLE_SQL, query
+from skein.session import materialize, scratch_path
+from skein.sources import files, store, wav
 from skein.sources.tables import Tables
 
 
@@ -81,3 +85,47 @@ def q_pcm_decode(spark, sf_dir):
     hexs = F.concat(le16(s), le16(-s), le16(s / 2))
     rec = e.select(F.col("event_id").alias("rec_id"), F.base64(F.unhex(hexs)).alias("audio"))
     return files.pcm16_decode(rec)
+
+
+FILE_FRAMES = 4096
+
+
+def write_event_files(events, path: str):
+    """WAV files under ``path``, one per FILE_FRAMES event ids: an event is a frame of three channels (the samples of ``pcm_decode``).
+    Returns (rec_id, file, frame). A file is written by the task that has its events, and again alike if that is repeated."""
+    def write(key, pdf):
+        import numpy as np
+
+        from skein.sources.wav import opened, wav_bytes
+
+        pdf = pdf.sort_values("event_id", kind="stable", ignore_index=True)
+        s = pdf["value"].to_numpy() / 500 - 0.5
+        frames = np.trunc(np.stack([s, -s, s / 2], axis=1) * 32767).astype("<i2")
+        name = f"part-{key[0]:012d}.wav"
+        system, where = opened(f"{path}/{name}")
+        system.create_dir(where.rsplit("/", 1)[0], recursive=True)
+        with system.open_output_stream(where) as out:
+            out.write(wav_bytes(frames.tobytes(), channels=3))
+        return pdf.assign(rec_id=pdf["event_id"], file=name, frame=np.arange(len(pdf)))[["rec_id", "file", "frame"]]
+
+    block = F.floor(F.col("event_id") / FILE_FRAMES).cast("long")
+    return events.select("event_id", "value").groupBy(block.alias("block")).applyInPandas(write, "rec_id long, file string, frame long")
+
+
+@query("wav_samples", sql=ORACLE_SQL["pcm_decode"])
+def q_wav_samples(spark, sf_dir):
+    """S12 + S13: the samples of ``pcm_decode``, written as WAV files and read by byte ranges."""
+    path = scratch_path(spark, f"tables/{spark.sparkContext.applicationId}/wav-{uuid.uuid4().hex}")
+    written = materialize(write_event_files(Tables(spark, sf_dir).events, path), "wav_files")
+    samples = wav.read_wav(spark, path, range_bytes=6 * 1024).select(F.element_at(F.split("path", "/"), -1).alias("file"), F.col("i").alias("frame"), "channel", "v")
+    return samples.join(written, ["file", "frame"]).select("rec_id", F.col("channel").cast("long").alias("i"), "v")
+
+
+@query("variant_flatten", sql="""
+    SELECT event_id, '$.' || key AS path, json_extract_string(props, '$.' || key) AS value,
+           CASE json_type(props, '$.' || key) WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'VARCHAR' THEN 'STRING' ELSE json_type(props, '$.' || key) END AS kind
+    FROM (SELECT event_id, props, unnest(json_keys(props)) AS key FROM events)""")
+def q_variant_flatten(spark, sf_dir):
+    """S1 + P1: every scalar of the JSON properties with its path and kind, without a schema."""
+    e = Tables(spark, sf_dir).events.select("event_id", variants.parsed("props").alias("props"))
+    return variants.leaves(e, "props", 1)

@@ -60,7 +60,8 @@ def compact_index(spark: SparkSession, name: str, path: str) -> str:
     """Write the index as one sorted file per bucket into the new folder ``path`` and let ``name`` mean that."""
     buckets = buckets_of(spark, name)
     other = f"{name}_compacted"
-    spark.table(name).repartition(buckets, KEY).write.format("parquet").bucketBy(buckets, KEY).sortBy(KEY).option("path", path).saveAsTable(other)
+    # a repartition by the bucket column itself would be left out, and the files be read one by one
+    spark.table(name).repartition(buckets, F.coalesce(KEY, F.lit(0).cast("long"))).write.format("parquet").bucketBy(buckets, KEY).sortBy(KEY).option("path", path).saveAsTable(other)
     spark.sql(f"DROP TABLE {name}")  # the folder stays: the table is external
     spark.sql(f"ALTER TABLE {other} RENAME TO {name}")
     return path
