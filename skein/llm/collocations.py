@@ -12,7 +12,7 @@ counts are used.
 A shard is a part of the table, not a task. Tasks count keys of 64 bits in sorted arrays and send them as blocks to buckets by
 the keys' top bits; the number of buckets grows with the counted words, so a bucket's memory is bounded, and as keys are hashes
 neither a hot text, word nor language is a hot bucket. Between levels goes a bitmap of the frequent keys (16 to 32 bits
-a key, at most 2**MAX_BITS bits, 32 MB): beyond that size it passes more, never less. In mining, two phrases with one key can only
+a key, at most 2**MAX_BITS bits, 16 MB, put together from slices that tasks make): beyond that size it passes more, never less. In mining, two phrases with one key can only
 add a candidate; in the global counts phrases are told apart by 64 bits of hash and 32 bits of lengths and byte sums. The words
 of what is frequent are read in a last pass from one of the texts that hold it, and checked against these bits.
 
@@ -29,11 +29,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.llm import batches
-from skein.llm.hashing import member, membership, mix, prefix_hash, range_hash
+from skein.llm.hashing import mix, prefix_hash, range_hash
 from skein.session import materialize
 
 MAX_WORDS = 4
-MAX_BITS = 28  # log2 of the largest bitmap's bits
+MAX_BITS = 27  # log2 of the largest bitmap's bits
 FLUSH = 1 << 21  # keys that a task gathers before it counts them
 BUCKET_WORDS = 1 << 21  # words of the table for each bucket, about
 
@@ -320,9 +320,34 @@ def _spelled(frequent: np.ndarray, spots: np.ndarray, n_max: int):
     return run
 
 
+SLICES = 6  # log2 of the slices of a bitmap
+
+
 def _bitmap(keys: DataFrame, column: str) -> np.ndarray:
-    """Membership of the keys in a bitmap of 16 to 32 bits a key, within 2**MAX_BITS bits."""
-    return membership(keys, column, min(MAX_BITS, max(20, int(16 * keys.count()).bit_length())))
+    """Membership of the keys, by their top bits, in a bitmap of 16 to 32 bits a key, within 2**MAX_BITS bits.
+
+    Each of 2**SLICES tasks makes a slice of it; the driver only lays them side by side."""
+    bits = min(MAX_BITS, max(20, int(16 * keys.count()).bit_length()))
+
+    def build(key, table):
+        at = np.unique(table["key"].to_numpy().view(np.uint64) >> np.uint64(64 - bits)) & np.uint64((1 << (bits - SLICES)) - 1)
+        out = np.zeros(1 << (bits - SLICES), np.uint8)
+        out[at.astype(np.int64)] = 1
+        return pa.table([pa.array([key[0].as_py()], pa.int64()), pa.array([np.packbits(out, bitorder="little").tobytes()])], names=["part", "bits"])
+
+    top = F.shiftrightunsigned(F.col(column), 64 - SLICES).alias("part")
+    parts = keys.select(top, F.col(column).alias("key")).groupBy("part").applyInArrow(build, "part long, bits binary").toArrow()
+    whole = np.zeros(1 << (bits - 3), np.uint8)
+    size = len(whole) >> SLICES
+    for part, raw in zip(parts["part"].to_pylist(), parts["bits"]):
+        whole[part * size:(part + 1) * size] = np.frombuffer(raw.as_buffer(), np.uint8)
+    return whole
+
+
+def member(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether each key's bit is set."""
+    at = keys >> np.uint64(64 - (len(bitmap) * 8 - 1).bit_length())
+    return (bitmap[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
 def frequent_phrases(df: DataFrame, support: int, shards: int = 4, max_words: int = MAX_WORDS, lang: str = "lang",

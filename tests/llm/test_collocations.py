@@ -106,3 +106,12 @@ def test_salted_keys_come_back():
     keys = np.random.default_rng(1).integers(0, 2**64, 1000, dtype=np.uint64)
     shard = np.arange(1000) % 7
     assert (collocations._unmixed(collocations._salted(keys, shard)) ^ collocations._salt(shard) == keys).all()
+
+
+def test_bitmap_holds_its_keys(spark):
+    keys = np.random.default_rng(2).integers(0, 2**64, 5000, dtype=np.uint64)
+    df = spark.createDataFrame([(int(k),) for k in keys.view(np.int64)], "k long")
+    bitmap = collocations._bitmap(df, "k")
+    assert collocations.member(bitmap, keys).all()
+    assert collocations.member(bitmap, np.random.default_rng(3).integers(0, 2**64, 50_000, dtype=np.uint64)).mean() < 0.07
+    assert not collocations.member(collocations._bitmap(df.limit(0), "k"), keys).any()
