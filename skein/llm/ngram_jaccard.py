@@ -52,6 +52,7 @@ ORDER_BLOCK = 1 << 17  # buckets of a block when tables are added up
 SALTS = 64
 STAR_KEYS = 4  # smallest hashes of a class whose stars are checked first
 CELL = 512  # classes of a tile's cell, in the mean
+EARLY = 8  # least shared keys of a class that go into cells with it
 FOLDED = 1024  # bits of a bitmap signature in a cell; a whole one has 4 to 8 for each shingle, at least FOLDED
 
 _IS_SPACE = np.zeros(256, bool)
@@ -254,34 +255,49 @@ def _room(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent: i
 
 
 def _cells(members: DataFrame, signed: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) of different components that share a key and may link, from tiles of bounded cells."""
+    """Pairs (u, v) of different components that share a key and may link, from tiles of bounded cells.
+
+    A pair comes out of one tile (that of the smaller band) and one cell (that of the two parts) of a key. Of the keys that it shares it
+    comes out of the first one, if that is among the EARLY least keys of both; else of all."""
     band = F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int")
-    tiled = members.withColumn("band", band).withColumn("tile", F.explode(F.array(F.col("band") - 1, F.col("band")))).drop("band")
+    early = members.groupBy("a").agg(F.slice(F.sort_array(F.collect_set("key")), 1, EARLY).alias("early"))  # a class's own prefix keys
+    tiled = members.withColumn("band", band).withColumn("tile", F.explode(F.array(F.col("band") - 1, F.col("band"))))
     crowd = tiled.groupBy("key", "tile").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("lo"), F.max("component").alias("hi"))
     crowd = crowd.filter("lo <> hi").select("key", "tile", F.ceil(F.col("m") / CELL).cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("a"), F.col("parts")).cast("int")
     dealt = tiled.join(crowd, ["key", "tile"]).withColumn("own", own).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select(F.xxhash64("key", "tile", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "n", "a", "component")
-    bits = signed.select("a", "folded").dropDuplicates(["a"])
-    dealt = dealt.join(bits, "a").select("cell", "n", "a", "component", "folded")
+    dealt = dealt.select(F.xxhash64("key", "tile", F.least("own", "other"), F.greatest("own", "other")).alias("cell"), "n", "a", "component",
+                         "key", (F.col("tile") == F.col("band")).alias("lower"), "own", (F.col("own") == F.col("other")).alias("diagonal"))
+    bits = signed.select("a", "folded").dropDuplicates(["a"]).join(early, "a")
+    dealt = dealt.join(bits, "a").select("cell", "n", "a", "component", "folded", "key", "lower", "own", "diagonal", "early")
     dealt = dealt.repartition("cell").sortWithinPartitions("cell", "n", "a")
 
     def pairs_of(t: pa.Table) -> pa.RecordBatch:
         cell, n, a, comp = (t.column(k).to_numpy() for k in range(4))
         bits = np.frombuffer(b"".join(t.column(4).to_pylist()), np.uint64).reshape(len(a), -1)
+        key, lower, own, diagonal = (t.column(k).to_numpy() for k in range(5, 9))
+        lists = t.column(9).combine_chunks()
+        size = np.diff(lists.offsets.to_numpy())
+        firsts = np.full((len(a), EARLY), -1, np.int64)  # keys are not negative
+        firsts[np.repeat(np.arange(len(a)), size), np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)] = lists.flatten().to_numpy()
         out, i, d = [], np.arange(len(a)), 1
         while True:
             i = i[i + d < len(a)]
             i = i[(cell[i + d] == cell[i]) & (percent * n[i + d] <= 100 * n[i])]  # sorted by size: farther ones fail too
             if not len(i):
                 break
-            k = i[comp[i] != comp[i + d]]
-            for c in range(0, len(k), 1 << 16):
-                x = k[c:c + (1 << 16)]
+            # here and nowhere else: the tile of the smaller band (the first in size), and of equal parts the cell with itself
+            k = i[(comp[i] != comp[i + d]) & lower[i] & ((own[i] != own[i + d]) | diagonal[i])]
+            for c in range(0, len(k), 1 << 14):
+                x = k[c:c + (1 << 14)]
                 y = x + d
                 ok = _room(bits[x], bits[y], n[x], n[y], percent)
-                out.append(np.stack([np.minimum(a[x], a[y])[ok], np.maximum(a[x], a[y])[ok]]))
+                x, y = x[ok], y[ok]
+                before = np.where(firsts[x] < key[x][:, None], firsts[x], -1)
+                met = ((before[:, :, None] == firsts[y][:, None, :]) & (before[:, :, None] >= 0)).any(axis=(1, 2))
+                x, y = x[~met], y[~met]
+                out.append(np.stack([np.minimum(a[x], a[y]), np.maximum(a[x], a[y])]))
             d += 1
         u, v = np.concatenate(out, axis=1) if out else np.zeros((2, 0), np.int64)
         return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
