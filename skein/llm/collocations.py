@@ -34,7 +34,8 @@ from skein.session import materialize
 
 MAX_WORDS = 4
 MAX_BITS = 27  # log2 of the largest bitmap's bits
-FLUSH = 1 << 21  # keys that a task gathers before it counts them
+RAW = 1 << 18  # occurrences that a task gathers before it counts them
+KEPT = 1 << 19  # different keys that a task holds before it sends them
 BUCKET_WORDS = 1 << 21  # words of the table for each bucket, about
 
 _CLASS = np.zeros(256, np.uint8)  # 0 word, 1 between words, 2 between pieces
@@ -135,25 +136,39 @@ def _blocks(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=names)
 
 
+def _counted(parts, tell: int = 0):
+    """Tuples of (keys, other columns) -> (keys ascending, their numbers, other columns of the first of each), in blocks of about KEPT
+    different keys. The first ``tell`` of the other columns tell equal keys apart, too."""
+
+    def compact(held):
+        cols = [np.concatenate(x) for x in zip(*held)]
+        order = np.argsort(cols[0])
+        cols = [c[order] for c in cols]
+        new = np.ones(len(order), bool)
+        new[1:] = cols[0][1:] != cols[0][:-1]
+        for c in cols[2:2 + tell]:  # parts of a key may come twice then; its bucket adds them up
+            new[1:] |= c[1:] != c[:-1]
+        at = np.flatnonzero(new)
+        return [cols[0][at], np.add.reduceat(cols[1], at, dtype=np.uint32), *(c[at] for c in cols[2:])]
+
+    held: list = []
+    fresh = 0
+    for key, *others in parts:
+        held.append([key, np.ones(len(key), np.uint32), *others])
+        fresh += len(key)
+        if fresh >= RAW:
+            held, fresh = [compact(held)], 0
+            if len(held[0][0]) >= KEPT:
+                yield held.pop()
+    if sum(len(h[0]) for h in held):
+        yield compact(held)
+
+
 def _mine(bitmap: np.ndarray | None, levels: tuple[int, ...], bits: int):
     """Arrow batches -> (bucket, shard, need, keys, counts) of the phrases of ``levels`` words whose parts, one word
     shorter than the least level, are frequent in the shard: sorted keys as a block, with their numbers."""
 
-    def run(stream):
-        names, kinds = ["bucket", "shard", "need", "keys", "counts"], [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
-        held: list[tuple] = []
-        size = 0
-
-        def flush():
-            group = np.concatenate([h[1] for h in held])
-            own = np.concatenate([h[0] for h in held])
-            rows = []
-            for g in np.unique(group):  # a shard and its support
-                keys, n = np.unique(own[group == g], return_counts=True)
-                n = n.astype("<u4")
-                rows += [(b, int(g >> 32), int(g & 0xFFFFFFFF), keys[a:z].tobytes(), n[a:z].tobytes()) for b, a, z in _edges(keys, bits)]
-            return _blocks(rows, names, kinds)
-
+    def occurrences(stream):
         for batch in stream:
             for part, data, offs in batches.text_slices(batch, "text"):
                 low, start, end, piece, row = cut(data, offs)
@@ -175,13 +190,15 @@ def _mine(bitmap: np.ndarray | None, levels: tuple[int, ...], bits: int):
                         for j in range(1, k - levels[0] + 2):
                             take &= parts[j:j + len(key)]
                     at = np.flatnonzero(take)
-                    held.append((_salted(key[at], shard[row[at]]), group[row[at]]))
-                    size += len(at)
-                if size >= FLUSH:
-                    yield flush()
-                    held, size = [], 0
-        if size:
-            yield flush()
+                    yield _salted(key[at], shard[row[at]]), group[row[at]]
+
+    def run(stream):
+        names, kinds = ["bucket", "shard", "need", "keys", "counts"], [pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+        for keys, n, group in _counted(occurrences(stream)):
+            for g in np.unique(group):  # a shard and its support
+                own = group == g
+                k, c = keys[own], n[own].astype("<u4")
+                yield _blocks([(b, int(g) >> 32, int(g) & 0xFFFFFFFF, k[a:z].tobytes(), c[a:z].tobytes()) for b, a, z in _edges(k, bits)], names, kinds)
 
     return run
 
@@ -252,28 +269,11 @@ def _count_all(bitmap: np.ndarray, n_max: int, bits: int):
 
     def run(stream):
         names, kinds = ["bucket", "keys", "checks", "texts", "counts"], [pa.int32()] + [pa.binary()] * 4
-        held: list[tuple] = []
-        size = 0
-
-        def flush():
-            key, check, text = (np.concatenate([h[i] for h in held]) for i in range(3))
-            order = np.argsort(key)  # of one key with two checks, parts may come twice; the bucket adds them up
-            key, check = key[order], check[order]
-            at = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (check[1:] != check[:-1])))
-            cols = [x.astype("<u4") for x in (check[at], text[order[at]], np.diff(np.append(at, len(key))))]
-            key = key[at]
-            return _blocks([(b, key[a:z].tobytes(), *(x[a:z].tobytes() for x in cols)) for b, a, z in _edges(key, bits)], names, kinds)
-
-        for batch in stream:
-            for part, data, offs in batches.text_slices(batch, "text"):
-                for _, at, key, check, text in _occurrences(part, data, offs, n_max, bitmap)[0]:
-                    held.append((key, check, text))
-                    size += len(at)
-                if size >= FLUSH:
-                    yield flush()
-                    held, size = [], 0
-        if size:
-            yield flush()
+        parts = ((key, check.astype(np.uint32), text.astype(np.uint32)) for batch in stream for part, data, offs in batches.text_slices(batch, "text")
+                 for _, _, key, check, text in _occurrences(part, data, offs, n_max, bitmap)[0])
+        for key, n, check, text in _counted(parts, 1):
+            cols = [x.astype("<u4") for x in (check, text, n)]
+            yield _blocks([(b, key[a:z].tobytes(), *(x[a:z].tobytes() for x in cols)) for b, a, z in _edges(key, bits)], names, kinds)
 
     return run
 
@@ -314,7 +314,7 @@ def _spelled(frequent: np.ndarray, spots: np.ndarray, n_max: int):
                             for o, v in zip(out, (x, c, langs[int(row[i])].as_py(), phrase, k)):
                                 o.append(v)
             yield _blocks(list(zip(*out)), ["key", "check", "lang", "phrase", "size"], [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int32()])
-            if len(seen) > FLUSH:  # a phrase that is sent twice is merged later
+            if len(seen) > 4 * KEPT:  # a phrase that is sent twice is merged later
                 seen = set()
 
     return run
