@@ -48,7 +48,7 @@ BUCKET_SUFFIXES = 20_000  # suffixes of a bucket, in the mean, and of a run, at
 GATHERED = 200_000  # marked positions combined at once
 _LAST = np.uint64(0xFFFFFFFFFFFFFFFF)
 HOT = 5_000  # contexts of a gram, or of a part of its contexts, that one task may compare
-PAIRWISE = 8  # up to so many contexts of a gram are compared two by two
+PAIRWISE = 64  # up to so many contexts of a gram are compared two by two: quicker than all offsets at once
 
 
 def gram_bytes(length: int) -> int:
@@ -230,6 +230,17 @@ def merge_runs(runs: list[tuple[list[int], list[bytes]]]):
             node //= 2
 
 
+def joined_ranges(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same whole numbers in as few ranges [lo, hi] as can be."""
+    out: list[tuple[int, int]] = []
+    for lo, hi in sorted(ranges):
+        if out and lo <= out[-1][1] + 1:
+            out[-1] = (out[-1][0], max(out[-1][1], hi))
+        else:
+            out.append((lo, hi))
+    return out
+
+
 def equal_windows(before: list[bytes], suffixes: list[bytes], lcp: list[int], length: int) -> list[list[tuple[int, int]]]:
     """For each context of one gram, in suffix order: ranges [lo, hi] of d whose window, d bytes before the
     gram, another context has, too. before: the bytes before the gram, reversed; lcp[i]: suffixes i - 1 and i."""
@@ -244,7 +255,7 @@ def equal_windows(before: list[bytes], suffixes: list[bytes], lcp: list[int], le
                 if left + right >= length:
                     out[i].append((length - right, left))
                     out[j].append((length - right, left))
-        return out
+        return [joined_ranges(r) for r in out]
     order = sorted(range(m), key=before.__getitem__)
     left = np.array([0] + [shared(before[order[i - 1]], before[order[i]]) for i in range(1, m)])
     place = np.empty(m, np.int64)
