@@ -50,6 +50,17 @@ def test_repeats_go_and_the_rest_stays(spark):
     assert [got[k].text for k in (3, 4, 5, 7)] == [rows[2][1], None, "", "short"]
 
 
+def test_a_passage_of_51_words_goes(spark):
+    rng = random.Random(8)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    passage = words(51)
+    rows = [(1, words(120) + " " + passage + " " + words(80)), (2, words(60) + " " + passage + " " + words(150)), (3, words(300)), (4, words(40))]
+    got = {r.doc_id: r.text for r in C.repeat_stage(spark, frame(spark, rows), "").collect()}
+    assert len(passage) > C.REPEAT_BYTES
+    assert passage not in got[1] and passage not in got[2] and len(got[1]) <= len(rows[0][1]) - len(passage)
+    assert got[3] == rows[2][1] and got[4] == rows[3][1]
+
+
 def test_a_cut_character_goes(spark):
     a, b = "é" * 250, "é" * 250
     rows = [(1, "1" + a + "ĩ tail"), (2, "2" + b + "é other")]  # both start with byte c3/c4 after the run
