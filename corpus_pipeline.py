@@ -7,7 +7,7 @@ read again as the next stage's docs. All but the last return the columns of docu
    ``documents`` and ``labels``, the decision from each document's own text);
 2. near_duplicates: of every component of similar documents the one with the smallest
    id stays (documents without words are in no component and stay);
-3. repeats: the bytes that repeated 400-byte strings cover go, and a character of which a
+3. repeats: the bytes that repeated strings of REPEAT_BYTES bytes cover go, and a character of which a
    byte goes; a document that loses its whole text goes;
 4. decontamination: documents that overlap with a benchmark item go;
 5. tokens: the ids of every remaining text.
@@ -24,6 +24,10 @@ from skein.session import materialize
 from skein.sources.tables import read_table
 
 
+#: a passage of 50 words has some 300 bytes in these languages; shorter strings repeat in idioms and formulas, too
+REPEAT_BYTES = 240
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     scored = quality.classify(docs, read_table(spark, sf_dir, "labels"), out="__score")
     return scored.filter("__score >= 0.5").drop("__score")
@@ -35,7 +39,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def repeat_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Untouched rows stay as they are, null and empty texts included."""
-    done = suffix_dedup.remove_repeats(docs.withColumn("__text", F.col("text")), "__text", 400, as_text=True)
+    done = suffix_dedup.remove_repeats(docs.withColumn("__text", F.col("text")), "__text", REPEAT_BYTES, as_text=True)
     cut = F.size("removed") > 0
     done = done.filter(~cut | (F.length("kept") > 0))
     return done.withColumn("text", F.when(cut, F.col("kept")).otherwise(F.col("text"))).withColumn(
