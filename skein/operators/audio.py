@@ -171,15 +171,9 @@ def stft_relational(fr: DataFrame, size: int, n_bins: int) -> DataFrame:
         ["song_id", "frame"]).withColumn("mag", F.sqrt(F.col("re") ** 2 + F.col("im") ** 2))
 
 
-def stft(samples: DataFrame, size: int = FRAME_SIZE, hop: int = HOP_SIZE, n_bins: int | None = None,
-         mode: str = "reference", frames_per_task: int = 256) -> DataFrame:
-    """X1 at scale: numpy rFFT on blocks of frames (``applyInPandas``).
-
-    Samples are grouped by (song, block of ``frames_per_task`` frames); a block
-    also receives the ``size - hop`` samples after it, so each sample is sent
-    to one block plus at most a few neighbours (not ``size/hop`` copies).
-    """
-    n_bins = n_bins or size // 2
+def _frame_blocks(samples: DataFrame, size: int, hop: int, mode: str, frames_per_task: int) -> DataFrame:
+    """Samples by (song, block of ``frames_per_task`` frames): a block also gets the ``size - hop`` samples after it, so each
+    sample goes to one block and at most a few neighbours (not ``size/hop`` copies)."""
     lens = samples.groupBy("song_id").agg(F.count(F.lit(1)).alias("n_samples"))
     lens = lens.withColumn("n_frames", frame_count(F.col("n_samples"), size, hop, mode))
     span = frames_per_task * hop
@@ -189,36 +183,71 @@ def stft(samples: DataFrame, size: int = FRAME_SIZE, hop: int = HOP_SIZE, n_bins
     hi = F.floor(F.col("i") / span)
     s = s.withColumn("blk", F.explode(F.sequence(lo.cast("long"), hi.cast("long"))))
     s = s.filter(F.col("blk") * frames_per_task < F.col("n_frames"))
+    return s.select("song_id", "blk", "i", "v", "n_frames", "n_samples")
+
+
+def _block_spectrum(pdf: pd.DataFrame, size: int, hop: int, n_bins: int, frames_per_task: int) -> tuple[np.ndarray, int]:
+    """(complex bins of a block's frames, its first frame)."""
+    b, nf = int(pdf["blk"].iloc[0]), int(pdf["n_frames"].iloc[0])
+    base = b * frames_per_task * hop
+    f0, f1 = b * frames_per_task, min(nf, (b + 1) * frames_per_task)
+    buf = np.zeros(frames_per_task * hop + size)
+    buf[pdf["i"].to_numpy() - base] = pdf["v"].to_numpy(dtype=float)
     window = 0.54 - 0.46 * np.cos(2 * np.pi * np.arange(size) / (size - 1))
+    fr = np.stack([buf[st:st + size] for st in (np.arange(f0, f1) - f0) * hop]) * window
+    return np.fft.fft(fr, axis=1)[:, :n_bins], f0
+
+
+def _block_rows(pdf: pd.DataFrame, frames: np.ndarray, **columns: np.ndarray) -> pd.DataFrame:
+    song, n = pdf["song_id"].iloc[0], len(frames)
+    return pd.DataFrame({"song_id": pd.array([None if pd.isna(song) else int(song)] * n, "Int64"), "frame": frames, **columns,
+                         "n_frames": np.full(n, int(pdf["n_frames"].iloc[0]), dtype=np.int64), "n_samples": np.full(n, int(pdf["n_samples"].iloc[0]), dtype=np.int64)})
+
+
+def stft(samples: DataFrame, size: int = FRAME_SIZE, hop: int = HOP_SIZE, n_bins: int | None = None,
+         mode: str = "reference", frames_per_task: int = 256) -> DataFrame:
+    """X1 at scale: numpy FFT on blocks of frames, every bin a row."""
+    n_bins = n_bins or size // 2
 
     def block_fft(pdf: pd.DataFrame) -> pd.DataFrame:
-        song = pdf["song_id"].iloc[0]
-        b = int(pdf["blk"].iloc[0])
-        nf = int(pdf["n_frames"].iloc[0])
-        ns = int(pdf["n_samples"].iloc[0])
-        base = b * span
-        f0, f1 = b * frames_per_task, min(nf, (b + 1) * frames_per_task)
-        buf = np.zeros(span + size)
-        idx = pdf["i"].to_numpy() - base
-        buf[idx] = pdf["v"].to_numpy(dtype=float)
-        starts = (np.arange(f0, f1) - f0) * hop
-        fr = np.stack([buf[st:st + size] for st in starts]) * window
-        spec = np.fft.fft(fr, axis=1)[:, :n_bins]
-        nfr = f1 - f0
-        return pd.DataFrame({
-            "song_id": pd.array([None if pd.isna(song) else int(song)] * (nfr * n_bins), "Int64"),
-            "frame": np.repeat(np.arange(f0, f1, dtype=np.int64), n_bins),
-            "k": np.tile(np.arange(n_bins, dtype=np.int64), nfr),
-            "re": spec.real.ravel(), "im": spec.imag.ravel(), "mag": np.abs(spec).ravel(),
-            "n_frames": np.full(nfr * n_bins, nf, dtype=np.int64),
-            "n_samples": np.full(nfr * n_bins, ns, dtype=np.int64),
-        })
+        spec, f0 = _block_spectrum(pdf, size, hop, n_bins, frames_per_task)
+        frames = np.repeat(np.arange(f0, f0 + len(spec), dtype=np.int64), n_bins)
+        return _block_rows(pdf, frames, k=np.tile(np.arange(n_bins, dtype=np.int64), len(spec)), re=spec.real.ravel(), im=spec.imag.ravel(), mag=np.abs(spec).ravel())
 
     return apply_sorted_groups(
-        s.select("song_id", "blk", "i", "v", "n_frames", "n_samples"), ["song_id", "blk"], ["i"], block_fft,
+        _frame_blocks(samples, size, hop, mode, frames_per_task), ["song_id", "blk"], ["i"], block_fft,
         "song_id long, frame long, k long, re double, im double, mag double, n_frames long, n_samples long")
 
 
+def stft_peaks(samples: DataFrame, edges: list[int] | None = None, size: int = FRAME_SIZE, hop: int = HOP_SIZE, n_bins: int | None = None,
+               mode: str = "reference", frames_per_task: int = 256, digits: int | None = None) -> DataFrame:
+    """X1 + A16 in one pass: the rows of ``band_peaks(stft(...))``, of which only these leave Python (bands per frame, not bins).
+
+    ``digits``: magnitudes are rounded (halves up) before they are compared."""
+    edges = edges or BAND_EDGES
+    n_bins = n_bins or size // 2
+
+    def block_peaks(pdf: pd.DataFrame) -> pd.DataFrame:
+        spec, f0 = _block_spectrum(pdf, size, hop, n_bins, frames_per_task)
+        mag = np.abs(spec)
+        if digits is not None:
+            mag = np.floor(mag * 10**digits + 0.5) / 10**digits
+        frames = np.arange(len(spec))
+        inside = [(b, lo, min(hi, n_bins)) for b, (lo, hi) in enumerate(zip(edges, edges[1:])) if lo < min(hi, n_bins)]
+        k = np.stack([mag[:, lo:hi].argmax(axis=1) + lo for _, lo, hi in inside], axis=1)  # the first of equal ones
+        top = mag[frames[:, None], k]
+        silent = top <= 0
+        k = np.where(silent, 0, k)
+        re = np.where(silent, 0.0, spec.real[frames[:, None], k])
+        bands = np.tile(np.array([b for b, _, _ in inside], np.int32), len(spec))
+        return _block_rows(pdf, np.repeat(frames + f0, len(inside)).astype(np.int64), band=bands, mag=top.ravel(), k=k.ravel().astype(np.int64), re=re.ravel())
+
+    out = apply_sorted_groups(
+        _frame_blocks(samples, size, hop, mode, frames_per_task), ["song_id", "blk"], ["i"], block_peaks,
+        "song_id long, frame long, band int, mag double, k long, re double, n_frames long, n_samples long")
+    return out.select("song_id", "frame", "band", "n_frames", "n_samples", "mag", "k", "re")
+
+
 # ------------------------------------------------------------- A16 / A17 peaks
 def band_of(k: Column, edges: list[int] = BAND_EDGES) -> Column:
     expr = F.lit(None).cast("int")

@@ -79,6 +79,31 @@ def apply_upserts(base: DataFrame, changes: DataFrame, key: str, order: list[Col
     return base.join(ch.select(key), key, "left_anti").unionByName(ch.select(*base.columns))
 
 
+def _alternating(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows (``__order`` tells them apart) that are certainly accepted: those without an earlier row of an equal key, and of
+    chains in which every row has one earlier row, every second one."""
+    told = rows.select("__order", *keys)
+    for k in keys:
+        known = rows.filter(F.col(k).isNotNull()).select(k, "__order")
+        first = known.groupBy(k).agg(F.min("__order").alias("__a"))
+        second = known.join(first, k).filter(F.col("__order") > F.col("__a")).groupBy(k).agg(F.first("__a").alias("__a"), F.min("__order").alias("__b"))
+        # the first row of a key has none before it, the second one has the first, the others have several
+        told = told.join(first.withColumnRenamed("__a", f"{k}_a"), k, "left").join(second.select(k, F.col("__b").alias(f"{k}_b")), k, "left")
+    before = [F.when(F.col("__order") > F.col(f"{k}_a"), F.col(f"{k}_a")) for k in keys]
+    several = [F.coalesce(F.col("__order") > F.col(f"{k}_b"), F.lit(False)) for k in keys]
+    found = F.array_distinct(F.filter(F.array(*before), lambda x: x.isNotNull()))
+    waits = F.size(found) > 1
+    for s in several:
+        waits = waits | s
+    told = told.select("__order", F.when(~waits, F.try_element_at(found, F.lit(1))).alias("to"), waits.alias("waits"))
+    told = materialize(told.withColumn("odd", F.col("to").isNotNull()), "chains")
+    while not (open_ := told.filter(F.col("to").isNotNull())).isEmpty():
+        ahead = told.select(F.col("__order").alias("to"), F.col("to").alias("__to"), F.col("odd").alias("__odd"), F.col("waits").alias("__waits"))
+        moved = open_.join(ahead, "to").select("__order", F.col("__to").alias("to"), F.col("__waits").alias("waits"), (F.col("odd") != F.col("__odd")).alias("odd"))
+        told = materialize(told.filter(F.col("to").isNull()).select("__order", "to", "waits", "odd").unionByName(moved), "chains")
+    return rows.join(told.filter(~F.col("waits") & ~F.col("odd")).select("__order"), "__order", "left_semi")
+
+
 def unique_insert(base: DataFrame, batch: DataFrame, unique: list[str | tuple[str, ...]],
                   order: list[Column]) -> tuple[DataFrame, DataFrame]:
     """Insert row by row in ``order`` with uniqueness on each of ``unique`` (a column or a group of columns).
@@ -87,9 +112,11 @@ def unique_insert(base: DataFrame, batch: DataFrame, unique: list[str | tuple[st
     row leaves no trace, so it blocks nobody. A NULL never conflicts. ``order`` must tell the rows apart.
     Returns (accepted, rejected with reason, the first violated one of ``unique``).
 
-    Rounds instead of a row-by-row pass: an undecided row that is the first undecided one for each of its unique
-    values is accepted; rows that share a value with it are rejected; the first undecided row is always
-    decided. Each round is a few aggregates and joins on the unique values; its state is written.
+    Rounds instead of a row-by-row pass. In each, undecided rows that no earlier undecided row shares a value with are accepted;
+    rows with one such earlier row have the opposite fate of that one, so whole chains of them are decided at once, by pointers
+    that double their reach (``_alternating``). Rows that share a value with an earlier accepted one are rejected. What has several
+    earlier rows waits for the next round; the first undecided row is always decided. Each round is a few aggregates and joins on the
+    unique values; its state is written.
     """
     groups = {u if isinstance(u, str) else ", ".join(u): [u] if isinstance(u, str) else list(u) for u in unique}
     cols = batch.columns
@@ -109,17 +136,11 @@ def unique_insert(base: DataFrame, batch: DataFrame, unique: list[str | tuple[st
     rows = materialize(rows.filter(F.col("__reason").isNull()), "undecided")
     accepted = rows.limit(0)
     while not rows.isEmpty():
-        first = rows.withColumn("__first", F.lit(True))
-        for k in keys.values():
-            least = rows.filter(F.col(k).isNotNull()).groupBy(k).agg(F.min("__order").alias("__least"))
-            first = first.join(least, k, "left").withColumn(
-                "__first", F.col("__first") & F.coalesce(F.col("__order") == F.col("__least"), F.lit(True))).drop("__least")
-        first = materialize(first, "first")
-        taken = first.filter("__first").drop("__first")
-        rest = first.filter(~F.col("__first")).drop("__first")
+        taken = materialize(_alternating(rows, list(keys.values())), "accepted")
+        rest = rows.join(taken.select("__order"), "__order", "left_anti")
         for name, k in keys.items():
-            blocked = taken.filter(F.col(k).isNotNull()).select(k, F.lit(f"{name} repeated").alias("__in"))
-            rest = rest.join(blocked, k, "left").withColumn("__reason", F.coalesce("__reason", "__in")).drop("__in")
+            blocked = taken.filter(F.col(k).isNotNull()).select(k, F.col("__order").alias("__by"), F.lit(f"{name} repeated").alias("__in"))
+            rest = rest.join(blocked, k, "left").withColumn("__reason", F.coalesce("__reason", F.when(F.col("__by") < F.col("__order"), F.col("__in")))).drop("__in", "__by")
         rest = materialize(rest, "rest")
         accepted = accepted.unionByName(taken)
         rejected = rejected.unionByName(rest.filter(F.col("__reason").isNotNull()))

@@ -301,8 +301,7 @@ _BANDS_SQL = _DFT_SQL + f""",
 
 
 def _band_peaks(spark, sf_dir) -> DataFrame:
-    sp = _spectrum(spark, sf_dir).withColumn("mag", F.round("mag", 3))
-    return audio.band_peaks(sp, SMALL_BANDS)
+    return audio.stft_peaks(event_samples(Tables(spark, sf_dir)), SMALL_BANDS, FR_SIZE, FR_HOP, FR_BINS, mode="full", digits=3)
 
 
 @query("band_peaks", sql=_BANDS_SQL + """
@@ -363,7 +362,6 @@ def q_song_fingerprints(spark, sf_dir):
     s = event_samples(Tables(spark, sf_dir))
     s = audio.low_pass(s, LP_CUTOFF, LP_RATE)
     s = audio.downsample(s, 2)
-    spec = audio.stft(s, FR_SIZE, FR_HOP, FR_BINS, mode="full")
-    peaks = audio.extract_peaks(audio.band_peaks(spec, SMALL_BANDS), LP_RATE / 2, FR_SIZE)
+    peaks = audio.extract_peaks(audio.stft_peaks(s, SMALL_BANDS, FR_SIZE, FR_HOP, FR_BINS, mode="full"), LP_RATE / 2, FR_SIZE)
     peaks = dense_index(peaks, ["song_id"], None, [F.col("t_ms_exact"), F.col("band")])
     return audio.fingerprints(peaks, key="song_id")

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from skein.operators import match
 from skein.plans import fingerprint as fp
 from skein.plans.common import WEEK_MS
-from skein.plans.registry import query
+from skein.plans.registry import ORACLE_SQL, query
 from skein.session import materialize
 from skein.sources.tables import Tables
 from skein.functions import scalars as SC
+from skein.streaming import stateful
 from skein.streaming import streams as S
 
 # The default watch list (symbols of the quote stream).
@@ -84,6 +85,32 @@ def q_stream_watch(spark, sf_dir):
     return out.select(F.col("batch").cast("int").alias("batch"), "user_id", "symbol", "quotes", F.round("total_price", 4).alias("total_price"))
 
 
+def _commands(e):
+    symbol = F.element_at(F.array(*[F.lit(s) for s in SYMBOLS]), (F.get_json_object("props", "$.k").cast("int") % 5 + 1))
+    action = F.when(F.col("event_type") == "signup", "watch").when(F.col("event_type") == "error", "unwatch")
+    return e.filter(action.isNotNull()).select("user_id", symbol.alias("symbol"), action.alias("action"), "ts", "event_id")
+
+
+@query("watch_intervals", sql=f"""
+  WITH cmd AS (SELECT user_id, ['signup','error','click','view','purchase'][json_extract(props, '$.k')::INTEGER % 5 + 1] AS symbol,
+                      event_type = 'signup' AS on_, ts, event_id FROM events WHERE event_type IN ('signup', 'error')),
+  edge AS (SELECT *, coalesce(lag(on_) OVER (PARTITION BY user_id, symbol ORDER BY ts, event_id), symbol IN {tuple(DEFAULT_WATCH)!r}) AS was FROM cmd),
+  flip AS (SELECT * FROM edge WHERE on_ <> was),
+  iv AS (SELECT user_id, symbol, on_, lag(ts) OVER w AS a, lag(event_id) OVER w AS a_id, ts AS b, event_id AS b_id FROM flip
+         WINDOW w AS (PARTITION BY user_id, symbol ORDER BY ts, event_id)),
+  q AS (SELECT event_type AS symbol, ts, event_id, value FROM events)
+  SELECT iv.user_id, iv.symbol, a AS watch_from, b AS watch_to, count(q.ts) AS quotes, round(coalesce(sum(q.value), 0), 4) AS total_price
+  FROM iv LEFT JOIN q ON q.symbol = iv.symbol AND (q.ts, q.event_id) < (b, b_id) AND (a IS NULL OR (q.ts, q.event_id) > (a, a_id))
+  WHERE NOT on_ AND date_trunc('millisecond', b) < (SELECT date_trunc('millisecond', max(ts)) FROM events) GROUP BY iv.user_id, iv.symbol, a, b, b_id""")
+def q_watch_intervals(spark, sf_dir):
+    """T4 in event time: each closed interval in which a user watched a symbol, with its quotes."""
+    e = _events(spark, sf_dir)
+    quotes = e.select(F.col("event_type").alias("symbol"), "ts", "event_id", F.col("value").alias("price"))
+    out = stateful.run_stateful(stateful.watch_intervals(quotes, _commands(e), DEFAULT_WATCH), "watch-intervals")
+    ntz = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return out.select("user_id", "symbol", ntz("watch_from"), ntz("watch_to"), "quotes", F.round("total_price", 4).alias("total_price"))
+
+
 @query("stream_merge", sql="""
     SELECT 'events' AS source, event_id AS key, event_type AS text FROM events
     UNION ALL SELECT 'chat', conv_id * 1000 + turn, role FROM conversations""")
@@ -142,6 +169,21 @@ def q_session_cache(spark, sf_dir):
     return out.select("user_id", ntz("session_start"), ntz("last_seen"), "events", "ended")
 
 
+@query("session_state", sql=ORACLE_SQL["session_cache"])
+def q_session_state(spark, sf_dir):
+    """T7 with explicit eviction on keyed state with timers: users dealt over slices of time, their runs merged by a second operator."""
+    out = stateful.run_stateful(stateful.stateful_sessions(_events(spark, sf_dir)), "session-state")
+    ntz = lambda c: F.col(c).cast("timestamp_ntz").alias(c)
+    return out.select("user_id", ntz("session_start"), ntz("last_seen"), "events", "ended")
+
+
+@query("history_state", sql=ORACLE_SQL["stream_history"])
+def q_history_state(spark, sf_dir):
+    """T3/T9 on keyed list state: per symbol the last 50 prices."""
+    rows = S.history_rows(_quotes(spark, sf_dir))
+    return S.merged_history(stateful.run_stateful(stateful.stateful_history(rows, 50), "history-state"))
+
+
 @query("status_counts", sql="SELECT event_type AS status, count(*) AS n FROM events GROUP BY ALL")
 def q_status_counts(spark, sf_dir):
     """Totals per status (complete mode, newest totals replace the table)."""

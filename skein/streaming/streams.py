@@ -16,6 +16,7 @@ from collections.abc import Callable
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from skein.functions.scalars import sanitize_html
@@ -35,27 +36,43 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | N
     return r.parquet(sf_dir)
 
 
+_LIVE = "__live"
+
+
 def replayed(df: DataFrame, ts: str, cuts: list[str]) -> DataFrame:
     """``df`` as a stream of ``len(cuts) + 1`` micro-batches: the rows before the first cut, those between each two,
     and the rest with those without a time, in this order. Inside a batch rows come in no particular order.
 
-    A batch is as many files as ``df`` has partitions (shuffle partitions at most); where a part has fewer, empty files fill it up."""
+    One write deals the rows to a folder per part and the same number of files in each (of as many as ``df`` has partitions,
+    shuffle partitions at most); a row of its own keeps a file without rows. Files are given the times of their parts, which
+    is the order that the stream reads them in."""
     spark = df.sparkSession
     base = f"{_tables_dir(spark)}/streams/replay-{uuid.uuid4().hex}"
     files = max(1, min(df.rdd.getNumPartitions(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    none = spark.createDataFrame([], df.schema).coalesce(1)
-    edges = [None, *cuts, None]
-    for i, (low, high) in enumerate(zip(edges, edges[1:]), 1):
-        part = df
-        if low is not None:
-            late = F.col(ts) >= F.lit(low).cast(df.schema[ts].dataType)
-            part = part.filter(late if high is not None else late | F.col(ts).isNull())
-        if high is not None:
-            part = part.filter(F.col(ts) < F.lit(high).cast(df.schema[ts].dataType))
-        part.repartition(files).write.mode("append").option("maxRecordsPerFile", 0).parquet(base)
-        for _ in range(i * files - len(spark.read.schema(df.schema).parquet(base).inputFiles())):
-            none.write.mode("append").parquet(base)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(base)
+    kind = df.schema[ts].dataType
+    part = F.lit(len(cuts))
+    for i, cut in reversed(list(enumerate(cuts))):  # a NULL time is below no cut
+        part = F.when(F.col(ts) < F.lit(cut).cast(kind), F.lit(i)).otherwise(part)
+    slots = (len(cuts) + 1) * files
+    rows = df.withColumns({"__part": part, "__slot": F.pmod(F.monotonically_increasing_id(), F.lit(files)).cast("int"), _LIVE: F.lit(True)})
+    marks = spark.range(slots).select(F.expr(f"cast(id div {files} as int)").alias("__part"), (F.col("id") % files).cast("int").alias("__slot"), F.lit(False).alias(_LIVE))
+    rows = rows.unionByName(marks, allowMissingColumns=True)
+    dealt = rows.repartitionById(slots, F.col("__part") * files + F.col("__slot")).drop("__slot")
+    dealt.write.partitionBy("__part").option("maxRecordsPerFile", 0).parquet(base)
+    _in_order_of_parts(spark, base, len(cuts) + 1)
+    schema = T.StructType([*df.schema.fields, T.StructField(_LIVE, T.BooleanType()), T.StructField("__part", T.IntegerType())])
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(base)
+    return stream.filter(_LIVE).drop(_LIVE, "__part")
+
+
+def _in_order_of_parts(spark: SparkSession, base: str, parts: int) -> None:
+    """Sets the files' times to their part's number, in seconds after the first one written (names and times only, no data)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(base).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    first = fs.getFileStatus(path(base)).getModificationTime()
+    for i in range(parts):
+        for status in fs.listStatus(path(f"{base}/__part={i}")):
+            fs.setTimes(status.getPath(), first + 1000 * i, -1)
 
 
 def with_event_time(df: DataFrame, ts: str = "ts", out: str = "ets") -> DataFrame:
@@ -119,11 +136,15 @@ def keyed_history(quotes: DataFrame, n: int = 50, parts: int = HISTORY_PARTS) ->
         state.update((ts, ids, prices, int(seen)))
         yield pd.DataFrame({"symbol": [key[0]], "part": [key[1]], "ts": [ts], "ids": [ids], "prices": [prices], "seen": [seen]})
 
+    return history_rows(quotes, parts).groupBy("symbol", "part").applyInPandasWithState(fn, HISTORY_SCHEMA, HISTORY_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def history_rows(quotes: DataFrame, parts: int = HISTORY_PARTS) -> DataFrame:
+    """Quotes as (symbol, part, ts in microseconds, event_id, price)."""
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     part = F.pmod(F.xxhash64("event_id"), F.lit(parts)).cast("int")
-    rows = quotes.select("symbol", part.alias("part"), F.coalesce(micros, F.lit(NO_TIME)).alias("ts"), F.col("event_id").cast("long").alias("event_id"),
+    return quotes.select("symbol", part.alias("part"), F.coalesce(micros, F.lit(NO_TIME)).alias("ts"), F.col("event_id").cast("long").alias("event_id"),
                          F.col("price").cast("double").alias("price"))
-    return rows.groupBy("symbol", "part").applyInPandasWithState(fn, HISTORY_SCHEMA, HISTORY_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
 def merged_history(parts: DataFrame, n: int = 50) -> DataFrame:
@@ -148,16 +169,18 @@ def watched_quotes(quotes: DataFrame, watching: DataFrame) -> DataFrame:
 def deliver(users: DataFrame, defaults: list[str]) -> Callable:
     """T4 as a ``foreachBatch`` writer over rows (kind "quote" or "command", user_id, symbol, action, price, ts,
     event_id): a batch's quotes go to those who watch by the commands of earlier batches; its own commands take effect
-    with the next batch. Replaying a batch writes the same files again."""
+    with the next batch. The last command of each user and symbol is kept as a table per batch, so a batch reads that and not
+    all commands there ever were. Replaying a batch writes the same files again."""
 
     def write(batch: DataFrame, batch_id: int, out: str):
         spark = batch.sparkSession
-        commands = f"{out}_commands"
         command = batch.filter("kind = 'command'").select("user_id", "symbol", "action", "ts", F.col("event_id").alias("seq"))
-        command.write.mode("overwrite").parquet(f"{commands}/batch={batch_id}")
-        before = spark.read.schema(command.schema.add("batch", "long")).parquet(commands).filter(F.col("batch") < batch_id).drop("batch")
+        before = spark.read.parquet(f"{out}_commands/batch={batch_id - 1}") if batch_id else command.limit(0)
         got = watched_quotes(batch.filter("kind = 'quote'"), watch_state(before, users, defaults))
         got.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        last = F.max_by(F.struct("action", "ts", "seq"), F.struct("ts", "seq")).alias("last")
+        kept = before.unionByName(command).groupBy("user_id", "symbol").agg(last).select("user_id", "symbol", "last.*")
+        kept.write.mode("overwrite").parquet(f"{out}_commands/batch={batch_id}")
 
     return write
 
@@ -339,22 +362,36 @@ def closed_groups(rows: DataFrame, keys: list, ts: str, every: str, values: list
 
 
 def closed_windows(ts: str, every: str, answer: Callable) -> Callable:
-    """``closed_groups`` as a ``foreachBatch`` writer, for groups of any size: rows are kept in a table per batch, and the
-    rows of the windows that the latest time has passed with this batch go to ``answer(rows, batch_id, out)``, each window once."""
+    """``closed_groups`` as a ``foreachBatch`` writer, for groups of any size: rows are kept in a table partitioned by the end of
+    their window, and the rows of the windows that the latest time has passed with this batch go to ``answer(rows, batch_id, out)``, each
+    window once. Only these partitions are read, and windows that an earlier batch has answered are dropped. Rows without a time are in
+    no window. Replaying a batch writes and answers the same again."""
 
     def write(batch: DataFrame, batch_id: int, out: str):
         spark = batch.sparkSession
         before, now = _clock(batch, batch_id, out, ts)
-        rows = batch.withColumn("__w", F.window(F.col(ts).cast("timestamp"), every)).withColumn("__end", F.unix_micros("__w.end")).drop("__w")
-        rows.write.mode("overwrite").parquet(f"{out}_rows/batch={batch_id}")
-        kept = spark.read.schema(rows.schema.add("batch", "long")).parquet(f"{out}_rows")
-        closed = kept.filter((F.col("batch") <= batch_id) & (F.col("__end") > before) & (F.col("__end") <= now)).drop("batch", "__end")
+        rows = batch.filter(F.col(ts).isNotNull()).withColumn("__end", F.unix_micros(F.window(F.col(ts).cast("timestamp"), every)["end"]))
+        rows = rows.withColumn("__batch", F.lit(batch_id))
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("__end", "__batch").parquet(f"{out}_rows")
+        kept = spark.read.schema(rows.schema).parquet(f"{out}_rows")
+        closed = kept.filter((F.col("__end") > before) & (F.col("__end") <= now) & (F.col("__batch") <= batch_id)).drop("__batch", "__end")
         if not closed.isEmpty():
             answer(closed, batch_id, out)
+        _drop_partitions(spark, f"{out}_rows", "__end", before)  # answered by a batch that is committed
 
     return write
 
 
+def _drop_partitions(spark: SparkSession, table: str, column: str, upto: int) -> None:
+    """Deletes the folders of a table's partitions with ``column`` <= ``upto``."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(table).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.listStatus(path(table)) if fs.exists(path(table)) else []:
+        name = status.getPath().getName()
+        if name.startswith(f"{column}=") and int(name.removeprefix(f"{column}=")) <= upto:
+            fs.delete(status.getPath(), True)
+
+
 def status_counts(events: DataFrame, status: str = "event_type") -> DataFrame:
     """Running totals per status (complete mode; poll with a processing-time trigger)."""
     return events.groupBy(F.col(status).alias("status")).agg(F.count(F.lit(1)).alias("n"))

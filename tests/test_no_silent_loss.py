@@ -163,3 +163,46 @@ def test_wav_headers_stay_in_the_jvm(spark):
         ("float", False, "not PCM", 2, 44100, None), ("mp3", False, "not a RIFF/WAVE file", None, None, None),
         ("none", False, "not a RIFF/WAVE file", None, None, None), ("ok", True, None, 2, 44100, 2.0),
         ("short", False, "not a RIFF/WAVE file", None, None, None)]
+
+
+def _insert_one_by_one(base, batch):
+    ids, names, out = {i for i, _ in base}, {n for _, n in base}, []
+    for i, n, order in sorted(batch, key=lambda r: r[2]):
+        why = "id exists" if i in {x for x, _ in base} else "name exists" if n in {x for _, x in base} else None
+        why = why or ("id repeated" if i is not None and i in ids else "name repeated" if n is not None and n in names else None)
+        if why is None:
+            ids.add(i)
+            names.add(n)
+        out.append((i, n, order, why))
+    return sorted(out, key=lambda r: r[2])
+
+
+def test_a_long_chain_of_conflicts_takes_few_rounds(spark, monkeypatch):
+    """Row k shares its id with the row before and its name with the row after: each one's fate hangs on all before it."""
+    from skein.operators import changes
+
+    rounds = []
+    real = changes._alternating
+    monkeypatch.setattr(changes, "_alternating", lambda rows, keys: rounds.append(1) or real(rows, keys))
+    batch = [(k // 2, f"n{(k + 1) // 2}", k) for k in range(2000)]
+    df = spark.createDataFrame(batch, "id long, name string, at long").repartition(4)
+    accepted, rejected = changes.unique_insert(spark.createDataFrame([], "id long, name string"), df, ["id", "name"], [F.col("at")])
+    got = [(*r, None) for r in accepted.collect()] + [tuple(r) for r in rejected.collect()]
+    assert sorted(got, key=lambda r: r[2]) == _insert_one_by_one([], batch)
+    assert len(rounds) <= 15
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_unique_insert_equals_one_by_one(spark, seed):
+    import random
+
+    from skein.operators import changes
+
+    rng = random.Random(seed)
+    pick = lambda n: None if rng.random() < 0.1 else rng.randrange(n)
+    base = [(i, f"b{i}") for i in range(5)]
+    batch = [(pick(25), None if rng.random() < 0.1 else rng.choice([f"b{rng.randrange(9)}", f"n{rng.randrange(30)}"]), k) for k in range(80)]
+    accepted, rejected = changes.unique_insert(spark.createDataFrame(base, "id long, name string"), spark.createDataFrame(batch, "id long, name string, at long"),
+                                               ["id", "name"], [F.col("at")])
+    got = [(*r, None) for r in accepted.collect()] + [tuple(r) for r in rejected.collect()]
+    assert sorted(got, key=lambda r: r[2]) == _insert_one_by_one(base, batch)

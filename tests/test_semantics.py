@@ -439,3 +439,18 @@ def test_song_fingerprints_equal_brute_force_x2(spark):
     got = set(rows(E.queries()["song_fingerprints"](spark, "/root/testdata/sf0.001"), "address", "song_id", "anchor_ms"))
     assert len(want) > 0
     assert got == want
+
+
+def test_stft_peaks_equal_band_peaks_of_the_spectrum(spark):
+    from skein.operators import audio
+
+    rng = np.random.default_rng(5)
+    rows = [(s, i, float(v)) for s, n in ((1, 137), (2, 20), (None, 40)) for i, v in enumerate(rng.standard_normal(n))] + [(3, i, 0.0) for i in range(30)]
+    df = spark.createDataFrame(rows, "song_id long, i long, v double")
+    for edges in ([0, 1, 2, 4, 8], [0, 3, 12]):
+        slow = audio.band_peaks(audio.stft(df, 16, 4, 8, mode="full", frames_per_task=3), edges)
+        fast = audio.stft_peaks(df, edges, 16, 4, 8, mode="full", frames_per_task=3)
+        key = lambda r: (str(r.song_id), r.frame, r.band)
+        a, b = sorted(slow.collect(), key=key), sorted(fast.collect(), key=key)
+        assert [(*key(r), r.k, r.n_frames, r.n_samples) for r in a] == [(*key(r), r.k, r.n_frames, r.n_samples) for r in b]
+        assert np.allclose([(r.mag, r.re) for r in a], [(r.mag, r.re) for r in b])

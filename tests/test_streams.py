@@ -135,3 +135,27 @@ def test_stream_folders_are_released(spark, quotes):
     assert os.path.isdir(f"{folder}/streams")
     release_scratch(spark)
     assert not os.path.exists(folder)
+
+
+def test_a_batch_reads_its_closed_windows_only(spark):
+    """Ten batches of an hour, two windows each: every one reads the rows of the windows it closes, and answered ones are dropped."""
+    rows = spark.range(36_000).select((F.col("id")).alias("event_id"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("ts")).coalesce(1)
+    read = []
+
+    def answer(closed, batch_id, out):
+        read.append((closed.count(), len(closed.inputFiles()), len({f.rsplit("/", 2)[0] for f in closed.inputFiles()})))
+        closed.groupBy().count().write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    S.run_to_table(S.replayed(rows, "ts", [f"1970-01-01 {h:02d}:00:00" for h in range(1, 10)]), "windows", foreach=S.closed_windows("ts", "30 minutes", answer))
+    assert len(read) >= 9 and sum(n for n, _, _ in read) == 36_000 - 1800
+    assert max(n for n, _, _ in read) <= 3600 and max(f for _, f, _ in read) <= 8
+
+
+def test_replay_is_one_write(spark, quotes, monkeypatch):
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    writes = []
+    real = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: writes.append(path) or real(self, path, *a, **k))
+    S.replayed(quotes, "ts", [f"2024-01-01 0{h}:00:00" for h in range(1, 9)])
+    assert len(writes) == 1
