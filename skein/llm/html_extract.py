@@ -33,18 +33,18 @@ FEATURES = 1 << 13  # hashed features
 TRAINING_PAGES, STEPS, RATE, DECAY = 400, 250, 0.1, 1e-3
 
 # Elements inside a line, empty elements, elements whose content is no text or no markup.
-INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q ruby rb rp rt s samp "
-                   "small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark math mfrac mi mn mo mrow ms msqrt msub "
+                   "msup mtext object q ruby rb rp rt s samp small span strike strong sub sup time tt u var wbr".split())
 EMPTY = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style noscript template iframe noembed noframes svg math object".split())
+HIDDEN = frozenset("script style template iframe noembed noframes svg".split())
 PLAIN = frozenset("title textarea xmp plaintext".split())
 # An open element of these ends when one of the same group starts.
 IMPLIED_END = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
                "option": {"option"}, "p": {"p"}}
 _SCOPE = frozenset("ul ol dl table body article section div main aside nav header footer form blockquote select fieldset".split())
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)([^>\"']*(?:\"[^\"]*\"[^>\"']*|'[^']*'[^>\"']*)*)>", re.S)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_EDGE = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>\"']+))", re.I)
 _NAME_WORD = re.compile(r"[a-z]+")
 
@@ -52,103 +52,175 @@ _NAME_WORD = re.compile(r"[a-z]+")
 @dataclass
 class Block:
     text: str
-    path: tuple[str, ...]  # features of the elements it stands in
+    path: tuple[str, ...]  # features of the elements it stands in; empty where they are weighed instead
     links: int  # characters of link text
-
-
-def leaf_blocks(page: str) -> list[Block]:
-    """The leaf blocks of a page, in page order, without empty ones."""
+    score: float = 0.0  # weights of the elements it stands in
+
+
+class _Scanner:
+    """Text, tags and comments of a page in one pass: what is consumed is not looked at again.
+
+    A ``<`` that begins no tag is text, as is everything behind the last ``>``. In a start tag, ``>`` between quotes doesn't end it; if
+    quotes run to the end of the page, this tag and all later ones end at their first ``>``."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = page.rfind(">")
+        self.quotes = True
+
+    def end_of_tag(self, at: int) -> int:
+        """Place of the ``>`` that ends a start tag."""
+        if self.quotes:
+            page, j = self.page, at
+            while (m := _EDGE.search(page, j)) is not None:
+                if m[0] == ">":
+                    return m.start()
+                close = page.find(m[0], m.end())
+                if close < 0:
+                    break
+                j = close + 1
+            self.quotes = False  # the one time that a scan to the end was for nothing
+        return self.page.find(">", at)
+
+    def next(self, at: int) -> tuple[int, int, str, str, str]:
+        """(begin, end, kind, name, attributes) of the next tag or comment from ``at``; kind is "open", "close", "none" or "" at the end."""
+        page = self.page
+        while True:
+            at = page.find("<", at)
+            if at < 0:
+                return len(page), len(page), "", "", ""
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                return at, len(page) if end < 0 else end + 3, "none", "", ""
+            if at < self.last:
+                after = page[at + 1:at + 2]
+                if after in ("!", "?"):
+                    return at, page.find(">", at) + 1, "none", "", ""
+                if after == "/" and (m := _NAME.match(page, at + 2)):
+                    return at, page.find(">", m.end()) + 1, "close", m[0].lower(), ""
+                if m := _NAME.match(page, at + 1):
+                    end = self.end_of_tag(m.end())
+                    if end >= 0:
+                        return at, end + 1, "open", m[0].lower(), page[m.end():end]
+            at += 1  # no tag: it is text
+
+
+class _Open:
+    """The open elements: where each tag stands, the nearest scope, and the features that hold, each counted once."""
+
+    def __init__(self, weight=None):
+        self.stack: list[tuple[str, tuple[str, ...]]] = []
+        self.at: dict[str, list[int]] = {}
+        self.scopes: list[int] = []
+        self.held: dict[str, int] = {}
+        self.weight = weight
+        self.score = 0.0
+        self.links = 0
+
+    def push(self, tag: str, names: tuple[str, ...]) -> None:
+        self.at.setdefault(tag, []).append(len(self.stack))
+        if tag in _SCOPE:
+            self.scopes.append(len(self.stack))
+        self.stack.append((tag, names))
+        self.links += tag == "a"
+        for x in names:
+            self.held[x] = self.held.get(x, 0) + 1
+            if self.held[x] == 1 and self.weight:
+                self.score += self.weight(x)
+
+    def pop_to(self, depth: int) -> None:
+        while len(self.stack) > depth:
+            tag, names = self.stack.pop()
+            self.at[tag].pop()
+            if tag in _SCOPE:
+                self.scopes.pop()
+            self.links -= tag == "a"
+            for x in names:
+                self.held[x] -= 1
+                if not self.held[x]:
+                    del self.held[x]
+                    if self.weight:
+                        self.score -= self.weight(x)
+        if not self.held:
+            self.score = 0.0  # what rounding has left
+
+    def depth_of(self, names, scoped: bool) -> int:
+        """The innermost open element of ``names``, with ``scoped`` inside the nearest scope only; -1 if there is none."""
+        d = max((self.at[n][-1] for n in names if self.at.get(n)), default=-1)
+        return d if not scoped or not self.scopes or d >= self.scopes[-1] else -1
+
+
+def leaf_blocks(page: str, weight=None) -> list[Block]:
+    """The leaf blocks of a page, in page order, without empty ones. With ``weight`` (of a feature) blocks hold the sum of
+    their elements' weights, kept up as elements open and close, and no path."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []  # (tag, its features)
-    held: dict[str, int] = {}  # features of the open elements
+    scan, tree = _Scanner(page), _Open(weight)
     parts: list[str] = []
     linked = 0
-    in_link = 0
     low: str | None = None
 
+    def block(raw: str, links: int, more: str = ""):
+        text = " ".join(_html.unescape(raw).split())
+        if text:
+            extra = more and more not in tree.held
+            if weight:
+                out.append(Block(text, (), links, tree.score + (weight(more) if extra else 0.0)))
+            else:
+                out.append(Block(text, (*tree.held, more) if extra else tuple(tree.held), links))
+
     def flush():
         nonlocal linked
         if parts:
-            text = " ".join(_html.unescape("".join(parts)).split())
-            if text:
-                out.append(Block(text, tuple(held), linked))
+            block("".join(parts), linked)
             parts.clear()
             linked = 0
 
-    def pop_to(depth: int):
-        nonlocal in_link
-        while len(stack) > depth:
-            tag, names = stack.pop()
-            in_link -= tag == "a"
-            for n in names:
-                held[n] -= 1
-                if not held[n]:
-                    del held[n]
-
-    def depth_of(names, stop=frozenset()) -> int:
-        for d in range(len(stack) - 1, -1, -1):
-            if stack[d][0] in names:
-                return d
-            if stack[d][0] in stop:
-                break
-        return -1
-
     def add(raw: str):
         nonlocal linked
         if raw:
             parts.append(raw)
-            if in_link:
+            if tree.links:
                 linked += len(raw)
 
     at, n = 0, len(page)
     while at < n:
-        m = _TOKEN.search(page, at)
-        if m is None:
-            add(page[at:])
-            break
-        add(page[at:m.start()])
-        at = m.end()
-        if m[1]:
-            tag = m[1].lower()
+        begin, end, kind, tag, attributes = scan.next(at)
+        add(page[at:begin])
+        at = end
+        if kind == "close":
             if tag not in INLINE:
                 flush()
-            d = depth_of((tag,), _SCOPE - {tag} if tag in INLINE or tag in IMPLIED_END else frozenset())
+            d = tree.depth_of((tag,), tag in INLINE or tag in IMPLIED_END)
             if d >= 0:
-                pop_to(d)
-        elif m[2]:
-            tag = m[2].lower()
+                tree.pop_to(d)
+        elif kind == "open":
             if tag in HIDDEN or tag in PLAIN:
-                if tag in PLAIN or tag not in INLINE:
-                    flush()
-                if m[3].endswith("/") and tag in ("svg", "math"):
+                flush()
+                if attributes.endswith("/") and tag == "svg":
                     continue
                 low = page.lower() if low is None else low
-                end = low.find("</" + tag, at) if len(low) == n else page.find("</" + tag, at)
-                inside = page[at:n if end < 0 else end]
-                close = page.find(">", end) if end >= 0 else -1
+                stop = low.find("</" + tag, at) if len(low) == n else page.find("</" + tag, at)
+                inside = page[at:n if stop < 0 else stop]
+                close = page.find(">", stop) if stop >= 0 else -1
                 at = n if close < 0 else close + 1
-                if tag in PLAIN and (text := " ".join(_html.unescape(inside).split())):
-                    out.append(Block(text, (*held, "in:" + tag), 0))
+                if tag in PLAIN:
+                    block(inside, 0, "in:" + tag)
                 continue
             if tag not in INLINE:
                 flush()
-                p = depth_of(("p",), _SCOPE)  # a block ends an open paragraph
+                p = tree.depth_of(("p",), True)  # a block ends an open paragraph
                 if p >= 0:
-                    pop_to(p)
-            if tag in IMPLIED_END and (d := depth_of(IMPLIED_END[tag], _SCOPE)) >= 0:
-                pop_to(d)
+                    tree.pop_to(p)
+            if tag in IMPLIED_END and (d := tree.depth_of(IMPLIED_END[tag], True)) >= 0:
+                tree.pop_to(d)
             if tag == "br":
                 add(" ")
-            if tag in EMPTY or m[3].endswith("/"):
+            if tag in EMPTY or attributes.endswith("/"):
                 continue
             names = ["in:" + tag]
-            for a in _ATTRIBUTE.finditer(m[3]):
-                names += ["is:" + w for w in _NAME_WORD.findall((a[2] or a[3] or a[4] or "").lower())[:8]]
-            names = tuple(dict.fromkeys(names))
-            stack.append((tag, names))
-            in_link += tag == "a"
-            for x in names:
-                held[x] = held.get(x, 0) + 1
+            for m in _ATTRIBUTE.finditer(attributes):
+                names += ["is:" + w for w in _NAME_WORD.findall((m[2] or m[3] or m[4] or "").lower())]
+            tree.push(tag, tuple(dict.fromkeys(names)))
     flush()
     return out
 
@@ -158,18 +230,19 @@ def _slot(name: str) -> int:
     return zlib.crc32(name.encode()) % FEATURES
 
 
+def _text_names(b: Block) -> list[str]:
+    n, text = len(b.text), b.text
+    names = ["one", f"long:{min(n.bit_length(), 9)}", f"links:{min(4, 4 * b.links // max(n, 1))}", f"end:{text[-1] if text[-1] in '.!?:' else '-'}"]
+    if "©" in text or "(c)" in text.lower():
+        names.append("copyright")
+    if "|" in text or "»" in text or "·" in text:
+        names.append("bar")
+    return names
+
+
 def block_features(blocks: list[Block]) -> list[list[int]]:
     """Hashed features of each block of a page."""
-    out = []
-    for b in blocks:
-        n, text = len(b.text), b.text
-        names = [*b.path, "one", f"long:{min(n.bit_length(), 9)}", f"links:{min(4, 4 * b.links // max(n, 1))}", f"end:{text[-1] if text[-1] in '.!?:' else '-'}"]
-        if "©" in text or "(c)" in text.lower():
-            names.append("copyright")
-        if "|" in text or "»" in text or "·" in text:
-            names.append("bar")
-        out.append([_slot(x) for x in dict.fromkeys(names)])
-    return out
+    return [[_slot(x) for x in dict.fromkeys([*b.path, *_text_names(b)])] for b in blocks]
 
 
 @dataclass
@@ -181,13 +254,16 @@ class Field:
 
     def labels(self, features: list[list[int]]) -> list[int]:
         """The most likely labels, by Viterbi."""
-        if not features:
-            return []
         w = self.weight
+        return self.best([sum(w[f] for f in fs) for fs in features])
+
+    def best(self, scores: list[float]) -> list[int]:
+        """The most likely labels of blocks with these scores of main text."""
+        if not scores:
+            return []
         (s00, s01), (s10, s11) = self.step.tolist()
-        back, a, b = [], 0.0, sum(w[f] for f in features[0])
-        for fs in features[1:]:
-            e = sum(w[f] for f in fs)
+        back, a, b = [], 0.0, scores[0]
+        for e in scores[1:]:
             zero, one = (a + s00, b + s10), (a + s01, b + s11)
             back.append((zero[1] > zero[0], one[1] > one[0]))
             a, b = max(zero), max(one) + e
@@ -378,8 +454,10 @@ def train(pages: list[tuple[str, list[tuple[str, int]]]] | None = None) -> Field
 
 def extract(page: str, field: Field) -> str:
     """The main text of one page."""
-    blocks = leaf_blocks(page)
-    return " ".join(b.text for b, y in zip(blocks, field.labels(block_features(blocks))) if y)
+    weight = lambda name: field.weight[_slot(name)]
+    blocks = leaf_blocks(page, weight)
+    scores = [b.score + sum(map(weight, _text_names(b))) for b in blocks]
+    return " ".join(b.text for b, y in zip(blocks, field.best(scores)) if y)
 
 
 def extract_pages(df: DataFrame, field: Field, html: str = "html", out: str = "text") -> DataFrame:

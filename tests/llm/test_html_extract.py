@@ -80,3 +80,44 @@ def test_rows_and_columns(spark, field):
     assert got.columns == ["page_id", "text", "main"]
     assert sorted(r.main for r in got.collect()) == ["", "", "", "Some words here."]
     assert H.extract_pages(df.limit(0), field).count() == 0
+
+
+@pytest.mark.parametrize("piece", ["<a b='x", "</a", '<a b="x>', "<!", "<div class='c%d'>", "<foo>", "</foo>", "<i><div><foo></i>", "<!-- ", "<", "<p>x<b>", "<li><td>", "&#", "<svg>", "<script"])
+def test_a_million_bytes_of_broken_markup(field, piece):
+    import time
+
+    def seconds(size):
+        page = "<article><p>Before.</p>" + "".join(piece % i if "%d" in piece else piece for i in range(size // len(piece))) + "<p>after</p>"
+        began = time.perf_counter()
+        H.extract(page, field)
+        return time.perf_counter() - began
+
+    # in proportion to the size: the old pattern took 12.5 s for 56 kB, and four times that for twice as many
+    assert seconds(1_000_000) < 10 * seconds(250_000) + 1
+
+
+@pytest.mark.parametrize("page, want", [
+    ("<p>a < b <c", ["a < b <c"]), ("<a title='5' tall'>x</a><p>y", ["x", "y"]), ("<p title='it's'>one</p><p>two</p>", ["one", "two"]), ("x <!-- <b>", ["x"]),
+    ("Energy <math><mi>E</mi> = mc</math> is so.", ["Energy E = mc is so."]), ("<p>a</p><noscript><p>shown without scripts</p></noscript>", ["a", "shown without scripts"]),
+    ("<p>see <object data='x'>the plan</object> here</p>", ["see the plan here"]), ("<!x <p>t", ["t"]),
+])
+def test_blocks_of_broken_markup(page, want):
+    assert texts(page) == want
+
+
+def test_all_class_words_count(field):
+    block = H.leaf_blocks('<div class="col-md-8 col-lg-6 d-flex p-md-2 e f g h i j k sidebar">x</div>')[0]
+    assert "is:sidebar" in block.path
+    side = '<div class="col-md-8 col-lg-6 d-flex p-md-2 sidebar"><p>Links to other things.</p><p>More of them.</p></div>'
+    page = f"<html><body><article><h1>Title of it</h1><p>{'Long prose of the article. ' * 8}</p>{side}<p>{'More prose stands here. ' * 8}</p></article></body></html>"
+    assert "Links to other" not in H.extract(page, field) and "More prose" in H.extract(page, field)
+
+
+def test_running_scores_equal_features(field):
+    for page, _ in H.labelled_pages(60, seed=5):
+        blocks = H.leaf_blocks(page)
+        weighed = H.leaf_blocks(page, lambda x: float(field.weight[H._slot(x)]))
+        assert [b.text for b in blocks] == [b.text for b in weighed]
+        want = [sum(field.weight[f] for f in fs) for fs in H.block_features(blocks)]
+        got = [b.score + sum(field.weight[H._slot(x)] for x in H._text_names(b)) for b in weighed]
+        assert np.allclose(want, got)
