@@ -37,6 +37,7 @@ DIM = 32  # of every vector
 NONZERO = 4  # ones and minus ones of an index vector
 BUCKETS = 4096  # hashed words of the context table
 BLOCK = 128  # buckets of a block when tables are added up
+SALTS = 64
 MAX_LABELLED = 20_000
 POOLED_ROWS = 512  # documents counted at once
 HIDDEN, EPOCHS, RATE, DECAY = 24, 60, 0.01, 1e-4
@@ -146,8 +147,11 @@ def context_table(docs: DataFrame, text: str = "text") -> np.ndarray:
         total = sum(np.frombuffer(x, np.float64) for x in t["sums"].to_pylist())
         return pa.table([t["block"].slice(0, 1), pa.array([total.tobytes()], pa.binary())], names=["block", "sums"])
 
-    parts = small_batches(docs).select(text).mapInArrow(run, "block int, sums binary")
-    got = parts.groupBy("block").applyInArrow(add, "block int, sums binary").collect()  # BUCKETS * DIM numbers
+    kind = "block int, sums binary"
+    parts = small_batches(docs).select(text).mapInArrow(run, kind).withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    # a row of each block from every task: added up in SALTS parts first, so that no task holds those of all tasks
+    parts = parts.groupBy("block", "salt").applyInArrow(add, kind)
+    got = parts.groupBy("block").applyInArrow(add, kind).collect()  # BUCKETS * DIM numbers
     table = np.zeros((BUCKETS // BLOCK, BLOCK * DIM))
     for r in got:
         table[r.block] = np.frombuffer(r.sums, np.float64)
@@ -249,7 +253,9 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, context: np.ndarra
     """The network, from at most MAX_LABELLED rows of ``labels`` where ``usable`` holds."""
     known = labels.filter(F.col(label).isNotNull() & F.col(ident).isNotNull() & usable).groupBy(ident).agg(F.min(label).cast("int").alias("y"))
     sample = known.orderBy(F.xxhash64(ident), ident).limit(MAX_LABELLED)
-    rows = docs.select(ident, text).join(F.broadcast(sample), ident).select("y", text)  # at most MAX_LABELLED rows
+    rows = docs.select(ident, text).join(F.broadcast(sample), ident)
+    # of repeated ids the row with the smallest text hash, so that what is collected has at most MAX_LABELLED rows
+    rows = rows.groupBy(ident).agg(F.first("y").alias("y"), F.min_by(text, F.xxhash64(text)).alias(text)).select("y", text)
     got = features(rows, context).orderBy("y", "features").collect()  # a defined order, for a defined result
     if not got:
         return Constant(0.5)

@@ -64,3 +64,18 @@ def test_empty_long_and_repeated(spark):
     assert all((score[i] >= 0.5) == bool(i % 2) for i in range(120))
     assert score[500] == score[501] and score[502] > 0.5 and len(got) == len(docs)
     assert quality.classify(df.limit(0), labels).count() == 0
+
+
+def test_repeated_labelled_rows_count_once(spark):
+    """A third of all rows may be copies of one labelled document: they are one row of the sample."""
+    rows = [(1, "good words stand here")] * 300 + [(2, "bad bad bad"), (4, "more good words"), (5, "bad again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (4, 1), (5, 0)], "doc_id long, quality int")
+    seen = []
+    real = quality.features
+    quality.features = lambda df, context: seen.append(df.count()) or real(df, context)
+    try:
+        quality.train(docs, labels, quality.F.lit(True), quality.context_table(docs))
+    finally:
+        quality.features = real
+    assert seen == [4]
