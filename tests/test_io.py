@@ -7,8 +7,10 @@ import time
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
+from skein.functions import separable
 from skein.sources import files, images
 from skein.streaming import streams as S
 
@@ -204,3 +206,19 @@ def test_release_scratch_drops_only_written_tables(spark):
     assert os.path.isdir(d) and os.listdir(d)
     release_scratch(spark)
     assert not os.path.exists(d)
+
+
+def test_small_images_are_skipped_or_resampled_x3(spark, tmp_dir):
+    """Block means need a pixel per block; Lanczos takes any size. A file that is no image is left out by both."""
+    _png(os.path.join(tmp_dir, "tiny.png"), 3, 3, lambda x, y: (10 * x, 10 * x, 10 * x))
+    _png(os.path.join(tmp_dir, "wide.png"), 40, 9, lambda x, y: (5 * x, 5 * x, 5 * x))
+    with open(os.path.join(tmp_dir, "broken.png"), "wb") as f:
+        f.write(b"no image")
+    name = lambda r: os.path.basename(r["path"])
+    assert [name(r) for r in images.image_grids(spark, tmp_dir, 8).collect()] == ["wide.png"]
+    got = {name(r): np.array(r["grid"]).reshape(8, 8) for r in images.image_grids(spark, tmp_dir, 8, method="lanczos").collect()}
+    assert set(got) == {"tiny.png", "wide.png"}
+    assert (got["tiny.png"] == separable.resample_pixels(np.tile([0, 10, 20], (3, 1)), 8, 8)).all()
+    assert (np.diff(got["wide.png"], axis=1) > 0).all() and (np.diff(got["wide.png"], axis=0) == 0).all()
+    with pytest.raises(ValueError):
+        images.image_grids(spark, tmp_dir, 8, method="nearest")
