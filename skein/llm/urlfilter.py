@@ -13,6 +13,7 @@ judged again; an empty table stays empty; extra columns are not read.
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -23,27 +24,67 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 GRAMS = (3, 4)
-BUCKETS = 1 << 13
-
-# The small labelled URL table of the default model (url, 1 = block).
-LABELLED_URLS = (
-    ("https://news.example.com/en/articles/market-report", 0), ("https://www.example.org/wiki/Linear_algebra", 0),
-    ("https://blog.example.net/en/2023/05/gardening-notes", 0), ("https://docs.example.com/en/guide/install.html", 0),
-    ("https://example.edu/research/papers/ocean-currents", 0), ("https://library.example.org/books/1234.html", 0),
-    ("https://www.example.com/en/story/77?page=2", 0), ("https://forum.example.net/en/topic/91/", 0),
-    ("http://recipes.example.com/soup/lentil.html", 0), ("https://m.example.com/en/825?utm_source=feed", 0),
-    ("http://museum.example.org/exhibits/glass", 0), ("https://science.example.net/en/410.html", 0),
-    ("https://history.example.org/de/3021/", 0), ("https://travel.example.com/es/513#top", 0),
-    ("https://en.example.net/en/7/", 0), ("https://journal.example.org/fr/612.html", 0),
-    ("https://casino-bonus.example.com/slots/free-spins", 1), ("http://win-prize.example.net/claim?id=88", 1),
-    ("https://cheap-pills.example.com/buy/viagra-online", 1), ("http://xxx-cams.example.net/live/girls", 1),
-    ("https://ads.example.com/track/click?uid=91", 1), ("https://adserver.example.net/banner/300x250", 1),
-    ("http://poker-bet.example.org/jackpot/bonus", 1), ("https://login.example.com/account/signin", 1),
-    ("https://shop.example.net/cart/checkout?step=2", 1), ("http://torrent-crack.example.com/download/keygen.exe", 1),
-    ("https://adult-video.example.net/porn/watch", 1), ("http://loans-fast.example.com/apply/payday", 1),
-    ("https://betting.example.net/casino/odds", 1), ("http://free-download.example.org/crack/serial.zip", 1),
-    ("https://pixel.example.com/track/beacon.gif", 1), ("http://replica-watches.example.net/buy/cheap", 1),
-)
+BUCKETS = 1 << 15
+THRESHOLD = 0.6  # what is blocked without a rule should be told apart clearly: a URL that says nothing stays below
+
+# Words of URLs that a corpus keeps, and of those that it doesn't, by kind.
+KEPT_WORDS = {
+    "news": "news article story report world politics economy market weather sport election interview editorial press daily herald tribune gazette".split(),
+    "science": "science research paper journal physics biology chemistry astronomy climate study university lecture theory algebra genome ocean".split(),
+    "culture": "history museum library book poem novel music art theatre film review painting archive exhibit language dictionary".split(),
+    "life": "recipe kitchen garden travel guide health family school teacher hiking bicycle house pet soup bread village city".split(),
+    "work": "docs manual tutorial wiki help forum question answer blog notes project release changelog install reference topic".split(),
+}
+BLOCKED_WORDS = {
+    "gambling": "casino poker slots jackpot roulette betting bookmaker odds wager blackjack lottery gamble bets sportsbook freespins".split(),
+    "adult": "porn xxx sex nude adult cams escort milf erotic hookup dating singles webcam hentai fetish".split(),
+    "pharmacy": "viagra cialis pills pharmacy tramadol xanax meds drugstore levitra steroids painkiller prescription rx".split(),
+    "malware": "keygen crack warez torrent serial malware payload exploit hacktool ransom trojan botnet nulled cracked".split(),
+    "tracking": "adserver banner tracker pixel beacon doubleclick adclick popunder affiliate impression adtrack clickid sponsor retarget".split(),
+    "scam": "prize winner giveaway payday loans forex bitcoin doubler replica cheap claim bonus cashnow getrich miracle".split(),
+    "account": "login signin signup checkout cart password logout register basket account".split(),
+}
+TABLE_URLS = 1_200  # labelled URLs of the default model
+
+
+def labelled_urls(count: int = TABLE_URLS, seed: int = 3, share: tuple[float, float] = (0.0, 1.0)) -> list[tuple[str, int]]:
+    """A labelled URL table (url, 1 = block), laid out from the words: half of each label.
+
+    Schemes, top-level domains, host names, language folders, numbers, endings and queries are drawn alike for both labels, so that only words
+    tell them apart. A fifth of the kept URLs have no telling word at all. ``share`` takes a part of each word list, for
+    held-out words."""
+    rng = random.Random(seed)
+    pick = rng.choice
+    some = lambda words: words[int(share[0] * len(words)):max(int(share[1] * len(words)), int(share[0] * len(words)) + 1)]
+    syllables = "ba den lo mir ka ven tos ru hal ni per sol gan dor el tu mas ber qui fen".split()
+    brand = lambda: "".join(pick(syllables) for _ in range(rng.randrange(2, 4)))
+
+    def url(word, blocked: bool) -> str:
+        telling = [] if word is None else word
+        say = lambda: pick(telling) if telling else brand()
+        host = brand()
+        spot = rng.randrange(3)  # where the words stand: in the host, in the path, in both
+        if telling and spot != 1:
+            host = pick([f"{say()}-{brand()}", f"{brand()}-{say()}", f"{say()}{rng.randrange(100)}", f"{brand()}{say()}", f"{say()}-{say()}", f"best{say()}"])
+        if rng.random() < 0.25:
+            host = "example"
+        sub = pick(["", "", "www.", "m.", "en.", "blog.", "shop.", "go.", f"{say()}." if telling and spot != 1 else "my."])
+        parts = [pick(["en", "de", "fr", "es", "it"])] if rng.random() < 0.5 else []
+        if telling and (spot != 0 or host == "example"):
+            parts += [pick([say(), f"{say()}-{say()}", f"{say()}-{brand()}", f"{brand()}-{say()}", f"{say()}_{rng.randrange(50)}"]) for _ in range(rng.randrange(1, 3))]
+        if rng.random() < 0.6:
+            parts.append(pick([str(rng.randrange(10_000)), f"{brand()}-{brand()}", brand(), f"{rng.randrange(1990, 2026)}/{rng.randrange(1, 13):02d}"]))
+        tail = pick(["", "", "/", ".html", ".php", "?id=%d" % rng.randrange(999), "?utm_source=feed", "#top", "?page=2&ref=%s" % brand()])
+        return f"{pick(['http', 'https'])}://{sub}{host}.{pick(['com', 'net', 'org', 'info', 'io', 'co.uk', 'de', 'xyz'])}/" + "/".join(parts) + tail
+
+    kept, blocked = [some(w) for w in KEPT_WORDS.values()], [some(w) for w in BLOCKED_WORDS.values()]
+    out = []
+    for i in range(count):
+        if i % 2:
+            out.append((url(pick(blocked), True), 1))
+        else:
+            out.append((url(None if rng.random() < 0.2 else pick(kept), False), 0))
+    return out
 
 
 def host_of(url: Column) -> Column:
@@ -77,13 +118,13 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Col
 def gram_column(host: Column, path: Column) -> Column:
     """Character n-grams of "^host$" and "/path$", marked by where they stand."""
 
+    def of_size(s: Column, mark: str, n: int) -> Column:
+        last = F.length(s) - (n - 1)
+        at = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
+        return F.transform(at, lambda i: F.concat(F.lit(mark), s.substr(i, F.lit(n))))
+
     def grams(s: Column, mark: str) -> list[Column]:
-        out = []
-        for n in GRAMS:
-            last = F.length(s) - (n - 1)
-            at = F.when(last >= 1, F.sequence(F.lit(1), F.greatest(last, F.lit(1)))).otherwise(F.array().cast("array<int>"))
-            out.append(F.transform(at, lambda i, n=n: F.concat(F.lit(mark), s.substr(i, F.lit(n)))))
-        return out
+        return [of_size(s, mark, n) for n in GRAMS]
 
     return F.concat(*grams(F.concat(F.lit("^"), host, F.lit("$")), "h:"), *grams(F.concat(path, F.lit("$")), "p:"))
 
@@ -93,19 +134,18 @@ def with_parts(df: DataFrame, url: str = "url") -> DataFrame:
         "path", F.coalesce(path_of(F.col(url)), F.lit("")))
 
 
-def train(spark: SparkSession, labelled: Sequence[tuple[str, int]] = LABELLED_URLS) -> PipelineModel:
-    """Hashed n-grams and logistic regression from a small (url, 0/1) table; a fixed number of
+def train(spark: SparkSession, labelled: Sequence[tuple[str, int]] | None = None) -> PipelineModel:
+    """Hashed n-grams and logistic regression from a small (url, 0/1) table, by default ``labelled_urls()``; a fixed number of
     coefficients, whatever the table."""
-    table = with_parts(spark.createDataFrame(list(labelled), "url string, label double"
-                                             if isinstance(labelled[0][1], float) else "url string, label int"))
+    table = with_parts(spark.createDataFrame([(u, int(y)) for u, y in labelled or labelled_urls()], "url string, label int"))
     table = table.select(F.col("label").cast("double").alias("label"), gram_column(F.col("host"), F.col("path")).alias("grams"))
     tf = HashingTF(inputCol="grams", outputCol="features", numFeatures=BUCKETS, binary=True)
-    lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.02, maxIter=50)
+    lr = LogisticRegression(featuresCol="features", labelCol="label", regParam=0.001, standardization=False, maxIter=60)
     return Pipeline(stages=[tf, lr]).fit(table.coalesce(1))
 
 
 def filter_urls(df: DataFrame, rules: Sequence[tuple[str, str]], model: PipelineModel, key: str = "page_id",
-                url: str = "url", threshold: float = 0.5) -> DataFrame:
+                url: str = "url", threshold: float = THRESHOLD) -> DataFrame:
     """(key, host, path, rule, verdict, p_block) of every row. A map over rows: no shuffle."""
     base = with_parts(df.select(F.col(key), F.col(url)), url)
     base = base.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules)).withColumn(
