@@ -73,22 +73,32 @@ def seed_if_empty(spark: SparkSession, path: str, seed: DataFrame, fmt: str = "p
     return empty
 
 
+DECODED = 1 << 18  # samples of the recordings that are decoded at once
+
+
 def pcm16_decode(recordings: DataFrame, id_col: str = "rec_id", audio_col: str = "audio") -> DataFrame:
     """base64 text -> 16-bit little-endian PCM -> samples in [-1, 1) as
-    ``(rec_id, i, v)``. Decoding runs in ``mapInPandas`` (numpy), one output
-    per recording. An odd number of bytes is an error; ``pcm16_invalid`` lists
+    ``(rec_id, i, v)``. Decoding runs in ``mapInPandas`` (numpy), many
+    recordings per output frame. An odd number of bytes is an error; ``pcm16_invalid`` lists
     such recordings for a caller that wants to go on without them."""
-    rec = recordings.select(F.col(id_col).alias("rec_id"), F.unbase64(audio_col).alias("pcm"))
+    rec = recordings.select(F.coalesce(F.col(id_col), F.lit(0)).cast("long").alias("rec_id"), F.col(id_col).isNull().alias("no_id"), F.unbase64(audio_col).alias("pcm"))
 
     def run(batches):
         for pdf in batches:
-            for rid, b in zip(pdf["rec_id"].to_numpy(), pdf["pcm"]):
-                if b is None:
-                    continue
-                if len(b) % 2:
-                    raise ValueError(f"recording {rid}: {len(b)} bytes are not 16-bit samples")
-                a = np.frombuffer(bytes(b), dtype="<i2").astype(np.float64) / 32768.0
-                yield pd.DataFrame({"rec_id": np.full(len(a), rid, dtype=np.int64), "i": np.arange(len(a), dtype=np.int64), "v": a})
+            pdf = pdf[pdf["pcm"].notna()]
+            sizes = pdf["pcm"].map(len).to_numpy(dtype=np.int64)
+            for odd in np.flatnonzero(sizes % 2)[:1]:
+                raise ValueError(f"recording {pdf['rec_id'].iloc[odd]}: {sizes[odd]} bytes are not 16-bit samples")
+            ends = np.cumsum(sizes // 2)
+            at = 0
+            while at < len(pdf):  # whole recordings of up to DECODED samples, or a longer one alone
+                upto = max(int(np.searchsorted(ends, (ends[at - 1] if at else 0) + DECODED, "right")), at + 1)
+                part, n = pdf.iloc[at:upto], sizes[at:upto] // 2
+                v = np.frombuffer(b"".join(part["pcm"]), dtype="<i2").astype(np.float64) / 32768.0
+                i = np.arange(len(v), dtype=np.int64) - np.repeat(np.cumsum(n) - n, n)
+                ids = pd.arrays.IntegerArray(np.repeat(part["rec_id"].to_numpy(), n), np.repeat(part["no_id"].to_numpy(), n))
+                yield pd.DataFrame({"rec_id": ids, "i": i, "v": v})
+                at = upto
 
     return rec.mapInPandas(run, "rec_id long, i long, v double")
 

@@ -81,6 +81,28 @@ def test_odd_recordings_are_an_error_and_listed(spark):
         files.pcm16_decode(df).collect()
 
 
+def test_recordings_are_decoded_many_at_a_time(spark, monkeypatch):
+    import pandas as pd
+
+    text = [base64.b64encode(struct.pack(f"<{n}h", *range(n))).decode() for n in range(5)]
+    df = spark.createDataFrame([(i, text[i % 5]) for i in range(40)] + [(None, text[1])], "rec_id long, audio string").coalesce(1)
+    frames = spark.sparkContext.accumulator(0)
+    make = pd.DataFrame
+
+    def counted(decode):
+        def run(batches):
+            for out in decode(batches):
+                frames.add(1)
+                yield make(out)
+        return run
+
+    monkeypatch.setattr(type(df), "mapInPandas", lambda self, f, schema, _map=type(df).mapInPandas: _map(self, counted(f), schema))
+    monkeypatch.setattr(files, "DECODED", 30)
+    want = [(i, j, j / 32768) for i in range(40) for j in range(i % 5)] + [(None, 0, 0.0)]
+    assert sorted(map(str, rows(files.pcm16_decode(df)))) == sorted(map(str, want))
+    assert frames.value < 10  # not a frame per recording
+
+
 def test_seed_does_not_append_to_what_it_cannot_read(spark, tmp_path):
     seed = spark.createDataFrame([(1,)], "x int")
     path = str(tmp_path / "t")
