@@ -79,6 +79,29 @@ def test_sessions_go_on_from_the_checkpoint(spark, tmp_path):
     assert sessions_of(got) == sorted(map(str, walk([r for r in rows if r[2] < rows[-1][2]], 300, rows[-1][2])))
 
 
+def counted(monkeypatch, spark, name):
+    """The accumulator of the calls with rows that the processor ``name`` gets: one per key and micro-batch."""
+    calls = spark.sparkContext.accumulator(0)
+
+    class Counted(getattr(ST, name)):
+        def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+            calls.add(1)
+            yield from super().handleInputRows(key, rows, timerValues)
+
+    monkeypatch.setattr(ST, name, Counted)
+    return calls
+
+
+def test_sessions_of_many_users_take_few_states(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(rng.randrange(400), i, 7 * i + 7, rng.random() < 0.1) for i in range(1500)]
+    first, second = (counted(monkeypatch, spark, n) for n in ("SliceRuns", "MergedSessions"))
+    df = frame(spark, rows).coalesce(1)
+    got = ST.run_stateful(ST.stateful_sessions(S.replayed(df, "ts", ["1970-01-01 01:00:00"]), gap_ms=3_600_000), "many")
+    assert sessions_of(got) == sorted(map(str, walk(rows[:-1], 3600, rows[-1][2])))
+    assert 0 < first.value <= 2 * ST.USER_PARTS and 0 < second.value <= 4 * ST.USER_PARTS
+
+
 def test_the_session_keeps_its_settings(spark):
     before = {k: spark.conf.get(k, None) for k in ST.ROCKS}
     ST.run_stateful(ST.stateful_history(S.history_rows(S.replayed(quotes(spark, 50), "ts", [])), 5), "conf")
