@@ -150,3 +150,23 @@ def test_watch_intervals_equal_a_walk(spark):
     out = ST.run_stateful(ST.watch_intervals(stream.filter("kind = 'quote'"), stream.filter("kind <> 'quote'").withColumnRenamed("kind", "action"), ["x"], 3), "watch")
     got = [tuple(r) for r in out.select("user_id", "symbol", F.unix_seconds("watch_from"), F.unix_seconds("watch_to"), "quotes", "total_price").collect()]
     assert sorted(got, key=str) == sorted(want, key=str) and len(got) > 50
+
+
+def test_quotes_are_held_once(spark, monkeypatch):
+    """A quote waits in one state, not in one per part of the users; what follows has the commands and a row per slice and part."""
+    rows = [(i + 1, i, "quote", 0, "x", 1.0) for i in range(2000)] + [(10 * i + 1, 5000 + i, "unwatch" if i < 30 else "watch", i % 30, "x", 0.0) for i in range(60)]
+    df = spark.createDataFrame(rows, "s long, event_id long, kind string, user_id long, symbol string, price double")
+    stream = S.replayed(df.withColumn("ts", F.timestamp_seconds("s").cast("timestamp_ntz")).coalesce(1), "ts", [])
+    seen = spark.sparkContext.accumulator(0)
+
+    class Counted(ST.Watchers):
+        def handleInputRows(self, key, rows, timerValues):  # noqa: N802, N803
+            rows = list(rows)
+            seen.add(sum(map(len, rows)))
+            yield from super().handleInputRows(key, iter(rows), timerValues)
+
+    monkeypatch.setattr(ST, "Watchers", Counted)
+    out = ST.run_stateful(ST.watch_intervals(stream.filter("kind = 'quote'"), stream.filter("kind <> 'quote'").withColumnRenamed("kind", "action"), ["x"], 4), "held")
+    got = sorted(tuple(r) for r in out.select("user_id", "watch_from", F.unix_seconds("watch_to"), "quotes").collect())
+    assert got == [(i, None, 10 * i + 1, 10 * i + 1) for i in range(30)]
+    assert seen.value == 60 + 4
