@@ -27,13 +27,12 @@ from skein.session import _tables_dir, materialize
 
 # ------------------------------------------------------------------- plumbing
 def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
-    """A parquet table file replayed as a stream (file source on its folder)."""
+    """A parquet table, one file or a folder of files, replayed as a stream."""
     path = f"{sf_dir}/{name}.parquet"
-    schema = spark.read.parquet(path).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    r = spark.readStream.schema(spark.read.parquet(path).schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(sf_dir)
+    return r.parquet(f"{path[:-1]}[{path[-1]}]")  # as a pattern: a stream takes a plain path for a folder
 
 
 _LIVE = "__live"

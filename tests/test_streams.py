@@ -159,3 +159,17 @@ def test_replay_is_one_write(spark, quotes, monkeypatch):
     monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: writes.append(path) or real(self, path, *a, **k))
     S.replayed(quotes, "ts", [f"2024-01-01 0{h}:00:00" for h in range(1, 9)])
     assert len(writes) == 1
+
+
+def test_tables_stream_as_files_and_as_folders(spark, tmp_path):
+    """A larger table is a folder of part files: all its rows are in the stream."""
+    from skein.plans.streams import q_stream_sanitize
+
+    pages = spark.createDataFrame([(i, f"<p>{i}</p><script>x</script>" if i % 4 else None) for i in range(20)], "page_id long, html string")
+    pages.repartition(3).write.parquet(str(tmp_path / "folder" / "pages.parquet"))
+    pages.coalesce(1).write.parquet(str(tmp_path / "one"))
+    (tmp_path / "file").mkdir()
+    next((tmp_path / "one").glob("*.parquet")).rename(tmp_path / "file" / "pages.parquet")
+    for kind in ("folder", "file"):
+        got = sorted((r.page_id, r.clean, r.rejected) for r in q_stream_sanitize(spark, str(tmp_path / kind)).collect())
+        assert got == [(i, f"<p>{i}</p>" if i % 4 else None, i % 4 == 0) for i in range(20)]
