@@ -54,58 +54,66 @@ def relative_timing(m: DataFrame, tol: int = TIMING_TOLERANCE_MS) -> DataFrame:
     ``|(s_b - s_a) - (d_b - d_a)| < tol`` and both gaps point the same way (Q4).
 
     No pair is materialised. With ``off = s - d`` the first condition is
-    ``|off_b - off_a| < tol``; integer offsets bucketed by ``tol`` make every
-    pair inside a bucket qualify (n(n-1)/2 from counts) and leave only
-    neighbouring buckets to check, on per-offset counts (at most tol x tol
-    combinations per bucket pair, however many matches share an offset).
+    ``|off_b - off_a| < tol``, counted per offset by a window over the next ``tol`` offsets.
     Pairs whose gaps point opposite ways have both gaps below ``tol`` and are
     subtracted from a small neighbourhood join on (s, d) counts.
     """
+    return timing(match_points(m, tol), tol).select(*PAIR_KEYS, "score")
+
+
+def match_points(m: DataFrame, tol: int = TIMING_TOLERANCE_MS) -> DataFrame:
+    """``(request_id, song_id, s_ms, d_ms, c, points, close)``: counts per distinct (s, d), with the number of those of their recording
+    and song, and whether others of these lie within ``tol`` in s and in d; written once, all that follows reads it. Matches are
+    dealt once, by recording and song, which serves every count."""
     from skein.session import materialize
 
-    # one pre-aggregation: counts per distinct (s, d), written once; all parts read it
-    pts = materialize(m.groupBy(*PAIR_KEYS, "s_ms", "d_ms").agg(F.count(F.lit(1)).alias("c")), "match_points")
-    return timing_from_points(pts, tol)
+    pts = m.select(*PAIR_KEYS, "s_ms", "d_ms").repartition(*PAIR_KEYS).groupBy(*PAIR_KEYS, "s_ms", "d_ms").agg(F.count(F.lit(1)).alias("c"))
+    pair = Window.partitionBy(*PAIR_KEYS)
+
+    def close(c: str):
+        w = pair.orderBy(c)
+        return F.max(c).over(w.rangeBetween(-tol, -1)).isNotNull() | F.max(c).over(w.rangeBetween(1, tol)).isNotNull()
 
+    pts = pts.withColumn("points", F.count(F.lit(1)).over(pair)).withColumn("close", close("s_ms")).withColumn("close", F.col("close") & close("d_ms"))
+    return materialize(pts, "match_points")
 
-def timing_from_points(pts: DataFrame, tol: int = TIMING_TOLERANCE_MS) -> DataFrame:
-    """J5 on ``(request_id, song_id, s_ms, d_ms, c)`` match counts."""
-    bucket = F.floor(F.col("off") / F.lit(tol)).cast("long")
 
-    # (1) pairs inside one offset bucket
-    per_off = pts.groupBy(*PAIR_KEYS, (F.col("s_ms") - F.col("d_ms")).cast("long").alias("off")).agg(
-        F.sum("c").alias("c"))
-    per_off = per_off.withColumn("b", bucket)
-    same = per_off.groupBy(*PAIR_KEYS, "b").agg(F.sum("c").alias("n")).groupBy(*PAIR_KEYS).agg(
-        F.sum(F.expr("n * (n - 1) div 2")).cast("long").alias("same"))
+def timing(pts: DataFrame, tol: int = TIMING_TOLERANCE_MS) -> DataFrame:
+    """J5 and A11 on ``match_points``: ``(request_id, song_id, first_ms, matches, score, best_offset)``.
 
-    # (2) pairs across neighbouring buckets b, b+1 with off2 - off1 < tol
-    lo = per_off.select(*PAIR_KEYS, (F.col("b") + 1).alias("b"), F.col("off").alias("o1"), F.col("c").alias("c1"))
-    hi = per_off.select(*PAIR_KEYS, "b", F.col("off").alias("o2"), F.col("c").alias("c2"))
-    adj = lo.join(hi, PAIR_KEYS + ["b"]).filter(F.col("o2") - F.col("o1") < tol).groupBy(*PAIR_KEYS).agg(
-        F.sum(F.col("c1") * F.col("c2")).cast("long").alias("adj"))
+    Most recordings and songs share one point by chance: that row is the answer. The points of the others are dealt once."""
+    off = (F.col("s_ms") - F.col("d_ms")).cast("long").alias("off")
+    alone = pts.filter("points = 1").select(*PAIR_KEYS, F.col("d_ms").alias("first_ms"), F.col("c").alias("matches"),
+                                            F.expr("c * (c - 1) div 2").cast("long").alias("agree"), off.alias("best_offset"))
 
-    # (3) opposite-direction pairs: s2 > s1, d2 < d1, (s2 - s1) + (d1 - d2) < tol
+    # (1) pairs with off2 - off1 < tol: equal offsets from their count, others from the sum over the following offsets
+    per_off = pts.filter("points > 1").repartition(*PAIR_KEYS).groupBy(*PAIR_KEYS, off).agg(F.sum("c").alias("c"), F.min("d_ms").alias("first_ms"))
+    following = Window.partitionBy(*PAIR_KEYS).orderBy("off").rangeBetween(1, tol - 1)
+    per_off = per_off.withColumn("next", F.coalesce(F.sum("c").over(following), F.lit(0)))
+    many = per_off.groupBy(*PAIR_KEYS).agg(
+        F.min("first_ms").alias("first_ms"), F.sum("c").alias("matches"), F.sum(F.expr("c * (c - 1) div 2 + c * next")).cast("long").alias("agree"),
+        F.max_by("off", F.struct("c", -F.col("off"))).alias("best_offset"))
+
+    # (2) opposite-direction pairs: s2 > s1, d2 < d1, (s2 - s1) + (d1 - d2) < tol, among points that are close to others
+    near = pts.filter("close")
     cs = F.floor(F.col("s_ms") / tol).cast("long")
     cd = F.floor(F.col("d_ms") / tol).cast("long")
-    p1 = pts.select(*PAIR_KEYS, F.col("s_ms").alias("s1"), F.col("d_ms").alias("d1"), F.col("c").alias("c1"),
-                    cs.alias("cs"), cd.alias("cd"))
+    p1 = near.select(*PAIR_KEYS, F.col("s_ms").alias("s1"), F.col("d_ms").alias("d1"), F.col("c").alias("c1"),
+                     cs.alias("cs"), cd.alias("cd"))
     p1 = p1.withColumn("ds", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
         "dd", F.explode(F.array(F.lit(-1), F.lit(0))))
     p1 = p1.select(*PAIR_KEYS, "s1", "d1", "c1", (F.col("cs") + F.col("ds")).alias("cs"),
                    (F.col("cd") + F.col("dd")).alias("cd"))
-    p2 = pts.select(*PAIR_KEYS, F.col("s_ms").alias("s2"), F.col("d_ms").alias("d2"), F.col("c").alias("c2"),
-                    cs.alias("cs"), cd.alias("cd"))
+    p2 = near.select(*PAIR_KEYS, F.col("s_ms").alias("s2"), F.col("d_ms").alias("d2"), F.col("c").alias("c2"),
+                     cs.alias("cs"), cd.alias("cd"))
     disc = p1.join(p2, PAIR_KEYS + ["cs", "cd"]).filter(
         (F.col("s2") > F.col("s1")) & (F.col("d2") < F.col("d1"))
         & ((F.col("s2") - F.col("s1")) + (F.col("d1") - F.col("d2")) < tol)
     ).groupBy(*PAIR_KEYS).agg(F.sum(F.col("c1") * F.col("c2")).cast("long").alias("disc"))
 
-    return (
-        same.join(adj, PAIR_KEYS, "left").join(disc, PAIR_KEYS, "left")
-        .select(*PAIR_KEYS, (F.col("same") + F.coalesce("adj", F.lit(0)) - F.coalesce("disc", F.lit(0)))
-                .cast("long").alias("score"))
-    )
+    return many.join(disc, PAIR_KEYS, "left").select(
+        *PAIR_KEYS, "first_ms", "matches", (F.col("agree") - F.coalesce("disc", F.lit(0))).cast("long").alias("score"), "best_offset"
+    ).unionByName(alone.withColumnRenamed("agree", "score"))
 
 
 def match_scores(m: DataFrame, songs: DataFrame) -> DataFrame:
@@ -116,21 +124,9 @@ def match_scores(m: DataFrame, songs: DataFrame) -> DataFrame:
     is written to the shared folder; the statistics and the timing score are
     then read from it. Songs unknown to the catalogue are dropped (inner join).
     """
-    from skein.session import materialize
-
-    pts = materialize(m.groupBy(*PAIR_KEYS, "s_ms", "d_ms").agg(F.count(F.lit(1)).alias("c")), "match_points")
-    stats = pts.groupBy(*PAIR_KEYS).agg(F.min("d_ms").alias("first_ms"), F.sum("c").alias("matches"))
-    sc = timing_from_points(pts)
-    off = pts.groupBy(*PAIR_KEYS, (F.col("s_ms") - F.col("d_ms")).alias("off")).agg(F.sum("c").alias("c"))
-    off = off.groupBy(*PAIR_KEYS).agg(F.max_by("off", F.struct("c", -F.col("off"))).alias("best_offset"))
+    scored = timing(match_points(m).dropna(subset=PAIR_KEYS))
     cat = songs.select("song_id", "title", "artist")
-    return (
-        stats.join(sc, PAIR_KEYS, "left")
-        .withColumn("score", F.coalesce("score", F.lit(0)).cast("long"))
-        .join(off, PAIR_KEYS)
-        .join(cat, "song_id")
-        .select(*PAIR_KEYS, "title", "artist", "first_ms", "matches", "score", "best_offset")
-    )
+    return scored.join(cat, "song_id").select(*PAIR_KEYS, "title", "artist", "first_ms", "matches", "score", "best_offset")
 
 
 def top_matches(scores: DataFrame, k: int = 10) -> DataFrame:
