@@ -9,10 +9,12 @@ equi-join on (band, band value) finds every candidate and the exact
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,18 +121,126 @@ def video_similarity(frames: DataFrame, bits: int, t: int) -> DataFrame:
                     F.try_divide(F.col("matched"), F.least("n", "n_other")).alias("similarity"))
 
 
-def multihash_diff(segs: DataFrame, bits: int, cutoff: int) -> DataFrame:
+GRID = 12  # blocks of images on each side of the multi-hash grid: GRID * GRID cells, each one task
+AT_ONCE = 1 << 20  # candidates of a cell that are expanded at once
+
+
+def _field(v: np.ndarray, shift: int, width: int) -> np.ndarray:
+    """The ``width`` bits of every hash from bit ``shift`` on (the numpy form of ``bands``)."""
+    return (v >> shift) & ((1 << width) - 1 if width < 64 else -1)
+
+
+def _runs(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All positions of the runs that begin at ``start`` and have ``count`` entries, one run after the other."""
+    return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - start, count)
+
+
+def _slices(weight: np.ndarray, most: int) -> Iterator[slice]:
+    """Neighbouring entries with a summed weight of about ``most`` (one entry at least)."""
+    part = (np.cumsum(weight) - weight) // most
+    edges = [*np.flatnonzero(np.diff(part, prepend=-1)), len(weight)]
+    return (slice(a, b) for a, b in zip(edges, edges[1:]))
+
+
+def near_values(a: np.ndarray, b: np.ndarray, bits: int, t: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(position in a, position in b, distance) of the hashes within ``t`` bits, ordered by the first; a and b hold distinct
+    hashes. Candidates agree on a band (``band_layout``), each pair comes from the first of its bands."""
+    layout = band_layout(bits, t)
+    found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint8))]
+    for i, (shift, width) in enumerate(layout):
+        key = _field(b, shift, width)
+        order = np.argsort(key, kind="stable")
+        start, end = (np.searchsorted(key[order], _field(a, shift, width), side) for side in ("left", "right"))
+        for part in _slices(end - start, AT_ONCE):
+            count = (end - start)[part]
+            x, y = np.repeat(np.arange(part.start, part.stop), count), order[_runs(start[part], count)]
+            apart = a[x] ^ b[y]
+            dist = np.bitwise_count(apart.view(np.uint64))
+            kept = dist <= t
+            for s, w in layout[:i]:
+                kept &= _field(apart, s, w) != 0
+            found.append((x[kept], y[kept], dist[kept]))
+    x, y, dist = (np.concatenate(part) for part in zip(*found))
+    order = np.argsort(x, kind="stable")
+    return x[order], y[order], dist[order]
+
+
+def match_cell(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...], bits: int, t: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(image, other, matches, sum of distances) of the images of ``left`` (image, segment, hash) and ``right`` (image, hash), a slice of
+    ``left`` after the other; images and segments are numbers from 0.
+
+    Distinct hashes are paired once; what is expanded is the candidates of AT_ONCE, or of one image, at a time."""
+    img, seg, h = np.unique(np.stack(left), axis=1)
+    other, other_h = np.unique(np.stack(right), axis=1)
+    values, at = np.unique(h, return_inverse=True)
+    held = np.argsort(other_h, kind="stable")
+    other_values, held_start, held_count = np.unique(other_h[held], return_index=True, return_counts=True)
+    x, y, dist = near_values(values, other_values, bits, t)
+    hits = np.bincount(x, minlength=len(values))
+    hit_start = np.cumsum(hits) - hits
+    images, first = np.unique(img, return_index=True)
+    rows_end = np.append(first[1:], len(img))
+    weight = np.bincount(x, held_count[y], len(values)).astype(np.int64)
+    n_other, n_seg = int(other.max(initial=0)) + 1, int(seg.max(initial=0)) + 1
+    for part in _slices(np.add.reduceat(weight[at], first) if len(first) else first, AT_ONCE):
+        rows = slice(first[part.start], rows_end[part.stop - 1])
+        row = np.repeat(np.arange(rows.start, rows.stop), hits[at[rows]])
+        hit = _runs(hit_start[at[rows]], hits[at[rows]])
+        count = held_count[y[hit]]
+        row, low = np.repeat(row, count), np.repeat(dist[hit], count)
+        match = other[held[_runs(held_start[y[hit]], count)]]
+        # ordered by image, other image, segment, distance: the first of a segment is its lowest
+        key = (((img[row] - img[rows.start]) * n_other + match) * n_seg + seg[row]) * (t + 1) + low
+        key.sort()
+        segment = key // (t + 1)
+        lowest = np.flatnonzero(np.diff(segment, prepend=-1))
+        pair = segment[lowest] // n_seg
+        start = np.flatnonzero(np.diff(pair, prepend=-1))
+        if len(start):
+            yield (pair[start] // n_other + img[rows.start], pair[start] % n_other, np.diff(np.append(start, len(pair))),
+                   np.add.reduceat(key[lowest] % (t + 1), start))
+
+
+def multihash_diff(segs: DataFrame, bits: int, cutoff: int, counted: bool = False) -> DataFrame:
     """Per image pair (A, B), A != B: matching segments of A (lowest distance
     to any segment of B within ``cutoff``) and the sum of those distances.
 
     ``segs``: (img, seg, h). Pairs without any match are left out (their
-    result is (0, 0) by definition).
+    result is (0, 0) by definition). ``counted`` adds n_segs, the segments of A.
+
+    The result has a row per pair of similar images, so only the segments are shuffled, never pairs: images are
+    dealt into GRID blocks by their id, and the task of cell (i, j) gets block i and block j and makes all their pairs.
+    The shuffle is 2 * GRID times the segments.
     """
-    p = hamming_pairs(segs, segs, bits, cutoff, ["img", "seg"], ["img", "seg"])
-    p = p.filter(F.col("img") != F.col("r_img"))
-    low = p.groupBy("img", "seg", "r_img").agg(F.min("dist").alias("lowest"))
-    return low.groupBy("img", F.col("r_img").alias("other")).agg(
-        F.count(F.lit(1)).alias("matches"), F.sum("lowest").cast("long").alias("sum_distance"))
+    block = F.pmod(F.xxhash64("img"), F.lit(GRID)).cast("int")
+    line = F.transform(F.sequence(F.lit(0), F.lit(GRID - 1)), lambda j: F.struct((block * GRID + j).alias("cell"), F.lit(True).alias("left")))
+    column = F.transform(F.sequence(F.lit(0), F.lit(GRID - 1)), lambda j: F.struct((j * GRID + block).alias("cell"), F.lit(False).alias("left")))
+    dealt = segs.filter(F.col("img").isNotNull()).select("img", "seg", "h", F.explode(F.concat(line, column)).alias("to"))
+    cells = dealt.select("to.cell", "to.left", "img", "seg", F.col("h").cast("long").alias("h")).repartitionById(GRID * GRID, "cell")
+
+    def run(batches):
+        parts = [b for b in batches if b.num_rows]
+        if not parts:
+            return
+        t = pa.Table.from_batches(parts)
+        ids = t["img"].combine_chunks().dictionary_encode()
+        img = ids.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        seg = pc.fill_null(t["seg"].combine_chunks().dictionary_encode().indices, -1).to_numpy(zero_copy_only=False).astype(np.int64) + 1
+        hashed = t["h"].is_valid().to_numpy()
+        h = pc.fill_null(t["h"], 0).to_numpy()
+        on_left = t["left"].to_numpy()
+        a, b = on_left & hashed, ~on_left & hashed
+        n_segs = np.bincount(img[on_left], minlength=len(ids.dictionary))
+        for x, y, matches, distance in match_cell((img[a], seg[a], h[a]), (img[b], h[b]), bits, cutoff):
+            if (same := x == y).any():
+                x, y, matches, distance = (v[~same] for v in (x, y, matches, distance))
+            out = {"img": ids.dictionary.take(pa.array(x)), "other": ids.dictionary.take(pa.array(y)), "matches": pa.array(matches.astype(np.int32)),
+                   "sum_distance": pa.array(distance.astype(np.int32))}
+            yield pa.RecordBatch.from_pydict(out | ({"n_segs": pa.array(n_segs[x].astype(np.int32))} if counted else {}))
+
+    img_type = segs.schema["img"].dataType.simpleString()
+    pairs = cells.mapInArrow(run, f"img {img_type}, other {img_type}, matches int, sum_distance int" + (", n_segs int" if counted else ""))
+    return pairs.withColumns({c: F.col(c).cast("long") for c in pairs.columns[2:]})
 
 
 def multihash_score(diff: DataFrame, segs: DataFrame, bits: int, region_cutoff: int = 1) -> DataFrame:
