@@ -244,9 +244,10 @@ def multihash_diff(segs: DataFrame, bits: int, cutoff: int, counted: bool = Fals
 
 
 def multihash_score(diff: DataFrame, segs: DataFrame, bits: int, region_cutoff: int = 1) -> DataFrame:
-    """``__sub__`` score (lower is better) and the match test (>= region_cutoff)."""
-    n = segs.groupBy("img").agg(F.count(F.lit(1)).alias("n_segs"))
-    d = diff.join(n, "img")
+    """``__sub__`` score (lower is better) and the match test (>= region_cutoff).
+
+    The segments of an image come with ``diff`` (``counted``), or are counted and joined to its pairs."""
+    d = diff if "n_segs" in diff.columns else diff.join(segs.groupBy("img").agg(F.count(F.lit(1)).alias("n_segs")), "img")
     tie = -(F.col("sum_distance") / (F.col("matches") * bits))
     score = F.when(F.col("matches") == 0, F.col("n_segs").cast("double")).otherwise(
         F.col("n_segs") - (F.col("matches") + tie))

@@ -64,3 +64,15 @@ def test_a_cell_expanded_in_small_slices_gives_the_same_pairs(monkeypatch):
     whole = cell()
     monkeypatch.setattr(imaging, "AT_ONCE", 7)
     assert cell() == whole and len(whole) > 1000
+
+
+def test_multihash_score_counts_the_segments_where_the_pairs_are_made(spark):
+    rows = segments(16, 40, 8)
+    segs = spark.createDataFrame(rows, "img long, seg int, h long")
+    n = {i: sum(r[0] == i for r in rows) for i in range(40)}
+    want = {p: (m, d, n[p[0]] - (m - d / (m * 16)), m >= 2) for p, (m, d) in brute(rows, 2).items()}
+    for counted in (True, False):
+        scored = imaging.multihash_score(imaging.multihash_diff(segs, 16, 2, counted), segs, 16, 2)
+        assert scored.columns == ["img", "other", "matches", "sum_distance", "score", "is_match"]
+        assert {(r.img, r.other): (r.matches, r.sum_distance, r.score, r.is_match) for r in scored.collect()} == want
+        assert not counted or exchanges(scored) == 1
