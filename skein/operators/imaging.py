@@ -256,8 +256,12 @@ def multihash_score(diff: DataFrame, segs: DataFrame, bits: int, region_cutoff:
 
 
 def multihash_best(scored: DataFrame) -> DataFrame:
-    """Per image the candidate with the lowest score (ties: smaller id)."""
-    best = scored.groupBy("img").agg(F.min(F.struct("score", "other")).alias("b"))
+    """Per image the candidate with the lowest score (ties: smaller id).
+
+    An image has few scores (they come of small counts), so the smallest id per score is combined by hash where the
+    pairs are made, before anything is sorted or shuffled."""
+    per_score = scored.groupBy("img", "score").agg(F.min("other").alias("other"))
+    best = per_score.groupBy("img").agg(F.min(F.struct("score", "other")).alias("b"))
     return best.select("img", F.col("b.other").alias("best"), F.col("b.score").alias("score"))
 
 

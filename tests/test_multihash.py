@@ -76,3 +76,18 @@ def test_multihash_score_counts_the_segments_where_the_pairs_are_made(spark):
         assert scored.columns == ["img", "other", "matches", "sum_distance", "score", "is_match"]
         assert {(r.img, r.other): (r.matches, r.sum_distance, r.score, r.is_match) for r in scored.collect()} == want
         assert not counted or exchanges(scored) == 1
+
+
+def test_multihash_best_sorts_no_pairs(spark):
+    rows = segments(16, 40, 8)
+    segs = spark.createDataFrame(rows, "img long, seg int, h long")
+    scored = imaging.multihash_score(imaging.multihash_diff(segs, 16, 2, counted=True), segs, 16)
+    best = imaging.multihash_best(scored)
+    want: dict = {}
+    for r in scored.collect():
+        want[r.img] = min(want.get(r.img, (r.score, r.other)), (r.score, r.other))
+    assert {r.img: (r.score, r.best) for r in best.collect()} == want
+    plan = best._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    above, pairs = plan.split("MapInArrow")[0].rsplit("Exchange", 1)  # what is done to the pairs before they are dealt again
+    assert "HashAggregate" in pairs and "Sort" not in pairs, pairs
+    assert above.count("Exchange") == 1
