@@ -187,21 +187,29 @@ _PAGES_SQL = """
 
 def _catalogue_pages(t):
     """One JSON page per order, its items the order's lines: playlist pages for even order keys, album pages for odd
-    ones. Every third line has no artists, the others two."""
+    ones. Every third line has no artists, the others two.
+
+    What is shuffled and sorted per line is the few plain columns of its song; the nested song is made of them in the page."""
     li = t.lineitem.join(t.part, F.col("p_partkey") == F.col("l_partkey")).join(t.supplier, F.col("s_suppkey") == F.col("l_suppkey"))
-    name = lambda c: F.struct(F.col(c).alias("name"))
-    artist = lambda c: F.struct(name(c).alias("profile"))
-    none = F.array().cast("array<struct<profile: struct<name: string>>>")
-    artists = F.struct(F.when(F.col("l_linenumber") % 3 != 0, F.array(artist("s_name"), artist("p_brand"))).otherwise(none).alias("items"))
-    lasts = F.struct((F.col("l_extendedprice") * 100).cast("long").alias("totalMilliseconds"))
-    song = F.struct(F.col("p_name").alias("name"), artists.alias("artists"), name("p_type").alias("albumOfTrack"), lasts.alias("trackDuration"),
-                    lasts.alias("duration"))
-    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", song.alias("song")))).alias("lines"))
+    has_artists = lambda number: number % 3 != 0
+    artist = [F.when(has_artists(F.col("l_linenumber")), F.col(c)).alias(c) for c in ("s_name", "p_brand")]
+    plain = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "p_name", *artist, "p_type")
+    lines = li.groupBy("l_orderkey").agg(F.sort_array(F.collect_list(plain)).alias("lines"))
+
+    def song(x):
+        name = lambda c: F.struct(x[c].alias("name"))
+        profile = lambda c: F.struct(name(c).alias("profile"))
+        none = F.array().cast("array<struct<profile: struct<name: string>>>")
+        artists = F.struct(F.when(has_artists(x["l_linenumber"]), F.array(profile("s_name"), profile("p_brand"))).otherwise(none).alias("items"))
+        lasts = F.struct((x["l_extendedprice"] * 100).cast("long").alias("totalMilliseconds"))
+        return F.struct(x["p_name"].alias("name"), artists.alias("artists"), name("p_type").alias("albumOfTrack"), lasts.alias("trackDuration"),
+                        lasts.alias("duration"))
+
     o = t.orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select("o_orderkey", "o_orderpriority", "lines")
     playlist = F.struct(F.struct(F.struct(F.col("o_orderpriority").alias("name"), F.struct(F.size("lines").alias("totalCount"), F.transform(
-        "lines", lambda x: F.struct(F.struct(x["song"].alias("data")).alias("itemV2"))).alias("items")).alias("content")).alias("playlistV2")).alias("data"))
+        "lines", lambda x: F.struct(F.struct(song(x).alias("data")).alias("itemV2"))).alias("items")).alias("content")).alias("playlistV2")).alias("data"))
     album = F.struct(F.struct(F.struct(F.col("o_orderpriority").alias("name"), F.struct(F.transform(
-        "lines", lambda x: F.struct(x["song"].alias("track"))).alias("items")).alias("tracks")).alias("albumUnion")).alias("data"))
+        "lines", lambda x: F.struct(song(x).alias("track"))).alias("items")).alias("tracks")).alias("albumUnion")).alias("data"))
     return o.select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, F.to_json(playlist)).otherwise(F.to_json(album)).alias("page"))
 
 
