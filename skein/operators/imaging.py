@@ -123,6 +123,8 @@ def video_similarity(frames: DataFrame, bits: int, t: int) -> DataFrame:
 
 GRID = 12  # blocks of images on each side of the multi-hash grid: GRID * GRID cells, each one task
 AT_ONCE = 1 << 20  # candidates of a cell that are expanded at once
+LOOKED_UP = 20  # bits of a hash up to which a table has a place for every value
+TOGETHER = 1 << 13  # images of the right block that are matched together: so few ids come next to each other that a Parquet writer keeps numbering them
 
 
 def _field(v: np.ndarray, shift: int, width: int) -> np.ndarray:
@@ -144,13 +146,26 @@ def _slices(weight: np.ndarray, most: int) -> Iterator[slice]:
 
 def near_values(a: np.ndarray, b: np.ndarray, bits: int, t: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(position in a, position in b, distance) of the hashes within ``t`` bits, ordered by the first; a and b hold distinct
-    hashes. Candidates agree on a band (``band_layout``), each pair comes from the first of its bands."""
+    hashes. Candidates agree on a band (``band_layout``), each pair comes from the first of its bands. Of short hashes, all
+    within ``t`` bits of one of b are looked up where that is less."""
     layout = band_layout(bits, t)
     found = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint8))]
-    for i, (shift, width) in enumerate(layout):
+    spans = []
+    for shift, width in layout:
         key = _field(b, shift, width)
         order = np.argsort(key, kind="stable")
-        start, end = (np.searchsorted(key[order], _field(a, shift, width), side) for side in ("left", "right"))
+        spans.append((order, *(np.searchsorted(key[order], _field(a, shift, width), side) for side in ("left", "right"))))
+    if bits <= LOOKED_UP and all(v.min(initial=0) >= 0 and v.max(initial=0) >> bits == 0 for v in (a, b)):
+        flips = np.flatnonzero(np.bitwise_count(np.arange(1 << bits)) <= t)
+        if len(flips) * len(b) < sum((end - start).sum() for _, start, end in spans):
+            at = np.full(1 << bits, -1)
+            at[a] = np.arange(len(a))
+            for part in _slices(np.full(len(b), len(flips)), AT_ONCE):
+                x = at[b[part, None] ^ flips]
+                y, flip = np.nonzero(x >= 0)
+                found.append((x[y, flip], y + part.start, np.bitwise_count(flips[flip])))
+            spans = []
+    for i, (order, start, end) in enumerate(spans):
         for part in _slices(end - start, AT_ONCE):
             count = (end - start)[part]
             x, y = np.repeat(np.arange(part.start, part.stop), count), order[_runs(start[part], count)]
@@ -165,52 +180,69 @@ def near_values(a: np.ndarray, b: np.ndarray, bits: int, t: int) -> tuple[np.nda
     return x[order], y[order], dist[order]
 
 
+def _changes(*sorted_by: np.ndarray) -> np.ndarray:
+    """Positions at which a new run of equal entries begins in any of the arrays."""
+    new = np.ones(len(sorted_by[0]), bool)
+    np.not_equal(sorted_by[0][1:], sorted_by[0][:-1], out=new[1:])
+    for v in sorted_by[1:]:
+        new[1:] |= v[1:] != v[:-1]
+    return np.flatnonzero(new)
+
+
 def match_cell(left: tuple[np.ndarray, ...], right: tuple[np.ndarray, ...], bits: int, t: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(image, other, matches, sum of distances) of the images of ``left`` (image, segment, hash) and ``right`` (image, hash), a slice of
-    ``left`` after the other; images and segments are numbers from 0.
+    """(image, other, matches, sum of distances) of the images of ``left`` (image, segment, hash) and ``right`` (image, hash); images and
+    segments are numbers from 0. TOGETHER images of ``right`` after the other are matched with a slice of ``left`` after the other; a part's
+    rows are ordered by matches, sum of distances, image and other, so that all but the other are long runs.
 
-    Distinct hashes are paired once; what is expanded is the candidates of AT_ONCE, or of one image, at a time."""
+    Distinct hashes are paired once for the images taken together; what is expanded is the candidates of AT_ONCE, or of one image, at a time."""
     img, seg, h = np.unique(np.stack(left), axis=1)
     other, other_h = np.unique(np.stack(right), axis=1)
     values, at = np.unique(h, return_inverse=True)
-    held = np.argsort(other_h, kind="stable")
-    other_values, held_start, held_count = np.unique(other_h[held], return_index=True, return_counts=True)
-    x, y, dist = near_values(values, other_values, bits, t)
-    hits = np.bincount(x, minlength=len(values))
-    hit_start = np.cumsum(hits) - hits
     images, first = np.unique(img, return_index=True)
     rows_end = np.append(first[1:], len(img))
-    weight = np.bincount(x, held_count[y], len(values)).astype(np.int64)
-    n_other, n_seg = int(other.max(initial=0)) + 1, int(seg.max(initial=0)) + 1
-    for part in _slices(np.add.reduceat(weight[at], first) if len(first) else first, AT_ONCE):
-        rows = slice(first[part.start], rows_end[part.stop - 1])
-        row = np.repeat(np.arange(rows.start, rows.stop), hits[at[rows]])
-        hit = _runs(hit_start[at[rows]], hits[at[rows]])
-        count = held_count[y[hit]]
-        row, low = np.repeat(row, count), np.repeat(dist[hit], count)
-        match = other[held[_runs(held_start[y[hit]], count)]]
-        # ordered by image, other image, segment, distance: the first of a segment is its lowest
-        key = (((img[row] - img[rows.start]) * n_other + match) * n_seg + seg[row]) * (t + 1) + low
-        key.sort()
-        segment = key // (t + 1)
-        lowest = np.flatnonzero(np.diff(segment, prepend=-1))
-        pair = segment[lowest] // n_seg
-        start = np.flatnonzero(np.diff(pair, prepend=-1))
-        if len(start):
-            yield (pair[start] // n_other + img[rows.start], pair[start] % n_other, np.diff(np.append(start, len(pair))),
-                   np.add.reduceat(key[lowest] % (t + 1), start))
-
-
-def multihash_diff(segs: DataFrame, bits: int, cutoff: int, counted: bool = False) -> DataFrame:
+    # a key has the image, the other image, the segment and the distance, from the highest bit on
+    low_bits, seg_bits, other_bits = t.bit_length(), int(seg.max(initial=0)).bit_length(), int(other.max(initial=0)).bit_length()
+    pair_at = seg_bits + low_bits
+    block = _changes(other)[::TOGETHER]
+    for begin, end in zip(block, [*block[1:], len(other)]):
+        held = np.argsort(other_h[begin:end], kind="stable") + begin
+        other_values, held_start, held_count = np.unique(other_h[held], return_index=True, return_counts=True)
+        other_key = other[held] << pair_at
+        x, y, dist = near_values(values, other_values, bits, t)
+        hits = np.bincount(x, minlength=len(values))
+        hit_start = np.cumsum(hits) - hits
+        weight = np.bincount(x, held_count[y], len(values)).astype(np.int64)
+        for part in _slices(np.add.reduceat(weight[at], first) if len(first) else first, AT_ONCE):
+            rows = slice(first[part.start], rows_end[part.stop - 1])
+            row_key = (img[rows] - img[rows.start] << other_bits + pair_at) + (seg[rows] << low_bits)
+            hit = _runs(hit_start[at[rows]], hits[at[rows]])
+            hit_key, of = np.repeat(row_key, hits[at[rows]]) + dist[hit], y[hit]
+            key = np.repeat(hit_key, held_count[of])
+            key += other_key[_runs(held_start[of], held_count[of])]
+            if not len(key):
+                continue
+            key.sort()
+            key = key[_changes(key >> low_bits)]  # the first of a segment is its lowest
+            pair = key >> pair_at
+            start = _changes(pair)
+            matches, distance, pair = np.diff(start, append=len(pair)), np.add.reduceat(key & (1 << low_bits) - 1, start), pair[start]
+            kind = matches * (distance.max() + 1) + distance
+            order = np.argsort(kind.astype(np.min_scalar_type(kind.max())), kind="stable")
+            pair = pair[order]
+            yield (pair >> other_bits) + img[rows.start], pair & (1 << other_bits) - 1, matches[order], distance[order]
+
+
+def multihash_diff(segs: DataFrame, bits: int, cutoff: int, counted: bool = False, packed: bool = False) -> DataFrame:
     """Per image pair (A, B), A != B: matching segments of A (lowest distance
     to any segment of B within ``cutoff``) and the sum of those distances.
 
     ``segs``: (img, seg, h). Pairs without any match are left out (their
-    result is (0, 0) by definition). ``counted`` adds n_segs, the segments of A.
+    result is (0, 0) by definition). ``counted`` adds n_segs, the segments of A; ``packed`` leaves the images B with
+    equal values together in an array ``others`` (several rows per image and values).
 
     The result has a row per pair of similar images, so only the segments are shuffled, never pairs: images are
     dealt into GRID blocks by their id, and the task of cell (i, j) gets block i and block j and makes all their pairs.
-    The shuffle is 2 * GRID times the segments.
+    The shuffle is 2 * GRID times the segments. A task's rows are ordered so that they are written small (``match_cell``).
     """
     block = F.pmod(F.xxhash64("img"), F.lit(GRID)).cast("int")
     line = F.transform(F.sequence(F.lit(0), F.lit(GRID - 1)), lambda j: F.struct((block * GRID + j).alias("cell"), F.lit(True).alias("left")))
@@ -234,25 +266,36 @@ def multihash_diff(segs: DataFrame, bits: int, cutoff: int, counted: bool = Fals
         for x, y, matches, distance in match_cell((img[a], seg[a], h[a]), (img[b], h[b]), bits, cutoff):
             if (same := x == y).any():
                 x, y, matches, distance = (v[~same] for v in (x, y, matches, distance))
-            out = {"img": ids.dictionary.take(pa.array(x)), "other": ids.dictionary.take(pa.array(y)), "matches": pa.array(matches.astype(np.int32)),
-                   "sum_distance": pa.array(distance.astype(np.int32))}
-            yield pa.RecordBatch.from_pydict(out | ({"n_segs": pa.array(n_segs[x].astype(np.int32))} if counted else {}))
+            if not len(x):
+                continue
+            start = _changes(matches, distance, x)
+            others = pa.ListArray.from_arrays(pa.array(np.append(start, len(x)).astype(np.int32)), ids.dictionary.take(pa.array(y)))
+            of = x[start]
+            out = {"img": ids.dictionary.take(pa.array(of)), "others": others, "matches": pa.array(matches[start]), "sum_distance": pa.array(distance[start])}
+            yield pa.RecordBatch.from_pydict(out | ({"n_segs": pa.array(n_segs[of])} if counted else {}))
 
     img_type = segs.schema["img"].dataType.simpleString()
-    pairs = cells.mapInArrow(run, f"img {img_type}, other {img_type}, matches int, sum_distance int" + (", n_segs int" if counted else ""))
-    return pairs.withColumns({c: F.col(c).cast("long") for c in pairs.columns[2:]})
+    pairs = cells.mapInArrow(run, f"img {img_type}, others array<{img_type}>, matches long, sum_distance long" + (", n_segs long" if counted else ""))
+    return pairs if packed else _unpacked(pairs)
+
+
+def _unpacked(pairs: DataFrame) -> DataFrame:
+    return pairs.select(*[F.explode(c).alias("other") if c == "others" else c for c in pairs.columns])
 
 
-def multihash_score(diff: DataFrame, segs: DataFrame, bits: int, region_cutoff: int = 1) -> DataFrame:
-    """``__sub__`` score (lower is better) and the match test (>= region_cutoff).
+def multihash_score(diff: DataFrame, segs: DataFrame, bits: int, region_cutoff: int = 1, digits: int | None = None) -> DataFrame:
+    """``__sub__`` score (lower is better; rounded to ``digits``) and the match test (>= region_cutoff).
 
-    The segments of an image come with ``diff`` (``counted``), or are counted and joined to its pairs."""
+    The segments of an image come with ``diff`` (``counted``), or are counted and joined to its pairs. Of ``packed`` pairs the
+    score is made once for all others of a row, which are laid out at the end."""
     d = diff if "n_segs" in diff.columns else diff.join(segs.groupBy("img").agg(F.count(F.lit(1)).alias("n_segs")), "img")
     tie = -(F.col("sum_distance") / (F.col("matches") * bits))
     score = F.when(F.col("matches") == 0, F.col("n_segs").cast("double")).otherwise(
         F.col("n_segs") - (F.col("matches") + tie))
-    return d.select("img", "other", "matches", "sum_distance", score.alias("score"),
-                    (F.col("matches") >= region_cutoff).alias("is_match"))
+    packed = "others" in d.columns
+    scored = d.select("img", "others" if packed else "other", "matches", "sum_distance", (score if digits is None else F.round(score, digits)).alias("score"),
+                      (F.col("matches") >= region_cutoff).alias("is_match"))
+    return _unpacked(scored) if packed else scored
 
 
 def multihash_best(scored: DataFrame) -> DataFrame:

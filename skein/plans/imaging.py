@@ -322,8 +322,7 @@ def q_multihash_diff(spark, sf_dir):
 def q_multihash_score(spark, sf_dir):
     """Multi-hash difference score and match test."""
     segs = quadrant_segments(Tables(spark, sf_dir))
-    s = imaging.multihash_score(imaging.multihash_diff(segs, BITS16, 2, counted=True), segs, BITS16)
-    return s.withColumn("score", F.round("score", 6))
+    return imaging.multihash_score(imaging.multihash_diff(segs, BITS16, 2, counted=True, packed=True), segs, BITS16, digits=6)
 
 
 @query("multihash_best", sql=_w(_G, _SEG) + """
@@ -331,8 +330,7 @@ def q_multihash_score(spark, sf_dir):
 def q_multihash_best(spark, sf_dir):
     """The best candidate per image (lowest score, ties to the smaller id)."""
     segs = quadrant_segments(Tables(spark, sf_dir))
-    s = imaging.multihash_score(imaging.multihash_diff(segs, BITS16, 2, counted=True), segs, BITS16)
-    return imaging.multihash_best(s.withColumn("score", F.round("score", 6)))
+    return imaging.multihash_best(imaging.multihash_score(imaging.multihash_diff(segs, BITS16, 2, counted=True, packed=True), segs, BITS16, digits=6))
 
 
 _CROP_SQL = """WITH RECURSIVE """ + _G + """,

@@ -4,6 +4,8 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow.parquet as pq
+from pyspark.sql import functions as F
 
 from skein.operators import imaging
 
@@ -66,6 +68,61 @@ def test_a_cell_expanded_in_small_slices_gives_the_same_pairs(monkeypatch):
     assert cell() == whole and len(whole) > 1000
 
 
+def test_a_cell_matched_by_few_images_gives_the_same_pairs_ordered_by_their_values(monkeypatch):
+    rnd = np.random.default_rng(4)
+    img, seg, h = np.repeat(np.arange(50), 4), np.tile(np.arange(4), 50), rnd.integers(0, 200, 200)
+
+    def cell():
+        parts = [list(zip(*(v.tolist() for v in part))) for part in imaging.match_cell((img, seg, h), (img, h), 16, 2)]
+        assert all(part == sorted(part, key=lambda p: (p[2], p[3], p[0], p[1])) for part in parts)
+        return sorted(p for part in parts for p in part), len(parts)
+
+    whole, n = cell()
+    monkeypatch.setattr(imaging, "TOGETHER", 3)
+    assert cell() == (whole, 17) and n == 1 and len(whole) > 1000
+
+
+def test_near_values_looked_up_equal_those_of_the_bands(monkeypatch):
+    rnd = np.random.default_rng(5)
+    for bits, t, n in ((16, 2, 4000), (10, 1, 900), (6, 3, 64), (6, 0, 64), (3, 5, 8)):
+        a, b = (np.sort(rnd.permutation(1 << bits)[:n]) for _ in range(2))
+        pairs = []
+        for most in (20, 0):
+            monkeypatch.setattr(imaging, "LOOKED_UP", most)
+            monkeypatch.setattr(imaging, "AT_ONCE", 1000)
+            x, y, dist = imaging.near_values(a, b, bits, t)
+            assert (np.diff(x) >= 0).all()
+            pairs.append(sorted(zip(x.tolist(), y.tolist(), dist.tolist())))
+        assert pairs[0] == pairs[1] and pairs[0]
+        if n < 1000:
+            assert pairs[0] == [(i, j, d) for i, v in enumerate(a.tolist()) for j, w in enumerate(b.tolist()) if (d := (v ^ w).bit_count()) <= t]
+
+
+def test_multihash_ids_are_written_as_numbers_of_a_dictionary(spark, monkeypatch, tmp_path):
+    # the first 20,000 rows of a file decide: with nearly as many ids in them, the writer gives up numbering and writes 8 bytes an id
+    monkeypatch.setattr(imaging, "GRID", 1)
+    segs = spark.range(20_000).selectExpr("id as img", "0 as seg", "id % 2000 as h")
+    pairs = imaging.multihash_diff(segs, 16, 0, counted=True, packed=True)
+    imaging.multihash_score(pairs, segs, 16, digits=6).write.parquet(str(tmp_path / "out"))
+    files = [pq.ParquetFile(f) for f in (tmp_path / "out").glob("*.parquet")]
+    assert sum(f.metadata.num_rows for f in files) == 20_000 * 9
+    for f in files:
+        for column in range(5):  # is_match has no dictionary
+            assert not f.metadata.num_rows or "PLAIN" not in f.metadata.row_group(0).column(column).encodings, f.schema.names[column]
+
+
+def test_multihash_packed_pairs_give_the_same_scores(spark):
+    rows = segments(16, 40, 9)
+    segs = spark.createDataFrame(rows, "img long, seg int, h long")
+    plain = imaging.multihash_score(imaging.multihash_diff(segs, 16, 2, counted=True), segs, 16)
+    for counted in (True, False):
+        packed = imaging.multihash_diff(segs, 16, 2, counted, packed=True)
+        assert packed.columns == ["img", "others", "matches", "sum_distance"] + ["n_segs"] * counted
+        scored = imaging.multihash_score(packed, segs, 16, digits=6)
+        assert scored.columns == plain.columns
+        assert sorted(scored.collect()) == sorted(r for r in plain.withColumn("score", F.round("score", 6)).collect())
+
+
 def test_multihash_score_counts_the_segments_where_the_pairs_are_made(spark):
     rows = segments(16, 40, 8)
     segs = spark.createDataFrame(rows, "img long, seg int, h long")
